@@ -1,0 +1,20 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A lookup side broadcast by default only up to this many rows.
+DEFAULT_BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_bounded(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Mark ``small`` for broadcast only if it has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows. Beyond the bound the frame
+    is returned unmarked, so the join shuffles on its keys (and AQE may still
+    switch to a broadcast once it has seen the real size).
+    """
+    rows = small.limit(max_rows + 1).count()
+    return F.broadcast(small) if rows <= max_rows else small

@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference is batch only: it has no stream source, watermark, event-time
+window, trigger or stateful operator, so nothing here is a work item. Its
+batch jobs are already incremental by month: a run writes only the months it
+carries (dynamic partition overwrite, see :mod:`watchfold.plans.warehouse`).
+"""
