@@ -43,8 +43,10 @@ def valid_contract(contract: str | Column = "Contract") -> Column:
 
 
 def month_of(date_col: str | Column) -> Column:
-    """``yyyyMM`` tag of a date."""
-    return F.date_format(_col(date_col), "yyyyMM")
+    """``yyyyMM`` tag of a date (four-digit years). Integer arithmetic and one cast:
+    cheaper per row than a pattern-based ``date_format`` on billions of log rows."""
+    d = _col(date_col)
+    return (F.year(d) * 100 + F.month(d)).cast("string")
 
 
 def month_index(month_yyyymm: str | Column = "month_yyyymm") -> Column:
