@@ -1,0 +1,71 @@
+import json
+
+import pytest
+
+from tests.conftest import rows
+from watchfold.operators import labelling as lb
+
+
+@pytest.mark.parametrize("reply", [
+    "no braces here",
+    "{bad}",
+    '{"a":"x"} junk }',
+    "{'a':'x'}",
+    '{"a":"x"} {"b":"y"}',
+    None,
+    "",
+])
+def test_bad_replies_fall_back_to_other(reply):
+    assert lb.parse_label_reply(["a", "b"], reply) == {"a": "Other", "b": "Other"}
+
+
+def test_reply_with_prose_and_missing_key():
+    assert lb.parse_label_reply(["a", "b"], 'pre {"a":"Drama"} post') == {"a": "Drama", "b": "Other"}
+
+
+def test_reply_value_types():
+    got = lb.parse_label_reply(["a", "b", "c"], '{"a": null, "b": 5, "c": "News"}')
+    assert got == {"a": None, "b": "5", "c": "News"}
+
+
+def test_rule_labeller_reply_parses_back():
+    kws = ["VTV3", "love story", "small ring"]
+    assert lb.parse_label_reply(kws, lb.rule_labeller(kws)) == {
+        "VTV3": "TV Channel", "love story": "Romance", "small ring": "Other"}
+    assert lb.rule_labeller([]) == "{}"
+
+
+def test_batches_of_at_most_150(spark):
+    programs = spark.createDataFrame([(f"k{i:04d}",) for i in range(400)], "most_searched string").coalesce(1)
+    sizes = []
+
+    def labeller(batch):
+        return json.dumps({k: "Drama" for k in batch})
+
+    replies = lb.label_requests(programs, labeller).collect()
+    sizes = sorted(len(r.keywords) for r in replies)
+    assert sizes == [100, 150, 150]
+    parsed = lb.parse_label_replies(lb.label_requests(programs, labeller))
+    assert parsed.count() == 400 and {r.Genre for r in parsed.collect()} == {"Drama"}
+
+
+def test_failing_labeller_gives_other(spark):
+    programs = spark.createDataFrame([("a",), ("b",)], "most_searched string")
+
+    def broken(batch):
+        raise RuntimeError("service down")
+
+    out = rows(lb.label_genres(programs, broken, checkpoint=False))
+    assert out == [("a", "Other"), ("b", "Other")]
+
+
+def test_label_genres_distinct_checkpointed(spark):
+    programs = spark.createDataFrame([("VTV3",), ("VTV3",), ("harry potter",), (None,)], "most_searched string")
+    out = lb.label_genres(programs)
+    assert rows(out) == [("VTV3", "TV Channel"), ("harry potter", "Drama")]
+
+
+def test_check_genre_domain(spark):
+    m = spark.createDataFrame([("a", "Drama"), ("b", "Fantasy"), ("c", None), ("d", "K Drama")],
+                              "most_searched string, Genre string")
+    assert lb.check_genre_domain(m).collect()[0].asDict() == {"mapping_rows": 4, "out_of_domain_rows": 2}
