@@ -56,7 +56,7 @@ def read_watch_logs(spark: SparkSession, root: str, start: str | date, end: str
     """All daily watch logs from ``start`` to ``end`` in one scan.
 
     Returns ``Contract, Mac, AppName, TotalDuration, log_date``; the date comes
-    from the file name through the ``_metadata`` column. ``missing="fail"``
+    from the ``<yyyymmdd>.json`` element of each row's path (``_metadata`` column). ``missing="fail"``
     fails on an absent day like the reference does; ``missing="skip"`` reads
     the days that exist (a brace glob over the day names).
     """
@@ -69,7 +69,8 @@ def read_watch_logs(spark: SparkSession, root: str, start: str | date, end: str
         raw = reader.json(f"{base}/{{{','.join(days)}}}.json")
     else:
         raise ValueError("missing must be 'fail' or 'skip'")
-    day = F.regexp_extract(F.col("_metadata.file_name"), r"([0-9]{8})\.json$", 1)
+    # the day is the ``<yyyymmdd>.json`` path element: a file, or a folder of part files
+    day = F.regexp_extract(F.col("_metadata.file_path"), r"([0-9]{8})\.json", 1)
     return raw.select(
         F.col("_source.Contract").alias("Contract"),
         F.col("_source.Mac").alias("Mac"),
