@@ -132,3 +132,21 @@ def test_checks_plan_has_no_join(spark):
     b = spark.createDataFrame([("u1", "Drama", "Changed", "202207")], BFACT)
     plan = an.check_row_counts(f, b)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Cartesian" not in plan
+
+
+def test_unique_keys_count_equals_distinct_on_built_facts(spark):
+    from tests.conftest import SF001
+    from watchfold.plans.registry import fact_behavior, fact_interaction
+    fi, fb = fact_interaction(spark, SF001), fact_behavior(spark, SF001)
+    for op, f in [(an.active_days_distribution, fi), (an.program_duration_stats, fi),
+                  (an.taste_distribution, fi), (an.genre_change_percent, fb),
+                  (an.changed_by_previous_genre, fb)]:
+        assert rows(op(f)) == rows(op(f, unique_keys=False)), op.__name__
+
+
+def test_distinct_counts_for_tables_with_repeated_keys(spark):
+    f = fact(spark, [frow("C1"), frow("C1"), frow("C2")])
+    assert rows(an.taste_distribution(f, unique_keys=False), "distinct_contract_count") == [(2,)]
+    assert rows(an.taste_distribution(f), "distinct_contract_count") == [(3,)]
+    plan = an.taste_distribution(f)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1

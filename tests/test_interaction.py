@@ -85,6 +85,18 @@ def test_months_backfill_and_fixed_month(spark):
     assert by_month == [("202401", 10, 1), ("202402", 20, 1)]
     fixed = rows(it.fact_interaction(df, month="202401"), "month_yyyymm", "Movies", "Active_Days")
     assert fixed == [("202401", 30, 2)]
+    masked = it.fact_interaction(df, month="202401", window=(D1, D3))
+    assert rows(masked, "month_yyyymm", "Movies", "Active_Days") == [("202401", 30, 2)]
+
+
+def test_active_days_mask_edges(spark):
+    days = [dt.date(2024, 1, d) for d in (1, 15, 31)] + [dt.date(2024, 2, 29), dt.date(2024, 2, 29)]
+    df = logs(spark, [("C1", "m", "VOD", 1, d) for d in days])
+    assert rows(it.fact_interaction(df), "month_yyyymm", "Active_Days") == [("202401", 3), ("202402", 1)]
+    long_window = (dt.date(2024, 1, 1), dt.date(2024, 3, 31))      # > 63 days: distinct count
+    assert rows(it.fact_interaction(df, month="202401", window=long_window), "Active_Days") == [(4,)]
+    short_window = (dt.date(2024, 1, 1), dt.date(2024, 2, 29))     # 59 days: mask
+    assert rows(it.fact_interaction(df, month="202401", window=short_window), "Active_Days") == [(4,)]
 
 
 def test_pivot_keeps_error_only_contract(spark):
@@ -102,8 +114,8 @@ def test_fused_equals_stepwise_on_fixture(spark, month):
     assert len(rows(fused)) > 100
 
 
-def test_fused_plan_has_two_exchanges_and_pushes_contract_filter(spark):
+def test_fused_plan_has_one_exchange(spark):
     lc = log_content_fixture(DriverTables(spark, SF001))
     plan = it.fact_interaction(lc)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 2
+    assert plan.count("Exchange hashpartitioning") == 1
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan

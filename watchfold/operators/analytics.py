@@ -3,13 +3,20 @@
 Facts accumulate one partition per month, so every result here is grouped by
 ``month_yyyymm`` (pass ``month=`` to look at one month only); without that,
 sums would mix months and a contract could sit in two bins.
+
+The facts built by this package hold one row per (month, contract) or
+(month, user) — their grouping key — and the sink only ever replaces whole
+months, so "distinct contracts (users) in a month" is a count of non-NULL
+keys. That is what ``unique_keys=True`` (the default) computes: a plain
+partial/final count, where ``COUNT(DISTINCT)`` would add an exchange on the
+key. Pass ``unique_keys=False`` for a table written by other means.
 """
 
 from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from watchfold.functions.columns import (
@@ -26,18 +33,25 @@ def _month(fact: DataFrame, month: str | None) -> DataFrame:
     return fact.filter(F.col("month_yyyymm") == month) if month else fact
 
 
+def _distinct(key: Column, unique_keys: bool) -> Column:
+    """Number of distinct non-NULL ``key`` values of a group."""
+    return F.count(key) if unique_keys else F.count_distinct(key)
+
+
 # --- views -----------------------------------------------------------------
 
-def active_days_distribution(fact: DataFrame, month: str | None = None) -> DataFrame:
+def active_days_distribution(fact: DataFrame, month: str | None = None,
+                             unique_keys: bool = True) -> DataFrame:
     """Distinct contracts per active-days bin, bins in display order."""
     binned = _month(fact, month).select("month_yyyymm", "Contract",
                                         active_days_bin("Active_Days").alias("active_days_bin"))
     return (binned.groupBy("month_yyyymm", "active_days_bin")
-            .agg(F.count_distinct("Contract").alias("distinct_contract_count"))
+            .agg(_distinct(F.col("Contract"), unique_keys).alias("distinct_contract_count"))
             .orderBy("month_yyyymm", active_days_bin_order("active_days_bin")))
 
 
-def program_duration_stats(fact: DataFrame, month: str | None = None) -> DataFrame:
+def program_duration_stats(fact: DataFrame, month: str | None = None,
+                           unique_keys: bool = True) -> DataFrame:
     """Per program: total seconds, hours, distinct watching contracts and their
     average active days. Watchers are contracts with a positive total.
 
@@ -52,14 +66,16 @@ def program_duration_stats(fact: DataFrame, month: str | None = None) -> DataFra
     return (long.groupBy("month_yyyymm", "program_name")
             .agg(total.alias("total_duration"),
                  (total / 3600).alias("total_duration_hours"),
-                 F.count_distinct(F.when(watched, F.col("Contract"))).alias("distinct_contract_count"),
+                 _distinct(F.when(watched, F.col("Contract")), unique_keys)
+                 .alias("distinct_contract_count"),
                  F.avg(F.when(watched, F.col("Active_Days"))).alias("avg_active_days")))
 
 
-def taste_distribution(fact: DataFrame, month: str | None = None) -> DataFrame:
+def taste_distribution(fact: DataFrame, month: str | None = None,
+                       unique_keys: bool = True) -> DataFrame:
     """Distinct contracts per customer taste, largest first."""
     return (_month(fact, month).groupBy("month_yyyymm", "customer_taste")
-            .agg(F.count_distinct("Contract").alias("distinct_contract_count"))
+            .agg(_distinct(F.col("Contract"), unique_keys).alias("distinct_contract_count"))
             .orderBy(F.col("month_yyyymm"), F.col("distinct_contract_count").desc(),
                      F.col("customer_taste")))
 
@@ -98,21 +114,23 @@ def behavior_sample(fact: DataFrame, n: int = 100) -> DataFrame:
     return fact.orderBy("month_yyyymm", "user_id").limit(n)
 
 
-def genre_change_percent(fact: DataFrame, month: str | None = None) -> DataFrame:
+def genre_change_percent(fact: DataFrame, month: str | None = None,
+                         unique_keys: bool = True) -> DataFrame:
     """Share of users whose genre changed, in percent with two decimals.
     (The reference calls this column ``percent_unchanged``; it is the changed
     share.) An empty month gives NULL instead of a division error."""
-    changed = F.count_distinct(F.when(F.col("Trending_Type") != UNCHANGED, F.col("user_id")))
-    users = F.count_distinct("user_id")
+    changed = _distinct(F.when(F.col("Trending_Type") != UNCHANGED, F.col("user_id")), unique_keys)
+    users = _distinct(F.col("user_id"), unique_keys)
     pct = F.round(F.lit(Decimal("100.0")) * changed / F.nullif(users, F.lit(0)), 2).cast("double")
     return _month(fact, month).groupBy("month_yyyymm").agg(pct.alias("percent_changed"))
 
 
-def changed_by_previous_genre(fact: DataFrame, month: str | None = None) -> DataFrame:
+def changed_by_previous_genre(fact: DataFrame, month: str | None = None,
+                              unique_keys: bool = True) -> DataFrame:
     """Users whose genre changed, per previous genre, largest first."""
     return (_month(fact, month).filter(F.col("Trending_Type") != UNCHANGED)
             .groupBy("month_yyyymm", "Previous_Genre")
-            .agg(F.count_distinct("user_id").alias("changed_user_count"))
+            .agg(_distinct(F.col("user_id"), unique_keys).alias("changed_user_count"))
             .orderBy(F.col("month_yyyymm"), F.col("changed_user_count").desc(),
                      F.col("Previous_Genre")))
 

@@ -22,6 +22,7 @@ from watchfold.operators.labelling import Labeller, label_genres
 from watchfold.plans.warehouse import Warehouse
 from watchfold.session import build_session
 from watchfold.sources.files import (
+    as_date,
     read_genre_mapping,
     read_search_logs,
     read_watch_logs,
@@ -38,7 +39,10 @@ def run_interaction_etl(spark: SparkSession, input_root: str, start: str, end: s
     ``per_calendar_month=True`` tags each day with its own month instead.
     """
     logs = read_watch_logs(spark, input_root, start, end, missing)
-    fact = fact_interaction(logs, month=None if per_calendar_month else start[:6])
+    if per_calendar_month:
+        fact = fact_interaction(logs)
+    else:     # every row lies in start..end, so active days can use the day mask
+        fact = fact_interaction(logs, month=start[:6], window=(as_date(start), as_date(end)))
     warehouse.save_interaction_fact(fact)
     return warehouse.table("fact_monthly_customer_interaction")
 

@@ -39,7 +39,7 @@ GENRE_MAPPING_SCHEMA = T.StructType([
 _MONTH_IN_PATH = r"((?:19|20)[0-9]{2}(?:0[1-9]|1[0-2]))"
 
 
-def _as_date(d: str | date) -> date:
+def as_date(d: str | date) -> date:
     if isinstance(d, date):
         return d
     return datetime.strptime(d, "%Y%m%d").date()
@@ -47,7 +47,7 @@ def _as_date(d: str | date) -> date:
 
 def day_paths(start: str | date, end: str | date) -> list[str]:
     """``yyyymmdd`` for every day from ``start`` to ``end``, both included."""
-    first, last = _as_date(start), _as_date(end)
+    first, last = as_date(start), as_date(end)
     return [(first + timedelta(days=i)).strftime("%Y%m%d") for i in range((last - first).days + 1)]
 
 
