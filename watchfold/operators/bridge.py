@@ -17,8 +17,9 @@ Construction, all seeded hashes (so a recomputed partition gives the same rows):
 4. primary: the user with the smallest seeded hash within each contract.
 
 The numbering windows run over the samples only, whose sizes are capped by
-``n_users`` and ``n_contracts``; the slot -> user join broadcasts the user sample
-for the same reason.
+``n_users`` and ``n_contracts`` (one task holds at most that many rows); the
+slot -> user join broadcasts the user sample for the same reason. The samples
+are checkpointed to the session's checkpoint folder.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from watchfold.functions.constants import (
     BRIDGE_START_DATE,
     BRIDGE_USERS,
 )
+from watchfold.session import ensure_checkpoint_dir
 
 BRIDGE_SCHEMA = ("user_id string, contract_id string, start_date date, "
                  "end_date date, is_primary boolean")
@@ -54,14 +56,17 @@ def bridge_synth(users: DataFrame, contracts: DataFrame, seed: int = 42,
 
     ``users`` needs a ``user_id`` column, ``contracts`` a ``contract`` column.
     """
-    user_sample = _sample(users, "user_id", seed, n_users).select("user_id", "pos")
-    n = user_sample.count()
     spark = users.sparkSession
+    ensure_checkpoint_dir(spark)
+    # Both samples are checkpointed: their inputs (the facts) are computed once,
+    # and a lost executor re-reads the sample instead of re-running the facts.
+    user_sample = _sample(users, "user_id", seed, n_users).select("user_id", "pos").checkpoint()
+    n = user_sample.count()
     if n == 0:
         return spark.createDataFrame([], BRIDGE_SCHEMA)
     capacity = max_links * n
 
-    contract_sample = _sample(contracts, "contract", seed + 1, n_contracts)
+    contract_sample = _sample(contracts, "contract", seed + 1, n_contracts).checkpoint()
     demand = F.least(F.pmod(F.xxhash64(F.lit(seed + 2), F.col("contract")), F.lit(max_links)) + 1,
                      F.lit(n))
     running = Window.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
