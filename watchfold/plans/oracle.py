@@ -153,6 +153,7 @@ ORACLE_SQL: dict[str, str] = {
         "FROM t GROUP BY month_yyyymm, log_date, Contract"),
     "active_days": _interaction("SELECT * FROM act"),
     "fact_interaction": _interaction("SELECT * FROM fi"),
+    "fact_interaction_stepwise": _interaction("SELECT * FROM fi"),
     "fact_sink_roundtrip": _interaction("SELECT * FROM fi"),
     "keyword_frequency": _behavior("SELECT * FROM kf"),
     "most_searched": _behavior("SELECT * FROM ms"),

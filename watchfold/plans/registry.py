@@ -111,6 +111,7 @@ QUERIES: dict[str, Query] = {
     "daily_active": lambda s, d: interaction.daily_active(_logs(s, d)),
     "active_days": lambda s, d: interaction.active_days(_logs(s, d)),
     "fact_interaction": fact_interaction,
+    "fact_interaction_stepwise": lambda s, d: interaction.fact_interaction_stepwise(_logs(s, d)),
     "fact_sink_roundtrip": fact_sink_roundtrip,
     # behaviour fact and its operators
     "keyword_frequency": lambda s, d: behavior.keyword_frequency(_searches(s, d)),
