@@ -22,7 +22,8 @@ from watchfold.plans.registry import QUERIES  # noqa: E402
 from watchfold.session import build_session  # noqa: E402
 
 HEADLINE = ["fact_interaction", "fact_behavior", "program_duration_stats", "top10_by_program"]
-EXTRA = ["active_days_distribution", "genre_change_percent", "label_genres", "bridge_synth"]
+EXTRA = ["fact_interaction_stepwise", "active_days_distribution", "genre_change_percent",
+         "label_genres", "bridge_synth"]
 RUNS = 3
 
 

@@ -119,3 +119,23 @@ def test_fused_plan_has_one_exchange(spark):
     plan = it.fact_interaction(lc)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
+
+
+def test_hot_contract_with_a_third_of_rows(spark):
+    """One contract holds a third of all rows: same result as the step-by-step
+    form, and the plan still combines map-side before its single exchange."""
+    from pyspark.sql import functions as F
+    apps = ["VOD", "RELAX", "CHILD", "SPORT", "CHANNEL", "XAPP"]
+    base = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("C"), (F.col("id") % 997).cast("string")))
+         .alias("Contract"),
+        F.concat(F.lit("m"), (F.col("id") % 7).cast("string")).alias("Mac"),
+        F.element_at(F.array(*[F.lit(a) for a in apps]), (F.col("id") % 6 + 1).cast("int")).alias("AppName"),
+        (F.col("id") % 50).alias("TotalDuration"),
+        F.date_add(F.lit(D1), (F.col("id") % 31).cast("int")).alias("log_date"))
+    fused = it.fact_interaction(base)
+    assert rows(fused) == rows(it.fact_interaction_stepwise(base))
+    hot = fact_by_contract(fused)["HOT"]
+    assert hot["TotalDevices"] == 10000 and hot["Active_Days"] == 31
+    plan = it.fact_interaction(base)._jdf.queryExecution().executedPlan().toString()   # not yet run
+    assert "partial_sum" in plan and plan.count("Exchange hashpartitioning") == 1

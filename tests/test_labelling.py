@@ -69,3 +69,9 @@ def test_check_genre_domain(spark):
     m = spark.createDataFrame([("a", "Drama"), ("b", "Fantasy"), ("c", None), ("d", "K Drama")],
                               "most_searched string, Genre string")
     assert lb.check_genre_domain(m).collect()[0].asDict() == {"mapping_rows": 4, "out_of_domain_rows": 2}
+
+
+def test_label_parallelism(spark):
+    programs = spark.createDataFrame([(f"k{i}",) for i in range(40)], "most_searched string")
+    out = lb.label_genres(programs, checkpoint=False, parallelism=3)
+    assert out.count() == 40

@@ -129,13 +129,18 @@ def parse_label_replies(replies: DataFrame) -> DataFrame:
 
 
 def label_genres(programs: DataFrame, labeller: Labeller | None = None,
-                 batch_size: int = LABEL_BATCH_SIZE, checkpoint: bool = True) -> DataFrame:
+                 batch_size: int = LABEL_BATCH_SIZE, checkpoint: bool = True,
+                 parallelism: int | None = None) -> DataFrame:
     """Label distinct keywords: ask (in batches), keep the replies, parse them.
 
     Returns ``most_searched, Genre`` with one row per distinct keyword; a
-    keyword the labeller skipped gets ``Other``.
+    keyword the labeller skipped gets ``Other``. ``parallelism`` sets how many
+    tasks call the labeller at once (hash-partitioned by keyword, so a retried
+    task gets the same keywords); by default it is the shuffle's partition count.
     """
     distinct = programs.select("most_searched").filter(F.col("most_searched").isNotNull()).distinct()
+    if parallelism:
+        distinct = distinct.repartition(parallelism, "most_searched")
     replies = label_requests(distinct, labeller, batch_size)
     if checkpoint:
         ensure_checkpoint_dir(replies.sparkSession)
