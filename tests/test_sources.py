@@ -73,3 +73,18 @@ def test_genre_mapping_roundtrip_and_export(spark, tmp_path):
     files.export_distinct_programs(prev, curr, out)
     back = spark.read.option("header", "true").csv(out)
     assert rows(back) == [("a",), ("b",), ("c",)]
+
+
+def test_search_log_month_filter_prunes_files(spark, tmp_path):
+    """A file of another month is never opened: a corrupt one there does no harm."""
+    base = tmp_path / "log_search"
+    good = base / "202206" / "20220601"
+    good.mkdir(parents=True)
+    spark.createDataFrame([("u1", "kw")], "user_id string, keyword string") \
+        .coalesce(1).write.mode("overwrite").parquet(str(good / "part"))
+    bad = base / "202208" / "20220801"
+    bad.mkdir(parents=True)
+    (bad / "broken.parquet").write_bytes(b"this is not parquet")
+    assert rows(files.read_search_logs(spark, str(base), ["202206"])) == [("u1", "kw", "202206")]
+    with pytest.raises(Exception):
+        files.read_search_logs(spark, str(base)).collect()
