@@ -2,9 +2,10 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-One warm-up and three timed runs per query, median reported. Every run
-executes the full plan into Spark's no-op sink (nothing is collected to the
-driver). Prints one JSON line.
+One warm-up run of every query, then three timed rounds over all queries
+(interleaved, so no query profits from running late in a warm JVM); the
+median per query is reported. Every run executes the full plan into Spark's
+no-op sink (nothing is collected to the driver). Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from watchfold.plans.registry import QUERIES  # noqa: E402
-from watchfold.session import build_session  # noqa: E402
+from watchfold.session import build_session, ensure_checkpoint_dir  # noqa: E402
 
 HEADLINE = ["fact_interaction", "fact_behavior", "program_duration_stats", "top10_by_program"]
 EXTRA = ["fact_interaction_stepwise", "active_days_distribution", "genre_change_percent",
@@ -38,13 +39,17 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = build_session(f"local[{cpus}]", app_name="watchfold-bench", shuffle_partitions=cpus,
                           extra={"spark.driver.memory": "16g",
-                                 "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-ckpt-"),
                                  "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="bench-wh-")})
     spark.sparkContext.setLogLevel("ERROR")
-    medians = {}
-    for name in HEADLINE + EXTRA:
-        run_once(spark, name, sf_dir)                       # warm-up
-        medians[name] = round(statistics.median(run_once(spark, name, sf_dir) for _ in range(RUNS)), 3)
+    ensure_checkpoint_dir(spark)       # the configured folder; a scratch one only if none is set
+    names = HEADLINE + EXTRA
+    for name in names:                                      # warm-up
+        run_once(spark, name, sf_dir)
+    times = {name: [] for name in names}
+    for _ in range(RUNS):
+        for name in names:
+            times[name].append(run_once(spark, name, sf_dir))
+    medians = {name: round(statistics.median(t), 3) for name, t in times.items()}
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({
         "metric": "headline_median_sum",

@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from watchfold.session import build_session  # noqa: E402
+from watchfold.session import build_session, ensure_checkpoint_dir  # noqa: E402
 
 SF0001 = "/root/testdata/sf0.001"
 SF001 = "/root/testdata/sf0.01"
@@ -15,11 +15,11 @@ SF001 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("local[*]", app_name="watchfold-tests", shuffle_partitions=8, extra={
-        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="wf-test-ckpt-"),
         "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="wf-test-wh-"),
         "spark.driver.memory": "4g",
     })
     session.sparkContext.setLogLevel("ERROR")
+    ensure_checkpoint_dir(session)     # keeps a configured folder; a scratch one only if unset
     yield session
     session.stop()
 

@@ -11,13 +11,12 @@ import contextlib
 import io
 import os
 import sys
-import tempfile
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 from watchfold.plans.registry import QUERIES  # noqa: E402
-from watchfold.session import build_session  # noqa: E402
+from watchfold.session import build_session, ensure_checkpoint_dir  # noqa: E402
 
 NAMES = ["fact_interaction", "fact_behavior", "program_duration_stats", "top10_by_program",
          "label_genres"]
@@ -25,9 +24,9 @@ NAMES = ["fact_interaction", "fact_behavior", "program_duration_stats", "top10_b
 
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
-    spark = build_session("local[8]", shuffle_partitions=8,
-                          extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="plans-ckpt-")})
+    spark = build_session("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
+    ensure_checkpoint_dir(spark)
     out = ["# Physical plans of the headline queries", "",
            f"Final adaptive plans after one execution on `{sf_dir}`, `local[8]`, "
            f"Spark {spark.version}. Regenerate with `python tools/explain_plans.py`.", ""]

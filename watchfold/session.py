@@ -16,6 +16,9 @@ SESSION_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # PySpark 4 records the Python call site of every Column function by default:
+    # a few JVM round trips per call, most of a plan's build time on the driver.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
