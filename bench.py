@@ -2,10 +2,10 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-One warm-up run of every query, then three timed rounds over all queries
-(interleaved, so no query profits from running late in a warm JVM); the
-median per query is reported. Every run executes the full plan into Spark's
-no-op sink (nothing is collected to the driver). Prints one JSON line.
+One warm-up run of every query (JIT and code generation settle), then per
+query three consecutive timed runs; the median per query is reported. Every
+run executes the full plan into Spark's no-op sink (nothing is collected to
+the driver). Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -43,13 +43,11 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)       # the configured folder; a scratch one only if none is set
     names = HEADLINE + EXTRA
-    for name in names:                                      # warm-up
+    for name in names:                                      # the one warm-up per query
         run_once(spark, name, sf_dir)
-    times = {name: [] for name in names}
-    for _ in range(RUNS):
-        for name in names:
-            times[name].append(run_once(spark, name, sf_dir))
-    medians = {name: round(statistics.median(t), 3) for name, t in times.items()}
+    medians = {}
+    for name in names:
+        medians[name] = round(statistics.median(run_once(spark, name, sf_dir) for _ in range(RUNS)), 3)
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({
         "metric": "headline_median_sum",
