@@ -56,3 +56,15 @@ def test_bridge_empty(spark):
     users = spark.createDataFrame([], "user_id string")
     contracts = spark.createDataFrame([("c1",)], "contract string")
     assert bridge_synth(users, contracts).count() == 0
+
+
+@pytest.mark.parametrize("n,oversample", [(1, 2.0), (7, 2.0), (50, 2.0), (50, 0.3), (2000, 2.0)])
+def test_sample_equals_brute_force_top_n(spark, n, oversample):
+    from watchfold.operators.bridge import _sample
+    keys = spark.range(1000).select(F.col("id").cast("string").alias("k"))
+    got, rows = _sample(keys, "k", 42, n, oversample=oversample)
+    brute = (keys.withColumn("h", F.xxhash64(F.lit(42), F.col("k")))
+             .orderBy("h", "k").limit(n).collect())
+    assert rows == min(n, 1000)
+    assert [(r.k, r.pos) for r in got.orderBy("pos").collect()] == \
+        [(r.k, i) for i, r in enumerate(brute)]

@@ -7,7 +7,8 @@ contract has exactly one primary user.
 Construction, all seeded hashes (so a recomputed partition gives the same rows):
 
 1. sample: the ``n_users`` users and ``n_contracts`` contracts with the smallest
-   ``xxhash64(seed, key)`` — a per-task top-n, then one bounded merge;
+   ``xxhash64(seed, key)`` — a hash-threshold filter passes about ``2n`` rows,
+   then a per-task top-n and one merge of those;
 2. demand: contract c wants ``d_c = pmod(hash, 5) + 1`` users (at most N, the
    number of sampled users); a running sum of the demands in sample order hands
    contract c the slot range ``[S_c - d_c, S_c)``;
@@ -18,7 +19,8 @@ Construction, all seeded hashes (so a recomputed partition gives the same rows):
 
 The numbering windows run over the samples only, whose sizes are capped by
 ``n_users`` and ``n_contracts`` (one task holds at most that many rows); the
-slot -> user join broadcasts the user sample for the same reason. The samples
+slot -> user join broadcasts the user sample only up to the broadcast row
+bound, and shuffles beyond it. The samples
 are checkpointed to the session's checkpoint folder.
 """
 
@@ -34,19 +36,41 @@ from watchfold.functions.constants import (
     BRIDGE_START_DATE,
     BRIDGE_USERS,
 )
+from watchfold.operators.joins import DEFAULT_BROADCAST_ROWS
 from watchfold.session import ensure_checkpoint_dir
 
 BRIDGE_SCHEMA = ("user_id string, contract_id string, start_date date, "
                  "end_date date, is_primary boolean")
 
 
-def _sample(keys: DataFrame, key: str, seed: int, n: int) -> DataFrame:
-    """The ``n`` keys with the smallest seeded hash, numbered 0..n-1 in that order."""
+def _sample(keys: DataFrame, key: str, seed: int, n: int,
+            oversample: float = 2.0) -> tuple[DataFrame, int]:
+    """The ``n`` keys with the smallest seeded hash, numbered 0..n-1 in that
+    order; checkpointed, returned with its row count.
+
+    A plain ``orderBy(h).limit(n)`` merges every partition's top ``n`` in one
+    task, which grows with the partition count. The hash is uniform over the
+    64-bit range, so a filter ``h < t`` with ``t`` chosen to pass about
+    ``oversample * n`` rows keeps the merge near ``2n`` rows. Every row with a smaller hash than
+    the n-th candidate also passes the filter, so the result is exact; if
+    fewer than ``n`` rows pass, the fraction is doubled and the step repeated.
+    """
     hashed = (keys.select(F.col(key).cast("string").alias(key)).dropna()
               .withColumn("h", F.xxhash64(F.lit(seed), F.col(key))))
-    top = hashed.orderBy("h", key).limit(n)
+    total = hashed.count()
+    fraction = oversample * n / max(total, 1)
     order = Window.orderBy("h", key)
-    return top.withColumn("pos", F.row_number().over(order) - 1)
+    while True:
+        candidates = hashed
+        if fraction < 1.0:
+            threshold = int(-(2 ** 63) + fraction * 2 ** 64)
+            candidates = hashed.filter(F.col("h") < F.lit(threshold))
+        top = (candidates.orderBy("h", key).limit(n)
+               .withColumn("pos", F.row_number().over(order) - 1).checkpoint())
+        rows = top.count()
+        if rows >= min(n, total) or fraction >= 1.0:
+            return top, rows
+        fraction *= 2.0
 
 
 def bridge_synth(users: DataFrame, contracts: DataFrame, seed: int = 42,
@@ -60,13 +84,13 @@ def bridge_synth(users: DataFrame, contracts: DataFrame, seed: int = 42,
     ensure_checkpoint_dir(spark)
     # Both samples are checkpointed: their inputs (the facts) are computed once,
     # and a lost executor re-reads the sample instead of re-running the facts.
-    user_sample = _sample(users, "user_id", seed, n_users).select("user_id", "pos").checkpoint()
-    n = user_sample.count()
+    user_sample, n = _sample(users, "user_id", seed, n_users)
+    user_sample = user_sample.select("user_id", "pos")
     if n == 0:
         return spark.createDataFrame([], BRIDGE_SCHEMA)
     capacity = max_links * n
 
-    contract_sample = _sample(contracts, "contract", seed + 1, n_contracts).checkpoint()
+    contract_sample, _ = _sample(contracts, "contract", seed + 1, n_contracts)
     demand = F.least(F.pmod(F.xxhash64(F.lit(seed + 2), F.col("contract")), F.lit(max_links)) + 1,
                      F.lit(n))
     running = Window.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -79,7 +103,7 @@ def bridge_synth(users: DataFrame, contracts: DataFrame, seed: int = 42,
                                           F.least(F.col("slot_end"), F.lit(capacity)) - 1))
                       .alias("slot")))
     linked = (slots.withColumn("pos", F.col("slot") % n)
-              .join(F.broadcast(user_sample), "pos")
+              .join(F.broadcast(user_sample) if n <= DEFAULT_BROADCAST_ROWS else user_sample, "pos")
               .select("user_id", "contract_id")
               .dropDuplicates(["user_id", "contract_id"]))
     primary = Window.partitionBy("contract_id").orderBy(

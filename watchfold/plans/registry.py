@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from watchfold.operators import analytics, behavior, bridge, interaction, labelling
 from watchfold.functions.columns import rule_genre
 from watchfold.plans.warehouse import read_fact_from_path, save_fact_to_path
-from watchfold.session import scratch_path
+from watchfold.session import ensure_checkpoint_dir, scratch_path
 from watchfold.sources.fixtures import (
     DriverTables,
     genre_mapping_fixture,
@@ -91,8 +91,11 @@ def parse_label_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bridge_synth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    users = analytics.dim_user(fact_behavior(spark, sf_dir))
-    contracts = analytics.dim_contract(fact_interaction(spark, sf_dir))
+    # The dimensions are materialised first (as the CTAS dimension tables are),
+    # so the sampler's passes over them do not recompute the facts.
+    ensure_checkpoint_dir(spark)
+    users = analytics.dim_user(fact_behavior(spark, sf_dir)).checkpoint()
+    contracts = analytics.dim_contract(fact_interaction(spark, sf_dir)).checkpoint()
     return bridge.bridge_synth(users, contracts)
 
 
