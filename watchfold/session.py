@@ -55,13 +55,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that one is
     always used. Only a local session without it (tests, the bench) gets a
-    fresh temporary folder.
+    fresh temporary folder; a cluster session without it is an error.
     """
     current = checkpoint_dir(spark)
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return spark.sparkContext.getCheckpointDir() or current
+    if not spark.sparkContext.master.startswith("local"):
+        # A folder on one machine is lost with it; a cluster must name a shared one.
+        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for the cluster")
     local = tempfile.mkdtemp(prefix="watchfold-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir() or local
