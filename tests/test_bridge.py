@@ -68,3 +68,19 @@ def test_sample_equals_brute_force_top_n(spark, n, oversample):
     assert rows == min(n, 1000)
     assert [(r.k, r.pos) for r in got.orderBy("pos").collect()] == \
         [(r.k, i) for i, r in enumerate(brute)]
+
+
+def test_global_positions_and_running_sum_match_brute_force(spark):
+    from watchfold.operators.bridge import global_positions, running_sum
+    rows = spark.range(500).select(
+        F.xxhash64(F.lit(7), F.col("id")).alias("h"), (F.col("id") % 5 + 1).alias("d"))
+    numbered = global_positions(rows, ["h"])
+    assert numbered.rdd.getNumPartitions() >= 1
+    summed = running_sum(numbered, "d", "acc", block=7).orderBy("pos").collect()
+    brute = sorted(rows.collect(), key=lambda r: r.h)
+    assert [r.pos for r in summed] == list(range(500))
+    assert [r.h for r in summed] == [r.h for r in brute]
+    acc = 0
+    for got, want in zip(summed, brute):
+        acc += want.d
+        assert got.acc == acc

@@ -8,7 +8,7 @@ Construction, all seeded hashes (so a recomputed partition gives the same rows):
 
 1. sample: the ``n_users`` users and ``n_contracts`` contracts with the smallest
    ``xxhash64(seed, key)`` — a hash-threshold filter passes about ``2n`` rows,
-   then a per-task top-n and one merge of those;
+   which are numbered in hash order across tasks and cut at ``n``;
 2. demand: contract c wants ``d_c = pmod(hash, 5) + 1`` users (at most N, the
    number of sampled users); a running sum of the demands in sample order hands
    contract c the slot range ``[S_c - d_c, S_c)``;
@@ -17,11 +17,11 @@ Construction, all seeded hashes (so a recomputed partition gives the same rows):
    at most N consecutive slots, never twice in one contract;
 4. primary: the user with the smallest seeded hash within each contract.
 
-The numbering windows run over the samples only, whose sizes are capped by
-``n_users`` and ``n_contracts`` (one task holds at most that many rows); the
-slot -> user join broadcasts the user sample only up to the broadcast row
-bound, and shuffles beyond it. The samples
-are checkpointed to the session's checkpoint folder.
+Numbering and the running sum are distributed (range partitioning with
+per-partition offsets, and per-block sums with block offsets); only one row
+per partition or block is broadcast. The slot -> user join broadcasts the user
+sample only up to the broadcast row bound and shuffles beyond it. The
+candidates are checkpointed to the session's checkpoint folder.
 """
 
 from __future__ import annotations
@@ -43,30 +43,74 @@ BRIDGE_SCHEMA = ("user_id string, contract_id string, start_date date, "
                  "end_date date, is_primary boolean")
 
 
+# Rows per block of the distributed running sum; each block is one window partition.
+RUNNING_SUM_BLOCK = 100_000
+
+
+def global_positions(df: DataFrame, order: list[str]) -> DataFrame:
+    """Add ``pos``, the rows numbered 0..N-1 in ``order``, without a one-partition window.
+
+    Range partitioning spreads the sorted rows over tasks; each task numbers its
+    own rows (``monotonically_increasing_id`` is partition << 33 plus the row
+    in the partition), and a partition's offset is the number of rows in all
+    earlier partitions, from one count per partition (broadcast: one row per
+    partition). The ids depend on the partitioning, so the numbered rows are
+    checkpointed before anything reads them twice.
+    """
+    ranged = (df.repartitionByRange(*order).sortWithinPartitions(*order)
+              .withColumn("_part", F.spark_partition_id())
+              .withColumn("_id", F.monotonically_increasing_id())
+              .checkpoint())
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+               .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")))
+    in_part = F.col("_id") - F.shiftleft(F.col("_part").cast("bigint"), 33)
+    return (ranged.join(F.broadcast(offsets), "_part")
+            .withColumn("pos", (F.col("_offset") + in_part).cast("bigint"))
+            .drop("_part", "_id", "_offset"))
+
+
+def running_sum(df: DataFrame, value: str, out: str, pos: str = "pos",
+                block: int = RUNNING_SUM_BLOCK) -> DataFrame:
+    """Add ``out``, the running sum of ``value`` in ``pos`` order (``pos`` = 0..N-1).
+
+    Rows are cut into blocks of ``block`` positions: a window per block sums
+    within it, and the block's offset is the sum of all earlier blocks (one
+    row per block, broadcast).
+    """
+    blocked = df.withColumn("_block", F.floor(F.col(pos) / block))
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (blocked.groupBy("_block").agg(F.sum(value).alias("_total"))
+               .select("_block", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset")))
+    within = Window.partitionBy("_block").orderBy(pos).rowsBetween(Window.unboundedPreceding,
+                                                                   Window.currentRow)
+    return (blocked.join(F.broadcast(offsets), "_block")
+            .withColumn(out, F.col("_offset") + F.sum(value).over(within))
+            .drop("_block", "_offset"))
+
+
 def _sample(keys: DataFrame, key: str, seed: int, n: int,
             oversample: float = 2.0) -> tuple[DataFrame, int]:
     """The ``n`` keys with the smallest seeded hash, numbered 0..n-1 in that
-    order; checkpointed, returned with its row count.
-
-    A plain ``orderBy(h).limit(n)`` merges every partition's top ``n`` in one
-    task, which grows with the partition count. The hash is uniform over the
-    64-bit range, so a filter ``h < t`` with ``t`` chosen to pass about
-    ``oversample * n`` rows keeps the merge near ``2n`` rows. Every row with a smaller hash than
-    the n-th candidate also passes the filter, so the result is exact; if
-    fewer than ``n`` rows pass, the fraction is doubled and the step repeated.
+    order (``pos``), with the row count.
+
+    The hash is uniform over the 64-bit range, so a filter ``h < t`` with ``t``
+    chosen to pass about ``oversample * n`` rows leaves few candidates; they
+    are numbered by :func:`global_positions` and the first ``n`` kept. Every
+    row with a smaller hash than the n-th candidate also passes the filter, so
+    the result is exact; if fewer than ``n`` rows pass, the fraction is
+    doubled and the step repeated. No step gathers the candidates in one task.
     """
     hashed = (keys.select(F.col(key).cast("string").alias(key)).dropna()
               .withColumn("h", F.xxhash64(F.lit(seed), F.col(key))))
     total = hashed.count()
     fraction = oversample * n / max(total, 1)
-    order = Window.orderBy("h", key)
     while True:
         candidates = hashed
         if fraction < 1.0:
             threshold = int(-(2 ** 63) + fraction * 2 ** 64)
             candidates = hashed.filter(F.col("h") < F.lit(threshold))
-        top = (candidates.orderBy("h", key).limit(n)
-               .withColumn("pos", F.row_number().over(order) - 1).checkpoint())
+        top = global_positions(candidates, ["h", key]).filter(F.col("pos") < n)
         rows = top.count()
         if rows >= min(n, total) or fraction >= 1.0:
             return top, rows
@@ -82,8 +126,8 @@ def bridge_synth(users: DataFrame, contracts: DataFrame, seed: int = 42,
     """
     spark = users.sparkSession
     ensure_checkpoint_dir(spark)
-    # Both samples are checkpointed: their inputs (the facts) are computed once,
-    # and a lost executor re-reads the sample instead of re-running the facts.
+    # Both samples are numbered from checkpointed candidates: a lost executor
+    # re-reads them instead of re-running the inputs.
     user_sample, n = _sample(users, "user_id", seed, n_users)
     user_sample = user_sample.select("user_id", "pos")
     if n == 0:
@@ -93,9 +137,7 @@ def bridge_synth(users: DataFrame, contracts: DataFrame, seed: int = 42,
     contract_sample, _ = _sample(contracts, "contract", seed + 1, n_contracts)
     demand = F.least(F.pmod(F.xxhash64(F.lit(seed + 2), F.col("contract")), F.lit(max_links)) + 1,
                      F.lit(n))
-    running = Window.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    slots = (contract_sample.withColumn("d", demand)
-             .withColumn("slot_end", F.sum("d").over(running))
+    slots = (running_sum(contract_sample.withColumn("d", demand), "d", "slot_end")
              .withColumn("slot_start", F.col("slot_end") - F.col("d"))
              .filter(F.col("slot_start") < capacity)
              .select(F.col("contract").alias("contract_id"),
