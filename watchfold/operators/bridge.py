@@ -8,7 +8,8 @@ Construction, all seeded hashes (so a recomputed partition gives the same rows):
 
 1. sample: the ``n_users`` users and ``n_contracts`` contracts with the smallest
    ``xxhash64(seed, key)`` — a hash-threshold filter passes about ``2n`` rows,
-   which are numbered in hash order across tasks and cut at ``n``;
+   which are numbered in hash order (in one task up to a row bound, across
+   tasks beyond it) and cut at ``n``;
 2. demand: contract c wants ``d_c = pmod(hash, 5) + 1`` users (at most N, the
    number of sampled users); a running sum of the demands in sample order hands
    contract c the slot range ``[S_c - d_c, S_c)``;
@@ -17,9 +18,9 @@ Construction, all seeded hashes (so a recomputed partition gives the same rows):
    at most N consecutive slots, never twice in one contract;
 4. primary: the user with the smallest seeded hash within each contract.
 
-Numbering and the running sum are distributed (range partitioning with
-per-partition offsets, and per-block sums with block offsets); only one row
-per partition or block is broadcast. The slot -> user join broadcasts the user
+Beyond the row bound, numbering and the running sum are distributed (range
+partitioning with per-partition offsets, and per-block sums with block
+offsets); only one row per partition or block is broadcast. The slot -> user join broadcasts the user
 sample only up to the broadcast row bound and shuffles beyond it. The
 candidates are checkpointed to the session's checkpoint folder.
 """
@@ -45,6 +46,10 @@ BRIDGE_SCHEMA = ("user_id string, contract_id string, start_date date, "
 
 # Rows per block of the distributed running sum; each block is one window partition.
 RUNNING_SUM_BLOCK = 100_000
+# Up to this many sampled rows, one task merges the per-task top-n of the
+# (threshold-filtered, about 2n) candidates and numbers them; above it the
+# numbering is distributed (global_positions).
+SINGLE_TASK_SAMPLE_ROWS = 1_000_000
 
 
 def global_positions(df: DataFrame, order: list[str]) -> DataFrame:
@@ -89,17 +94,20 @@ def running_sum(df: DataFrame, value: str, out: str, pos: str = "pos",
             .drop("_block", "_offset"))
 
 
-def _sample(keys: DataFrame, key: str, seed: int, n: int,
-            oversample: float = 2.0) -> tuple[DataFrame, int]:
+def _sample(keys: DataFrame, key: str, seed: int, n: int, oversample: float = 2.0,
+            single_task_rows: int = SINGLE_TASK_SAMPLE_ROWS) -> tuple[DataFrame, int]:
     """The ``n`` keys with the smallest seeded hash, numbered 0..n-1 in that
     order (``pos``), with the row count.
 
     The hash is uniform over the 64-bit range, so a filter ``h < t`` with ``t``
-    chosen to pass about ``oversample * n`` rows leaves few candidates; they
-    are numbered by :func:`global_positions` and the first ``n`` kept. Every
+    chosen to pass about ``oversample * n`` rows leaves few candidates. For
+    ``n`` up to ``single_task_rows`` one task merges their per-task top-n and
+    numbers them; beyond, :func:`global_positions` numbers them across tasks
+    and the first ``n`` are kept. Every
     row with a smaller hash than the n-th candidate also passes the filter, so
     the result is exact; if fewer than ``n`` rows pass, the fraction is
-    doubled and the step repeated. No step gathers the candidates in one task.
+    doubled and the step repeated. The result is checkpointed (or numbered
+    from checkpointed candidates), so a lost executor re-reads it.
     """
     hashed = (keys.select(F.col(key).cast("string").alias(key)).dropna()
               .withColumn("h", F.xxhash64(F.lit(seed), F.col(key))))
@@ -110,7 +118,12 @@ def _sample(keys: DataFrame, key: str, seed: int, n: int,
         if fraction < 1.0:
             threshold = int(-(2 ** 63) + fraction * 2 ** 64)
             candidates = hashed.filter(F.col("h") < F.lit(threshold))
-        top = global_positions(candidates, ["h", key]).filter(F.col("pos") < n)
+        if n <= single_task_rows:
+            order = Window.orderBy("h", key)
+            top = (candidates.orderBy("h", key).limit(n)
+                   .withColumn("pos", F.row_number().over(order) - 1).checkpoint())
+        else:
+            top = global_positions(candidates, ["h", key]).filter(F.col("pos") < n)
         rows = top.count()
         if rows >= min(n, total) or fraction >= 1.0:
             return top, rows
@@ -119,7 +132,8 @@ def _sample(keys: DataFrame, key: str, seed: int, n: int,
 
 def bridge_synth(users: DataFrame, contracts: DataFrame, seed: int = 42,
                  n_users: int = BRIDGE_USERS, n_contracts: int = BRIDGE_CONTRACTS,
-                 max_links: int = BRIDGE_MAX_LINKS) -> DataFrame:
+                 max_links: int = BRIDGE_MAX_LINKS,
+                 single_task_rows: int = SINGLE_TASK_SAMPLE_ROWS) -> DataFrame:
     """Bridge rows ``user_id, contract_id, start_date, end_date, is_primary``.
 
     ``users`` needs a ``user_id`` column, ``contracts`` a ``contract`` column.
@@ -128,13 +142,14 @@ def bridge_synth(users: DataFrame, contracts: DataFrame, seed: int = 42,
     ensure_checkpoint_dir(spark)
     # Both samples are numbered from checkpointed candidates: a lost executor
     # re-reads them instead of re-running the inputs.
-    user_sample, n = _sample(users, "user_id", seed, n_users)
+    user_sample, n = _sample(users, "user_id", seed, n_users, single_task_rows=single_task_rows)
     user_sample = user_sample.select("user_id", "pos")
     if n == 0:
         return spark.createDataFrame([], BRIDGE_SCHEMA)
     capacity = max_links * n
 
-    contract_sample, _ = _sample(contracts, "contract", seed + 1, n_contracts)
+    contract_sample, _ = _sample(contracts, "contract", seed + 1, n_contracts,
+                                 single_task_rows=single_task_rows)
     demand = F.least(F.pmod(F.xxhash64(F.lit(seed + 2), F.col("contract")), F.lit(max_links)) + 1,
                      F.lit(n))
     slots = (running_sum(contract_sample.withColumn("d", demand), "d", "slot_end")
