@@ -162,6 +162,9 @@ def bridge_synth(users: DataFrame, contracts: DataFrame, seed: int = 42,
     linked = (slots.withColumn("pos", F.col("slot") % n)
               .join(F.broadcast(user_sample) if n <= DEFAULT_BROADCAST_ROWS else user_sample, "pos")
               .select("user_id", "contract_id")
+              # One exchange on the contract serves both the dedupe and the
+              # primary-user window; a contract has at most five rows.
+              .repartition("contract_id")
               .dropDuplicates(["user_id", "contract_id"]))
     primary = Window.partitionBy("contract_id").orderBy(
         F.xxhash64(F.lit(seed + 3), F.col("user_id")), F.col("user_id"))
