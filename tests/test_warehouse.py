@@ -63,3 +63,33 @@ def test_catalog_warehouse_end_to_end(spark):
     bridge = w.fill_bridge(seed=7)
     assert bridge.count() > 0
     assert bridge.filter("is_primary").count() == bridge.select("contract_id").distinct().count()
+
+
+class _StubContext:
+    def __init__(self, master, ckpt=None):
+        self.master, self._ckpt = master, ckpt
+
+    def getCheckpointDir(self):
+        return self._ckpt
+
+    def setCheckpointDir(self, path):
+        self._ckpt = path
+
+
+class _StubConf:
+    def get(self, key, default=None):
+        return default
+
+
+class _StubSession:
+    def __init__(self, master, ckpt=None):
+        self.sparkContext, self.conf = _StubContext(master, ckpt), _StubConf()
+
+
+def test_checkpoint_folder_rules():
+    import pytest
+    from watchfold.session import ensure_checkpoint_dir
+    assert ensure_checkpoint_dir(_StubSession("yarn", "hdfs://shared/ckpt")) == "hdfs://shared/ckpt"
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(_StubSession("yarn"))               # a cluster must name a shared folder
+    assert ensure_checkpoint_dir(_StubSession("local[2]"))          # local sessions get a scratch folder
