@@ -5,4 +5,12 @@ relational operators; only :mod:`watchfold.sources` and
 :mod:`watchfold.plans.warehouse` touch storage.
 """
 
-__all__ = ["functions", "operators", "plans", "sources", "streaming"]
+__all__ = ["functions", "operators", "plans", "sources"]
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to Python workers carry the package's code with them, so a
+# cluster needs no copy of it on its machines and a job may start in any folder.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
