@@ -7,7 +7,7 @@ of its partition. Only one document at a time has to fit.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -89,13 +89,15 @@ class Rolling:
         self.inverses = np.zeros(0, np.uint64)
 
     def load(self, data: np.ndarray, table: np.ndarray | None = None) -> None:
-        n = len(data)
+        self.load_values((self.table if table is None else table)[data])
+
+    def load_values(self, values: np.ndarray) -> None:
+        n = len(values)
         if len(self.powers) < n + 1:
             size = max(n + 1, GROUP_BYTES + 1)
             self.powers = _geometric(self.base, size)
             self.inverses = _geometric(self.inverse, size)
-        values = (self.table if table is None else table)[data]
-        values *= self.powers[:n]
+        values = values * self.powers[:n]
         self.prefix = np.zeros(n + 1, np.uint64)
         np.cumsum(values, out=self.prefix[1:])
 
@@ -179,7 +181,3 @@ def run_starts(*columns: np.ndarray) -> np.ndarray:
         for c in columns:
             out[1:] |= c[1:] != c[:-1]
     return out
-
-
-def arrow_map(df: DataFrame, function: Callable, schema: str) -> DataFrame:
-    return df.mapInArrow(function, schema)
