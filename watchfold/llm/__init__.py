@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["language_id", "bpe", "ngram_join", "substring_dedup", "suffix_dedup"]
+MODULES = ["language_id", "bpe", "ngram_join", "substring_dedup", "suffix_dedup", "decontamination"]
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}

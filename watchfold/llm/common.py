@@ -125,12 +125,14 @@ def _geometric(base: int, n: int) -> np.ndarray:
 
 SEPARATORS = np.zeros(256, bool)
 SEPARATORS[[0x20, *range(0x09, 0x0E)]] = True
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
 class WordHasher:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of a group of rows as 64-bit hashes."""
+    """Words of a group of rows as 64-bit hashes; by default ``[^\\x20\\x09-\\x0D]+``."""
 
-    def __init__(self, lower: bool = False, seed: int = 7):
+    def __init__(self, lower: bool = False, seed: int = 7, separators: np.ndarray = SEPARATORS):
+        self.separators = separators
         self.rolling = Rolling(seed)
         self.table = self.rolling.table.copy()
         if lower:                      # only A-Z: a UTF-8 byte above 127 is never a letter here
@@ -142,7 +144,7 @@ class WordHasher:
         if not n:
             none = np.zeros(0, np.int64)
             return np.zeros(0, np.uint64), none, none, none
-        inside = ~SEPARATORS[data]
+        inside = ~self.separators[data]
         edge = np.zeros(n + 1, bool)
         edge[offsets] = True           # a row's first byte, or the end
         left = np.empty(n, bool)
