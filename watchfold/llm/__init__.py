@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["language_id", "bpe", "ngram_join", "substring_dedup", "suffix_dedup", "decontamination"]
+MODULES = ["language_id", "bpe", "ngram_join", "substring_dedup", "suffix_dedup", "decontamination", "token_counts",
+           "fingerprints"]
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}

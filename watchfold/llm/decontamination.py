@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from watchfold.llm.cgk import walk_steps
 from watchfold.llm.common import PUNCTUATION, WordHasher, doc_groups, mix64, read_table, text_buffer
 
 MAX_DISTANCE = 0.2               # edits per character of the item
@@ -53,18 +54,6 @@ def repetitions(target: float = TARGET_RECALL, agreeing: float = AGREEING, sampl
     return math.ceil(math.log(1 - target) / math.log(1 - agreeing ** sampled))
 
 
-def walk_steps(repetition: int) -> list[bytes]:
-    """For each byte value and step: how many steps until the walk has moved on."""
-    grid = np.arange(PERIOD * 256, dtype=np.uint64) + np.uint64((repetition + 1) << 32)
-    moves = (mix64(grid) >> np.uint64(63)).astype(bool).reshape(256, PERIOD)
-    twice = np.concatenate([moves, moves], axis=1)          # the bits repeat
-    twice[:, -1] = True
-    at = np.where(twice, np.arange(2 * PERIOD), 4 * PERIOD)
-    ahead = np.minimum.accumulate(at[:, ::-1], axis=1)[:, ::-1]
-    steps = (ahead - np.arange(2 * PERIOD) + 1)[:, :PERIOD].astype(np.uint8)
-    return [row.tobytes() for row in steps]
-
-
 def embed(text: bytes, steps: list[bytes], places: list[int]) -> tuple[int, ...]:
     """The characters on which the walk stands at the given places, in ascending order."""
     out, step, mask, todo = [], 0, PERIOD - 1, iter(places)
@@ -156,7 +145,7 @@ class Searcher:
     def __init__(self, items: Items):
         self.items = items
         self.hasher = WordHasher(lower=True, separators=PUNCTUATION)
-        self.steps = [walk_steps(r) for r in range(repetitions())]
+        self.steps = [walk_steps(r, PERIOD) for r in range(repetitions())]
         draws = mix64(np.arange(len(self.steps) * SAMPLED, dtype=np.uint64) + np.uint64(99))
         self.draws = (draws >> np.uint64(11)).astype(np.float64).reshape(-1, SAMPLED) / 2**53
         self.places: dict[int, list[list[int]]] = {}
