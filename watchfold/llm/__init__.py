@@ -9,7 +9,7 @@ from __future__ import annotations
 import importlib
 
 MODULES = ["language_id", "bpe", "ngram_join", "substring_dedup", "suffix_dedup", "decontamination", "token_counts",
-           "fingerprints"]
+           "fingerprints", "quality", "licenses"]
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}

@@ -264,6 +264,26 @@ def find(docs: DataFrame, benchmark: DataFrame, max_distance: float = MAX_DISTAN
     return out
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, max_distance: float = MAX_DISTANCE) -> DataFrame:
+    """The rows of ``docs`` in whose texts no item is found; a map, without a shuffle."""
+    for block in item_blocks(benchmark):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches, shared=shared):
+            searcher = None
+            for batch in batches:
+                searcher = searcher or Searcher(Items(shared.value, max_distance))
+                data, offsets = text_buffer(batch.column(batch.schema.names.index("text")))
+                keep = np.ones(batch.num_rows, bool)
+                for lo, hi in doc_groups(offsets):
+                    own = offsets[lo:hi + 1] - offsets[lo]
+                    keep[[lo + r[0] for r in searcher.search(data[offsets[lo]:offsets[hi]], own)]] = False
+                yield batch.filter(pa.array(keep))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 

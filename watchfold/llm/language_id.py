@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from watchfold.llm.common import doc_groups, read_table, text_buffer
 
@@ -27,7 +27,7 @@ ORDERS = (1, 2, 3)
 DOCS_PER_LANGUAGE = 3_000        # bound of the labelled sample the model is fitted on
 SMOOTHING = 0.5
 HELD_OUT_FOLDS = 5
-RESULT = "doc_id long, lang_pred string, score double"
+MIN_SCORE = 0.5                  # of a document that ``accepted`` keeps
 
 
 def letter_table() -> np.ndarray:
@@ -133,9 +133,9 @@ def fit(docs: DataFrame, buckets: int = BUCKETS, orders: tuple[int, ...] = ORDER
     return languages, log_p, np.log([sizes[x] / total for x in languages])
 
 
-def predict(docs: DataFrame, model, orders: tuple[int, ...] = ORDERS) -> DataFrame:
-    """doc_id, lang_pred, score of every row. The score is the posterior with the
-    evidence of n grams weighed as that of sqrt(n) independent ones."""
+def annotate(docs: DataFrame, model, orders: tuple[int, ...] = ORDERS) -> DataFrame:
+    """The rows of ``docs`` (text and any other columns) with lang_pred and score. The score is
+    the posterior with the evidence of n grams weighed as that of sqrt(n) independent ones."""
     languages, log_p, prior = model
     shared = docs.sparkSession.sparkContext.broadcast((languages, log_p, prior))
 
@@ -143,8 +143,9 @@ def predict(docs: DataFrame, model, orders: tuple[int, ...] = ORDERS) -> DataFra
         names, matrix, priors = shared.value
         hasher = GramHasher(matrix.shape[0], orders)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            _, offsets = text_buffer(batch.column(1))
+            column = batch.column("text")
+            texts = [t or "" for t in column.to_pylist()]
+            _, offsets = text_buffer(column)
             best, score = [], []
             for lo, hi in doc_groups(offsets):
                 codes, bounds = hasher.codes(texts[lo:hi])
@@ -161,11 +162,18 @@ def predict(docs: DataFrame, model, orders: tuple[int, ...] = ORDERS) -> DataFra
                 p /= p.sum(1, keepdims=True)
                 best += [names[k] if ok else UNKNOWN for k, ok in zip(p.argmax(1), lettered)]
                 score += list(np.where(lettered, p.max(1), 0.0))
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0).cast(pa.int64()),
-                                              "lang_pred": pa.array(best, pa.string()),
-                                              "score": pa.array(score, pa.float64())})
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(best, pa.string()), pa.array(score, pa.float64())],
+                names=[*batch.schema.names, "lang_pred", "score"])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()),
+                           T.StructField("score", T.DoubleType())])
+    return docs.mapInArrow(score, schema)
 
-    return docs.select("doc_id", "text").mapInArrow(score, RESULT)
+
+def predict(docs: DataFrame, model, orders: tuple[int, ...] = ORDERS) -> DataFrame:
+    """doc_id, lang_pred, score of every row."""
+    return annotate(docs.select("doc_id", "text"), model, orders).drop("text")
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -174,6 +182,14 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs, model)
 
 
+def accepted(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+    """The rows whose language is recognised: not ``und`` and at least ``min_score``."""
+    model = fit(docs.filter(~in_fold(F.col("doc_id"))))
+    named = docs.toDF(*[f"c{i}" if c != "text" else c for i, c in enumerate(docs.columns)])
+    kept = annotate(named, model).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
+    return kept.drop("lang_pred", "score").toDF(*docs.columns)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return identify(docs).select("doc_id", in_fold(F.col("doc_id")).alias("held_out"),

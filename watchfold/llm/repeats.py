@@ -31,7 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from watchfold.llm.common import (
     Rolling,
@@ -214,7 +214,7 @@ def _flagged_runs(doc, pos, flag):
 def repeated_windows(docs: DataFrame, spec: Windows) -> tuple[DataFrame, DataFrame, int]:
     """(texts by bucket, blocks of repeated runs by bucket, buckets) for :func:`covered`.
 
-    ``docs`` has doc_id (no nulls, see :func:`keyed`) and text.
+    ``docs`` has doc_id (no nulls, see :func:`keyed`), text and whatever is to be carried along.
     """
     spark = docs.sparkSession
     size, rows = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
@@ -255,9 +255,9 @@ def repeated_windows(docs: DataFrame, spec: Windows) -> tuple[DataFrame, DataFra
         out = {k: np.concatenate([live[k][kept], r[k][over]]) for k in ("doc", "lo", "n", "mode", "anchor")}
         yield from _pack(out, doc_bucket(out["doc"], buckets), buckets)
 
-    blocks = (docs.mapInArrow(send, sent_schema).repartition(parts, "bucket").mapInArrow(meet, SPANS))
+    blocks = (docs.select("doc_id", "text").mapInArrow(send, sent_schema).repartition(parts, "bucket").mapInArrow(meet, SPANS))
     blocks = materialise(blocks)
-    texts = docs.select(doc_bucket_column(F.col("doc_id"), buckets).alias("bucket"), "doc_id", "text")
+    texts = docs.select(doc_bucket_column(F.col("doc_id"), buckets).alias("bucket"), *docs.columns)
 
     def open_windows(texts, blocks):
         """Hashes of the windows of open runs of one bucket of documents."""
@@ -353,10 +353,13 @@ def repeated_windows(docs: DataFrame, spec: Windows) -> tuple[DataFrame, DataFra
 
 
 def covered(texts: DataFrame, blocks: DataFrame, spec: Windows, finish: Callable, schema: str) -> DataFrame:
-    """Apply ``finish(doc_ids, texts, covered)`` to the documents of each bucket.
+    """Apply ``finish(doc_ids, texts, covered)`` to the documents of each bucket and add the
+    columns that ``texts`` carries besides doc_id and text.
 
     ``covered(k, n)`` is a boolean array over the ``n`` elements of the k-th of them.
     """
+    carried = [f for f in texts.schema.fields if f.name not in ("bucket", "doc_id", "text")]
+
     def run(texts, blocks):
         r = _unpack(blocks.to_batches(), ("doc", "lo", "n", "mode"))
         done = r["mode"] == DONE
@@ -371,14 +374,19 @@ def covered(texts: DataFrame, blocks: DataFrame, spec: Windows, finish: Callable
             np.add.at(change, np.minimum(lo[a:b] + n[a:b] - 1 + spec.width, size), -1)
             return np.cumsum(change[:-1]) > 0
 
-        return finish(ids, texts.column("text"), cover)
+        out = finish(ids, texts.column("text"), cover)
+        for name in names:
+            out = out.append_column(name, texts.column(name))
+        return out
 
+    names = [f.name for f in carried]
+    schema = T.StructType([*T.StructType.fromDDL(schema).fields, *carried])
     return texts.groupBy("bucket").cogroup(blocks.groupBy("bucket")).applyInArrow(run, schema)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id and text, a null id as the smallest number."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text")
+def keyed(docs: DataFrame, *carried: str) -> DataFrame:
+    """doc_id, text and carried columns, a null id as the smallest number."""
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text", *carried)
 
 
 def unkeyed(result: DataFrame) -> DataFrame:

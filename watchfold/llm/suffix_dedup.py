@@ -6,7 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from watchfold.llm.common import byte_table, read_table
 from watchfold.llm.repeats import Windows, covered, keyed, repeated_windows, unkeyed
@@ -64,6 +64,33 @@ def dedup(docs: DataFrame, width: int = WIDTH, with_text: bool = True) -> DataFr
     return unkeyed(covered(texts, blocks, spec, finish, RESULT))
 
 
+def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The rows of ``docs`` with repeated bytes cut out of their texts (a character that loses
+    some of its bytes goes as a whole) and n_chars, if there, counted anew. A text of which
+    nothing is left is dropped with its row."""
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    named = docs.select("doc_id", "text", *[F.col(c).alias(f"c{i}") for i, c in enumerate(rest)])
+    spec = byte_windows(width)
+
+    def finish(ids, texts, cover):
+        kept, emptied = [], []
+        for k, text in enumerate(texts):
+            data = np.frombuffer(text.as_buffer(), np.uint8) if text.is_valid else np.zeros(0, np.uint8)
+            gone = cover(k, len(data))
+            kept.append(data[~gone].tobytes().decode("utf-8", "ignore") if text.is_valid else None)
+            emptied.append(bool(gone.any()) and not kept[-1])
+        return pa.table({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(kept, pa.string()),
+                         "emptied": pa.array(emptied, pa.bool_())})
+
+    texts, blocks, _ = repeated_windows(keyed(named, *[f"c{i}" for i in range(len(rest))]), spec)
+    out = unkeyed(covered(texts, blocks, spec, finish, "doc_id long, text string, emptied boolean"))
+    out = out.filter("NOT emptied").select(
+        "doc_id", "text", *[F.col(f"c{i}").alias(c) for i, c in enumerate(rest)])
+    if "n_chars" in rest:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup(read_table(spark, sf_dir, "documents"), with_text=False)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
