@@ -1,3 +1,7 @@
+import re
+
+import pytest
+
 from tests.conftest import rows
 from watchfold.operators import analytics as an
 
@@ -47,9 +51,10 @@ def test_program_stats_equals_union_all_form(spark):
     f = fact_interaction(spark, SF001)
     f.createOrReplaceTempView("fi_union_check")
     union = "\nUNION ALL\n".join(
-        f"SELECT month_yyyymm, '{p}' AS program_name, SUM({p}) AS total_duration, "
-        f"SUM({p}) / 3600 AS total_duration_hours, COUNT(DISTINCT Contract) AS distinct_contract_count, "
-        f"AVG(Active_Days) AS avg_active_days FROM fi_union_check WHERE {p} > 0 GROUP BY month_yyyymm"
+        f"SELECT month_yyyymm, '{p}' AS program_name, SUM({p}) FILTER (WHERE {p} > 0) AS total_duration, "
+        f"SUM({p}) FILTER (WHERE {p} > 0) / 3600 AS total_duration_hours, "
+        f"COUNT(DISTINCT Contract) FILTER (WHERE {p} > 0) AS distinct_contract_count, "
+        f"AVG(Active_Days) FILTER (WHERE {p} > 0) AS avg_active_days FROM fi_union_check GROUP BY month_yyyymm"
         for p in ["Entertainment", "Kids", "Movies", "Sports", "TV_Channel"])
     assert rows(an.program_duration_stats(f)) == rows(spark.sql(union))
 
@@ -76,10 +81,20 @@ def test_top_contracts(spark):
     assert sorted(r.Contract for r in unknown) == [f"C{i:02d}" for i in range(10)]
 
 
-def test_top_contracts_plan_limits_before_shuffle(spark):
+@pytest.mark.parametrize("k", [10, 5000])
+def test_top_contracts_ranks_parts_before_the_month(spark, k):
     f = fact(spark, [frow(f"C{i}", tv=i) for i in range(50)])
-    plan = an.top_contracts(f, "tv")._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
+    plan = an.top_contracts(f, "tv", k)._jdf.queryExecution().executedPlan().toString()
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert any("part#" in e for e in exchanges)              # the month's parts first
+    assert an.top_contracts(f, "tv", k).count() == min(k, 50)
+    one = an.top_contracts(f, "tv", k, month="202401")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in one
+
+
+def test_top_contracts_overall(spark):
+    f = fact(spark, [frow("C1", tv=5), frow("C1", tv=9, month="202402"), frow("C2", tv=7)])
+    assert [tuple(r) for r in an.top_contracts_overall(f, "tv", 2).collect()] == [("C1", "TV", 9), ("C2", "TV", 7)]
 
 
 def test_avg_total_devices(spark):
@@ -134,19 +149,16 @@ def test_checks_plan_has_no_join(spark):
     assert "Join" not in plan and "Cartesian" not in plan
 
 
-def test_unique_keys_count_equals_distinct_on_built_facts(spark):
-    from tests.conftest import SF001
-    from watchfold.plans.registry import fact_behavior, fact_interaction
-    fi, fb = fact_interaction(spark, SF001), fact_behavior(spark, SF001)
-    for op, f in [(an.active_days_distribution, fi), (an.program_duration_stats, fi),
-                  (an.taste_distribution, fi), (an.genre_change_percent, fb),
-                  (an.changed_by_previous_genre, fb)]:
-        assert rows(op(f)) == rows(op(f, unique_keys=False)), op.__name__
-
-
 def test_distinct_counts_for_tables_with_repeated_keys(spark):
     f = fact(spark, [frow("C1"), frow("C1"), frow("C2")])
-    assert rows(an.taste_distribution(f, unique_keys=False), "distinct_contract_count") == [(2,)]
-    assert rows(an.taste_distribution(f), "distinct_contract_count") == [(3,)]
-    plan = an.taste_distribution(f)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+    assert rows(an.taste_distribution(f), "distinct_contract_count") == [(2,)]
+    assert rows(an.active_days_distribution(f), "distinct_contract_count") == [(2,)]
+    b = spark.createDataFrame([("u1", "Drama", "Changed", "202207"), ("u1", "Drama", "Changed", "202207"),
+                               ("u2", "Unchanged", "Unchanged", "202207")], BFACT)
+    assert rows(an.genre_change_percent(b)) == [("202207", 50.0)]
+    assert rows(an.changed_by_previous_genre(b), "changed_user_count") == [(1,)]
+
+
+def test_program_stats_of_an_empty_month_has_five_rows(spark):
+    out = rows(an.program_duration_stats(fact(spark, [frow("C1", tv=5)]), month="209901"))
+    assert [(r[0], r[2], r[4]) for r in out] == [("209901", None, 0)] * 5

@@ -1,6 +1,5 @@
 from tests.conftest import SF001, rows
 from watchfold.operators import behavior as bh
-from watchfold.operators.joins import broadcast_if_bounded
 from watchfold.sources.fixtures import DriverTables, genre_mapping_fixture, log_search_fixture
 
 SEARCH = "user_id string, keyword string, month_yyyymm string"
@@ -70,18 +69,14 @@ def test_distinct_programs(spark):
     assert rows(bh.distinct_programs(df)) == [("a",), ("b",)]
 
 
-def test_broadcast_only_within_bound(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    try:
-        left = spark.range(100).selectExpr("cast(id as string) AS most_searched")
-        small = mapping(spark, {str(i): "Drama" for i in range(10)})
-        plan = lambda df: left.join(df, "most_searched")._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plan(broadcast_if_bounded(small, 10))
-        assert "BroadcastHashJoin" not in plan(broadcast_if_bounded(small, 9))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+def test_repeated_mapping_keys_pair_every_genre(spark):
+    log = spark.createDataFrame([("u1", "kw", "202206"), ("u1", "kw", "202207")],
+                                "user_id string, keyword string, month_yyyymm string")
+    twice = spark.createDataFrame([("kw", "Drama"), ("kw", "News")], "most_searched string, Genre string")
+    month = rows(bh.fact_behavior(log, twice))
+    assert month == rows(bh.fact_behavior_between(log, twice, "202206", "202207"))
+    assert [(r[1], r[2]) for r in month] == [("Drama", "Changed"), ("News", "Changed"),
+                                             ("Unchanged", "Unchanged"), ("Unchanged", "Unchanged")]
 
 
 def test_fixture_fact_has_both_trend_types(spark):

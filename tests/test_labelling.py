@@ -15,22 +15,23 @@ from watchfold.operators import labelling as lb
     None,
     "",
 ])
-def test_bad_replies_fall_back_to_other(reply):
-    assert lb.parse_label_reply(["a", "b"], reply) == {"a": "Other", "b": "Other"}
+def test_bad_replies_fall_back_to_other(spark, reply):
+    replies = spark.createDataFrame([(["a", "b"], reply)], "keywords array<string>, reply string")
+    assert rows(lb.parse_label_replies(replies)) == [("a", "Other"), ("b", "Other")]
 
 
-def test_reply_with_prose_and_missing_key():
-    assert lb.parse_label_reply(["a", "b"], 'pre {"a":"Drama"} post') == {"a": "Drama", "b": "Other"}
-
-
-def test_reply_value_types():
-    got = lb.parse_label_reply(["a", "b", "c"], '{"a": null, "b": 5, "c": "News"}')
-    assert got == {"a": None, "b": "5", "c": "News"}
+@pytest.mark.parametrize("reply,genres", [
+    ('pre {"a":"Drama"} post', [("a", "Drama"), ("b", "Other"), ("c", "Other")]),
+    ('{"a": null, "b": 5, "c": "News"}', [("a", None), ("b", "5"), ("c", "News")]),
+])
+def test_reply_values(spark, reply, genres):
+    replies = spark.createDataFrame([(["a", "b", "c"], reply)], "keywords array<string>, reply string")
+    assert rows(lb.parse_label_replies(replies)) == rows(spark.createDataFrame(genres, "k string, g string"))
 
 
 def test_rule_labeller_reply_parses_back():
     kws = ["VTV3", "love story", "small ring"]
-    assert lb.parse_label_reply(kws, lb.rule_labeller(kws)) == {
+    assert lb.reply_object(lb.rule_labeller(kws)) == {
         "VTV3": "TV Channel", "love story": "Romance", "small ring": "Other"}
     assert lb.rule_labeller([]) == "{}"
 
@@ -75,3 +76,49 @@ def test_label_parallelism(spark):
     programs = spark.createDataFrame([(f"k{i}",) for i in range(40)], "most_searched string")
     out = lb.label_genres(programs, checkpoint=False, parallelism=3)
     assert out.count() == 40
+
+
+def test_broken_labeller_is_an_error_above_the_share(spark):
+    programs = spark.createDataFrame([(f"k{i}",) for i in range(40)], "most_searched string")
+
+    def broken(batch):
+        raise RuntimeError("service down")
+
+    with pytest.raises(lb.LabellingFailed, match="service down"):
+        lb.label_genres(programs, broken, checkpoint=False, parallelism=2, max_failed_share=0.1)
+
+
+def test_calls_are_spread_and_batches_full(spark):
+    programs = spark.range(20_000).selectExpr("concat('k', id) AS most_searched")
+    seen = lb.label_requests(programs.repartition(8, "most_searched")).selectExpr(
+        "size(keywords) AS n", "spark_partition_id() AS task").collect()
+    assert len({r.task for r in seen}) == 8
+    assert sum(r.n for r in seen) == 20_000 and sum(r.n < 150 for r in seen) <= 8
+    labels = lb.label_genres(programs, checkpoint=False, parallelism=8)
+    assert labels.count() == 20_000
+
+
+def test_queries_fail_when_the_labeller_is_broken(spark, monkeypatch):
+    """The registered rows can tell a labeller that works from one that does not."""
+    from tests.conftest import SF0001
+    from watchfold.plans.registry import QUERIES
+    good = rows(QUERIES["label_genres"](spark, SF0001))
+    assert len({g for _, g in good}) >= 4
+    monkeypatch.setattr(lb, "rule_labeller", lambda batch: "no answer")
+    assert rows(QUERIES["label_genres"](spark, SF0001)) != good
+    assert rows(QUERIES["parse_label_replies"](spark, SF0001)) != good
+
+
+def test_runs_from_another_folder(tmp_path):
+    """Workers get the package's code with the functions: no copy of it on their path."""
+    import subprocess
+    import sys
+    code = ("import sys; sys.path.insert(0, '/root/repo'); import __spark_entry__ as e; "
+            "from watchfold.session import build_session; s = build_session('local[2]', shuffle_partitions=2); "
+            "print('ROWS', e.queries()['label_genres'](s, '/root/testdata/sf0.001').count())")
+    import os
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code.replace("/root/repo", root)], cwd=tmp_path, env=env,
+                         capture_output=True, text=True, timeout=300)
+    assert "ROWS" in out.stdout, out.stderr[-2000:]

@@ -88,3 +88,35 @@ def test_search_log_month_filter_prunes_files(spark, tmp_path):
     assert rows(files.read_search_logs(spark, str(base), ["202206"])) == [("u1", "kw", "202206")]
     with pytest.raises(Exception):
         files.read_search_logs(spark, str(base)).collect()
+
+
+def test_durations_fractional_quoted_and_malformed_lines(spark, tmp_path):
+    with open(tmp_path / "20220401.json", "w") as fh:
+        fh.write('{"_source": {"Contract": "C1", "TotalDuration": 12.5}}\n')
+        fh.write('{"_source": {"Contract": "C2", "TotalDuration": "77"}}\n')
+        fh.write('{"_source": {"Contract": "C3", "TotalDuration": "n/a"}}\n')
+        fh.write('not json\n')
+    read = files.read_watch_logs(spark, str(tmp_path), "20220401", "20220401")
+    assert rows(read, "Contract", "TotalDuration") == [("C1", 12.5), ("C2", 77.0), ("C3", None)]
+    counted = files.malformed_lines(spark, str(tmp_path), "20220401", "20220401").collect()[0]
+    assert (counted.lines, counted.malformed) == (4, 2)
+
+
+def test_file_of_two_months_is_read_for_both(spark, tmp_path):
+    both = tmp_path / "log_search" / "202206" / "load_202207"
+    both.parent.mkdir(parents=True)
+    data = spark.createDataFrame([("u1", "kw")], "user_id string, keyword string").coalesce(1)
+    data.write.parquet(str(both))
+    got = files.read_search_logs(spark, str(tmp_path / "log_search"), ["202206", "202207"])
+    assert rows(got) == [("u1", "kw", "202206"), ("u1", "kw", "202207")]
+
+
+def test_csv_keeps_spaces_tabs_quotes_empty_and_line_breaks(spark, tmp_path):
+    keys = [" vtv3 ", "\ttab", "", 'say ""hi""', 'one "two"', "line\nbreak", "a,b", "back\\slash"]
+    mapping = spark.createDataFrame([(k, "Drama") for k in keys] + [("null genre", None)],
+                                    "most_searched string, Genre string")
+    files.write_genre_mapping(mapping, str(tmp_path / "csv"))
+    assert rows(files.read_genre_mapping(spark, str(tmp_path / "csv"))) == rows(mapping)
+    with open(tmp_path / "other.csv", "w") as fh:
+        fh.write('most_searched,Genre\n"a ""quoted"" name",News\n')
+    assert rows(files.read_genre_mapping(spark, str(tmp_path / "other.csv"))) == [('a "quoted" name', "News")]

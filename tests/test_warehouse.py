@@ -55,12 +55,15 @@ def test_catalog_warehouse_end_to_end(spark):
     assert [tuple(r) for r in top_sql] == [tuple(r) for r in top_df]
     assert len(top_sql) == 10 and top_sql[0].Contract == "C11" and top_sql[0].Program == "TV"
 
+    assert w.top10("tv").count() == 10
     w.create_bridge_table()
     assert w.table(wh.BRIDGE_TABLE).count() == 0
     assert dict(w.table(wh.BRIDGE_TABLE).dtypes) == {
         "user_id": "string", "contract_id": "string", "start_date": "date", "end_date": "date",
         "is_primary": "boolean"}
     bridge = w.fill_bridge(seed=7)
+    assert w.checks()["row_counts"].first().fact_interaction_rows == 13
+    assert all(frame.columns for frame in w.report().values())
     assert bridge.count() > 0
     assert bridge.filter("is_primary").count() == bridge.select("contract_id").distinct().count()
 
@@ -86,10 +89,24 @@ class _StubSession:
         self.sparkContext, self.conf = _StubContext(master, ckpt), _StubConf()
 
 
+def test_new_columns_are_added_on_reload(spark):
+    from pyspark.sql import functions as F
+    w = wh.Warehouse(spark, schema=f"wf_{uuid.uuid4().hex[:8]}")
+    w.setup()
+    w.save_interaction_fact(fact(spark, [frow("C1", month="202204")]))
+    w.save_interaction_fact(fact(spark, [frow("C1", month="202205")]).withColumn("Region", F.lit("north")))
+    w.save_interaction_fact(fact(spark, [frow("C2", month="202206")]))
+    assert rows(w.table(wh.INTERACTION_TABLE), "month_yyyymm", "Region") == [
+        ("202204", None), ("202205", "north"), ("202206", None)]
+    spark.sql("USE default")
+
+
 def test_checkpoint_folder_rules():
     import pytest
     from watchfold.session import ensure_checkpoint_dir
     assert ensure_checkpoint_dir(_StubSession("yarn", "hdfs://shared/ckpt")) == "hdfs://shared/ckpt"
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(_StubSession("yarn"))               # a cluster must name a shared folder
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(_StubSession("local-cluster[2,1,1024]"))
     assert ensure_checkpoint_dir(_StubSession("local[2]"))          # local sessions get a scratch folder

@@ -73,11 +73,9 @@ GENRE_RULES = [
     (["potter", "hogwarts"], "Drama"),
 ]
 
-# --- fixed values: bridge-table dates and per-side caps ---
+# --- fixed values: bridge-table dates, links per user and per contract ---
 BRIDGE_START_DATE = "2022-04-01"
 BRIDGE_END_DATE = "2026-12-12"
-BRIDGE_USERS = 10000
-BRIDGE_CONTRACTS = 2000
 BRIDGE_MAX_LINKS = 5
 
 # Every category a log row can get, sorted by name (binary string order), which is

@@ -1,5 +1,5 @@
 """DataFrame -> DataFrame operators of the pipelines."""
 
-from watchfold.operators import analytics, behavior, bridge, interaction, joins, labelling
+from watchfold.operators import analytics, behavior, bridge, interaction, labelling
 
-__all__ = ["analytics", "behavior", "bridge", "interaction", "joins", "labelling"]
+__all__ = ["analytics", "behavior", "bridge", "interaction", "labelling"]

@@ -2,21 +2,15 @@
 
 Facts accumulate one partition per month, so every result here is grouped by
 ``month_yyyymm`` (pass ``month=`` to look at one month only); without that,
-sums would mix months and a contract could sit in two bins.
-
-The facts built by this package hold one row per (month, contract) or
-(month, user) — their grouping key — and the sink only ever replaces whole
-months, so "distinct contracts (users) in a month" is a count of non-NULL
-keys. That is what ``unique_keys=True`` (the default) computes: a plain
-partial/final count, where ``COUNT(DISTINCT)`` would add an exchange on the
-key. Pass ``unique_keys=False`` for a table written by other means.
+sums would mix months and a contract could sit in two bins. Distinct contracts
+and users are counted as such, also on a table with repeated keys.
 """
 
 from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from watchfold.functions.columns import (
@@ -33,72 +27,87 @@ def _month(fact: DataFrame, month: str | None) -> DataFrame:
     return fact.filter(F.col("month_yyyymm") == month) if month else fact
 
 
-def _distinct(key: Column, unique_keys: bool) -> Column:
-    """Number of distinct non-NULL ``key`` values of a group."""
-    return F.count(key) if unique_keys else F.count_distinct(key)
-
-
 # --- views -----------------------------------------------------------------
 
-def active_days_distribution(fact: DataFrame, month: str | None = None,
-                             unique_keys: bool = True) -> DataFrame:
+def active_days_distribution(fact: DataFrame, month: str | None = None) -> DataFrame:
     """Distinct contracts per active-days bin, bins in display order."""
     binned = _month(fact, month).select("month_yyyymm", "Contract",
                                         active_days_bin("Active_Days").alias("active_days_bin"))
     return (binned.groupBy("month_yyyymm", "active_days_bin")
-            .agg(_distinct(F.col("Contract"), unique_keys).alias("distinct_contract_count"))
+            .agg(F.count_distinct("Contract").alias("distinct_contract_count"))
             .orderBy("month_yyyymm", active_days_bin_order("active_days_bin")))
 
 
-def program_duration_stats(fact: DataFrame, month: str | None = None,
-                           unique_keys: bool = True) -> DataFrame:
+def program_duration_stats(fact: DataFrame, month: str | None = None) -> DataFrame:
     """Per program: total seconds, hours, distinct watching contracts and their
     average active days. Watchers are contracts with a positive total.
 
     One scan: the five program columns are unpivoted and aggregated with
-    conditional aggregates, so each month always has five rows (a program
-    nobody watched has NULL totals and a zero count).
+    conditional aggregates. Each month has five rows (a program nobody watched has
+    NULL totals and a zero count); with ``month=`` these five are there even if the
+    fact holds no row of that month.
     """
     long = _month(fact, month).unpivot(
         ["month_yyyymm", "Contract", "Active_Days"], PROGRAM_TYPES, "program_name", "duration")
+    if month:        # one row per program that counts for nothing, so that none is missing
+        empty = fact.sparkSession.createDataFrame([(month, p) for p in PROGRAM_TYPES],
+                                                  "month_yyyymm string, program_name string")
+        long = long.unionByName(empty, allowMissingColumns=True)
     watched = F.col("duration") > 0
     total = F.sum(F.when(watched, F.col("duration")))
     return (long.groupBy("month_yyyymm", "program_name")
             .agg(total.alias("total_duration"),
                  (total / 3600).alias("total_duration_hours"),
-                 _distinct(F.when(watched, F.col("Contract")), unique_keys)
-                 .alias("distinct_contract_count"),
+                 F.count_distinct(F.when(watched, F.col("Contract"))).alias("distinct_contract_count"),
                  F.avg(F.when(watched, F.col("Active_Days"))).alias("avg_active_days")))
 
 
-def taste_distribution(fact: DataFrame, month: str | None = None,
-                       unique_keys: bool = True) -> DataFrame:
+def taste_distribution(fact: DataFrame, month: str | None = None) -> DataFrame:
     """Distinct contracts per customer taste, largest first."""
     return (_month(fact, month).groupBy("month_yyyymm", "customer_taste")
-            .agg(_distinct(F.col("Contract"), unique_keys).alias("distinct_contract_count"))
+            .agg(F.count_distinct("Contract").alias("distinct_contract_count"))
             .orderBy(F.col("month_yyyymm"), F.col("distinct_contract_count").desc(),
                      F.col("customer_taste")))
 
 
 # --- parameterised top-k ---------------------------------------------------
 
+TOP_SPREAD = 64      # parts of a month that are ranked before the month is
+
+
+def _program_column(fact: DataFrame, program: str) -> DataFrame:
+    return fact.select("month_yyyymm", "Contract", program_label(program).alias("Program"),
+                       program_duration(program).alias("Duration"))
+
+
 def top_contracts(fact: DataFrame, program: str, k: int = 10, month: str | None = None) -> DataFrame:
     """Top ``k`` contracts per month by the duration of ``program``.
 
     The program name is trimmed and lower-cased; ``tv``, ``tv channel``,
     ``tvchannel`` and ``tv_channel`` all mean TV_Channel, and an unknown name
     gives NULL durations (then the first ``k`` contracts by id). Ties go to the
-    smaller contract id. The ``row_number() <= k`` filter becomes a per-task
-    group limit before the exchange, so each task sends at most ``k`` rows per month.
+    smaller contract id. One month is an order and a limit. All months are ranked
+    twice, first within parts of a month and then the parts' winners, so the task
+    of a month reads ``k`` rows of each part at most, whatever ``k`` is.
     """
-    ranked = _month(fact, month).select(
-        "month_yyyymm", "Contract", program_label(program).alias("Program"),
-        program_duration(program).alias("Duration"))
-    w = Window.partitionBy("month_yyyymm").orderBy(F.col("Duration").desc_nulls_last(),
-                                                   F.col("Contract").asc())
-    return (ranked.withColumn("rank", F.row_number().over(w))
-            .filter(F.col("rank") <= k)
-            .select("month_yyyymm", "Contract", "Program", "Duration"))
+    rows = _program_column(_month(fact, month), program)
+    order = [F.col("Duration").desc_nulls_last(), F.col("Contract").asc()]
+    if month:
+        return rows.orderBy(*order).limit(k)
+    part = F.pmod(F.xxhash64("Contract"), F.lit(TOP_SPREAD))
+    for keys in (["month_yyyymm", "part"], ["month_yyyymm"]):
+        if "part" in keys:
+            rows = rows.withColumn("part", part)
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        rows = rows.withColumn("rank", rank).filter(F.col("rank") <= k).drop("rank")
+    return rows.drop("part")
+
+
+def top_contracts_overall(fact: DataFrame, program: str, k: int = 10) -> DataFrame:
+    """Top ``k`` rows of the whole fact, all months together (the call without a month)."""
+    return (_program_column(fact, program)
+            .orderBy(F.col("Duration").desc_nulls_last(), "Contract", "month_yyyymm").limit(k)
+            .select("Contract", "Program", "Duration"))
 
 
 # --- KPIs --------------------------------------------------------------------
@@ -111,26 +120,24 @@ def avg_total_devices(fact: DataFrame, month: str | None = None) -> DataFrame:
 
 def behavior_sample(fact: DataFrame, n: int = 100) -> DataFrame:
     """A sample of ``n`` behaviour rows, deterministic: first by month and user."""
-    return fact.orderBy("month_yyyymm", "user_id").limit(n)
+    return fact.orderBy("month_yyyymm", "user_id", "Previous_Genre", "Trending_Type").limit(n)
 
 
-def genre_change_percent(fact: DataFrame, month: str | None = None,
-                         unique_keys: bool = True) -> DataFrame:
+def genre_change_percent(fact: DataFrame, month: str | None = None) -> DataFrame:
     """Share of users whose genre changed, in percent with two decimals.
     (The reference calls this column ``percent_unchanged``; it is the changed
     share.) An empty month gives NULL instead of a division error."""
-    changed = _distinct(F.when(F.col("Trending_Type") != UNCHANGED, F.col("user_id")), unique_keys)
-    users = _distinct(F.col("user_id"), unique_keys)
+    changed = F.count_distinct(F.when(F.col("Trending_Type") != UNCHANGED, F.col("user_id")))
+    users = F.count_distinct("user_id")
     pct = F.round(F.lit(Decimal("100.0")) * changed / F.nullif(users, F.lit(0)), 2).cast("double")
     return _month(fact, month).groupBy("month_yyyymm").agg(pct.alias("percent_changed"))
 
 
-def changed_by_previous_genre(fact: DataFrame, month: str | None = None,
-                              unique_keys: bool = True) -> DataFrame:
+def changed_by_previous_genre(fact: DataFrame, month: str | None = None) -> DataFrame:
     """Users whose genre changed, per previous genre, largest first."""
     return (_month(fact, month).filter(F.col("Trending_Type") != UNCHANGED)
             .groupBy("month_yyyymm", "Previous_Genre")
-            .agg(_distinct(F.col("user_id"), unique_keys).alias("changed_user_count"))
+            .agg(F.count_distinct("user_id").alias("changed_user_count"))
             .orderBy(F.col("month_yyyymm"), F.col("changed_user_count").desc(),
                      F.col("Previous_Genre")))
 

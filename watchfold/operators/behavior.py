@@ -7,9 +7,10 @@ Plan shape: the (month, user, keyword) counts are combined map-side before the
 first exchange; the top keyword per (month, user) is a ``row_number() = 1``
 window, which Catalyst turns into a partial group limit before the second
 exchange, so a user holding a third of all searches ships one candidate per
-map task. The genre lookup broadcasts the mapping only behind a row-count
-check. The month-over-month pairing is a ``lag`` over each user's months: one
-exchange on ``user_id`` and at most one row per user and month.
+map task. The genre lookup carries no hint: the optimizer and adaptive execution
+choose from the mapping's real size. The month-over-month pairing is an
+equi-join on (user, month number), so a keyword that the mapping lists under
+several genres pairs all of them, as the reference's join does.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from watchfold.functions.columns import month_index, month_of
-from watchfold.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded
 
 FACT_COLUMNS = ["user_id", "Previous_Genre", "Trending_Type", "month_yyyymm"]
 UNCHANGED, CHANGED = "Unchanged", "Changed"
@@ -55,19 +55,22 @@ def order_users_desc(frame: DataFrame) -> DataFrame:
     return frame.orderBy(F.col("user_id").desc())
 
 
-def genre_mapped(top_keywords: DataFrame, mapping: DataFrame,
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def genre_mapped(top_keywords: DataFrame, mapping: DataFrame) -> DataFrame:
     """Attach the genre of each most-searched keyword (exact match). Keywords
     without a genre drop out, as in the reference's inner join."""
-    lookup = mapping.select("most_searched", "Genre")
-    return top_keywords.join(broadcast_if_bounded(lookup, max_broadcast_rows), "most_searched")
+    return top_keywords.join(mapping.select("most_searched", "Genre"), "most_searched")
 
 
-def _trend_columns(prev_genre: F.Column, curr_genre: F.Column) -> list:
-    unchanged = prev_genre == curr_genre   # NULL genre -> not equal -> Changed
-    trending = F.when(unchanged, F.lit(UNCHANGED)).otherwise(F.lit(CHANGED))
-    previous = F.when(trending == UNCHANGED, F.lit(UNCHANGED)).otherwise(prev_genre)
-    return [trending.alias("Trending_Type"), previous.alias("Previous_Genre")]
+def _with_trend(pairs: DataFrame) -> DataFrame:
+    """Add both trend columns to ``prev_genre, curr_genre`` pairs. They follow from one
+    test: equal genres, where a NULL on either side counts as a change."""
+    same = F.coalesce(F.col("prev_genre") == F.col("curr_genre"), F.lit(False))
+    return pairs.withColumns({
+        "Trending_Type": F.when(same, UNCHANGED).otherwise(CHANGED),
+        "Previous_Genre": F.when(same, UNCHANGED).otherwise(F.col("prev_genre"))})
+
+
+TREND_COLUMNS = ["month_yyyymm", "user_id", "prev_genre", "curr_genre", "Trending_Type", "Previous_Genre"]
 
 
 def genre_trend(mapped: DataFrame) -> DataFrame:
@@ -77,40 +80,32 @@ def genre_trend(mapped: DataFrame) -> DataFrame:
     Output ``month_yyyymm`` (the current month), ``user_id``, ``prev_genre``,
     ``curr_genre``, ``Trending_Type``, ``Previous_Genre``.
     """
-    idx = month_index("month_yyyymm")
-    w = Window.partitionBy("user_id").orderBy(idx)
-    paired = (mapped.select("month_yyyymm", "user_id", F.col("Genre").alias("curr_genre"))
-              .withColumn("prev_genre", F.lag("curr_genre").over(w))
-              .withColumn("prev_index", F.lag(idx).over(w))
-              .filter(F.col("prev_index") == idx - 1))
-    return paired.select("month_yyyymm", "user_id", "prev_genre", "curr_genre",
-                         *_trend_columns(F.col("prev_genre"), F.col("curr_genre")))
+    months = mapped.select("month_yyyymm", "user_id", "Genre", month_index("month_yyyymm").alias("month"))
+    before = months.select("user_id", F.col("Genre").alias("prev_genre"), (F.col("month") + 1).alias("month"))
+    pairs = months.withColumnRenamed("Genre", "curr_genre").join(before, ["user_id", "month"])
+    return _with_trend(pairs).select(*TREND_COLUMNS)
 
 
 def trend_between(previous: DataFrame, current: DataFrame, month_yyyymm: str) -> DataFrame:
     """The reference's two-period form: inner join of two mapped periods on the
     user, tagged with ``month_yyyymm`` (the current period's month)."""
-    p = previous.select("user_id", F.col("Genre").alias("prev_genre"))
-    c = current.select("user_id", F.col("Genre").alias("curr_genre"))
-    return (p.join(c, "user_id")
-            .select(F.lit(month_yyyymm).alias("month_yyyymm"), "user_id", "prev_genre", "curr_genre",
-                    *_trend_columns(F.col("prev_genre"), F.col("curr_genre"))))
+    before = previous.select("user_id", F.col("Genre").alias("prev_genre"))
+    pairs = current.select("user_id", F.col("Genre").alias("curr_genre")).join(before, "user_id")
+    return _with_trend(pairs.withColumn("month_yyyymm", F.lit(month_yyyymm))).select(*TREND_COLUMNS)
 
 
-def fact_behavior(log_search: DataFrame, mapping: DataFrame,
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def fact_behavior(log_search: DataFrame, mapping: DataFrame) -> DataFrame:
     """Behaviour fact for every month that has a previous month in the logs."""
-    mapped = genre_mapped(most_searched(log_search), mapping, max_broadcast_rows)
+    mapped = genre_mapped(most_searched(log_search), mapping)
     return genre_trend(mapped).select(*FACT_COLUMNS)
 
 
 def fact_behavior_between(log_search: DataFrame, mapping: DataFrame,
-                          previous_month: str, current_month: str,
-                          max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                          previous_month: str, current_month: str) -> DataFrame:
     """Behaviour fact of one explicit pair of periods (they need not be adjacent),
     tagged with the current period's month, as the reference's ETL run."""
     rows = search_rows(log_search).filter(F.col("month_yyyymm").isin(previous_month, current_month))
-    mapped = genre_mapped(most_searched(rows), mapping, max_broadcast_rows)
+    mapped = genre_mapped(most_searched(rows), mapping)
     prev = mapped.filter(F.col("month_yyyymm") == previous_month)
     curr = mapped.filter(F.col("month_yyyymm") == current_month)
     return trend_between(prev, curr, current_month).select(*FACT_COLUMNS)

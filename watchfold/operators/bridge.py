@@ -4,40 +4,36 @@ Rules: each sampled contract gets 1 to 5 users (fewer when users run out), a
 user sits in at most 5 contracts, no (user, contract) pair repeats, and each
 contract has exactly one primary user.
 
-Construction, all seeded hashes (so a recomputed partition gives the same rows):
-
-1. sample: the ``n_users`` users and ``n_contracts`` contracts with the smallest
-   ``xxhash64(seed, key)`` — a hash-threshold filter passes about ``2n`` rows,
-   which are numbered in hash order (in one task up to a row bound, across
-   tasks beyond it) and cut at ``n``;
-2. demand: contract c wants ``d_c = pmod(hash, 5) + 1`` users (at most N, the
-   number of sampled users); a running sum of the demands in sample order hands
-   contract c the slot range ``[S_c - d_c, S_c)``;
+Construction; "random" means ordered by ``md5(seed:key)``, which is the same in every
+run, task and SQL engine:
+
+1. users and contracts are numbered in md5 order, all of them unless ``n_users`` or
+   ``n_contracts`` asks for the first so many;
+2. demand: contract c wants ``md5(seed+2:c)`` (first 8 hex digits) modulo 5, plus 1,
+   users (at most N, the number of users); a running sum of the demands in contract
+   order hands contract c the slot range ``[S_c - d_c, S_c)``;
 3. slot s holds user number ``s mod N``; slots from ``5 * N`` on are cut, so a
    user fills at most five slots (``u, u + N, ...``) and, since a contract spans
    at most N consecutive slots, never twice in one contract;
-4. primary: the user with the smallest seeded hash within each contract.
+4. primary: the user with the smallest ``md5(seed+3:user)`` within each contract.
 
-Beyond the row bound, numbering and the running sum are distributed (range
-partitioning with per-partition offsets, and per-block sums with block
-offsets); only one row per partition or block is broadcast. The slot -> user join broadcasts the user
-sample only up to the broadcast row bound and shuffles beyond it. The
-candidates are checkpointed to the session's checkpoint folder.
+Numbering and running sum are distributed (range partitions with per-partition
+offsets, blocks with per-block offsets): only one row per partition or block is
+broadcast. The numbered keys are written to the checkpoint folder while the plan
+is built, since their numbers depend on the partitioning: building this frame
+runs jobs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from watchfold.functions.constants import (
-    BRIDGE_CONTRACTS,
     BRIDGE_END_DATE,
     BRIDGE_MAX_LINKS,
     BRIDGE_START_DATE,
-    BRIDGE_USERS,
 )
-from watchfold.operators.joins import DEFAULT_BROADCAST_ROWS
 from watchfold.session import ensure_checkpoint_dir
 
 BRIDGE_SCHEMA = ("user_id string, contract_id string, start_date date, "
@@ -46,11 +42,6 @@ BRIDGE_SCHEMA = ("user_id string, contract_id string, start_date date, "
 
 # Rows per block of the distributed running sum; each block is one window partition.
 RUNNING_SUM_BLOCK = 100_000
-# Up to this many sampled rows, one task merges the per-task top-n of the
-# (threshold-filtered, about 2n) candidates and numbers them; above it the
-# numbering is distributed (global_positions).
-SINGLE_TASK_SAMPLE_ROWS = 1_000_000
-
 
 def global_positions(df: DataFrame, order: list[str]) -> DataFrame:
     """Add ``pos``, the rows numbered 0..N-1 in ``order``, without a one-partition window.
@@ -94,80 +85,50 @@ def running_sum(df: DataFrame, value: str, out: str, pos: str = "pos",
             .drop("_block", "_offset"))
 
 
-def _sample(keys: DataFrame, key: str, seed: int, n: int, oversample: float = 2.0,
-            single_task_rows: int = SINGLE_TASK_SAMPLE_ROWS) -> tuple[DataFrame, int]:
-    """The ``n`` keys with the smallest seeded hash, numbered 0..n-1 in that
-    order (``pos``), with the row count.
-
-    The hash is uniform over the 64-bit range, so a filter ``h < t`` with ``t``
-    chosen to pass about ``oversample * n`` rows leaves few candidates. For
-    ``n`` up to ``single_task_rows`` one task merges their per-task top-n and
-    numbers them; beyond, :func:`global_positions` numbers them across tasks
-    and the first ``n`` are kept. Every
-    row with a smaller hash than the n-th candidate also passes the filter, so
-    the result is exact; if fewer than ``n`` rows pass, the fraction is
-    doubled and the step repeated. The result is checkpointed (or numbered
-    from checkpointed candidates), so a lost executor re-reads it.
-    """
+def seeded(seed: int, key: str) -> Column:
+    """The key's place in the seeded order."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+
+
+def _numbered(keys: DataFrame, key: str, seed: int, n: int | None) -> DataFrame:
+    """``key`` and ``pos``: the non-NULL keys in seeded order, all or the first ``n``."""
     hashed = (keys.select(F.col(key).cast("string").alias(key)).dropna()
-              .withColumn("h", F.xxhash64(F.lit(seed), F.col(key))))
-    total = hashed.count()
-    fraction = oversample * n / max(total, 1)
-    while True:
-        candidates = hashed
-        if fraction < 1.0:
-            threshold = int(-(2 ** 63) + fraction * 2 ** 64)
-            candidates = hashed.filter(F.col("h") < F.lit(threshold))
-        if n <= single_task_rows:
-            order = Window.orderBy("h", key)
-            top = (candidates.orderBy("h", key).limit(n)
-                   .withColumn("pos", F.row_number().over(order) - 1).checkpoint())
-        else:
-            top = global_positions(candidates, ["h", key]).filter(F.col("pos") < n)
-        rows = top.count()
-        if rows >= min(n, total) or fraction >= 1.0:
-            return top, rows
-        fraction *= 2.0
+              .withColumn("h", seeded(seed, key)))
+    if n is not None:
+        hashed = hashed.orderBy("h", key).limit(n)
+    return global_positions(hashed, ["h", key]).select(key, "pos")
 
 
 def bridge_synth(users: DataFrame, contracts: DataFrame, seed: int = 42,
-                 n_users: int = BRIDGE_USERS, n_contracts: int = BRIDGE_CONTRACTS,
-                 max_links: int = BRIDGE_MAX_LINKS,
-                 single_task_rows: int = SINGLE_TASK_SAMPLE_ROWS) -> DataFrame:
+                 n_users: int | None = None, n_contracts: int | None = None,
+                 max_links: int = BRIDGE_MAX_LINKS) -> DataFrame:
     """Bridge rows ``user_id, contract_id, start_date, end_date, is_primary``.
 
     ``users`` needs a ``user_id`` column, ``contracts`` a ``contract`` column.
     """
-    spark = users.sparkSession
-    ensure_checkpoint_dir(spark)
-    # Both samples are numbered from checkpointed candidates: a lost executor
-    # re-reads them instead of re-running the inputs.
-    user_sample, n = _sample(users, "user_id", seed, n_users, single_task_rows=single_task_rows)
-    user_sample = user_sample.select("user_id", "pos")
+    ensure_checkpoint_dir(users.sparkSession)
+    numbered = _numbered(users, "user_id", seed, n_users)
+    n = numbered.count()
     if n == 0:
-        return spark.createDataFrame([], BRIDGE_SCHEMA)
+        return users.sparkSession.createDataFrame([], BRIDGE_SCHEMA)
     capacity = max_links * n
-
-    contract_sample, _ = _sample(contracts, "contract", seed + 1, n_contracts,
-                                 single_task_rows=single_task_rows)
-    demand = F.least(F.pmod(F.xxhash64(F.lit(seed + 2), F.col("contract")), F.lit(max_links)) + 1,
-                     F.lit(n))
-    slots = (running_sum(contract_sample.withColumn("d", demand), "d", "slot_end")
+    drawn = F.conv(F.substring(seeded(seed + 2, "contract"), 1, 8), 16, 10).cast("bigint")
+    demand = F.least(drawn % max_links + 1, F.lit(n).cast("bigint"))
+    wanted = _numbered(contracts, "contract", seed + 1, n_contracts).withColumn("d", demand)
+    slots = (running_sum(wanted, "d", "slot_end")
              .withColumn("slot_start", F.col("slot_end") - F.col("d"))
              .filter(F.col("slot_start") < capacity)
              .select(F.col("contract").alias("contract_id"),
                      F.explode(F.sequence(F.col("slot_start"),
                                           F.least(F.col("slot_end"), F.lit(capacity)) - 1))
                       .alias("slot")))
-    linked = (slots.withColumn("pos", F.col("slot") % n)
-              .join(F.broadcast(user_sample) if n <= DEFAULT_BROADCAST_ROWS else user_sample, "pos")
+    linked = (slots.withColumn("pos", F.col("slot") % n).join(numbered, "pos")
               .select("user_id", "contract_id")
               # One exchange on the contract serves both the dedupe and the
               # primary-user window; a contract has at most five rows.
               .repartition("contract_id")
               .dropDuplicates(["user_id", "contract_id"]))
-    primary = Window.partitionBy("contract_id").orderBy(
-        F.xxhash64(F.lit(seed + 3), F.col("user_id")), F.col("user_id"))
+    primary = Window.partitionBy("contract_id").orderBy(seeded(seed + 3, "user_id"), F.col("user_id"))
     return linked.select(
         "user_id", "contract_id",
         F.to_date(F.lit(BRIDGE_START_DATE)).alias("start_date"),

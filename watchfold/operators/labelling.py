@@ -2,25 +2,23 @@
 
 Stages:
 
-1. :func:`label_requests` — the distinct keywords are spread over tasks by the
-   ``distinct`` shuffle; each task cuts its share into batches of at most 150
-   and makes one labeller call per batch (``mapInPandas``). A labeller is any
+1. :func:`label_requests` deals the distinct keywords out to tasks; each task makes
+   one labeller call per batch of at most 150 (``mapInPandas``). A labeller is any
    ``callable(list[str]) -> str`` returning one reply text, e.g. a client for a
-   hosted model; the default is the offline rule labeller below.
-2. The replies are checkpointed to the session's checkpoint folder: a model's
-   replies are costly and need not repeat, so a lost executor must not re-ask.
-3. :func:`parse_label_replies` — the JSON object between the first ``{`` and the
-   last ``}`` of each reply gives the genres; a keyword missing from it gets
-   ``Other``, and a reply with no braces or with text Python's ``json`` rejects
-   gives ``Other`` for the whole batch. This is Python's parser on purpose:
-   Spark's ``from_json`` accepts trailing text, a second object and single
-   quotes, where the labelling contract rejects the batch.
+   hosted model; the default is the offline rule labeller below. A failed call is
+   kept with its error.
+2. The replies are checkpointed: a model's replies are costly and need not repeat,
+   so a lost executor must not ask again.
+3. :func:`parse_label_replies` reads each reply's JSON object with Python's parser
+   (``from_json`` accepts trailing text, a second object and single quotes, where
+   the labelling contract rejects the batch) and looks the keywords up in Spark.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterable, Iterator
+from itertools import batched
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -37,8 +35,7 @@ from watchfold.session import ensure_checkpoint_dir
 
 Labeller = Callable[[list], str]
 
-REPLY_SCHEMA = "keywords array<string>, reply string"
-LABEL_SCHEMA = "most_searched string, Genre string"
+REPLY_SCHEMA = "keywords array<string>, reply string, error string"
 
 
 # --- per-row helpers (small, pure Python) ------------------------------------
@@ -62,89 +59,90 @@ def rule_labeller(keywords: list) -> str:
     return "Here are the genres:\n" + json.dumps(labels, ensure_ascii=False) + "\nDone."
 
 
-def parse_label_reply(keywords: list, reply: str | None) -> dict:
-    """Genre per keyword from one reply (see the module notes for the rules).
-
-    A JSON ``null`` stays ``None``; any other non-string value is kept as its text.
-    """
-    fallback = {k: DEFAULT_GENRE for k in keywords}
+def reply_object(reply: str | None) -> dict[str, str | None] | None:
+    """The JSON object between a reply's first ``{`` and last ``}``, its values as text
+    (``null`` stays None), or None when there is no such object."""
+    _, opening, rest = (reply or "").partition("{")
+    body, closing, _ = rest.rpartition("}")
+    if not (opening and closing):
+        return None
     try:
-        text = reply.strip()
-        start, end = text.find("{"), text.rfind("}")
-        if start == -1 or end == -1:
-            return fallback
-        parsed = json.loads(text[start:end + 1])
-        out = {}
-        for k in keywords:
-            value = parsed.get(k, DEFAULT_GENRE)
-            out[k] = value if value is None or isinstance(value, str) else str(value)
-        return out
-    except Exception:
-        return fallback
-
-
-def _batches(items: list, size: int) -> Iterator[list]:
-    for i in range(0, len(items), size):
-        yield items[i:i + size]
+        found = json.loads("{" + body + "}")
+    except ValueError:
+        return None
+    return {key: v if v is None or isinstance(v, str) else str(v) for key, v in found.items()}
 
 
 # --- Spark stages --------------------------------------------------------------
 
 def label_requests(programs: DataFrame, labeller: Labeller | None = None,
                    batch_size: int = LABEL_BATCH_SIZE, column: str = "most_searched") -> DataFrame:
-    """One row per labeller call: ``keywords`` (at most ``batch_size``) and the ``reply`` text.
-    A failing call gives a NULL reply (so the batch falls back to ``Other``)."""
+    """One row per labeller call: ``keywords`` (at most ``batch_size``), the ``reply`` text and,
+    for a call that failed, NULL and the ``error``. Batches run on across Arrow chunks."""
     call = labeller or rule_labeller
 
     def ask(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            keywords = frame[column].dropna().astype(str).tolist()
-            rows = []
-            for batch in _batches(keywords, batch_size):
-                try:
-                    reply = call(batch)
-                except Exception:
-                    reply = None
-                rows.append((batch, reply))
-            if rows:
-                yield pd.DataFrame(rows, columns=["keywords", "reply"])
+        keywords = (str(k) for frame in frames for k in frame[column].dropna())
+        for batch in map(list, batched(keywords, batch_size)):
+            reply, error = None, None
+            try:
+                reply = call(batch)
+            except Exception as e:  # the service is foreign code: any failure is the batch's
+                error = f"{type(e).__name__}: {e}"
+            yield pd.DataFrame({"keywords": [batch], "reply": [reply], "error": [error]})
 
     return programs.select(column).mapInPandas(ask, REPLY_SCHEMA)
 
 
 def parse_label_replies(replies: DataFrame) -> DataFrame:
-    """``most_searched, Genre`` for every keyword of every reply row."""
+    """``most_searched, Genre`` for every keyword of every reply row: each reply becomes one
+    map (or NULL), the lookup is Spark's."""
 
-    def parse(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def objects(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            keys, genres = [], []
-            for keywords, reply in zip(frame["keywords"], frame["reply"]):
-                batch = [str(k) for k in keywords]
-                labels = parse_label_reply(batch, reply)
-                keys.extend(batch)
-                genres.extend(labels[k] for k in batch)
-            yield pd.DataFrame({"most_searched": keys, "Genre": genres})
+            yield pd.DataFrame({"keywords": frame["keywords"], "genres": frame["reply"].map(reply_object)})
+
+    rows = replies.select("keywords", "reply").mapInPandas(
+        objects, "keywords array<string>, genres map<string,string>")
+    one = rows.select(F.explode("keywords").alias("most_searched"), "genres")
+    answered = F.coalesce(F.map_contains_key("genres", F.col("most_searched")), F.lit(False))
+    return one.select("most_searched", F.when(answered, F.col("genres")[F.col("most_searched")])
+                      .otherwise(DEFAULT_GENRE).alias("Genre"))
+
+
+class LabellingFailed(RuntimeError):
+    """Too many labeller calls failed."""
+
 
-    return replies.mapInPandas(parse, LABEL_SCHEMA)
+def check_failures(replies: DataFrame, max_failed_share: float) -> None:
+    """Raise if more than the stated share of calls failed."""
+    calls, failed, error = replies.agg(F.count("*"), F.count("error"), F.min("error")).first()
+    if failed > max_failed_share * calls:
+        raise LabellingFailed(f"{failed} of {calls} labeller calls failed, e.g. {error}")
 
 
 def label_genres(programs: DataFrame, labeller: Labeller | None = None,
                  batch_size: int = LABEL_BATCH_SIZE, checkpoint: bool = True,
-                 parallelism: int | None = None) -> DataFrame:
+                 parallelism: int | None = None, max_failed_share: float | None = None) -> DataFrame:
     """Label distinct keywords: ask (in batches), keep the replies, parse them.
 
     Returns ``most_searched, Genre`` with one row per distinct keyword; a
-    keyword the labeller skipped gets ``Other``. ``parallelism`` sets how many
-    tasks call the labeller at once (hash-partitioned by keyword, so a retried
-    task gets the same keywords); by default it is the shuffle's partition count.
+    keyword the labeller skipped, or whose call failed, gets ``Other``; with
+    ``max_failed_share`` a larger share of failed calls is an error instead.
+    ``parallelism`` is how many tasks call the labeller at once (the session's
+    shuffle partitions by default). The keywords are dealt out explicitly by
+    hash, so adaptive execution does not merge the calls into a few tasks, and a
+    retried task gets the same keywords.
     """
+    spark = programs.sparkSession
+    tasks = parallelism or int(spark.conf.get("spark.sql.shuffle.partitions"))
     distinct = programs.select("most_searched").filter(F.col("most_searched").isNotNull()).distinct()
-    if parallelism:
-        distinct = distinct.repartition(parallelism, "most_searched")
-    replies = label_requests(distinct, labeller, batch_size)
+    replies = label_requests(distinct.repartition(tasks, "most_searched"), labeller, batch_size)
     if checkpoint:
-        ensure_checkpoint_dir(replies.sparkSession)
+        ensure_checkpoint_dir(spark)
         replies = replies.checkpoint(eager=True)
+    if max_failed_share is not None:
+        check_failures(replies, max_failed_share)
     return parse_label_replies(replies)
 
 

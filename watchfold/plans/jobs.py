@@ -3,7 +3,10 @@
 * ``interaction`` — daily JSON watch logs of a date range -> interaction fact;
 * ``behavior``    — search logs of two months + genre CSV -> behaviour fact;
 * ``label``       — distinct most-searched keywords of two months -> genre CSV;
-* ``model``       — dimensions, bridge table and rows, views, top-10 function.
+* ``model``       — dimensions, bridge table and rows, views, top-10 function;
+* ``export``      — distinct most-searched keywords of two months -> CSV;
+* ``checks``      — row counts, dimension uniqueness, NULL keys of the stored tables;
+* ``report``      — top 10, the three views and the KPIs over the stored tables.
 
     python -m watchfold.plans.jobs interaction --input s3a://.../log_content --start 20220401 --end 20220430
     python -m watchfold.plans.jobs behavior --input .../log_search --previous 202206 --current 202207 \\
@@ -13,6 +16,7 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,12 +27,15 @@ from watchfold.plans.warehouse import Warehouse
 from watchfold.session import build_session
 from watchfold.sources.files import (
     as_date,
+    export_distinct_programs,
     read_genre_mapping,
     read_search_logs,
     read_watch_logs,
     write_genre_mapping,
 )
 
+MAX_FAILED_SHARE = 0.1      # of labeller calls
+
 
 def run_interaction_etl(spark: SparkSession, input_root: str, start: str, end: str,
                         warehouse: Warehouse, missing: str = "fail",
@@ -58,14 +65,31 @@ def run_behavior_etl(spark: SparkSession, input_root: str, previous_month: str,
 
 
 def run_labelling(spark: SparkSession, input_root: str, previous_month: str, current_month: str,
-                  output_path: str, labeller: Labeller | None = None) -> DataFrame:
-    """Label the distinct most-searched keywords of both months; write the genre CSV."""
+                  output_path: str, labeller: Labeller | None = None, parallelism: int | None = None,
+                  max_failed_share: float = MAX_FAILED_SHARE) -> DataFrame:
+    """Label the distinct most-searched keywords of both months; write the genre CSV. If more
+    than ``max_failed_share`` of the labeller's calls fail, nothing is written."""
     searches = read_search_logs(spark, input_root, [previous_month, current_month])
-    labels = label_genres(distinct_programs(most_searched(searches)), labeller)
+    labels = label_genres(distinct_programs(most_searched(searches)), labeller,
+                          parallelism=parallelism, max_failed_share=max_failed_share)
     write_genre_mapping(labels, output_path)
     return read_genre_mapping(spark, output_path)
 
 
+def load_labeller(name: str) -> Labeller:
+    """The function a ``module:function`` name stands for."""
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
+def run_export(spark: SparkSession, input_root: str, previous_month: str, current_month: str,
+               output_path: str) -> DataFrame:
+    """Write the distinct most-searched keywords of both months as CSV."""
+    top = most_searched(read_search_logs(spark, input_root, [previous_month, current_month]))
+    return export_distinct_programs(*(top.filter(top.month_yyyymm == m) for m in (previous_month, current_month)),
+                                    output_path)
+
+
 def run_model(warehouse: Warehouse, seed: int = 42) -> None:
     """Dimensions, bridge table (typed, then filled), views and the top-10 function."""
     warehouse.setup()
@@ -86,12 +110,18 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--start", required=True)
     p.add_argument("--end", required=True)
     p.add_argument("--missing", choices=["fail", "skip"], default="fail")
-    for name in ("behavior", "label"):
+    for name in ("behavior", "label", "export"):
         p = sub.add_parser(name)
         p.add_argument("--input", required=True)
         p.add_argument("--previous", required=True)
         p.add_argument("--current", required=True)
         p.add_argument("--mapping" if name == "behavior" else "--output", required=True)
+        if name == "label":
+            p.add_argument("--labeller", help="module:function, called with a list of keywords")
+            p.add_argument("--parallelism", type=int)
+            p.add_argument("--max-failed-share", type=float, default=MAX_FAILED_SHARE)
+    for name in ("checks", "report"):
+        sub.add_parser(name)
     p = sub.add_parser("model")
     p.add_argument("--seed", type=int, default=42)
     args = parser.parse_args(argv)
@@ -104,7 +134,15 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "behavior":
         run_behavior_etl(spark, args.input, args.previous, args.current, args.mapping, warehouse)
     elif args.job == "label":
-        run_labelling(spark, args.input, args.previous, args.current, args.output)
+        labeller = load_labeller(args.labeller) if args.labeller else None
+        run_labelling(spark, args.input, args.previous, args.current, args.output, labeller,
+                      args.parallelism, args.max_failed_share)
+    elif args.job == "export":
+        run_export(spark, args.input, args.previous, args.current, args.output)
+    elif args.job in ("checks", "report"):
+        for name, frame in getattr(warehouse, args.job)().items():
+            print(name)
+            frame.show(100, truncate=False)
     else:
         run_model(warehouse, args.seed)
 

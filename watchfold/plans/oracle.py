@@ -8,46 +8,51 @@ so that they do not share a plan with the Spark side.
 
 from __future__ import annotations
 
-from watchfold.functions.constants import (
-    ACTIVE_DAY_BINS,
-    ACTIVE_DAY_TOP_BIN,
-    ACTIVE_DAY_UNKNOWN_BIN,
-    APP_CATEGORIES,
-    DEFAULT_GENRE,
-    GENRE_EXAMPLES,
-    GENRE_RULES,
-    GENRES,
-    PROGRAM_TYPES,
-    UNKNOWN_CATEGORY,
-)
-from watchfold.sources.fixtures import FIXTURE_APPS
+# The values the reference fixes are stated here once more, so that a wrong value in
+# the package does not pass both sides.
+PROGRAM_TYPES = ["Entertainment", "Kids", "Movies", "Sports", "TV_Channel"]
+APPS = ["CHANNEL", "DSHD", "KPLUS", "KPlus", "VOD", "FIMS_RES", "BHD_RES", "VOD_RES", "FIMS", "BHD", "DANET",
+        "RELAX", "CHILD", "SPORT", "XAPP"]
 
 
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def _list(values) -> str:
+    return "[" + ", ".join(_q(v) for v in values) + "]"
+
+
 LC = f"""SELECT CASE WHEN user_id % 50 = 49 THEN NULL WHEN user_id % 50 = 48 THEN ''
             WHEN user_id = 0 THEN '0' ELSE 'C' || CAST(user_id AS VARCHAR) END AS Contract,
        'M' || CAST(user_id * 4 + event_id % 4 AS VARCHAR) AS Mac,
-       split_part({_q(FIXTURE_APPS)}, ',', CAST(event_id % (1 + user_id % 15) AS INTEGER) + 1) AS AppName,
+       {_list(APPS)}[CAST(event_id % (1 + user_id % 15) AS INTEGER) + 1] AS AppName,
        CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 89 = 0 THEN CAST(0 AS BIGINT)
             ELSE CAST(round(value * 100) AS BIGINT) END AS TotalDuration,
-       CAST(ts AS DATE) AS log_date
+       DATE '2024-01-01' + CAST((day(ts) - 1) % (user_id % 31 + 1)
+           + CASE WHEN user_id % 3 = 0 AND event_id % 2 = 1 THEN 31 ELSE 0 END AS INTEGER) AS log_date
 FROM events"""
 
-LS = """SELECT CASE WHEN o_custkey % 101 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS user_id,
-       CASE WHEN l_orderkey % 53 = 0 THEN NULL ELSE p_name END AS keyword,
+KEYWORD = """CASE WHEN p_partkey % 40 = 0 THEN ['VTV3', 'running', 'nhật ký'][CAST(p_partkey // 40 % 3 AS INTEGER) + 1]
+            ELSE p_name || ' ' || ['htv7', 'CHANNEL', 'Master Key', 'Reality', 'romantic', 'Love', 'hogwarts',
+                 'plain'][CAST(p_partkey % 8 AS INTEGER) + 1] || ' ' || CAST(p_partkey // 8 AS VARCHAR) END"""
+
+LS = f"""SELECT CASE WHEN o_custkey % 101 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS user_id,
+       CASE WHEN l_orderkey % 53 = 0 THEN NULL ELSE {KEYWORD} END AS keyword,
        CAST(o_orderdate AS DATE) AS log_date
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey"""
 
-MP = f"""SELECT p_name AS most_searched,
-       split_part({_q(','.join(GENRES))}, ',', CAST(min(p_partkey) % {len(GENRES)} AS INTEGER) + 1) AS Genre
-FROM part GROUP BY p_name HAVING min(p_partkey) % 8 <> 7"""
+_FOUR = "['Action', 'Romance', 'Comedy', 'Horror']"
+MP = f"""SELECT CASE WHEN k % 8 = 7 THEN 'unsearched ' || keyword ELSE keyword END AS most_searched,
+       CASE WHEN again THEN {_FOUR}[CAST((k + 1) % 4 AS INTEGER) + 1] WHEN k % 30 = 0 THEN 'Fantasy'
+            ELSE {_FOUR}[CAST(k % 4 AS INTEGER) + 1] END AS Genre
+FROM (SELECT {KEYWORD} AS keyword, min(p_partkey) AS k FROM part GROUP BY 1), (VALUES (false), (true)) a(again)
+WHERE NOT again OR k % 11 = 0"""
 
-_TYPE_CASE = ("CASE " + " ".join(
-    f"WHEN AppName IN ({', '.join(_q(a) for a in apps)}) THEN {_q(cat)}"
-    for cat, apps in APP_CATEGORIES.items()) + f" ELSE {_q(UNKNOWN_CATEGORY)} END")
+_TYPE_CASE = """CASE WHEN AppName IN ('CHANNEL', 'DSHD', 'KPLUS', 'KPlus') THEN 'TV_Channel'
+     WHEN AppName IN ('VOD', 'FIMS_RES', 'BHD_RES', 'VOD_RES', 'FIMS', 'BHD', 'DANET') THEN 'Movies'
+     WHEN AppName = 'RELAX' THEN 'Entertainment' WHEN AppName = 'CHILD' THEN 'Kids'
+     WHEN AppName = 'SPORT' THEN 'Sports' ELSE 'Error' END"""
 
 # interaction chain: lc -> t (month, Type) -> cat (type totals) -> parts -> fi
 INTERACTION_CTES = f"""lc AS ({LC}),
@@ -112,9 +117,11 @@ def _both(body: str) -> str:
     return _with(INTERACTION_CTES + ",\n" + BEHAVIOR_CTES, body)
 
 
-_BIN_CASE = ("CASE WHEN Active_Days IS NULL THEN " + _q(ACTIVE_DAY_UNKNOWN_BIN) + " " + " ".join(
-    f"WHEN Active_Days >= {lo} AND Active_Days < {hi} THEN {_q(label)}"
-    for lo, hi, label in ACTIVE_DAY_BINS) + f" ELSE {_q(ACTIVE_DAY_TOP_BIN)} END")
+_BIN_CASE = """CASE WHEN Active_Days IS NULL THEN 'Unknown'
+     WHEN Active_Days >= 0 AND Active_Days < 5 THEN '0-5' WHEN Active_Days >= 5 AND Active_Days < 10 THEN '5-10'
+     WHEN Active_Days >= 10 AND Active_Days < 15 THEN '10-15' WHEN Active_Days >= 15 AND Active_Days < 20 THEN '15-20'
+     WHEN Active_Days >= 20 AND Active_Days < 25 THEN '20-25' WHEN Active_Days >= 25 AND Active_Days < 30 THEN '25-30'
+     ELSE '30' END"""
 
 
 def _program_stats_part(p: str) -> str:
@@ -128,15 +135,29 @@ def _program_stats_part(p: str) -> str:
 
 
 def _rule_case(col: str) -> str:
-    parts = [f"WHEN {col} = {_q(k)} THEN {_q(g)}" for k, g in GENRE_EXAMPLES.items()]
-    for words, genre in GENRE_RULES:
-        cond = " OR ".join(f"contains(lower({col}), {_q(w.lower())})" for w in words)
-        parts.append(f"WHEN {cond} THEN {_q(genre)}")
-    return "CASE " + " ".join(parts) + f" ELSE {_q(DEFAULT_GENRE)} END"
-
-
-_DIMS = """du AS (SELECT DISTINCT user_id FROM fb WHERE user_id IS NOT NULL),
-dc AS (SELECT DISTINCT Contract AS contract FROM fi WHERE Contract IS NOT NULL)"""
+    has = lambda *words: " OR ".join(f"contains(lower({col}), {_q(w)})" for w in words)
+    return f"""CASE {col} WHEN 'thuyếtminh' THEN 'Other' WHEN 'bigfoot' THEN 'Horror' WHEN 'capdoi' THEN 'Romance'
+     WHEN 'ARGEN' THEN 'Sports' WHEN 'nhật ký' THEN 'Drama' WHEN 'PENT' THEN 'C Drama'
+     WHEN 'running' THEN 'Reality Show' WHEN 'VTV3' THEN 'TV Channel' ELSE
+     CASE WHEN {has('vtv', 'htv', 'channel')} THEN 'TV Channel'
+          WHEN {has('running', 'master key', 'reality')} THEN 'Reality Show'
+          WHEN {has('sex', 'romantic', 'love')} THEN 'Romance'
+          WHEN {has('potter', 'hogwarts')} THEN 'Drama' ELSE 'Other' END END"""
+
+
+_GENRES = ["Action", "Romance", "Comedy", "Horror", "Animation", "Drama", "C Drama", "K Drama", "Sports", "Music",
+           "Reality Show", "TV Channel", "News", "Other"]
+
+# the bridge: numbered keys, running demand, slots, links, primary
+_BRIDGE = """u AS (SELECT user_id, row_number() OVER (ORDER BY md5('42:' || user_id), user_id) - 1 AS pos
+       FROM (SELECT DISTINCT user_id FROM fb WHERE user_id IS NOT NULL)),
+n AS (SELECT COUNT(*) AS n FROM u),
+c AS (SELECT contract, row_number() OVER (ORDER BY md5('43:' || contract), contract) - 1 AS pos,
+             least(CAST('0x' || substr(md5('44:' || contract), 1, 8) AS BIGINT) % 5 + 1, n) AS d
+      FROM (SELECT DISTINCT Contract AS contract FROM fi WHERE Contract IS NOT NULL), n),
+s AS (SELECT contract, d, SUM(d) OVER (ORDER BY pos) AS slot_end FROM c),
+l AS (SELECT contract AS contract_id, unnest(range(CAST(slot_end - d AS BIGINT), CAST(slot_end AS BIGINT))) AS slot FROM s),
+b AS (SELECT DISTINCT user_id, contract_id FROM l, n, u WHERE slot < 5 * n AND u.pos = slot % n)"""
 
 ORACLE_SQL: dict[str, str] = {
     "log_content": LC,
@@ -175,7 +196,7 @@ ORACLE_SQL: dict[str, str] = {
         "ORDER BY TV_Channel DESC NULLS LAST, Contract) AS rn FROM fi) WHERE rn <= 10"),
     "avg_total_devices": _interaction(
         "SELECT month_yyyymm, AVG(TotalDevices) AS avg_total_devices FROM fi GROUP BY 1"),
-    "behavior_sample": _behavior("SELECT * FROM fb ORDER BY month_yyyymm, user_id LIMIT 100"),
+    "behavior_sample": _behavior("SELECT * FROM fb ORDER BY month_yyyymm, user_id, Previous_Genre, Trending_Type LIMIT 100"),
     # round half up to two decimals in exact integer arithmetic, then to double
     "genre_change_percent": _behavior(
         "SELECT month_yyyymm, CAST((20000 * c + u) // (2 * u) AS DOUBLE) / 100 AS percent_changed FROM ("
@@ -189,15 +210,16 @@ ORACLE_SQL: dict[str, str] = {
     "check_row_counts": _both(
         "SELECT (SELECT COUNT(*) FROM fi) AS fact_interaction_rows, "
         "(SELECT COUNT(*) FROM fb) AS fact_behavior_rows"),
-    "check_dim_uniqueness": _with(INTERACTION_CTES + ",\n" + BEHAVIOR_CTES + ",\n" + _DIMS,
-        "SELECT (SELECT COUNT(*) FROM du) AS dim_user_rows, "
-        "(SELECT COUNT(DISTINCT user_id) FROM du) AS dim_user_distinct, "
-        "(SELECT COUNT(*) FROM dc) AS dim_contract_rows, "
-        "(SELECT COUNT(DISTINCT contract) FROM dc) AS dim_contract_distinct"),
+    # on the facts' key columns as they are (repeated keys), and on the raw logs (NULL keys)
+    "check_dim_uniqueness": _both(
+        "SELECT (SELECT COUNT(user_id) FROM fb) AS dim_user_rows, "
+        "(SELECT COUNT(DISTINCT user_id) FROM fb) AS dim_user_distinct, "
+        "(SELECT COUNT(Contract) FROM fi) AS dim_contract_rows, "
+        "(SELECT COUNT(DISTINCT Contract) FROM fi) AS dim_contract_distinct"),
     "check_null_keys": _both(
-        "SELECT (SELECT CAST(SUM(CASE WHEN user_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) FROM fb) "
+        "SELECT (SELECT CAST(SUM(CASE WHEN user_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) FROM ls) "
         "AS null_user_id_rows, "
-        "(SELECT CAST(SUM(CASE WHEN Contract IS NULL THEN 1 ELSE 0 END) AS BIGINT) FROM fi) "
+        "(SELECT CAST(SUM(CASE WHEN Contract IS NULL THEN 1 ELSE 0 END) AS BIGINT) FROM lc) "
         "AS null_contract_rows"),
     "label_genres": _behavior(
         f"SELECT most_searched, {_rule_case('most_searched')} AS Genre "
@@ -210,5 +232,21 @@ ORACLE_SQL: dict[str, str] = {
         "FROM (SELECT DISTINCT keyword FROM ls WHERE keyword IS NOT NULL)"),
     "check_genre_domain": _behavior(
         "SELECT COUNT(*) AS mapping_rows, COUNT(*) FILTER (WHERE Genre IS NULL OR Genre NOT IN ("
-        + ", ".join(_q(g) for g in GENRES) + ")) AS out_of_domain_rows FROM mp"),
+        + ", ".join(_q(g) for g in _GENRES) + ")) AS out_of_domain_rows FROM mp"),
+    "bridge_synth": _with(INTERACTION_CTES + ",\n" + BEHAVIOR_CTES + ",\n" + _BRIDGE,
+        "SELECT user_id, contract_id, DATE '2022-04-01' AS start_date, DATE '2026-12-12' AS end_date, "
+        "row_number() OVER (PARTITION BY contract_id ORDER BY md5('45:' || user_id), user_id) = 1 AS is_primary FROM b"),
+    # the same numbers by other ways: files written and read back, SQL text, no month
+    "csv_roundtrip": MP,
+    "watch_log_files": _interaction("SELECT Contract, Mac, AppName, CAST(TotalDuration AS DOUBLE) AS TotalDuration, "
+                                    "log_date FROM lc"),
+    "search_log_files": _behavior("SELECT user_id, keyword, strftime(log_date, '%Y%m') AS month_yyyymm FROM ls"),
+    "top10_overall": _interaction(
+        "SELECT Contract, 'TV' AS Program, TV_Channel AS Duration FROM fi "
+        "ORDER BY TV_Channel DESC NULLS LAST, Contract, month_yyyymm LIMIT 10"),
 }
+for _view, _same in (("sql_active_days_view", "active_days_distribution"),
+                     ("sql_program_stats_view", "program_duration_stats"),
+                     ("sql_taste_view", "taste_distribution")):
+    ORACLE_SQL[_view] = ORACLE_SQL[_same]
+ORACLE_SQL["sql_top10_function"] = ORACLE_SQL["top10_overall"]

@@ -2,7 +2,7 @@
 
 Each query reads the whole tables (through the fixtures in
 :mod:`watchfold.sources.fixtures`) and runs one operator, or a pipeline ending
-in it, so its work grows with the data.
+in it. Queries that write something first do so under the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -11,11 +11,18 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from watchfold.operators import analytics, behavior, bridge, interaction, labelling
-from watchfold.functions.columns import rule_genre
-from watchfold.plans.warehouse import read_fact_from_path, save_fact_to_path
+from watchfold.functions.columns import month_of, rule_genre
+from watchfold.plans.warehouse import (
+    read_fact_from_path,
+    save_fact_to_path,
+    top10_function_statement,
+    view_queries,
+)
 from watchfold.session import ensure_checkpoint_dir, scratch_path
+from watchfold.sources import files
 from watchfold.sources.fixtures import (
     DriverTables,
     genre_mapping_fixture,
@@ -79,6 +86,53 @@ def fact_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_fact_from_path(spark, path, interaction.FACT_COLUMNS, schema=fact.schema)
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder whose name holds no digits (months are looked for in paths)."""
+    word = "".join(chr(97 + int(c, 16)) for c in uuid.uuid4().hex)
+    return scratch_path(spark, "tables", f"{name}-{word}")
+
+
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _folder(spark, "genres")
+    files.write_genre_mapping(_mapping(spark, sf_dir), path)
+    return files.read_genre_mapping(spark, path)
+
+
+def watch_log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The watch log as one folder of JSON files per day, read back over its days."""
+    path, logs = _folder(spark, "watch"), _logs(spark, sf_dir)
+    inner = F.struct("Contract", "Mac", "AppName", "TotalDuration").alias("_source")
+    day = F.concat(F.date_format("log_date", "yyyyMMdd"), F.lit(".json")).alias("day")
+    logs.select(inner, day).write.partitionBy("day").json(path)
+    first, last = logs.agg(F.min("log_date"), F.max("log_date")).first()
+    return files.read_watch_logs(spark, path, first, last, missing="skip", name="day={day}.json")
+
+
+def search_log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search log as a parquet tree by month, read back with the months of its paths."""
+    path = _folder(spark, "search")
+    tagged = _searches(spark, sf_dir).select("user_id", "keyword", month_of("log_date").alias("month"))
+    tagged.write.partitionBy("month").parquet(path)
+    return files.read_search_logs(spark, path)
+
+
+def _fact_view(spark: SparkSession, sf_dir: str) -> str:
+    name = "fact_" + uuid.uuid4().hex
+    fact_interaction(spark, sf_dir).createOrReplaceTempView(name)
+    return name
+
+
+def sql_view(view: str) -> Query:
+    return lambda spark, sf_dir: spark.sql(view_queries(_fact_view(spark, sf_dir))[view])
+
+
+def sql_top10_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SQL table function, called with one argument."""
+    fact = _fact_view(spark, sf_dir)
+    spark.sql(top10_function_statement("top10_" + fact, fact, temporary=True))
+    return spark.sql(f"SELECT * FROM top10_{fact}('{TOP_PROGRAM}')")
+
+
 def rule_genre_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     keywords = (_searches(spark, sf_dir).select("keyword")
                 .filter("keyword IS NOT NULL").distinct())
@@ -86,7 +140,8 @@ def rule_genre_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_label_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    replies = labelling.label_requests(_programs(spark, sf_dir))
+    ensure_checkpoint_dir(spark)
+    replies = labelling.label_requests(_programs(spark, sf_dir)).checkpoint()
     return labelling.parse_label_replies(replies)
 
 
@@ -137,10 +192,21 @@ QUERIES: dict[str, Query] = {
     "dim_contract": lambda s, d: analytics.dim_contract(fact_interaction(s, d)),
     "check_row_counts": lambda s, d: analytics.check_row_counts(fact_interaction(s, d),
                                                                 fact_behavior(s, d)),
+    # on the facts' key columns as they are (repeated keys), and on the raw logs (NULL keys)
     "check_dim_uniqueness": lambda s, d: analytics.check_dim_uniqueness(
-        analytics.dim_user(fact_behavior(s, d)), analytics.dim_contract(fact_interaction(s, d))),
-    "check_null_keys": lambda s, d: analytics.check_null_keys(fact_behavior(s, d),
-                                                              fact_interaction(s, d)),
+        fact_behavior(s, d).select("user_id"),
+        fact_interaction(s, d).select(F.col("Contract").alias("contract"))),
+    "check_null_keys": lambda s, d: analytics.check_null_keys(_searches(s, d), _logs(s, d)),
+    "top10_overall": lambda s, d: analytics.top_contracts_overall(fact_interaction(s, d), TOP_PROGRAM, 10),
+    # SQL text
+    "sql_active_days_view": sql_view("vw_contract_active_days_distribution"),
+    "sql_program_stats_view": sql_view("vw_program_duration_contract_stats"),
+    "sql_taste_view": sql_view("vw_customer_taste_contract_devices"),
+    "sql_top10_function": sql_top10_function,
+    # files written and read back
+    "csv_roundtrip": csv_roundtrip,
+    "watch_log_files": watch_log_files,
+    "search_log_files": search_log_files,
     # bridge
     "bridge_synth": bridge_synth,
     # labelling

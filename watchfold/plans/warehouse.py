@@ -13,6 +13,7 @@ from collections import defaultdict
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from watchfold.functions.constants import (
@@ -94,22 +95,17 @@ def _program_case(param: str) -> str:
     return "CASE " + " ".join(parts) + " ELSE NULL END"
 
 
-def view_statements(schema: str) -> dict[str, str]:
-    """``CREATE OR REPLACE VIEW`` statements of the three BI views, month-aware."""
-    fact = f"{schema}.{INTERACTION_TABLE}"
+def view_queries(fact: str) -> dict[str, str]:
+    """The SELECT of each of the three BI views over the table ``fact``, month-aware."""
     programs = ", ".join(PROGRAM_TYPES)
+    label = _bin_case("Active_Days")
     return {
         "vw_contract_active_days_distribution": f"""
-CREATE OR REPLACE VIEW {schema}.vw_contract_active_days_distribution AS
-WITH binned AS (
-  SELECT {MONTH}, Contract, {_bin_case('Active_Days')} AS active_days_bin FROM {fact}
-)
-SELECT {MONTH}, active_days_bin, COUNT(DISTINCT Contract) AS distinct_contract_count
-FROM binned
-GROUP BY {MONTH}, active_days_bin
+SELECT {MONTH}, {label} AS active_days_bin, COUNT(DISTINCT Contract) AS distinct_contract_count
+FROM {fact}
+GROUP BY ALL
 ORDER BY {MONTH}, {_bin_order_case('active_days_bin')}""",
         "vw_program_duration_contract_stats": f"""
-CREATE OR REPLACE VIEW {schema}.vw_program_duration_contract_stats AS
 SELECT {MONTH}, program_name,
        SUM(CASE WHEN duration > 0 THEN duration END) AS total_duration,
        SUM(CASE WHEN duration > 0 THEN duration END) / 3600 AS total_duration_hours,
@@ -119,7 +115,6 @@ FROM (SELECT {MONTH}, Contract, Active_Days, {programs} FROM {fact})
      UNPIVOT INCLUDE NULLS (duration FOR program_name IN ({programs}))
 GROUP BY {MONTH}, program_name""",
         "vw_customer_taste_contract_devices": f"""
-CREATE OR REPLACE VIEW {schema}.vw_customer_taste_contract_devices AS
 SELECT {MONTH}, customer_taste, COUNT(DISTINCT Contract) AS distinct_contract_count
 FROM {fact}
 GROUP BY {MONTH}, customer_taste
@@ -127,17 +122,23 @@ ORDER BY {MONTH}, distinct_contract_count DESC, customer_taste""",
     }
 
 
-def top10_function_statement(schema: str) -> str:
-    """SQL table function: top 10 contracts of one month by a program's duration."""
-    fact = f"{schema}.{INTERACTION_TABLE}"
+def view_statements(schema: str) -> dict[str, str]:
+    """``CREATE OR REPLACE VIEW`` statements of the three BI views."""
+    return {name: f"CREATE OR REPLACE VIEW {schema}.{name} AS {query}"
+            for name, query in view_queries(f"{schema}.{INTERACTION_TABLE}").items()}
+
+
+def top10_function_statement(name: str, fact: str, temporary: bool = False) -> str:
+    """SQL table function: top 10 contracts by a program's duration, of one month or, without
+    the second argument, of the whole fact."""
     return f"""
-CREATE OR REPLACE FUNCTION {schema}.{TOP10_FUNCTION}(program_name STRING, month STRING)
+CREATE OR REPLACE {'TEMPORARY ' if temporary else ''}FUNCTION {name}(program_name STRING, month STRING DEFAULT NULL)
 RETURNS TABLE (Contract STRING, Program STRING, Duration BIGINT)
 RETURN
   SELECT Contract, upper(trim(program_name)) AS Program, {_program_case('program_name')} AS Duration
   FROM {fact}
-  WHERE {MONTH} = month
-  ORDER BY Duration DESC NULLS LAST, Contract
+  WHERE month IS NULL OR {MONTH} = month
+  ORDER BY Duration DESC NULLS LAST, Contract, {MONTH}
   LIMIT 10"""
 
 
@@ -161,12 +162,22 @@ class Warehouse:
 
     # facts
     def save_fact(self, fact: DataFrame, table: str) -> None:
-        """Create the month-partitioned table, or replace just the months in ``fact``."""
+        """Create the month-partitioned table, or replace just the months in ``fact``.
+
+        A column that the table lacks is added to it (NULL in the months before), one
+        that the fact lacks is NULL in its months."""
         name = self.name(table)
         if self.spark.catalog.tableExists(name):
-            columns = self.spark.table(name).columns       # partition column last
+            known = {c.lower() for c in self.spark.table(name).columns}
+            new = [f for f in fact.schema.fields if f.name.lower() not in known]
+            if new:
+                columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+                self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+            own = {c.lower() for c in fact.columns}
+            row = [F.col(f.name) if f.name.lower() in own else F.lit(None).cast(f.dataType).alias(f.name)
+                   for f in self.spark.table(name).schema.fields]        # partition column last
             with _session_conf(self.spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-                fact.select(*columns).write.insertInto(name, overwrite=True)
+                fact.select(*row).write.insertInto(name, overwrite=True)
         else:
             fact.write.format(self.fmt).partitionBy(MONTH).saveAsTable(name)
 
@@ -189,9 +200,15 @@ class Warehouse:
 
     # bridge
     def create_bridge_table(self) -> None:
-        """(Re)create the typed, empty bridge table."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(BRIDGE_TABLE)}")
-        self.spark.sql(f"CREATE TABLE {self.name(BRIDGE_TABLE)} ({BRIDGE_SCHEMA}) USING {self.fmt}")
+        """Create the typed bridge table, or empty it; a table of other columns is replaced."""
+        name, empty = self.name(BRIDGE_TABLE), self.spark.createDataFrame([], BRIDGE_SCHEMA)
+        if self.spark.catalog.tableExists(name):
+            if [(f.name, f.dataType) for f in self.spark.table(name).schema.fields] == \
+                    [(f.name, f.dataType) for f in empty.schema.fields]:
+                empty.write.insertInto(name, overwrite=True)
+                return
+            self.spark.sql(f"DROP TABLE {name}")
+        self.spark.sql(f"CREATE TABLE {name} ({BRIDGE_SCHEMA}) USING {self.fmt}")
 
     def fill_bridge(self, seed: int = 42, **caps) -> DataFrame:
         """Synthesise bridge rows from the dimensions and overwrite the bridge table."""
@@ -209,10 +226,31 @@ class Warehouse:
             self.spark.sql(statement)
 
     def create_top10_function(self) -> None:
-        self.spark.sql(top10_function_statement(self.schema))
+        self.spark.sql(top10_function_statement(f"{self.schema}.{TOP10_FUNCTION}", self.name(INTERACTION_TABLE)))
 
-    def top10(self, program: str, month: str) -> DataFrame:
-        """Call the table function (table functions resolve in the current schema)."""
+    def top10(self, program: str, month: str | None = None) -> DataFrame:
+        """Call the table function (table functions resolve in the current schema, which is
+        set back afterwards)."""
+        before = self.spark.catalog.currentDatabase()
         self.spark.sql(f"USE {self.schema}")
-        return self.spark.sql(f"SELECT * FROM {TOP10_FUNCTION}(:program, :month)",
-                              args={"program": program, "month": month})
+        try:
+            return self.spark.sql(f"SELECT * FROM {TOP10_FUNCTION}(:program, :month)",
+                                  args={"program": program, "month": month})
+        finally:
+            self.spark.sql(f"USE {before}")
+
+    # checks and reports on the stored tables
+    def checks(self) -> dict[str, DataFrame]:
+        behavior, interaction = self.table(BEHAVIOR_TABLE), self.table(INTERACTION_TABLE)
+        return {"row_counts": analytics.check_row_counts(interaction, behavior),
+                "dim_uniqueness": analytics.check_dim_uniqueness(self.table("dim_user"), self.table("dim_contract")),
+                "null_keys": analytics.check_null_keys(behavior, interaction)}
+
+    def report(self, program: str = "tv") -> dict[str, DataFrame]:
+        behavior, interaction = self.table(BEHAVIOR_TABLE), self.table(INTERACTION_TABLE)
+        views = {v: self.table(v) for v in view_queries("")}
+        return {"top10": self.top10(program), **views,
+                "avg_total_devices": analytics.avg_total_devices(interaction),
+                "behavior_sample": analytics.behavior_sample(behavior),
+                "genre_change_percent": analytics.genre_change_percent(behavior),
+                "changed_by_previous_genre": analytics.changed_by_previous_genre(behavior)}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -14,6 +17,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # PySpark 4 records the Python call site of every Column function by default:
@@ -54,18 +58,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, setting a scratch one only when unset.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that one is
-    always used. Only a local session without it (tests, the bench) gets a
-    fresh temporary folder; a cluster session without it is an error.
+    always used. Only a session in one process (``local`` or ``local[n]``: tests, the
+    bench) without it gets a fresh temporary folder, removed at exit; any other
+    session without it is an error.
     """
     current = checkpoint_dir(spark)
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return spark.sparkContext.getCheckpointDir() or current
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         # A folder on one machine is lost with it; a cluster must name a shared one.
         raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for the cluster")
     local = tempfile.mkdtemp(prefix="watchfold-ckpt-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir() or local
 

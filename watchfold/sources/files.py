@@ -22,8 +22,9 @@ WATCH_LOG_SCHEMA = T.StructType([
         T.StructField("Contract", T.StringType()),
         T.StructField("Mac", T.StringType()),
         T.StructField("AppName", T.StringType()),
-        T.StructField("TotalDuration", T.LongType()),
+        T.StructField("TotalDuration", T.StringType()),    # a number of any kind, or quoted
     ])),
+    T.StructField("_malformed", T.StringType()),
 ])
 
 SEARCH_LOG_SCHEMA = T.StructType([
@@ -51,42 +52,60 @@ def day_paths(start: str | date, end: str | date) -> list[str]:
     return [(first + timedelta(days=i)).strftime("%Y%m%d") for i in range((last - first).days + 1)]
 
 
-def read_watch_logs(spark: SparkSession, root: str, start: str | date, end: str | date,
-                    missing: str = "fail") -> DataFrame:
-    """All daily watch logs from ``start`` to ``end`` in one scan.
-
-    Returns ``Contract, Mac, AppName, TotalDuration, log_date``; the date comes
-    from the ``<yyyymmdd>.json`` element of each row's path (``_metadata`` column). ``missing="fail"``
-    fails on an absent day like the reference does; ``missing="skip"`` reads
-    the days that exist (a brace glob over the day names).
-    """
-    days = day_paths(start, end)
-    base = root.rstrip("/")
-    reader = spark.read.schema(WATCH_LOG_SCHEMA)
+def _watch_lines(spark: SparkSession, root: str, start: str | date, end: str | date,
+                 missing: str, name: str) -> DataFrame:
+    days, base = day_paths(start, end), root.rstrip("/")
+    reader = spark.read.schema(WATCH_LOG_SCHEMA).option("columnNameOfCorruptRecord", "_malformed")
     if missing == "fail":
-        raw = reader.json([f"{base}/{d}.json" for d in days])
+        raw = reader.json([f"{base}/{name.format(day=d)}" for d in days])
     elif missing == "skip":
-        raw = reader.json(f"{base}/{{{','.join(days)}}}.json")
+        raw = reader.json(f"{base}/{name.format(day='{' + ','.join(days) + '}')}")
     else:
         raise ValueError("missing must be 'fail' or 'skip'")
     # the day is the ``<yyyymmdd>.json`` path element: a file, or a folder of part files
     day = F.regexp_extract(F.col("_metadata.file_path"), r"([0-9]{8})\.json", 1)
+    return raw.withColumn("log_date", F.to_date(day, "yyyyMMdd"))
+
+
+def read_watch_logs(spark: SparkSession, root: str, start: str | date, end: str | date,
+                    missing: str = "fail", name: str = "{day}.json") -> DataFrame:
+    """All daily watch logs from ``start`` to ``end`` in one scan.
+
+    Returns ``Contract, Mac, AppName, TotalDuration, log_date``; the date comes
+    from the ``<yyyymmdd>.json`` element of each row's path (``_metadata`` column).
+    ``TotalDuration`` is a double, so that whole, fractional and quoted numbers all
+    count. ``missing="fail"`` fails on an absent day like the reference does;
+    ``missing="skip"`` reads the days that exist (a brace glob over the day names).
+    Lines that are no JSON are left out here and counted by :func:`malformed_lines`.
+    """
+    raw = _watch_lines(spark, root, start, end, missing, name).filter(F.col("_malformed").isNull())
     return raw.select(
         F.col("_source.Contract").alias("Contract"),
         F.col("_source.Mac").alias("Mac"),
         F.col("_source.AppName").alias("AppName"),
-        F.col("_source.TotalDuration").alias("TotalDuration"),
-        F.to_date(day, "yyyyMMdd").alias("log_date"),
+        F.expr("try_cast(_source.TotalDuration AS DOUBLE)").alias("TotalDuration"),
+        "log_date",
     )
 
 
+def malformed_lines(spark: SparkSession, root: str, start: str | date, end: str | date,
+                    missing: str = "fail", name: str = "{day}.json") -> DataFrame:
+    """``log_date, lines, malformed``: lines of each day and how many are no JSON, or carry a
+    duration that is no number."""
+    lines = _watch_lines(spark, root, start, end, missing, name)
+    duration = F.col("_source.TotalDuration")
+    bad = F.col("_malformed").isNotNull() | (
+        duration.isNotNull() & F.expr("try_cast(_source.TotalDuration AS DOUBLE)").isNull())
+    return lines.groupBy("log_date").agg(F.count("*").alias("lines"), F.count(F.when(bad, 1)).alias("malformed"))
+
+
 def read_search_logs(spark: SparkSession, root: str, months: list[str] | None = None) -> DataFrame:
     """Search logs under ``root`` (searched recursively) as ``user_id, keyword, month_yyyymm``.
 
     With ``months``, only files whose full path contains one of them are read
-    (the filter on ``_metadata.file_path`` prunes files before the scan) and the
-    row is tagged with that month, the first one listed if several match. Without
-    it, every file is read and tagged with the first ``yyyymm`` in its path. No
+    (the filter on ``_metadata.file_path`` prunes files before the scan); a file whose
+    path contains several of them is read for each. Without it, every file is read and
+    tagged with the first ``yyyymm`` in its path; a path without one is an error. No
     matching file gives an empty frame with the same schema.
     """
     raw = (spark.read.schema(SEARCH_LOG_SCHEMA)
@@ -96,21 +115,32 @@ def read_search_logs(spark: SparkSession, root: str, months: list[str] | None =
     path = F.col("_metadata.file_path")
     if months:
         raw = raw.filter(reduce(lambda a, b: a | b, [path.contains(m) for m in months]))
-        tag = F.coalesce(*[F.when(path.contains(m), F.lit(m)) for m in months])
-    else:
-        tag = F.regexp_extract(path, _MONTH_IN_PATH, 1)
+        found = F.filter(F.array(*[F.lit(m) for m in months]), lambda m: F.contains(path, m))
+        return raw.select("user_id", "keyword", F.explode(found).alias("month_yyyymm"))
+    found = F.regexp_extract(path, _MONTH_IN_PATH, 1)
+    tag = F.when(found != "", found).otherwise(F.raise_error(F.concat(F.lit("no yyyymm in "), path)).cast("string"))
     return raw.select("user_id", "keyword", tag.alias("month_yyyymm"))
 
 
+# Standard CSV: quotes doubled, line breaks inside quotes, white space and "" kept apart from NULL.
+# (the reader takes its empty value for NULL, so "" is read as a character and put back).
+EMPTY = "\x00"
+CSV_READ = {"header": "true", "escape": '"', "multiLine": "true", "emptyValue": EMPTY,
+            "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+CSV_WRITE = {"header": "true", "escape": '"', "emptyValue": '""',
+             "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def read_genre_mapping(spark: SparkSession, path: str) -> DataFrame:
     """The keyword -> genre CSV (header line, all strings)."""
-    return spark.read.schema(GENRE_MAPPING_SCHEMA).option("header", "true").csv(path)
+    raw = spark.read.schema(GENRE_MAPPING_SCHEMA).options(**CSV_READ).csv(path)
+    return raw.select(*[F.when(F.col(c) == EMPTY, "").otherwise(F.col(c)).alias(c) for c in raw.columns])
 
 
 def write_genre_mapping(mapping: DataFrame, path: str) -> None:
     """Write a keyword -> genre mapping as CSV with header (a folder of part files)."""
     (mapping.select("most_searched", "Genre")
-     .write.mode("overwrite").option("header", "true").csv(path))
+     .write.mode("overwrite").options(**CSV_WRITE).csv(path))
 
 
 def export_distinct_programs(previous: DataFrame, current: DataFrame, path: str) -> DataFrame:
@@ -118,5 +148,5 @@ def export_distinct_programs(previous: DataFrame, current: DataFrame, path: str)
     programs = (previous.select("most_searched")
                 .unionByName(current.select("most_searched"))
                 .distinct())
-    programs.write.mode("overwrite").option("header", "true").csv(path)
+    programs.write.mode("overwrite").options(**CSV_WRITE).csv(path)
     return programs
