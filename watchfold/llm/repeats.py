@@ -13,10 +13,11 @@ window would move many times the corpus, so windows travel in runs:
 2. Records meet by anchor. Of equal runs all but the first are repeats as a whole.
    First runs are over, too, if no other content surrounds their anchor; the rest
    is open: parts of them may repeat.
-3. The windows of open runs meet one by one (their hashes, run by run).
+3. Open runs meet by anchor once more, with their elements: as the hash of each window,
+   or, for bytes, as they are, to be sorted as suffixes (``Windows.compare``).
 
-A record carries 128 bits of hash, a window of an open run 64 bits besides its
-anchor's place. Records travel in blocks, one row per batch and bucket. Equal
+A record carries 128 bits of hash, a hashed window of an open run 64 bits besides its
+anchor. Records travel in blocks, one row per batch and bucket. Equal
 ones of a batch are reduced to the first before they travel, so copies, however
 many, are few records. Anchors that are frequent in a sample of the documents
 (a line or passage that very many share) are dealt out by content, not by anchor;
@@ -53,7 +54,9 @@ HOT_SAMPLE = 10_000              # documents in the sample that finds them
 OPEN_HOT = 256                   # contents of one anchor, beyond which its windows are dealt singly
 BYTES_PER_TASK = 6_000_000
 DONE, OPEN, OPEN_SINGLY = 0, 1, 2
-SPANS = "bucket int, doc binary, lo binary, n binary, mode binary, anchor binary"
+SPANS = "bucket int, doc binary, lo binary, n binary, at binary, mode binary, anchor binary"
+MET = "bucket int, doc binary, lo binary, n binary, at binary, mode binary, payload binary"
+HASH_BYTES = 8
 
 
 @dataclass(frozen=True)
@@ -65,6 +68,9 @@ class Windows:
     left: int                                       # elements before it that its priority reads
     elements: Callable                              # () -> f(data, offsets) -> (values, bounds)
     priority: Callable | None = None                # f(values, grams) -> priority of each position
+    # How open runs compare by their bytes: f(doc, lo, n, at, context, width) -> one flag per
+    # window, in order of runs and places; without it their windows compare by hash.
+    compare: Callable | None = None
 
 
 def sliding_min(a: np.ndarray, width: int) -> np.ndarray:
@@ -79,7 +85,8 @@ def sliding_min(a: np.ndarray, width: int) -> np.ndarray:
 
 
 class RunFinder:
-    """Runs of a group of rows: (anchor, content, row, first window, windows)."""
+    """Runs of a group of rows: (anchor, content, row, first window, windows, anchor's place
+    in the first window)."""
 
     def __init__(self, spec: Windows):
         self.spec, self.rolling = spec, Rolling(seed=11)
@@ -98,7 +105,7 @@ class RunFinder:
         spec, n = self.spec, len(values)
         if n < spec.width:
             none = np.zeros(0, np.int64)
-            return np.zeros(0, np.uint64), np.zeros(0, np.uint64), none, none, none
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint64), none, none, none, none
         self.rolling.load_values(values)
         grams = mix64(self.rolling.windows(spec.gram))
         rank = grams if spec.priority is None else spec.priority(values, grams)
@@ -116,7 +123,7 @@ class RunFinder:
         content = self.rolling.of(lo, lo + count - 1 + spec.width)
         content = mix64(content + (at - lo).astype(np.uint64) * np.uint64(0x9E37)
                         + count.astype(np.uint64) * np.uint64(0x79B97F4A7C15F39C))
-        return grams[at], content, owner[lo], lo + offset, count
+        return grams[at], content, owner[lo], lo + offset, count, at - lo
 
 
 def doc_bucket(doc: np.ndarray, buckets: int) -> np.ndarray:
@@ -139,8 +146,8 @@ def _pack(columns: dict[str, np.ndarray], buckets: np.ndarray, n: int):
                 for k, v in columns.items()})
 
 
-TYPES = {"doc": np.int64, "lo": np.int32, "n": np.int32, "mode": np.int8, "anchor": np.uint64,
-         "content": np.uint64, "hash": np.uint64}
+TYPES = {"doc": np.int64, "lo": np.int32, "n": np.int32, "at": np.int16, "mode": np.int8,
+         "anchor": np.uint64, "content": np.uint64, "payload": np.uint8}
 
 
 def _unpack(batches, names) -> dict[str, np.ndarray]:
@@ -166,10 +173,10 @@ def _runs_of_batch(batch, spec, elements, finder):
     parts = []
     for a, b in doc_groups(offsets):
         values, bounds = elements(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-        anchor, content, row, lo, n = finder(values, bounds)
-        parts.append((anchor, content, ids[a:b][row], lo.astype(np.int32), n.astype(np.int32)))
+        anchor, content, row, lo, n, at = finder(values, bounds)
+        parts.append((anchor, content, ids[a:b][row], lo.astype(np.int32), n.astype(np.int32), at.astype(np.int16)))
     if not parts:
-        return [np.zeros(0, TYPES[k]) for k in ("anchor", "content", "doc", "lo", "n")]
+        return [np.zeros(0, TYPES[k]) for k in ("anchor", "content", "doc", "lo", "n", "at")]
     return [np.concatenate(x) for x in zip(*parts)]
 
 
@@ -219,23 +226,23 @@ def repeated_windows(docs: DataFrame, spec: Windows) -> tuple[DataFrame, DataFra
     spark = docs.sparkSession
     size, rows = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
     parts = max(shuffle_parts(spark), -(-size // BYTES_PER_TASK))
-    buckets = 4 * parts + 1
+    buckets = 4 * parts + 1                         # of documents; records go to ``parts``
     hot = spark.sparkContext.broadcast(hot_anchors(docs, spec, rows))
-    record = ("doc", "lo", "n", "anchor", "content")
+    record = ("doc", "lo", "n", "at", "anchor", "content")
     sent_schema = "bucket int, " + ", ".join(f"{k} binary" for k in (*record, "mode"))
 
     def send(batches):
         elements, finder = spec.elements(), RunFinder(spec)
         for batch in batches:
-            anchor, content, doc, lo, n = _runs_of_batch(batch, spec, elements, finder)
+            anchor, content, doc, lo, n, at = _runs_of_batch(batch, spec, elements, finder)
             order, first, later = _later(doc, lo, anchor, content)
-            anchor, content, doc, lo, n = (x[order] for x in (anchor, content, doc, lo, n))
+            anchor, content, doc, lo, n, at = (x[order] for x in (anchor, content, doc, lo, n, at))
             kept = first | later            # a repeated row of the table is neither
             by = np.where(_is_in(anchor, hot.value), mix64(anchor + content), anchor)
             done = np.where(later, DONE, OPEN).astype(np.int8)
-            yield from _pack({"doc": doc[kept], "lo": lo[kept], "n": n[kept], "anchor": anchor[kept],
-                              "content": content[kept], "mode": done[kept]},
-                             (by[kept] % np.uint64(buckets)).astype(np.int64), buckets)
+            yield from _pack({"doc": doc[kept], "lo": lo[kept], "n": n[kept], "at": at[kept],
+                              "anchor": anchor[kept], "content": content[kept], "mode": done[kept]},
+                             (by[kept] % np.uint64(parts)).astype(np.int64), parts)
 
     def meet(batches):
         r = _unpack(batches, (*record, "mode"))
@@ -252,103 +259,124 @@ def repeated_windows(docs: DataFrame, spec: Windows) -> tuple[DataFrame, DataFra
         mode = np.where(later, DONE, np.where(singly, OPEN_SINGLY, OPEN)).astype(np.int8)
         kept = later | (first & several)
         live["mode"] = mode
-        out = {k: np.concatenate([live[k][kept], r[k][over]]) for k in ("doc", "lo", "n", "mode", "anchor")}
+        out = {k: np.concatenate([live[k][kept], r[k][over]]) for k in ("doc", "lo", "n", "at", "mode", "anchor")}
         yield from _pack(out, doc_bucket(out["doc"], buckets), buckets)
 
-    blocks = (docs.select("doc_id", "text").mapInArrow(send, sent_schema).repartition(parts, "bucket").mapInArrow(meet, SPANS))
+    blocks = (docs.select("doc_id", "text").mapInArrow(send, sent_schema)
+              .repartitionById(parts, "bucket").mapInArrow(meet, SPANS))
     blocks = materialise(blocks)
     texts = docs.select(doc_bucket_column(F.col("doc_id"), buckets).alias("bucket"), *docs.columns)
 
-    def open_windows(texts, blocks):
-        """Hashes of the windows of open runs of one bucket of documents."""
-        r = _unpack(blocks.to_batches(), ("doc", "lo", "n", "mode", "anchor"))
+    def open_runs(texts, blocks):
+        """The open runs of one bucket of documents, with their elements."""
+        r = _unpack(blocks.to_batches(), ("doc", "lo", "n", "at", "mode", "anchor"))
         open_ = r["mode"] != DONE
-        r = {k: v[open_] for k, v in r.items()}
+        order = np.lexsort((r["lo"][open_], r["doc"][open_]))
+        r = {k: v[open_][order] for k, v in r.items()}
         elements, rolling = spec.elements(), Rolling(seed=13)
-        out = []
-        if len(r["doc"]):
-            order = np.lexsort((r["lo"], r["doc"]))
-            r = {k: v[order] for k, v in r.items()}
-            seen = set()
-            for doc, text in zip(texts.column("doc_id").to_pylist(), texts.column("text")):
-                a, b = np.searchsorted(r["doc"], [doc, doc + 1])
-                if a == b or doc in seen or not text.is_valid:
-                    continue
-                seen.add(doc)
-                data = np.frombuffer(text.as_buffer(), np.uint8)
+        found, seen = [], set()
+        for doc, text in zip(texts.column("doc_id").to_pylist(), texts.column("text")):
+            a, b = np.searchsorted(r["doc"], [doc, doc + 1])
+            if a == b or doc in seen or not text.is_valid:
+                continue
+            seen.add(doc)
+            data = np.frombuffer(text.as_buffer(), np.uint8)
+            raw = (r["mode"][a:b] == OPEN) & (spec.compare is not None)
+            values = data
+            if not raw.all():
                 values, _ = elements(data, np.array([0, len(data)]))
                 rolling.load_values(values)
-                n = r["n"][a:b]
-                pos = np.repeat(r["lo"][a:b] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                pos = np.minimum(pos, len(values) - spec.width)
-                out.append((np.arange(a, b), mix64(rolling.of(pos, pos + spec.width))))
-        if not out:
-            return pa.table({k: pa.array([], t) for k, t in
-                             (("bucket", pa.int32()), *((c, pa.binary()) for c in ("doc", "lo", "n", "hash", "mode")))})
-        run, hashes = (np.concatenate(x) for x in zip(*out))
-        r = {k: v[run] for k, v in r.items()}
-        owner = np.repeat(np.arange(len(run)), r["n"])
-        start = np.cumsum(r["n"]) - r["n"]
-        place = r["lo"][owner] + (np.arange(len(owner)) - start[owner]).astype(np.int32)
+            for part, own in ((True, np.flatnonzero(raw)), (False, np.flatnonzero(~raw))):
+                if not len(own):
+                    continue
+                lo = r["lo"][a:b][own]
+                size = r["n"][a:b][own] + (spec.width - 1 if part else 0)
+                pos = np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                if part:
+                    found.append((a + own, size, data[np.minimum(pos, len(data) - 1)]))
+                else:
+                    pos = np.minimum(pos, len(values) - spec.width)
+                    found.append((a + own, size, mix64(rolling.of(pos, pos + spec.width))))
         rows = []
-        single = r["mode"][owner] == OPEN_SINGLY        # each window by its own hash
-        if single.any():
-            doc, pos, h = r["doc"][owner][single], place[single], hashes[single]
-            order, first, later = _later(doc, pos, h)
-            doc, pos, h = doc[order], pos[order], h[order]
-            by = (h % np.uint64(buckets)).astype(np.int64)
-            rows += _pack({"doc": doc[first], "lo": pos[first], "n": np.ones(first.sum(), np.int32),
-                           "hash": h[first], "mode": np.full(first.sum(), OPEN, np.int8)}, by[first], buckets)
-            order = np.lexsort((pos[later], doc[later]))
-            gone = _flagged_runs(doc[later][order], pos[later][order], np.ones(later.sum(), bool))
-            rows += _pack({"doc": gone[0], "lo": gone[1], "n": gone[2],
-                           "hash": np.zeros(len(gone[0]), np.uint64),
-                           "mode": np.full(len(gone[0]), DONE, np.int8)},
-                          doc_bucket(gone[0], buckets), buckets)
-        whole = r["mode"] == OPEN                       # the others stay runs, by their anchor
-        if whole.any():
-            by = (r["anchor"][whole] % np.uint64(buckets)).astype(np.int64)
-            order, cut = bucket_slices(by, buckets)
-            runs = np.flatnonzero(whole)[order]
-            n = r["n"][runs]
-            first = np.concatenate([[0], np.cumsum(n)])
-            h = hashes[np.repeat(start[runs] - first[:-1], n) + np.arange(n.sum())]
-            full = np.flatnonzero(np.diff(cut))
-            column = lambda v: pa.array([v[cut[b]:cut[b + 1]].tobytes() for b in full], pa.binary())
-            rows.append(pa.RecordBatch.from_pydict({
-                "bucket": pa.array(full, pa.int32()), "doc": column(r["doc"][runs]),
-                "lo": column(r["lo"][runs]), "n": column(n),
-                "hash": pa.array([h[first[cut[b]]:first[cut[b + 1]]].tobytes() for b in full], pa.binary()),
-                "mode": column(r["mode"][runs])}))
+        for kind, unit in ((np.uint8, 1), (np.uint64, HASH_BYTES)):
+            chosen = [f for f in found if f[2].dtype == kind]
+            if not chosen:
+                continue
+            run, size, payload = (np.concatenate(x) for x in zip(*chosen))
+            single = r["mode"][run] == OPEN_SINGLY
+            if single.any():
+                rows += _single_windows(r, run, size, payload, single)
+            rows += _whole_runs(r, run[~single], size[~single], (np.cumsum(size) - size)[~single], payload)
+        if not rows:
+            rows = [pa.RecordBatch.from_pydict({"bucket": pa.array([], pa.int32())} | {
+                k: pa.array([], pa.binary()) for k in ("doc", "lo", "n", "at", "mode", "payload")})]
         return pa.Table.from_batches(rows)
 
+    def _single_windows(r, run, size, hashes, single):
+        """Blocks of windows dealt by their own hash, equal ones reduced to the first."""
+        owner = np.repeat(np.arange(len(run)), size)
+        place = r["lo"][run][owner] + (np.arange(len(owner)) - (np.cumsum(size) - size)[owner]).astype(np.int32)
+        taken = single[owner]
+        doc, pos, h = r["doc"][run][owner][taken], place[taken], hashes[taken]
+        order, first, later = _later(doc, pos, h)
+        doc, pos, h = doc[order], pos[order], h[order]
+        n = int(first.sum())
+        yield from _pack({"doc": doc[first], "lo": pos[first], "n": np.ones(n, np.int32),
+                          "at": np.zeros(n, np.int16), "mode": np.full(n, OPEN_SINGLY, np.int8),
+                          "payload": h[first]}, (h[first] % np.uint64(parts)).astype(np.int64), parts)
+        order = np.lexsort((pos[later], doc[later]))
+        doc, lo, count = _flagged_runs(doc[later][order], pos[later][order], np.ones(int(later.sum()), bool))
+        yield from _pack({"doc": doc, "lo": lo, "n": count, "at": np.zeros(len(doc), np.int16),
+                          "mode": np.full(len(doc), DONE, np.int8), "payload": np.zeros(len(doc), np.uint64)},
+                         np.mod(doc_bucket(doc, buckets), parts), parts)
+
+    def _whole_runs(r, run, size, start, payload):
+        """Blocks of runs dealt by their anchor, with the payload of each."""
+        order, cut = bucket_slices((r["anchor"][run] % np.uint64(parts)).astype(np.int64), parts)
+        run, size, start = run[order], size[order], start[order]
+        first = np.concatenate([[0], np.cumsum(size)])
+        payload = payload[np.repeat(start - first[:-1], size) + np.arange(first[-1])]
+        full = np.flatnonzero(np.diff(cut))
+        block = lambda v: pa.array([v[cut[b]:cut[b + 1]].tobytes() for b in full], pa.binary())
+        yield pa.RecordBatch.from_pydict(
+            {"bucket": pa.array(full, pa.int32())} | {k: block(r[k][run]) for k in ("doc", "lo", "n", "at", "mode")}
+            | {"payload": pa.array([payload[first[cut[b]]:first[cut[b + 1]]].tobytes() for b in full], pa.binary())})
+
     def compare(batches):
         """Windows of open runs that also start earlier, as runs."""
-        r = _unpack(batches, ("doc", "lo", "n", "hash", "mode"))
-        over = r["mode"] == DONE
-        gone = {k: r[k][over] for k in ("doc", "lo", "n")}
-        n = r["n"]
-        hashed = np.where(over, 1, n)                   # a done run carries one unused hash
-        starts = np.cumsum(hashed) - hashed
-        runs = np.flatnonzero(~over)
-        m = n[runs]
-        first = np.cumsum(m) - m
-        at = np.repeat(starts[runs] - first, m) + np.arange(m.sum())
-        h = r["hash"][at]
-        doc = np.repeat(r["doc"][runs], m)
-        pos = (np.repeat(r["lo"][runs] - first, m) + np.arange(m.sum())).astype(np.int32)
-        order, _, later = _later(doc, pos, h)
-        flag = np.zeros(len(h), bool)
-        flag[order[later]] = True
-        doc2, lo2, n2 = _flagged_runs(doc, pos, flag)
-        out = {"doc": np.concatenate([gone["doc"], doc2]), "lo": np.concatenate([gone["lo"], lo2]),
-               "n": np.concatenate([gone["n"], n2])}
-        out |= {"mode": np.zeros(len(out["doc"]), np.int8), "anchor": np.zeros(len(out["doc"]), np.uint64)}
-        yield from _pack(out, doc_bucket(out["doc"], buckets), buckets)
-
-    windows = (texts.groupBy("bucket").cogroup(blocks.groupBy("bucket")).applyInArrow(
-        open_windows, "bucket int, doc binary, lo binary, n binary, hash binary, mode binary"))
-    found = windows.repartition(parts, "bucket").mapInArrow(compare, SPANS)
+        r = _unpack(batches, ("doc", "lo", "n", "at", "mode", "payload"))
+        mode, payload = r.pop("mode"), r.pop("payload")
+        raw = (mode == OPEN) & (spec.compare is not None)
+        size = np.where(raw, r["n"] + spec.width - 1, HASH_BYTES * np.where(mode == OPEN, r["n"], 1)).astype(np.int64)
+        start = np.cumsum(size) - size
+        out = [tuple(r[k][mode == DONE] for k in ("doc", "lo", "n"))]
+
+        def taken(which):
+            at = np.repeat(start[which] - (np.cumsum(size[which]) - size[which]), size[which])
+            return payload[at + np.arange(len(at))]
+
+        def windows_of(which):
+            n = r["n"][which]
+            doc = np.repeat(r["doc"][which], n)
+            return doc, (np.repeat(r["lo"][which] - (np.cumsum(n) - n), n) + np.arange(n.sum())).astype(np.int32)
+
+        hashed, direct = np.flatnonzero(~raw & (mode != DONE)), np.flatnonzero(raw)
+        if len(hashed):
+            doc, pos = windows_of(hashed)
+            order, _, later = _later(doc, pos, taken(hashed).view(np.uint64))
+            flag = np.zeros(len(doc), bool)
+            flag[order[later]] = True
+            out.append(_flagged_runs(doc, pos, flag))
+        if len(direct):
+            flag = spec.compare(*(r[k][direct] for k in ("doc", "lo", "n", "at")), taken(direct), spec.width)
+            out.append(_flagged_runs(*windows_of(direct), flag))
+        doc, lo, n = (np.concatenate(x) for x in zip(*out))
+        yield from _pack({"doc": doc, "lo": lo, "n": n, "at": np.zeros(len(doc), np.int16),
+                          "mode": np.zeros(len(doc), np.int8), "anchor": np.zeros(len(doc), np.uint64)},
+                         doc_bucket(doc, buckets), buckets)
+
+    met = texts.groupBy("bucket").cogroup(blocks.groupBy("bucket")).applyInArrow(open_runs, MET)
+    found = met.repartitionById(parts, "bucket").mapInArrow(compare, SPANS)
     return texts, blocks.union(found), buckets
 
 

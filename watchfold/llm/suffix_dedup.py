@@ -1,4 +1,30 @@
-"""Byte-level dedup of long repeats."""
+"""Byte-level dedup of long repeats by a distributed suffix sort on a difference cover.
+
+A difference cover is a sample of positions such that any two equal strings have a
+sampled position at the same offset; sorting the sampled suffixes then settles the
+rest. A cover of fixed residues would send two thirds (or, for larger periods, a
+fifth) of all byte positions through several sorts, many times the corpus. Here the
+sample is chosen by content (the least 24-byte hash among a window's positions,
+one position in forty), which has the same property for strings of ``width`` bytes.
+
+1. Sampled positions whose whole surroundings repeat, or do not repeat at all, are
+   settled by :mod:`watchfold.llm.repeats`; the others meet by their sample.
+2. There the suffixes that start at the sampled positions are sorted: triples of bytes
+   get names in order, triples of names get names, until a name spans the suffix.
+   The same is done with the reversed texts before the samples.
+3. The remaining suffixes, those that start ``k`` bytes before a sample, are merged in
+   as pairs of the ``k`` bytes and the sampled suffix: two agree on ``width`` bytes if
+   the sorted neighbours between them share ``k`` bytes to the left and ``width - k``
+   to the right of the sample. This is read off the adjacent common prefixes.
+
+All of it compares bytes, not hashes. (Around a sample with more than
+``repeats.OPEN_HOT`` different surroundings, windows are dealt out one by one by a
+64-bit hash instead, so that no task gets them all.)
+
+Defined cases: a null text is empty; a text shorter than ``width`` is kept; a null
+``doc_id`` counts as the smallest; repeated rows of one ``doc_id`` are one document
+and come back each; a table without rows gives no rows; other columns are ignored.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from watchfold.llm.common import byte_table, read_table
+from watchfold.llm.common import byte_table, read_table, run_starts
 from watchfold.llm.repeats import Windows, covered, keyed, repeated_windows, unkeyed
 
 WIDTH = 100
@@ -27,7 +53,68 @@ def byte_elements():
 
 
 def byte_windows(width: int = WIDTH) -> Windows:
-    return Windows(width, min(GRAM, width), 0, byte_elements)
+    return Windows(width, min(GRAM, width), 0, byte_elements, None, repeated_suffixes)
+
+
+def name_triples(rows: np.ndarray) -> np.ndarray:
+    """Names, in lexicographic order, of the triples of each row's numbers (padded with 0)."""
+    pad = -rows.shape[1] % 3
+    if pad:
+        rows = np.concatenate([rows, np.zeros((len(rows), pad), rows.dtype)], axis=1)
+    bits = int(rows.max(initial=0)).bit_length()
+    if 3 * bits > 63:                          # rank the numbers first, then the pairs
+        a, b, c = (np.unique(rows[:, k::3], return_inverse=True)[1].reshape(len(rows), -1) for k in range(3))
+        pairs = np.unique(a * (b.max(initial=0) + 1) + b, return_inverse=True)[1].reshape(a.shape)
+        triples = pairs * (c.max(initial=0) + 1) + c
+        return np.unique(triples, return_inverse=True)[1].reshape(triples.shape) + 1
+    a, b, c = (rows[:, k::3].astype(np.int64) for k in range(3))
+    triples = (a << (2 * bits)) | (b << bits) | c
+    return np.unique(triples, return_inverse=True)[1].reshape(triples.shape) + 1
+
+
+def sort_suffixes(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order of the rows, common prefix of each with the row before it in that order)."""
+    names = rows.astype(np.int64) + 1
+    while names.shape[1] > 1:
+        names = name_triples(names)
+    order = np.argsort(names[:, 0], kind="stable")
+    common = np.zeros(len(rows), np.int64)
+    for lo in range(1, len(rows), 20_000):
+        part = slice(lo, min(lo + 20_000, len(rows)))
+        differs = rows[order[part]] != rows[order[lo - 1:part.stop - 1]]
+        common[part] = np.where(differs.any(1), differs.argmax(1), rows.shape[1])
+    return order, common
+
+
+def repeated_suffixes(doc, lo, n, at, context, width) -> np.ndarray:
+    """For runs with their bytes: which of their windows also start earlier. ``at`` is the
+    sample's place in a run's first window; window ``k`` of it starts ``at - k`` before."""
+    size = n.astype(np.int64) + width - 1
+    start = np.cumsum(size) - size
+    at = at.astype(np.int64)
+    reach = int(at.max()) if len(at) else 0
+    right = np.arange(width)
+    ahead = np.where(right < (size - at)[:, None], context[np.minimum((start + at)[:, None] + right, len(context) - 1)], 0)
+    left = np.arange(1, reach + 1)
+    behind = np.where(left <= at[:, None], context[np.maximum((start + at)[:, None] - left, 0)], 0)
+    order_r, common_r = sort_suffixes(ahead)
+    order_l, common_l = sort_suffixes(behind) if reach else (np.arange(len(doc)), np.zeros(len(doc), np.int64))
+    flags = np.zeros(int(n.sum()), bool)
+    first = np.cumsum(n) - n                    # of each run's windows
+    by_place = np.lexsort((lo, doc))
+    names_r, names_l = np.zeros(len(doc), np.int64), np.zeros(len(doc), np.int64)
+    for k in range(reach + 1):                  # windows that start k bytes before their sample
+        names_r[order_r] = np.cumsum(common_r < width - k)
+        names_l[order_l] = np.cumsum(common_l < k) if k else 0
+        here = by_place[(at[by_place] >= k) & (at[by_place] - k < n[by_place])]
+        key = names_l[here] * (len(doc) + 1) + names_r[here]
+        order = np.argsort(key, kind="stable")  # runs of one name, by document and place
+        runs = here[order]
+        new = run_starts(key[order])
+        head = runs[np.maximum.accumulate(np.where(new, np.arange(len(runs)), 0))]
+        later = (doc[runs] != doc[head]) | (lo[runs] + at[runs] != lo[head] + at[head])
+        flags[first[runs] + at[runs] - k] = later
+    return flags
 
 
 def dedup(docs: DataFrame, width: int = WIDTH, with_text: bool = True) -> DataFrame:
