@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import importlib
 
+from watchfold.llm.oracle import ORACLE_SQL
+
 MODULES = ["language_id", "bpe", "ngram_join", "substring_dedup", "suffix_dedup", "decontamination", "token_counts",
            "fingerprints", "quality", "licenses"]
 
 QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
 for _name in MODULES:
-    _module = importlib.import_module(f"{__name__}.{_name}")
-    QUERIES.update(_module.QUERIES)
-    ORACLE_SQL.update(getattr(_module, "ORACLE_SQL", {}))
+    QUERIES.update(importlib.import_module(f"{__name__}.{_name}").QUERIES)
+
+__all__ = ["MODULES", "ORACLE_SQL", "QUERIES"]
