@@ -33,13 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from watchfold.llm.cgk import walk_steps
-from watchfold.llm.common import materialise, mix64, read_table, shuffle_parts
+from watchfold.llm.common import materialise, mix64, read_table, release, shuffle_parts
 from watchfold.llm.components import connected_components
 from watchfold.llm.repeats import NO_ID, keyed, unkeyed
 
 SAMPLES = 128                    # places of a fingerprint at least (for texts that long)
 PERIOD = 1 << 14                 # steps after which the random bits repeat
-BANDS, BAND_PLACES = 8, 4
+BANDS, BAND_PLACES = 8, 8        # 32 bits a band
 ALIKE = 0.6                      # likeness of verified pairs
 BYTES_PER_TASK = 8_000_000
 DIGITS = "0123456789abcdef"
@@ -62,13 +62,12 @@ class Embedder:
         return max(0, (2 * n_chars // SAMPLES).bit_length() - 1) if n_chars else 0
 
     def sampled(self, level: int, steps: int) -> list[int]:
-        """Sampled places of a level, at least up to ``steps`` (255 is the longest step)."""
+        """Sampled places of a level, at least up to ``steps``, and an end mark."""
         if steps > self.reach:
             self.reach, self.places = 2 * steps, {}
         if level not in self.places:
-            at = np.arange(self.reach + 1, dtype=np.uint64)
-            low = mix64(at + np.uint64(77)) & np.uint64((1 << level) - 1)
-            self.places[level] = [*np.flatnonzero(low == 0).tolist(), 1 << 62]
+            at = np.arange(self.reach + 1)
+            self.places[level] = [*np.flatnonzero(in_level(at, level)).tolist(), 1 << 62]
         return self.places[level]
 
     @staticmethod
@@ -89,60 +88,60 @@ class Embedder:
         return step, k, out
 
     def _places(self, n: int):
-        return self.sampled(self.level(n), 255 * min(n, 4096) + 4 * n)
+        return self.sampled(self.level(n), 4 * n + PERIOD)
 
     def both(self, text: str, edit: str, kept: int) -> tuple[str, str]:
         """Fingerprints of the text and of its first ``kept`` characters followed by ``edit``."""
-        places, n = self._places(len(text)), kept + len(edit)
-        symbols = self.symbols(text)
-        step, k, head = self.walk(symbols[:kept], places)
-        end, _, tail = self.walk(symbols[kept:], places, step, k)
-        own = f"{end:x}:{''.join(head)}{''.join(tail)}"
-        if self.level(n) != self.level(len(text)):
-            step, k, head = self.walk(symbols[:kept], self._places(n))
-        end, _, tail = self.walk(self.symbols(edit), self._places(n), step, k)
-        return own, f"{end:x}:{''.join(head)}{''.join(tail)}"
+        n = kept + len(edit)
+        symbols, edit = self.symbols(text), self.symbols(edit)
+        while True:
+            places = self._places(len(text))
+            step, k, head = self.walk(symbols[:kept], places)
+            end, _, tail = self.walk(symbols[kept:], places, step, k)
+            own = f"{end:x}:{''.join(head)}{''.join(tail)}"
+            if self.level(n) != self.level(len(text)):
+                step, k, head = self.walk(symbols[:kept], self._places(n))
+            other, _, tail = self.walk(edit, self._places(n), step, k)
+            if max(end, other) <= self.reach:
+                return own, f"{other:x}:{''.join(head)}{''.join(tail)}"
+            self.sampled(0, max(end, other))   # a walk of very long steps: sample further
 
     def likeness(self, a: str, n_a: int, b: str, n_b: int) -> float:
-        """Share of the places of the longer text at which both agree."""
+        """Share of the places of the longer walk at which both agree."""
         if a == b:
             return 1.0
         if not n_a or not n_b:
             return 0.0
-        (steps_a, digits_a), (steps_b, digits_b) = a.split(":"), b.split(":")
         level = max(self.level(n_a), self.level(n_b))
-        far = max(int(steps_a, 16), int(steps_b, 16))
-        at = self.sampled(level, far)
-        at = np.array(at[:np.searchsorted(at[:-1], far)], np.int64)
-        if not len(at):
-            return 0.0
-        agree = np.zeros(len(at), bool)
-        found = []
-        for digits, n in ((digits_a, n_a), (digits_b, n_b)):
-            own = np.array(self.sampled(self.level(n), far)[:len(digits)], np.int64)
-            mine = own[np.isin(own, at, assume_unique=True)]
-            found.append((len(mine), np.frombuffer(digits.encode(), np.uint8)[np.isin(own, at, assume_unique=True)]))
-        m = min(found[0][0], found[1][0])
-        agree[:m] = found[0][1][:m] == found[1][1][:m]
-        return float(agree.mean())
+        x, y = (self._digits(f, n, level) for f, n in ((a, n_a), (b, n_b)))
+        shared, longer = min(len(x), len(y)), max(len(x), len(y))
+        return float(np.count_nonzero(x[:shared] == y[:shared]) / longer) if longer else 0.0
+
+    def _digits(self, fingerprint: str, n: int, level: int) -> np.ndarray:
+        """The digits at the places of a level that is no finer than the fingerprint's."""
+        steps, digits = fingerprint.split(":")
+        own = np.frombuffer(digits.encode(), np.uint8)
+        if self.level(n) == level:
+            return own
+        return own[in_level(np.array(self.sampled(self.level(n), int(steps, 16))[:len(own)]), level)]
 
     def bands(self, fingerprint: str, n_chars: int) -> list[int]:
         """Keys of the text's bands, at its own level and the next coarser one."""
-        digits, own = fingerprint.split(":")[1], self.level(n_chars)
-        places = self.sampled(own, 1)[:len(digits)]
+        (steps, digits), own = fingerprint.split(":"), self.level(n_chars)
+        places = self.sampled(own, int(steps, 16))[:len(digits)]
         keys = []
         for level in (own, own + 1):
-            taken = [d for p, d in zip(places, digits) if level == own or not mix_bit(p, level)]
-            taken = taken[:BANDS * BAND_PLACES]
+            keep = in_level(np.array(places[:4 * BANDS * BAND_PLACES], np.int64), level)
+            taken = [d for d, k in zip(digits, keep.tolist()) if k][:BANDS * BAND_PLACES]
             for band in range(min(BANDS, len(taken))):
-                part = f"{level}/{band}/{''.join(taken[band::BANDS])}/{len(taken[band::BANDS])}"
-                keys.append(int.from_bytes(hashlib.blake2b(part.encode(), digest_size=8).digest(), "little", signed=True))
-        return keys or [0]
+                part = taken[band::BANDS]      # fewer places in a short text: another key
+                keys.append((((level << 8) + band << 8) + len(part) << 32) + int("".join(part), 16))
+        return keys or [-1]
 
 
-def mix_bit(place: int, level: int) -> bool:
-    """Whether a place is left out at ``level``."""
-    return bool(int(mix64(np.array([place + 77], np.uint64))[0]) & ((1 << level) - 1))
+def in_level(places: np.ndarray, level: int) -> np.ndarray:
+    """Which places a level samples; those of a coarser one are a subset."""
+    return mix64(places.astype(np.uint64) + np.uint64(77)) & np.uint64((1 << level) - 1) == 0
 
 
 def with_next(docs: DataFrame) -> tuple[DataFrame, int]:
@@ -183,7 +182,7 @@ def with_next(docs: DataFrame) -> tuple[DataFrame, int]:
 def fingerprint(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited text, and their likeness."""
     dealt, parts = with_next(keyed(docs))
-    ordered = dealt.repartition(parts, "bucket").sortWithinPartitions("bucket", "guest", "doc_id", "text")
+    ordered = dealt.repartitionById(parts, "bucket").sortWithinPartitions("bucket", "guest", "doc_id", "text")
 
     def run(batches):
         embedder = Embedder()
@@ -258,6 +257,7 @@ def near_groups(prints: DataFrame, alike: float = ALIKE) -> DataFrame:
 
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = materialise(fingerprint(read_table(spark, sf_dir, "documents")))
+    release(spark)                             # the shuffled texts
     groups = near_groups(prints).withColumnRenamed("doc_id", "member")
     return prints.join(groups, F.col("doc_id").eqNullSafe(F.col("member")), "left").drop("member")
 
