@@ -1,12 +1,13 @@
 """Helpers shared by the corpus operators: Arrow text buffers, word hashes, blocks.
 
-Texts reach Python as Arrow buffers and are worked on with numpy, a few
-megabytes at a time, so a task's memory does not depend on the number of rows
+Texts reach Python as Arrow buffers and are worked on with numpy, half a
+megabyte at a time, so a task's memory does not depend on the number of rows
 of its partition. Only one document at a time has to fit.
 """
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from watchfold.session import ensure_checkpoint_dir
 
-GROUP_BYTES = 2_000_000          # text handled by one numpy pass
+GROUP_BYTES = 500_000            # text handled by one numpy pass (some 30 times that in arrays)
 MASK64 = (1 << 64) - 1
 ROLL_BASE = 0x9E3779B97F4A7C15   # odd, so it has an inverse modulo 2**64
 
@@ -30,6 +31,13 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of shuffle files that nothing refers to any more: Spark removes them when the
+    driver's garbage is collected, which can take long on a driver that does little."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
