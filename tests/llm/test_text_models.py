@@ -160,6 +160,33 @@ def test_near_groups_find_edited_copies(spark):
     assert len({groups[k] for k in range(40)}) == 40
 
 
+def test_exact_copies_of_short_texts_meet(spark):
+    dice = random.Random(4)
+    words = ["".join(dice.choice("etaoinshrdlu") for _ in range(dice.randint(2, 8))) for _ in range(400)]
+    texts = sorted({" ".join(dice.choice(words) for _ in range(k)) for k in (1, 2, 2, 3) for _ in range(400)})
+    docs = [(10_000 * copy + k, t) for copy in (0, 1) for k, t in enumerate(texts)]
+    prints = fp.fingerprint(spark.createDataFrame(docs, "doc_id long, text string"))
+    groups = {r.doc_id: r.near_group for r in fp.near_groups(prints).collect()}
+    assert len(groups) == len(docs) and all(groups[k] == groups[10_000 + k] for k in range(len(texts)))
+
+
+def test_pairs_beside_the_hub_are_compared(spark, monkeypatch):
+    monkeypatch.setattr(fp.Embedder, "bands", lambda self, fingerprint, n_chars: np.array([1]))
+    dice = random.Random(8)
+    base = [" ".join(dice.choice("abcdefgh") * 4 for _ in range(60)) for _ in range(30)]
+    docs = [(2 * k + c, t + " end" * c) for k, t in enumerate(base) for c in (0, 1)]
+    prints = fp.fingerprint(spark.createDataFrame(docs, "doc_id long, text string"))
+    groups = {r.doc_id: r.near_group for r in fp.near_groups(prints).collect()}
+    assert all(groups[2 * k] == groups[2 * k + 1] for k in range(30))
+
+
+def test_a_doc_id_with_several_texts_is_one_node(spark):
+    rows = [(5, "abc " * 50), (3, "xyz, " * 40), (5, "xyz, " * 40), (9, "abc " * 50), (5, "other words"), (7, "other words")]
+    prints = fp.fingerprint(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = fp.near_groups(prints).collect()
+    assert sorted((r.doc_id, r.near_group) for r in got) == [(3, 3), (5, 3), (7, 3), (9, 3)]
+
+
 # --- quality -----------------------------------------------------------------------
 
 def test_quality_of_labelled_documents_kept_apart(spark):

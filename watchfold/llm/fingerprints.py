@@ -8,10 +8,12 @@ text's places are a subset of a shorter one's. It is a string: the number of
 steps, a colon, one hexadecimal digit per place. The likeness of two fingerprints
 is the share of the longer text's places at which both digits agree.
 
-Near groups: bands of a few places are the keys under which documents meet; each
-is compared with the smallest document of the band only, and the pairs whose
-likeness is verified are joined to groups. So the work of a group grows with its
-size, not its square.
+Near groups: texts of one length and fingerprint are one node (known by a 64-bit
+hash of both). Bands of a few places are the keys under
+which nodes meet. Each is compared with the smallest node of its band, and the pairs
+whose likeness is verified are joined to groups; then the pairs of a band that are
+still in different groups are all compared. So the work of a group grows with its
+size, not its square, and no pair of a band is left out.
 
 The next document (ascending doc_id) is found without a global sort: ids are
 range partitioned, the smallest of each range is known, and the texts go to their
@@ -219,25 +221,24 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     return unkeyed(ordered.mapInArrow(run, RESULT))
 
 
-def near_groups(prints: DataFrame, alike: float = ALIKE) -> DataFrame:
-    """doc_id and near_group, the smallest doc_id reachable over verified pairs."""
-    rows = prints.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "n_chars", "fingerprint")
-
+def banded(nodes: DataFrame) -> DataFrame:
+    """(node, component, band) for every band of the nodes."""
     def bands(batches):
         embedder = Embedder()
         for batch in batches:
-            ids, keys = [], []
-            for doc_id, n, text in zip(*(c.to_pylist() for c in batch.columns)):
-                own = embedder.bands(text, n)
-                keys += own
-                ids += [doc_id] * len(own)
-            yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "band": pa.array(keys, pa.int64())})
-
-    met = rows.mapInArrow(bands, "doc_id long, band long")
-    hubs = met.groupBy("band").agg(F.min("doc_id").alias("a"), F.count("*").alias("n")).filter("n > 1")
-    pairs = met.join(hubs, "band").filter("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
-    one = rows.groupBy("doc_id").agg(F.min(F.struct("n_chars", "fingerprint")).alias("f"))
+            keys = [embedder.bands(text, n) for n, text in
+                    zip(batch.column("n_chars").to_pylist(), batch.column("fingerprint").to_pylist())]
+            take = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node").take(take), batch.column("component").take(take),
+                 pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))],
+                names=["node", "component", "band"])
+
+    return nodes.mapInArrow(bands, "node long, component long, band long")
 
+
+def alike_pairs(pairs: DataFrame, nodes: DataFrame, alike: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose likeness is verified."""
     def verified(batches):
         embedder = Embedder()
         for batch in batches:
@@ -247,12 +248,52 @@ def near_groups(prints: DataFrame, alike: float = ALIKE) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]) \
                 .filter(pa.array(good, pa.bool_()))
 
-    links = (pairs.join(one.select(F.col("doc_id").alias("a"), F.col("f").alias("fa")), "a")
-             .join(one.select(F.col("doc_id").alias("b"), F.col("f").alias("fb")), "b")
-             .select("a", "b", "fa", "fb").mapInArrow(verified, "a long, b long"))
-    groups = connected_components(materialise(links))
-    return unkeyed(rows.select("doc_id").distinct().join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-                   .select("doc_id", F.coalesce("component", "doc_id").alias("near_group")))
+    one = nodes.select("node", F.struct("n_chars", "fingerprint").alias("f"))
+    return materialise(pairs.join(one.select(F.col("node").alias("a"), F.col("f").alias("fa")), "a")
+                       .join(one.select(F.col("node").alias("b"), F.col("f").alias("fb")), "b")
+                       .select("a", "b", "fa", "fb").mapInArrow(verified, "a long, b long"))
+
+
+def near_groups(prints: DataFrame, alike: float = ALIKE) -> DataFrame:
+    """doc_id and near_group, the smallest doc_id reachable over verified pairs."""
+    spark = prints.sparkSession
+    rows = prints.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "n_chars", "fingerprint",
+                         F.xxhash64("n_chars", "fingerprint").alias("node"))
+    nodes = materialise(rows.groupBy("node").agg(
+        F.min("doc_id").alias("first_doc"), F.min(F.struct("n_chars", "fingerprint")).alias("f"))
+        .select("node", "first_doc", "f.*"))
+    members = materialise(rows.select("doc_id", "node").distinct())
+    several = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1")
+    release(spark)
+    links = members.join(several, "doc_id").filter("a <> node").select("a", F.col("node").alias("b"))
+
+    met = banded(nodes.withColumn("component", F.col("node")))
+    hubs = met.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    stars = met.join(hubs, "band").filter("a <> node").select("a", F.col("node").alias("b")).distinct()
+    links = materialise(links.union(alike_pairs(stars, nodes, alike)))
+    release(spark)
+
+    # What is left: pairs of a band in different components, neither of them its hub.
+    parted = connected_components(links)
+    met = banded(nodes.join(parted, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    mixed = (met.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n"),
+                                     F.min("component").alias("lo"), F.max("component").alias("hi"))
+             .filter("n > 2 AND lo <> hi").select("band", "hub"))
+    left = materialise(met.join(mixed, "band").filter("node <> hub").drop("hub"))
+    release(spark)
+    one, two = (left.select("band", F.col("node").alias(f"node_{side}"), F.col("component").alias(f"component_{side}"))
+                for side in "ab")
+    crossing = (one.join(two, "band")
+                .filter("node_a < node_b AND component_a <> component_b")
+                .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
+    groups = connected_components(links.union(alike_pairs(crossing, nodes, alike)))
+    release(spark)
+
+    placed = nodes.join(groups, "node", "left").select(
+        "node", "first_doc", F.coalesce("component", "node").alias("component"))
+    smallest = placed.groupBy("component").agg(F.min("first_doc").alias("near_group"))
+    by_node = placed.join(smallest, "component").select("node", "near_group")
+    return unkeyed(members.join(by_node, "node").select("doc_id", "near_group").distinct())
 
 
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
