@@ -187,6 +187,25 @@ def test_a_doc_id_with_several_texts_is_one_node(spark):
     assert sorted((r.doc_id, r.near_group) for r in got) == [(3, 3), (5, 3), (7, 3), (9, 3)]
 
 
+def test_bands_meet_alike_pairs_wherever_they_differ():
+    e, dice = fp.Embedder(), random.Random(6)
+    words = ["".join(dice.choice("etaoinshrdlu") for _ in range(dice.randint(2, 8))) for _ in range(500)]
+    for n_words, spans in ((300, 6), (40, 4), (12, 1), (4, 1)):
+        alike = met = 0
+        for span in range(spans):              # changes in one part of the text
+            for _ in range(60):
+                a = [dice.choice(words) for _ in range(n_words)]
+                b, lo, hi = list(a), span * n_words // spans, (span + 1) * n_words // spans
+                for _ in range(max(1, dice.choice((2, 5, 10, 15)) * n_words // 100)):
+                    b[dice.randrange(lo, hi)] = dice.choice(words)
+                a, b = " ".join(a), " ".join(b)
+                f, g = (e.both(t, "", len(t))[0] for t in (a, b))
+                if e.likeness(f, len(a), g, len(b)) >= fp.ALIKE:
+                    alike += 1
+                    met += bool(set(e.bands(f, len(a))) & set(e.bands(g, len(b))))
+        assert alike >= 20 and met >= 0.97 * alike
+
+
 # --- quality -----------------------------------------------------------------------
 
 def test_quality_of_labelled_documents_kept_apart(spark):

@@ -9,7 +9,7 @@ steps, a colon, one hexadecimal digit per place. The likeness of two fingerprint
 is the share of the longer text's places at which both digits agree.
 
 Near groups: texts of one length and fingerprint are one node (known by a 64-bit
-hash of both). Bands of a few places are the keys under
+hash of both). Bands of neighbouring places, over the whole walk, are the keys under
 which nodes meet. Each is compared with the smallest node of its band, and the pairs
 whose likeness is verified are joined to groups; then the pairs of a band that are
 still in different groups are all compared. So the work of a group grows with its
@@ -41,7 +41,8 @@ from watchfold.llm.repeats import NO_ID, keyed, unkeyed
 
 SAMPLES = 128                    # places of a fingerprint at least (for texts that long)
 PERIOD = 1 << 14                 # steps after which the random bits repeat
-BANDS, BAND_PLACES = 8, 8        # 32 bits a band
+BAND_PLACES = 12                 # neighbouring places of a band
+SHORT_BANDS = [1, 2, 2, 3, 4, 6, 8]   # the same for walks of 1, 2-3, 4-7, ... 64-127 steps
 ALIKE = 0.6                      # likeness of verified pairs
 BYTES_PER_TASK = 8_000_000
 DIGITS = "0123456789abcdef"
@@ -127,18 +128,34 @@ class Embedder:
             return own
         return own[in_level(np.array(self.sampled(self.level(n), int(steps, 16))[:len(own)]), level)]
 
-    def bands(self, fingerprint: str, n_chars: int) -> list[int]:
-        """Keys of the text's bands, at its own level and the next coarser one."""
+    def bands(self, fingerprint: str, n_chars: int) -> np.ndarray:
+        """Keys of the text's bands, at its own level and the next coarser one. Short walks
+        have levels of their own, with fewer places a band the shorter they are."""
         (steps, digits), own = fingerprint.split(":"), self.level(n_chars)
-        places = self.sampled(own, int(steps, 16))[:len(digits)]
-        keys = []
-        for level in (own, own + 1):
-            keep = in_level(np.array(places[:4 * BANDS * BAND_PLACES], np.int64), level)
-            taken = [d for d, k in zip(digits, keep.tolist()) if k][:BANDS * BAND_PLACES]
-            for band in range(min(BANDS, len(taken))):
-                part = taken[band::BANDS]      # fewer places in a short text: another key
-                keys.append((((level << 8) + band << 8) + len(part) << 32) + int("".join(part), 16))
-        return keys or [-1]
+        if not digits:
+            return np.array([-1])
+        values = np.frombuffer(bytes.fromhex(digits + "0" * (len(digits) % 2)), np.uint8)
+        values = np.stack([values >> 4, values & 15], 1).ravel()[:len(digits)].astype(np.uint64)
+        if not own and len(digits) < 1 << len(SHORT_BANDS):
+            size = len(digits).bit_length() - 1
+            keys = [self.band_keys(values, size - len(SHORT_BANDS), SHORT_BANDS[size])]
+            size += 1
+            if size < len(SHORT_BANDS):
+                keys.append(self.band_keys(values, size - len(SHORT_BANDS), SHORT_BANDS[size]))
+            else:
+                keys.append(self.band_keys(values, 0, BAND_PLACES))
+        else:
+            places = np.array(self.sampled(own, int(steps, 16))[:len(digits)], np.int64)
+            keys = [self.band_keys(values, own, BAND_PLACES),
+                    self.band_keys(values[in_level(places, own + 1)], own + 1, BAND_PLACES)]
+        return np.concatenate(keys)
+
+    @staticmethod
+    def band_keys(values: np.ndarray, level: int, size: int) -> np.ndarray:
+        n = len(values) // size
+        packed = values[:n * size].reshape(n, size) @ (np.uint64(16) ** np.arange(size, dtype=np.uint64))
+        band = np.arange(n, dtype=np.uint64) + np.uint64((level + len(SHORT_BANDS)) << 32)
+        return mix64(packed + mix64(band)).view(np.int64)
 
 
 def in_level(places: np.ndarray, level: int) -> np.ndarray:
