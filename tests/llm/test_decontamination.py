@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from watchfold.llm import decontamination as dc
@@ -68,6 +69,18 @@ def test_recall_and_precision_against_brute_force(spark, rate, recall):
     assert len(true & got) >= recall * len(true) and got <= true
 
 
+@pytest.mark.parametrize("words,rate", [((15, 60), 0.15), ((15, 60), 0.2), ((8, 14), 0.1), ((8, 14), 0.2), ((5, 7), 0.2)])
+def test_recall_near_the_greatest_distance(words, rate):
+    items = [(i, text(DICE.randint(*words))) for i in range(150)]
+    docs = [(text(20) + " " + edited(t, rate) + " " + text(20)).encode() for _, t in items]
+    shortest = [dc.best_substring(dc.normal(t.encode()), dc.normal(d))[0] <= int(0.2 * len(dc.normal(t.encode())))
+                for (_, t), d in zip(items, docs)]
+    data, offsets = np.frombuffer(b"".join(docs), np.uint8), np.cumsum([0] + [len(d) for d in docs])
+    got = {(r[0], r[1]) for r in dc.Searcher(dc.Items(items, 0.2)).search(data, offsets)}
+    assert sum(shortest) >= 50
+    assert sum((k, k) in got for k, near in enumerate(shortest) if near) >= 0.98 * sum(shortest)
+
+
 def test_result_columns_and_defined_cases(spark):
     item = ITEMS[0][1]
     docs = [(1, "Début: " + item.upper().replace(" ", "  ")), (2, None), (3, ""), (4, item), (4, item),

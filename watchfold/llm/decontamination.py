@@ -9,17 +9,20 @@ a candidate, and the repetitions are as many as the target recall needs at the
 greatest distance looked for. Candidates are verified by the exact edit distance
 of the item to the best substring around the window.
 
-Windows have the item's size. Embedding one at every word of the corpus would cost
-hundreds of times the scan, so windows are laid where one of the item's word
-triples (or pairs of long words) stands, and both are walked from there; an item
-within the distance keeps some of these with a probability the tests measure. Texts are compared
-lower-cased (A-Z), with runs of ASCII punctuation and white space as one space.
+Windows have the item's size and are laid where enough of the item's byte q-grams
+stand on neighbouring diagonals. A long item is sought by long q-grams, with fewer
+asked for than random edits of the greatest distance leave; an item of under
+``EXACT_BYTES`` bytes by short ones, with as many as no edits within the distance can
+break, whatever its script or number of words. Item and window are walked from a
+shared q-gram. Texts are compared lower-cased (A-Z), with runs of ASCII punctuation
+and white space as one space.
 
 It is a map over whole texts: no shuffle. The benchmark is the query set: it is
 broadcast in blocks of at most ``BLOCK_BYTES``, one pass over the documents each.
 
-Defined cases: null or empty texts and items match nothing; an item of fewer than
-``MIN_WORDS`` words is not looked for; repeated rows are reported each; tables
+Defined cases: null or empty texts and items (or such of separators only) match
+nothing; an item so short that its distance allows no edit is found where it stands,
+inside of words too; repeated rows are reported each; tables
 without rows give no rows; other columns are ignored.
 """
 
@@ -33,14 +36,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from watchfold.llm.cgk import walk_steps
-from watchfold.llm.common import PUNCTUATION, WordHasher, doc_groups, mix64, read_table, text_buffer
+from watchfold.llm.common import PUNCTUATION, Rolling, doc_groups, mix64, read_table, text_buffer
 
 MAX_DISTANCE = 0.2               # edits per character of the item
 TARGET_RECALL = 0.98
 SAMPLED = 3                      # places of the walk in one repetition
-AGREEING = 0.55                  # share of places that agree at the greatest distance
-MIN_WORDS = 5
-LONG_PAIR = 9                    # bytes of both words of a seed pair together, at least
+AGREEING = 0.4                   # share of places that agree at the greatest distance
+WALKS = 4                        # the repetitions draw their places from so many walks
+SEEDS_TRIED = 4                  # q-grams of a window from which it is walked
+EXACT_BYTES = 50                 # items under this length are sought without loss
+GRAMS = [(50, 6, 10), (80, 7, 10), (150, 8, 12)]   # from this length on: bytes of a q-gram, item's bytes per one asked for
+MIN_WORDS = 5                    # an item of fewer is not looked for
 EARLY = 1.0                      # places lie within so many steps per character
 MIN_WALK = 12                    # characters; a shorter rest is verified at once
 BLOCK_BYTES = 32_000_000
@@ -54,18 +60,16 @@ def repetitions(target: float = TARGET_RECALL, agreeing: float = AGREEING, sampl
     return math.ceil(math.log(1 - target) / math.log(1 - agreeing ** sampled))
 
 
-def embed(text: bytes, steps: list[bytes], places: list[int]) -> tuple[int, ...]:
-    """The characters on which the walk stands at the given places, in ascending order."""
-    out, step, mask, todo = [], 0, PERIOD - 1, iter(places)
-    place = next(todo)
+def embed(text: bytes, steps: list[bytes], size: int) -> np.ndarray:
+    """The characters on which the walk stands in its first ``size`` steps; 0 after its end."""
+    moves, step, mask = [], 0, PERIOD - 1
     for c in text:
-        step += steps[c][step & mask]
-        while place < step:
-            out.append(c)
-            place = next(todo, None)
-            if place is None:
-                return tuple(out)
-    return tuple(out) + (0,) * (len(places) - len(out))      # the walk has ended: padding
+        moves.append(move := steps[c][step & mask])
+        step += move
+        if step >= size:
+            break
+    out = np.repeat(np.frombuffer(text[:len(moves)], np.uint8), moves)[:size]
+    return np.concatenate([out, np.zeros(size - len(out), np.uint8)])
 
 
 def normal(text: bytes) -> bytes:
@@ -97,130 +101,146 @@ def best_substring(item: bytes, text: bytes) -> tuple[int, int]:
     return best
 
 
+def gram_of(n: int, allowed: int) -> tuple[int, int]:
+    """Bytes of the q-grams by which an item of ``n`` bytes is sought, and how many are asked for."""
+    if n < EXACT_BYTES:
+        q = n // (allowed + 1)                   # an edit breaks q of the n - q + 1 at most
+        return q, max(1, n - q + 1 - allowed * q)
+    _, q, per = max(g for g in GRAMS if g[0] <= n)
+    return q, n // per
+
+
 class Items:
-    """The benchmark's items of one block with their seeds."""
+    """The benchmark's items of one block with their q-grams."""
 
     def __init__(self, rows: list[tuple[int, str]], max_distance: float):
-        hasher = WordHasher(lower=True, separators=PUNCTUATION)
-        self.rows, seeds = [], []
+        self.rows, grams = [], {}
+        rolling = Rolling()
         for item_id, text in rows:
-            raw = np.frombuffer((text or "").encode(), np.uint8)
-            words, _, starts, ends = hasher(raw, np.array([0, len(raw)]))
-            if len(words) < MIN_WORDS:
+            text = normal((text or "").encode())
+            if len(text.split()) < MIN_WORDS:
                 continue
-            k = len(self.rows)
-            places = np.append(0, np.cumsum(ends - starts + 1))      # of the words, as normalised
-            self.rows.append((item_id, normal(raw.tobytes()), len(words), places.tolist()))
-            for h, at in seed_hashes(words, np.zeros(len(words), np.int64), ends - starts):
-                seeds.append((h, np.full(len(at), k), at))
-        self.seeds, self.item, self.at = (
-            [np.concatenate(x) for x in zip(*seeds)] if seeds else
-            [np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)])
-        order = np.argsort(self.seeds, kind="stable")
-        self.seeds, self.item, self.at = self.seeds[order], self.item[order], self.at[order]
-        self.filter = np.zeros(1 << FILTER_BITS, bool)
-        self.filter[self.seeds >> np.uint64(64 - FILTER_BITS)] = True
-        self.words = np.array([r[2] for r in self.rows], np.int64)
-        self.max_distance = max_distance
-
-
-def seed_hashes(words, rows, lengths):
-    """Hashes and first words of the triples, and of the pairs of long words, of each row."""
-    for width in (3, 2):
-        if len(words) < width:
-            continue
-        at = rows[:len(rows) - width + 1] == rows[width - 1:]
-        if width == 2:
-            at &= lengths[:-1] + lengths[1:] >= LONG_PAIR
-        at = np.flatnonzero(at)
-        h = np.full(len(at), width, np.uint64)
-        for k in range(width):
-            h = h * np.uint64(0xD6E8FEB86659FD93) + words[at + k]
-        yield mix64(h), at
+            allowed = int(len(text) * max_distance)
+            q, asked = gram_of(len(text), allowed)
+            rolling.load(np.frombuffer(text, np.uint8))
+            hashes = rolling.windows(q)
+            grams.setdefault(q, []).append((hashes, np.full(len(hashes), len(self.rows)), np.arange(len(hashes))))
+            self.rows.append((item_id, text, q, asked, allowed))
+        self.grams = {}                          # q: (hashes in order, items, places, filter)
+        for q, parts in sorted(grams.items()):
+            hashes, item, at = (np.concatenate(x) for x in zip(*parts))
+            order = np.argsort(hashes, kind="stable")
+            known = np.zeros(1 << FILTER_BITS, bool)
+            known[hashes >> np.uint64(64 - FILTER_BITS)] = True
+            self.grams[q] = hashes[order], item[order], at[order], known
+        self.longest = max((len(r[1]) for r in self.rows), default=0)
+        self.asked, self.allowed = (np.array([r[c] for r in self.rows], np.int64) for c in (3, 4))
+
+
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+LOWER[PUNCTUATION] = 32
+
+
+def normal_group(data: np.ndarray, offsets: np.ndarray):
+    """(normalised bytes, place of each in ``data``, offsets of the rows) of a group of texts;
+    a row may end in a space."""
+    inside = ~PUNCTUATION[data]
+    keep = inside.copy()
+    keep[1:] |= inside[:-1]                      # the first separator of a run
+    starts = offsets[:-1][np.diff(offsets) > 0]
+    keep[starts] = inside[starts]
+    places = np.flatnonzero(keep)
+    return LOWER[data[places]], places, np.searchsorted(places, offsets)
 
 
 class Searcher:
     """Finds items in a group of texts."""
 
     def __init__(self, items: Items):
-        self.items = items
-        self.hasher = WordHasher(lower=True, separators=PUNCTUATION)
-        self.steps = [walk_steps(r, PERIOD) for r in range(repetitions())]
-        draws = mix64(np.arange(len(self.steps) * SAMPLED, dtype=np.uint64) + np.uint64(99))
-        self.draws = (draws >> np.uint64(11)).astype(np.float64).reshape(-1, SAMPLED) / 2**53
-        self.places: dict[int, list[list[int]]] = {}
-        self.embedded: dict[tuple[int, int, int], tuple] = {}
-
-    def near(self, k: int, at: int, data: np.ndarray, before: int, after: int, lo: int, hi: int) -> bool:
+        self.items, self.rolling = items, Rolling()
+        self.steps = [walk_steps(r, PERIOD) for r in range(WALKS)]
+        draws = mix64(np.arange(WALKS * -(-repetitions() // WALKS) * SAMPLED, dtype=np.uint64) + np.uint64(99))
+        self.draws = (draws >> np.uint64(11)).astype(np.float64).reshape(WALKS, -1, SAMPLED) / 2**53
+        self.embedded: dict[tuple[int, int, int], np.ndarray] = {}
+
+    def near(self, k: int, at: int, data: np.ndarray, place: int, lo: int, hi: int) -> bool:
         """Whether item and window agree in the sampled places of any repetition. Both are
-        walked from the seed (the item's words ``at`` and ``at + 1``) to their farther end."""
-        _, text, _, starts = self.items.rows[k]
-        forward = len(text) - starts[at + 2] >= starts[at] - 1
-        size = len(text) - starts[at + 2] if forward else starts[at] - 1
+        walked from the q-gram (at ``at`` of the item, ``place`` of the text) to the farther end."""
+        _, text, q, _, _ = self.items.rows[k]
+        forward = len(text) - at - q >= at
+        size = len(text) - at - q if forward else at
         if size < MIN_WALK:
             return True
-        room = 2 * size + 32
-        if forward:
-            window = normal(data[after:min(hi, after + room)].tobytes())[:size]
-        else:
-            window = normal(data[max(lo, before - room):before].tobytes())[::-1][:size]
-        if size not in self.places:
-            self.places[size] = np.sort(self.draws * EARLY * size).astype(int).tolist()
-        for r, (steps, places) in enumerate(zip(self.steps, self.places[size])):
+        window = (data[place + q:min(hi, place + q + size)] if forward
+                  else data[max(lo, place - size):place][::-1]).tobytes()
+        steps = int(EARLY * size)
+        for r in range(WALKS):
             known = self.embedded.get((k, at, r))
             if known is None:
-                side = text[starts[at + 2]:] if forward else text[:starts[at] - 1][::-1]
-                known = self.embedded[k, at, r] = embed(side, steps, places)
-            if embed(window, steps, places) == known:
+                side = text[at + q:] if forward else text[:at][::-1]
+                known = self.embedded[k, at, r] = embed(side, self.steps[r], steps)
+            same = embed(window, self.steps[r], steps) == known
+            if same[(self.draws[r] * steps).astype(np.int64)].all(1).any():
                 return True
         return False
 
-    def windows(self, words, rows, lengths):
-        """Seeds (row, item, first word of the window, word in the row, word in the item),
-        in groups: one per item and neighbourhood."""
+    def windows(self, data: np.ndarray, offsets: np.ndarray):
+        """Neighbourhoods with enough q-grams of an item: (row, item, places in the text,
+        places in the item)."""
         items, found = self.items, []
-        for h, at in seed_hashes(words, rows, lengths):
-            hit = np.flatnonzero(items.filter[h >> np.uint64(64 - FILTER_BITS)])
-            lo = np.searchsorted(items.seeds, h[hit], "left")
-            n = np.searchsorted(items.seeds, h[hit], "right") - lo
-            seed = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            at = np.repeat(at[hit], n)
-            found.append(np.stack([rows[at], items.item[seed], at - items.at[seed], at, items.at[seed]]))
+        self.rolling.load(data)
+        for q, (hashes, item, at, known) in items.grams.items():
+            h = self.rolling.windows(q)
+            hit = np.flatnonzero(known[h >> np.uint64(64 - FILTER_BITS)])
+            low = np.searchsorted(hashes, h[hit], "left")
+            n = np.searchsorted(hashes, h[hit], "right") - low
+            hit, low, n = hit[n > 0], low[n > 0], n[n > 0]
+            row = np.searchsorted(offsets, hit, "right") - 1
+            whole = hit + q <= offsets[row + 1]
+            hit, low, n, row = hit[whole], low[whole], n[whole], row[whole]
+            gram = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            found.append((np.repeat(row, n), item[gram], np.repeat(hit, n), at[gram]))
         if not found:
             return
-        seeds = np.unique(np.concatenate(found, 1), axis=1)
-        row, item, first = seeds[:3]
-        slack = np.maximum(2, (items.words[item] * items.max_distance).astype(np.int64))
-        new = np.ones(len(row), bool)
-        new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (first[1:] - first[:-1] > slack[1:])
-        for group in np.split(seeds, np.flatnonzero(new)[1:], axis=1):
-            if group.shape[1]:
-                yield group
+        row, item, place, at = (np.concatenate(x) for x in zip(*found))
+        room = len(data) + items.longest         # twice that: the diagonals of one row and item
+        key = (row * len(items.rows) + item) * (2 * room) + (place - at + room)
+        order = np.argsort(key, kind="stable")
+        key, row, item, place, at = key[order], row[order], item[order], place[order], at[order]
+        ends = np.searchsorted(key, key + items.allowed[item], "right")
+        good = np.flatnonzero(ends - np.arange(len(key)) >= items.asked[item])
+        if not len(good):
+            return
+        new = np.ones(len(good), bool)
+        new[1:] = key[good[1:]] - key[good[:-1]] > items.allowed[item[good[1:]]]
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(good)) - 1
+        for a, b in zip(good[first].tolist(), ends[good[last]].tolist()):
+            yield int(row[a]), int(item[a]), place[a:b], at[a:b]
 
     def search(self, data: np.ndarray, offsets: np.ndarray):
         """(row, item_id, start, length, distance, similarity), the best place of each pair."""
-        words, rows, starts, ends = self.hasher(data, offsets)
-        bounds = np.searchsorted(rows, np.arange(len(offsets)))
+        data, places, bounds = normal_group(data, offsets)
         best: dict[tuple[int, int], tuple] = {}
-        for group in self.windows(words, rows, ends - starts):
-            row, k = int(group[0, 0]), int(group[1, 0])
-            _, text, n, _ = self.items.rows[k]
-            lo, hi, firsts = offsets[row], offsets[row + 1], group[2]
-            if not any(self.near(k, at, data, starts[word], ends[word + 1], lo, hi)
-                       for word, at in group[3:].T.tolist()):
+        for row, k, place, at in self.windows(data, bounds):
+            _, text, _, _, allowed = self.items.rows[k]
+            lo, hi = bounds[row], bounds[row + 1]
+            tried = np.unique(np.linspace(0, len(at) - 1, SEEDS_TRIED).astype(np.int64)).tolist()
+            if not any(self.near(k, int(at[t]), data, int(place[t]), lo, hi) for t in tried):
                 continue
-            allowed = int(len(text) * self.items.max_distance)
-            slack = max(2, int(n * self.items.max_distance))
-            low, high = bounds[row], bounds[row + 1]
-            a = max(low, firsts[0] - slack)
-            b = min(high, firsts[-1] + n + 2 * slack)
-            distance, _ = best_substring(text, normal(data[starts[a]:ends[b - 1]].tobytes()))
+            shift = place - at
+            a = max(lo, int(shift.min()) - allowed)
+            b = min(hi, int(shift.max()) + len(text) + allowed)
+            distance, end = best_substring(text, data[a:b].tobytes())
             if distance <= allowed and distance < best.get((row, k), (len(text) + 1,))[0]:
-                a, b = max(low, firsts[0]), min(high, firsts[0] + n)
-                best[row, k] = (distance, int(starts[a] - offsets[row]), int(ends[b - 1] - starts[a]))
-        for (row, k), (distance, start, length) in sorted(best.items()):
-            item_id, text, _, _ = self.items.rows[k]
-            yield row, item_id, start, length, distance, 1 - distance / len(text)
+                best[row, k] = (distance, a, a + end)
+        for (row, k), (distance, a, end) in sorted(best.items()):
+            item_id, text, _, _, _ = self.items.rows[k]
+            length = best_substring(text[::-1], data[a:end][::-1].tobytes())[1]
+            start = int(places[end - length])
+            yield (row, item_id, start - int(offsets[row]), int(places[end - 1]) + 1 - start, distance,
+                   1 - distance / len(text))
 
 
 def item_blocks(benchmark: DataFrame) -> list[list[tuple[int, str]]]:
