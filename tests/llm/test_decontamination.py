@@ -81,6 +81,18 @@ def test_recall_near_the_greatest_distance(words, rate):
     assert sum((k, k) in got for k, near in enumerate(shortest) if near) >= 0.98 * sum(shortest)
 
 
+def test_items_of_few_words_are_found(spark):
+    items = [(1, "Capital of France? Paris!"), (2, "東京は日本の首都で、人口は世界でも最大級の都市である。"), (3, "x=17"),
+             (4, "ประเทศไทยมีเมืองหลวงชื่อกรุงเทพมหานคร"), (5, "..."), (6, "Zugspitze")]
+    docs = [(10, text(9) + " the capital of france: Paris, " + text(9)), (20, "答えは東京は日本の首都で、人口は世界でも最大級の市である。と"),
+            (30, "so X = 17."), (40, "ก " + items[3][1][:10] + "ก" + items[3][1][10:]), (50, "... ?"), (60, "the Zugspitz mountain")]
+    got = {(r.doc_id, r.item_id): r for r in run(spark, docs, items)}
+    assert set(got) == {(10, 1), (20, 2), (30, 3), (40, 4), (60, 6)}
+    assert got[30, 3].distance == 0 and got[60, 6].distance == 1
+    part = docs[0][1].encode()[got[10, 1].start_byte:][:got[10, 1].n_bytes]
+    assert part == b"capital of france: Paris"
+
+
 def test_result_columns_and_defined_cases(spark):
     item = ITEMS[0][1]
     docs = [(1, "Début: " + item.upper().replace(" ", "  ")), (2, None), (3, ""), (4, item), (4, item),

@@ -46,7 +46,6 @@ WALKS = 4                        # the repetitions draw their places from so man
 SEEDS_TRIED = 4                  # q-grams of a window from which it is walked
 EXACT_BYTES = 50                 # items under this length are sought without loss
 GRAMS = [(50, 6, 10), (80, 7, 10), (150, 8, 12)]   # from this length on: bytes of a q-gram, item's bytes per one asked for
-MIN_WORDS = 5                    # an item of fewer is not looked for
 EARLY = 1.0                      # places lie within so many steps per character
 MIN_WALK = 12                    # characters; a shorter rest is verified at once
 BLOCK_BYTES = 32_000_000
@@ -118,7 +117,7 @@ class Items:
         rolling = Rolling()
         for item_id, text in rows:
             text = normal((text or "").encode())
-            if len(text.split()) < MIN_WORDS:
+            if not text:
                 continue
             allowed = int(len(text) * max_distance)
             q, asked = gram_of(len(text), allowed)
