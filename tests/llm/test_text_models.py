@@ -63,6 +63,18 @@ def test_language_defined_cases(spark):
     assert kept.filter("doc_id IN (200, 201, 202)").count() == 0 and kept.filter("doc_id < 30").count() >= 28
 
 
+def test_emoji_are_no_letters(spark):
+    rows = [(i, f"the house is {i} big and old", "en") for i in range(30)]
+    rows += [(i, f"das haus {i} ist alt", "de") for i in range(100, 130)]
+    rows += [(200, "😀🎉 123 🚀", None), (201, "🄰🅱 \U0001F600", None), (202, "the 😀 house 🎉 is old", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in li.identify(docs).collect()}
+    assert got[200] == got[201] == ("und", 0.0) and got[202][0] == "en"
+    assert li.accepted(docs).filter("doc_id IN (200, 201)").count() == 0
+    codes, _ = li.GramHasher(1 << 14, (1,)).codes(["a😀𐐨𠀀"])
+    assert codes.tolist() == [97, 32, ord("𐐨"), ord("𠀀")]
+
+
 # --- token counts ------------------------------------------------------------------
 
 def test_token_counts_equal_the_library_unigram(spark):

@@ -31,9 +31,9 @@ MIN_SCORE = 0.5                  # of a document that ``accepted`` keeps
 
 
 def letter_table() -> np.ndarray:
-    """For each character of the basic plane: itself if a letter, else a space."""
-    table = np.arange(1 << 16, dtype=np.uint32)
-    table[[i for i in range(1 << 16) if not chr(i).isalpha()]] = 32
+    """For each character: itself if a letter, else a space."""
+    table = np.arange(0x110000, dtype=np.uint32)
+    table[[i for i in range(0x110000) if not chr(i).isalpha()]] = 32
     return table
 
 
@@ -49,8 +49,7 @@ class GramHasher:
         bounds = np.zeros(len(texts) + 1, np.int64)
         np.cumsum([len(t) for t in lowered], out=bounds[1:])
         codes = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
-        plane = np.minimum(codes, (1 << 16) - 1)
-        return np.where(codes < (1 << 16), self.letters[plane], codes), bounds
+        return self.letters[codes], bounds
 
     def grams(self, codes: np.ndarray, bounds: np.ndarray):
         """For each order: (buckets of the grams, bounds of each text's grams)."""
