@@ -310,3 +310,16 @@ def test_license_defined_cases(spark):
     assert [g[0] for g in got] == [0, 4, 5, 5, 6]
     assert got[1] == (4, "unknown", False) and got[0][1:] == got[2][1:] == ("cc-by-nc", True)
     assert lc.scan(docs.limit(0), MODEL).collect() == []
+
+
+def test_names_alone_are_looked_at(spark):
+    lines = [("Distributed under GPL-3.0-or-later", "gpl"), ("CC BY-SA 4.0", "cc-by-sa"),
+             ("Released under Apache-2.0", "apache"), ("MPL 2.0", "mpl")]
+    docs = spark.createDataFrame([(k, "intro\n" + t) for k, (t, _) in enumerate(lines)], "doc_id long, text string")
+    assert {r.doc_id: (r.paragraph, r.family) for r in lc.scan(docs, MODEL).collect()} == \
+        {k: (1, family) for k, (_, family) in enumerate(lines)}
+    zero = spark.createDataFrame([(1, "CC0 1.0 Universal")], "doc_id long, text string")
+    assert lc.scan(zero, MODEL).count() == 1     # returned, whatever the model says of so short a line
+    every = [(k, t) for k, t in enumerate(t for ts in lc.TEMPLATES.values() for t in ts)]
+    frame = spark.createDataFrame(every, "doc_id long, text string")
+    assert {r.doc_id for r in lc.scan(frame, MODEL).filter("confirmed").collect()} == {k for k, _ in every}
