@@ -2,7 +2,6 @@
 
 import hashlib
 import random
-import textwrap
 import zlib
 
 import numpy as np
@@ -324,14 +323,3 @@ def test_names_alone_are_looked_at(spark):
     every = [(k, t) for k, t in enumerate(t for ts in lc.TEMPLATES.values() for t in ts)]
     frame = spark.createDataFrame(every, "doc_id long, text string")
     assert {r.doc_id for r in lc.scan(frame, MODEL).filter("confirmed").collect()} == {k for k, _ in every}
-
-
-def test_wrapped_notices_are_confirmed(spark):
-    long = [(f, t) for f, ts in lc.TEMPLATES.items() for t in ts if len(t) > 100]
-    docs = [(100 * width + k, "first line\n\n" + textwrap.fill(t, width) + "\n\nlast line")
-            for width in (30, 72) for k, (_, t) in enumerate(long)]
-    docs.append((1, "\n\n".join(textwrap.wrap(long[0][1], 20))))
-    got = lc.scan(spark.createDataFrame(docs, "doc_id long, text string"), MODEL).filter("confirmed").collect()
-    assert sorted((r.doc_id, r.paragraph, r.family) for r in got if r.doc_id > 1) == \
-        [(100 * width + k, 2, f) for width in (30, 72) for k, (f, _) in enumerate(long)]
-    assert not [r for r in got if r.doc_id == 1 and r.template_similarity > 0.99]
