@@ -11,7 +11,7 @@ import importlib
 from watchfold.llm.oracle import ORACLE_SQL
 
 MODULES = ["language_id", "bpe", "ngram_join", "substring_dedup", "suffix_dedup", "decontamination", "token_counts",
-           "fingerprints", "quality", "licenses", "simhash"]
+           "fingerprints", "quality", "licenses", "simhash", "centroids"]
 
 QUERIES: dict = {}
 for _name in MODULES:

@@ -56,4 +56,31 @@ reach AS (SELECT doc_id AS v, doc_id AS u FROM d
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(u) FROM reach WHERE v = d.doc_id) AS component_id
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id"""
 
-ORACLE_SQL = {"op1_substring_dedup": OP1, "op4_ngram_join": OP4, "op5_suffix_dedup": OP5}
+# k-means on the integers, the rounds written out
+
+def _assigned(name: str, centroids: str) -> str:
+    return f"""{name} AS (SELECT r, vec_id, v, c, d FROM (
+  SELECT k.r, k.vec_id, k.v, e.c, CAST(list_sum(list_transform(list_zip(k.v, e.v),
+         lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d FROM k CROSS JOIN {centroids} e)
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)"""
+
+
+def _moved(name: str, before: str, assigned: str) -> str:
+    return f"""{name} AS (SELECT b.c, coalesce(n.v, b.v) AS v FROM {before} b LEFT JOIN (
+  SELECT c, list(m ORDER BY j) AS v FROM (SELECT c, j, (s - ((s % n) + n) % n) // n AS m FROM (
+    SELECT c, j, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+    FROM (SELECT c, unnest(v) AS x, unnest(range(1, 65)) AS j FROM {assigned}) GROUP BY c, j)) GROUP BY c) n ON n.c = b.c)"""
+
+
+OP11 = f"""WITH k AS (SELECT row_number() OVER () AS r, vec_id,
+    list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v FROM k QUALIFY c < 16),
+{_assigned("a1", "c0")}, {_moved("c1", "c0", "a1")}, {_assigned("a2", "c1")}, {_moved("c2", "c1", "a2")},
+{_assigned("a3", "c2")}, {_moved("c3", "c2", "a3")}, {_assigned("a4", "c3")}
+SELECT a.vec_id, CAST(a.c AS INTEGER) AS cluster, a.d AS distance,
+       CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c3.v, ',')) AS centroid_sha256
+FROM a4 a JOIN c3 ON c3.c = a.c"""
+
+ORACLE_SQL = {"op11_centroid_clusters": OP11, "op1_substring_dedup": OP1, "op4_ngram_join": OP4, "op5_suffix_dedup": OP5}
