@@ -11,7 +11,8 @@ import importlib
 from watchfold.llm.oracle import ORACLE_SQL
 
 MODULES = ["language_id", "bpe", "ngram_join", "substring_dedup", "suffix_dedup", "decontamination", "token_counts",
-           "fingerprints", "quality", "licenses", "simhash", "centroids"]
+           "fingerprints", "quality", "licenses", "simhash", "centroids",
+           "whitening"]
 
 QUERIES: dict = {}
 for _name in MODULES:
