@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import textwrap
+import time
 import zlib
 
 import numpy as np
@@ -323,3 +325,59 @@ def test_names_alone_are_looked_at(spark):
     every = [(k, t) for k, t in enumerate(t for ts in lc.TEMPLATES.values() for t in ts)]
     frame = spark.createDataFrame(every, "doc_id long, text string")
     assert {r.doc_id for r in lc.scan(frame, MODEL).filter("confirmed").collect()} == {k for k, _ in every}
+
+
+def test_every_template_is_looked_at(spark):
+    every = [(k, t) for k, t in enumerate(t for ts in lc.TEMPLATES.values() for t in ts)]
+    frame = spark.createDataFrame(every, "doc_id long, text string")
+    assert {r.doc_id for r in lc.scan(frame, MODEL).filter("confirmed").collect()} == {k for k, _ in every}
+
+
+def test_common_words_are_no_names(spark):
+    lines = ["Wir gehen mit dem Hund in den Garten.", "er kam mit", "Apaches and isc and gnu", "ACCENT CCX BSDX"]
+    frame = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert lc.scan(frame, MODEL).collect() == []
+    assert lc.scan(spark.createDataFrame([(1, "MIT"), (2, "x (GPL)")], "doc_id long, text string"), MODEL).count() == 2
+
+
+def test_wrapped_notices_are_confirmed(spark):
+    long = [(f, t) for f, ts in lc.TEMPLATES.items() for t in ts if len(t) > 100]
+    docs = [(100 * width + k, "first line\n\n" + textwrap.fill(t, width) + "\n\nlast line")
+            for width in (30, 72) for k, (_, t) in enumerate(long)]
+    docs.append((1, "\n\n".join(textwrap.wrap(long[0][1], 20))))
+    got = lc.scan(spark.createDataFrame(docs, "doc_id long, text string"), MODEL).filter("confirmed").collect()
+    assert sorted((r.doc_id, r.paragraph, r.family) for r in got if r.doc_id > 1) == \
+        [(100 * width + k, 2, f) for width in (30, 72) for k, (f, _) in enumerate(long)]
+    assert not [r for r in got if r.doc_id == 1 and r.template_similarity > 0.99]
+
+
+def test_a_sure_line_is_not_a_run_as_well(spark):
+    mit = textwrap.fill(lc.TEMPLATES["mit"][1], 60)
+    text = "Released under the MIT License.\n\nCopyright 2020 the authors\n\n" + mit + "\n\nend"
+    both = "Licensed under CC BY 4.0.\nCopyright 2020 the authors\nlast words"
+    prose = "\n".join("some words of no weight " * 3 for _ in range(20))
+    inside = prose + "\n" + textwrap.fill(lc.TEMPLATES["bsd"][0], 72) + "\n" + prose
+    docs = spark.createDataFrame([(1, text), (2, both), (3, inside)], "doc_id long, text string")
+    got = sorted((r.doc_id, r.paragraph, r.family) for r in lc.scan(docs, MODEL).filter("confirmed").collect())
+    assert got[:3] == [(1, 0, "mit"), (1, 4, "mit"), (2, 0, "cc-by")]
+    assert [(d, f) for d, _, f in got[3:]] == [(3, "bsd")] and 20 - lc.REACH <= got[3][1] <= 20
+
+
+def test_a_paragraph_that_is_a_part_of_a_short_template(spark):
+    docs = spark.createDataFrame([(1, "under the MIT License")], "doc_id long, text string")
+    row = lc.scan(docs, MODEL).first()
+    size = len(lc.pairs_of(lc.words_of("Released under the MIT License.")))
+    assert size == 4 and row.template_similarity == 1.0       # 3 of 3 of its own, 3 of 4 of the template's
+
+
+def test_long_lines_take_time_in_proportion(spark):
+    def seconds(n):
+        docs = spark.createDataFrame([(1, "word " * n + "under the MIT License")], "doc_id long, text string")
+        start = time.time()
+        assert lc.scan(docs, MODEL).count() == 1
+        return time.time() - start
+    seconds(100)
+    assert seconds(50_000) < 20
+    many = spark.createDataFrame([(1, "licence\n" * 20_000)], "doc_id long, text string")
+    start = time.time()
+    assert lc.scan(many, MODEL).count() == 20_000 and time.time() - start < 60

@@ -1,17 +1,22 @@
 """License scans: a trained paragraph classifier, in DataFrame functions only.
 
-A paragraph is a line of a document. A sparse logistic regression over its word
+A paragraph is a line of a document, or a run of wrapped lines: neighbours of at most
+``WIDTH`` characters, up to ``REACH`` lines before and after one that mentions a licence,
+without a blank or longer line between them. A sparse logistic regression over the paragraph's word
 1- and 2-grams gives a probability for every licence family and for "unknown"; the
 probabilities are calibrated by a temperature on paragraphs kept apart. The
-prediction is confirmed by comparing the paragraph with the family's templates:
-the share of a template's 2-grams (and of a paragraph's, for short templates) that
-the other holds.
-
-Only paragraphs that hold one of the ``STEMS`` or ``NAMES`` are classified (a licence
-text names a licence, its family, a copyright, a permission or a warranty); all others
-are unknown by definition and not returned. Texts are filtered and cut up by Spark's own
-functions; n-grams meet the weights and templates, two tables of a fixed size,
-in broadcast joins.
+prediction is confirmed by comparing the paragraph with the family's templates: the share of
+a template's 2-grams that the paragraph holds or, for templates of at most ``SHORT`` 2-grams, also the share of
+the paragraph's that are the template's (three at least). A run counts only if it holds that much of a template
+while none of its lines does, for its family; it stands at its first line, in place of
+the lines that do not, and overlapping runs of one family are one.
+
+Only paragraphs with a line that mentions one of the ``STEMS`` (in any case) or ``NAMES`` (abbreviations
+in capitals, so that no common word is one) are classified: a licence text names a licence, its family, a
+copyright, a permission or a warranty, and a test holds every template to that. All others are unknown by definition
+and not returned. Texts are filtered and cut up by Spark's own functions in one
+pass; n-grams meet one table of a fixed size, with the weights and the templates, in one
+broadcast join, and are added up once.
 
 The model is fitted on the driver on the templates with words left out, in other
 orders and surroundings, against paragraphs of a bounded sample of the documents
@@ -19,8 +24,8 @@ orders and surroundings, against paragraphs of a bounded sample of the documents
 
 Defined cases: null or empty texts have no paragraphs; a paragraph without n-grams
 of the model is unknown; on equal probabilities the first family by name wins; repeated rows
-are returned each time; a table without rows gives no rows; other columns are
-ignored.
+are returned each time; lines and texts may be of any length, the work grows with it; a null id is kept;
+a table without rows gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,9 +33,11 @@ from __future__ import annotations
 import math
 import random
 import re
+from functools import reduce
+from operator import add, or_
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from watchfold.llm.common import read_table
 
@@ -39,7 +46,7 @@ UNKNOWN = "unknown"
 STEMS = ["licen", "copyright", "copyleft", "spdx", "warrant", "permission", "permitted",
          "redistribut", "public domain", "free software", "creative commons", "unencumbered",
          "attribution", "mozilla"]
-NAMES = "(^|[^a-z0-9])([al]?gpl|apache|bsd|cc0|cc[^a-z0-9]+(by|0)|isc|mit|mpl|gnu)([^a-z]|$)"
+NAMES = ["GPL", "Apache", "APACHE", "BSD", "CC0", "CC BY", "CC-BY", "CC 0", "ISC", "MIT", "MPL", "GNU"]
 # Public licence notices by family.
 TEMPLATES = {
     "apache": [
@@ -97,6 +104,8 @@ BACKGROUND = 1_000
 EXAMPLES = 40                    # altered copies of each template
 PENALTY, STEPS, RATE = 1e-4, 400, 2.0
 CONFIRMED = 0.6
+SHORT = 8                        # 2-grams of a template that may be a part of what a paragraph holds
+WIDTH, REACH = 100, 8            # characters of a wrapped line, lines of a run on either side
 SEED = 20
 
 
@@ -166,59 +175,106 @@ def fit(background: list[str], seed: int = SEED):
     return classes, {g: w[i].tolist() for g, i in slots.items()}, b.tolist()
 
 
-def has_stem(column):
-    out = F.lit(False)
-    for stem in STEMS:
-        out = out | F.contains(column, F.lit(stem))
-    return out | F.rlike(column, F.lit(NAMES))
+def mentions(column):
+    """A stem in any case, or a name in capitals that stands alone."""
+    # the lambda's argument is evaluated once; written out, each stem would lower the text again
+    stem = F.exists(F.array(F.lower(column)), lambda t: reduce(or_, [F.contains(t, F.lit(s)) for s in STEMS]))
+    some = reduce(or_, [F.contains(column, F.lit(n)) for n in NAMES])
+    return stem | (some & F.rlike(column, F.lit(f"(^|[^A-Za-z0-9])[AL]?({'|'.join(NAMES)})([^A-Za-z]|$)")))
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, paragraph, words, grams) of the lines that hold a stem."""
-    words = F.filter(F.split(F.lower("line"), "[^a-z0-9]+"), lambda w: w != "")
-    pairs = F.when(F.size("words") > 1, F.transform(
-        F.sequence(F.lit(1), F.size("words") - 1),
-        lambda i: F.concat(F.element_at("words", i), F.lit(" "), F.element_at("words", i + 1)))) \
-        .otherwise(F.array().cast("array<string>"))
-    return (docs.select("doc_id", "text").filter(has_stem(F.lower("text")))
-            .withColumn("row", F.monotonically_increasing_id())
-            .select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
-            .filter(has_stem(F.lower("line")))
-            .select("doc_id", "row", "paragraph", words.alias("words"))
-            .select("doc_id", "row", "paragraph", F.size("words").alias("n_words"),
-                    F.array_distinct(pairs).alias("pairs"),
-                    F.array_distinct(F.concat("words", pairs)).alias("grams")))
+def once(expression):
+    """``expression`` as a generator's output, which the optimizer does not write out again where it is used."""
+    return F.explode_outer(F.array(expression))
 
 
-def scan(docs: DataFrame, model) -> DataFrame:
-    """doc_id, paragraph, family, probability, template_similarity, confirmed."""
-    spark = docs.sparkSession
+def paragraphs(docs: DataFrame) -> DataFrame:
+    """(doc_id, row, at, first, last, text): each line that mentions a licence, and the run around it
+    (``first`` < ``last``) if it has neighbours; ``at`` is the line's number."""
+    short = lambda x: (F.trim(x) != "") & (F.length(x) <= WIDTH)
+    lines = (docs.select("doc_id", "text").filter(mentions(F.col("text")))
+             .select("doc_id", F.monotonically_increasing_id().alias("row"), once(F.split("text", "\n")).alias("lines")))
+    named = F.filter(F.transform("lines", lambda x, i: F.struct(i.alias("at"), x.alias("line"))),
+                     lambda u: mentions(u["line"]))
+    around = F.transform(named, lambda u: F.struct(
+        u["at"].alias("at"), u["line"].alias("line"), F.greatest(u["at"] - REACH, F.lit(0)).alias("low"),
+        F.transform(F.sequence(F.greatest(u["at"] - REACH, F.lit(0)), F.least(u["at"] + REACH, F.size("lines") - 1)),
+                    lambda j: F.col("lines")[j]).alias("near")))
+    near = (lines.select("doc_id", "row", F.explode_outer(around).alias("u")).filter("u IS NOT NULL")
+            .select("doc_id", "row", "u.*"))
+    breaks = F.filter(F.transform("near", lambda x, i: F.when(~short(x), i + F.col("low"))), lambda i: i.isNotNull())
+    ends = (near.withColumn("breaks", breaks)
+            .withColumn("first", F.coalesce(F.array_max(F.filter("breaks", lambda i: i < F.col("at"))) + 1, "low"))
+            .withColumn("last", F.coalesce(F.array_min(F.filter("breaks", lambda i: i > F.col("at"))) - 1,
+                                           F.col("low") + F.size("near") - 1)))
+    run = F.when(short(F.col("line")) & (F.col("last") > F.col("first")), F.struct(
+        "first", "last", F.array_join(F.slice("near", F.col("first") - F.col("low") + 1,
+                                              F.col("last") - F.col("first") + 1), " ").alias("text")))
+    alone = F.struct(F.col("at").alias("first"), F.col("at").alias("last"), F.col("line").alias("text"))
+    return (ends.select("doc_id", "row", "at", F.explode_outer(F.array(alone, run)).alias("u"))
+            .filter("u IS NOT NULL").select("doc_id", "row", "at", "u.*"))
+
+
+def model_table(spark: SparkSession, weights: dict, classes: list[str], templates: list) -> DataFrame:
+    """gram, w0.. (weights of the classes), t0.. (1 if the template holds the 2-gram)."""
+    grams = sorted(set(weights).union(*(pairs for _, pairs in templates)))
+    rows = [(g, *weights.get(g, [0.0] * len(classes)), *(int(g in pairs) for _, pairs in templates)) for g in grams]
+    return spark.createDataFrame(rows, ", ".join(
+        ["gram string", *(f"w{i} double" for i in range(len(classes))), *(f"t{k} int" for k in range(len(templates)))]))
+
+
+def scored(parts: DataFrame, model) -> DataFrame:
+    """The paragraphs with family, probability, similarity and confirmed."""
     classes, weights, intercept = model
-    parts = paragraphs(docs)
-    table = spark.createDataFrame([(g, *w) for g, w in weights.items()],
-                                  "gram string, " + ", ".join(f"w{i} double" for i in range(len(classes))))
-    key = ["doc_id", "row", "paragraph"]
-    hits = parts.select(*key, F.explode_outer("grams").alias("gram")).join(F.broadcast(table), "gram", "left")
-    scores = hits.groupBy(*key).agg(*[
-        (F.coalesce(F.sum(f"w{i}"), F.lit(0.0)) + intercept[i]).alias(f"s{i}") for i in range(len(classes))])
+    templates = [(f, pairs_of(words_of(t))) for f, ts in TEMPLATES.items() for t in ts]
+    words = F.filter(F.split(F.lower("text"), "[^a-z0-9]+"), lambda w: w != "")
+    n = F.greatest(F.size("words") - 1, F.lit(0))
+    pairs = F.zip_with(F.slice("words", F.lit(1), n), F.slice("words", F.lit(2), n),
+                       lambda a, b: F.concat(a, F.lit(" "), b))
+    key = ["doc_id", "row", "at", "first", "last"]
+    grams = (parts.select(*key, once(words).alias("words")).select(*key, "words", once(F.array_distinct(pairs)).alias("pairs"))
+             .select(*key, F.size("pairs").alias("own"),
+                     F.explode_outer(F.concat(F.array_distinct("words"), "pairs")).alias("gram")))
+    sums = grams.join(F.broadcast(model_table(parts.sparkSession, weights, classes, templates)), "gram", "left") \
+        .groupBy(*key, "own").agg(
+            *[(F.coalesce(F.sum(f"w{i}"), F.lit(0.0)) + intercept[i]).alias(f"s{i}") for i in range(len(classes))],
+            *[F.coalesce(F.sum(f"t{k}"), F.lit(0)).alias(f"n{k}") for k in range(len(templates))])
     top = F.greatest(*[f"s{i}" for i in range(len(classes))])
-    family = F.lit(classes[-1])
+    total = reduce(add, [F.exp(F.col(f"s{i}") - top) for i in range(len(classes))])
+    family, held, part = F.lit(classes[-1]), F.lit(0.0), F.lit(0.0)
     for i in range(len(classes) - 2, -1, -1):
-        family = F.when(F.col(f"s{i}") == top, classes[i]).otherwise(family)
-    total = sum((F.exp(F.col(f"s{i}") - top) for i in range(len(classes))), F.lit(0.0))
-    classified = scores.select(*key, family.alias("family"), (1 / total).alias("probability"))
-
-    rows = [(f, k, g, len(pairs)) for f, ts in TEMPLATES.items() for k, t in enumerate(ts)
-            for pairs in [pairs_of(words_of(t))] for g in sorted(pairs)]
-    templates = spark.createDataFrame(rows, "like string, template int, gram string, size int")
-    shared = (parts.select(*key, F.explode("pairs").alias("gram")).join(F.broadcast(templates), "gram")
-              .groupBy(*key, "like", "template").agg((F.count("*") / F.max("size")).alias("share"))
-              .groupBy("row", "paragraph", F.col("like").alias("family")).agg(F.max("share").alias("share")))
-    out = classified.join(shared, ["row", "paragraph", "family"], "left")
-    similarity = F.coalesce("share", F.lit(0.0))
-    return out.select("doc_id", F.col("paragraph").cast("int").alias("paragraph"), "family", "probability",
-                      similarity.alias("template_similarity"),
-                      ((F.col("family") != UNKNOWN) & (similarity >= CONFIRMED)).alias("confirmed"))
+        of = [(k, len(pairs)) for k, (f, pairs) in enumerate(templates) if f == classes[i] and pairs]
+        best = F.col(f"s{i}") == top
+        family = F.when(best, classes[i]).otherwise(family)
+        held = F.when(best, _most([F.col(f"n{k}") / size for k, size in of])).otherwise(held)
+        part = F.when(best, _most([F.when(F.col(f"n{k}") >= 3, F.col(f"n{k}") / F.col("own")).otherwise(0.0)
+                                   for k, size in of if size <= SHORT])).otherwise(part)
+    return sums.select(*key, family.alias("family"), (1 / total).alias("probability"), held.alias("held"),
+                       F.greatest(held, part).alias("similarity")) \
+        .withColumn("confirmed", (F.col("family") != UNKNOWN) & (F.col("similarity") >= CONFIRMED))
+
+
+def _most(shares: list):
+    return F.greatest(F.lit(0.0), F.lit(0.0), *shares)
+
+
+def scan(docs: DataFrame, model) -> DataFrame:
+    """doc_id, paragraph, family, probability, template_similarity, confirmed."""
+    rows = scored(paragraphs(docs), model).withColumn("alone", F.col("first") == F.col("last")) \
+        .withColumn("sure", (F.col("family") != UNKNOWN) & (F.col("held") >= CONFIRMED)).filter("alone OR sure")
+    near = Window.partitionBy("row").orderBy("at").rangeBetween(-2 * REACH, 2 * REACH)
+    own = F.collect_set(F.when(F.col("alone") & F.col("sure"), F.struct("at", "family"))).over(near)
+    rows = rows.withColumn("lines", own).filter(F.col("alone") | ~F.exists("lines", lambda x: (
+        x["family"] == F.col("family")) & x["at"].between(F.col("first"), F.col("last"))))
+    before = Window.partitionBy("row").orderBy("at", "last").rowsBetween(Window.unboundedPreceding, -1)
+    reached = {f: F.max(F.when(~F.col("alone") & (F.col("family") == f), F.col("last"))).over(before) for f in TEMPLATES}
+    end = reduce(lambda rest, f: F.when(F.col("family") == f, reached[f]).otherwise(rest), TEMPLATES, F.lit(None))
+    runs = F.collect_set(F.when(~F.col("alone"), F.struct("first", "last"))).over(near)
+    rows = rows.withColumn("end", end).withColumn("runs", runs).filter(F.when(
+        F.col("alone"), F.col("sure") | ~F.exists("runs", lambda r: F.col("at").between(r["first"], r["last"])))
+        .otherwise(F.coalesce(F.col("first") > F.col("end"), F.lit(True))))
+    return rows.select("doc_id", F.col("first").cast("int").alias("paragraph"), "family", "probability",
+                       F.col("similarity").alias("template_similarity"), "confirmed")
 
 
 def pairs_of(words: list[str]) -> set[str]:
@@ -231,7 +287,7 @@ def background_sample(docs: DataFrame, bound: int = BACKGROUND) -> list[str]:
     share = min(1.0, bound / max(rows, 1))
     sample = (docs.filter(F.pmod(F.xxhash64(F.lit("lines"), "doc_id"), F.lit(1_000_000)) < share * 1e6)
               .select("doc_id", F.substring_index("text", "\n", 1).alias("line"))
-              .filter(F.col("line").isNotNull() & ~has_stem(F.lower("line"))).limit(2 * bound))
+              .filter(F.col("line").isNotNull() & ~mentions(F.col("line"))).limit(2 * bound))
     return [r.line for r in sorted(sample.collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0, r.line))]
 
 
