@@ -1,3 +1,5 @@
+import re
+
 from tests.conftest import SF001, rows
 from watchfold.operators import behavior as bh
 from watchfold.sources.fixtures import DriverTables, genre_mapping_fixture, log_search_fixture
@@ -74,6 +76,8 @@ def test_repeated_mapping_keys_pair_every_genre(spark):
                                 "user_id string, keyword string, month_yyyymm string")
     twice = spark.createDataFrame([("kw", "Drama"), ("kw", "News")], "most_searched string, Genre string")
     month = rows(bh.fact_behavior(log, twice))
+    mapped = bh.genre_mapped(bh.most_searched(log), twice)
+    assert month == rows(bh.genre_trend(mapped).select(*bh.FACT_COLUMNS))
     assert month == rows(bh.fact_behavior_between(log, twice, "202206", "202207"))
     assert [(r[1], r[2]) for r in month] == [("Drama", "Changed"), ("News", "Changed"),
                                              ("Unchanged", "Unchanged"), ("Unchanged", "Unchanged")]
@@ -85,3 +89,41 @@ def test_fixture_fact_has_both_trend_types(spark):
     kinds = dict(fact.groupBy("Trending_Type").count().collect())
     assert kinds["Changed"] > kinds["Unchanged"] > 0
     assert fact.columns == bh.FACT_COLUMNS
+
+
+def test_listings_of_one_genre_are_counted(spark):
+    log = searches(spark, [("u1", "kw", "202206"), ("u1", "kw", "202207"), ("u2", "kw", "202206"), ("u2", "x", "202207")])
+    listed = spark.createDataFrame([("kw", "Drama")] * 3 + [("kw", None)] * 2 + [("x", "News")] * 2, MAPPING)
+    mapped = bh.genre_mapped(bh.most_searched(log), listed)
+    before, now = (mapped.filter(f"month_yyyymm = {m!r}") for m in ("202206", "202207"))
+    want = rows(bh.trend_between(before, now, "202207").select(*bh.FACT_COLUMNS))      # the plain join
+    assert len(want) == 25 + 10
+    assert rows(bh.fact_behavior(log, listed)) == rows(bh.fact_behavior_between(log, listed, "202206", "202207")) == want
+    assert rows(bh.genre_trend(mapped).select(*bh.FACT_COLUMNS)) == want
+
+
+def test_pair_of_a_month_with_itself(spark):
+    log, m = searches(spark, [("u1", "x", "202206"), ("u2", "q", "202206")]), mapping(spark, {"x": "Drama"})
+    assert rows(bh.fact_behavior_between(log, m, "202206", "202206")) == [("u1", "Unchanged", "Unchanged", "202206")]
+
+
+def executed_plan(frame):
+    frame.write.format("noop").mode("overwrite").save()      # runs the frame's own plan under adaptive execution
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_the_log_is_read_once(spark):
+    tables = DriverTables(spark, SF001)
+    log, m = log_search_fixture(tables), genre_mapping_fixture(tables)
+    for frame in (bh.fact_behavior(log, m), bh.genre_trend(bh.genre_mapped(bh.most_searched(log), m)),
+                  bh.fact_behavior_between(log, m, "199501", "199502")):
+        plan = executed_plan(frame)
+        assert len(re.findall(r"Scan parquet[^\n]*l_orderkey", plan)) == 1
+        assert "Window" not in plan
+
+
+def test_one_candidate_of_a_hot_user_crosses(spark):
+    """Counts and candidates are combined before their exchanges."""
+    plan = bh.most_searched(log_search_fixture(DriverTables(spark, SF001)))._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan and "partial_min" in plan and plan.count("Exchange hashpartitioning") == 2

@@ -3,19 +3,21 @@ its genre, and the month-over-month genre change.
 
 Input rows are ``user_id, keyword, month_yyyymm``.
 
-Plan shape: the (month, user, keyword) counts are combined map-side before the
-first exchange; the top keyword per (month, user) is a ``row_number() = 1``
-window, which Catalyst turns into a partial group limit before the second
-exchange, so a user holding a third of all searches ships one candidate per
-map task. The genre lookup carries no hint: the optimizer and adaptive execution
-choose from the mapping's real size. The month-over-month pairing is an
-equi-join on (user, month number), so a keyword that the mapping lists under
-several genres pairs all of them, as the reference's join does.
+Plan shape: the log is read once. The (month, user, keyword) counts are combined
+map-side before the first exchange, which spreads a hot user over all tasks. The top
+keyword of a (month, user) is an ordered aggregate, also combined before the second
+exchange, so a user holding a third of all searches ships one candidate per task.
+The genre lookup carries no hint: the optimizer and adaptive execution
+choose from the mapping's real size. The month pairing is no self-join: a mapped row is sent
+once as the current one of its month and once as the previous one of the next, and the few
+genres that meet at a (user, month) are paired inside the row. A keyword that the mapping lists under
+several genres pairs all of them, as the reference's join does; listings of
+the same genre travel as one row with their number.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from watchfold.functions.columns import month_index, month_of
@@ -42,12 +44,9 @@ def keyword_frequency(log_search: DataFrame) -> DataFrame:
 
 def most_searched(log_search: DataFrame) -> DataFrame:
     """Most searched keyword per (month, user); ties go to the first keyword by name."""
-    freq = keyword_frequency(log_search)
-    w = Window.partitionBy("month_yyyymm", "user_id").orderBy(
-        F.col("frequency").desc(), F.col("keyword").asc())
-    return (freq.withColumn("rank", F.row_number().over(w))
-            .filter(F.col("rank") == 1)
-            .select("month_yyyymm", "user_id", F.col("keyword").alias("most_searched")))
+    best = F.min(F.struct((-F.col("frequency")).alias("less"), "keyword"))
+    return (keyword_frequency(log_search).groupBy("month_yyyymm", "user_id").agg(best.alias("best"))
+            .select("month_yyyymm", "user_id", F.col("best.keyword").alias("most_searched")))
 
 
 def order_users_desc(frame: DataFrame) -> DataFrame:
@@ -73,6 +72,41 @@ def _with_trend(pairs: DataFrame) -> DataFrame:
 TREND_COLUMNS = ["month_yyyymm", "user_id", "prev_genre", "curr_genre", "Trending_Type", "Previous_Genre"]
 
 
+def mapping_counts(mapping: DataFrame) -> DataFrame:
+    """The mapping with one row per (keyword, genre) and how often it is listed, ``times``."""
+    return mapping.groupBy("most_searched", "Genre").agg(F.count(F.lit(1)).alias("times"))
+
+
+def _genre_mapped_counted(top_keywords: DataFrame, mapping: DataFrame) -> DataFrame:
+    return top_keywords.join(mapping_counts(mapping), "most_searched")
+
+
+def _paired(mapped: DataFrame, roles: Column) -> DataFrame:
+    """Trend rows of ``month_yyyymm, user_id, Genre[, times]``. ``roles`` is an array of
+    (slot, current): where a row stands as the current or as the previous one. One exchange, on
+    (user, slot); the rows of a slot are the genres that the mapping lists two keywords under."""
+    times = F.col("times") if "times" in mapped.columns else F.lit(1)
+    sent = (mapped.select("user_id", "month_yyyymm", F.struct("Genre", times.alias("times")).alias("genre"),
+                          F.explode(roles).alias("role"))
+            .select("user_id", "month_yyyymm", "genre", "role.*"))
+    met = sent.groupBy("user_id", "slot").agg(
+        F.max(F.when(F.col("current"), F.col("month_yyyymm"))).alias("month_yyyymm"),
+        F.collect_list(F.when(F.col("current"), F.col("genre"))).alias("now"),
+        F.collect_list(F.when(~F.col("current"), F.col("genre"))).alias("before"))
+    pairs = (met.filter((F.size("now") > 0) & (F.size("before") > 0))
+             .select("month_yyyymm", "user_id", "before", F.explode("now").alias("now"))
+             .select("month_yyyymm", "user_id", "now", F.explode("before").alias("before")))
+    if "times" in mapped.columns:
+        repeated = F.array_repeat(F.lit(0), (F.col("now.times") * F.col("before.times")).cast("int"))
+        pairs = pairs.select("*", F.explode(repeated))
+    return _with_trend(pairs.select("month_yyyymm", "user_id", F.col("before.Genre").alias("prev_genre"),
+                                    F.col("now.Genre").alias("curr_genre"))).select(*TREND_COLUMNS)
+
+
+def _role(slot: Column, current: bool) -> Column:
+    return F.struct(slot.alias("slot"), F.lit(current).alias("current"))
+
+
 def genre_trend(mapped: DataFrame) -> DataFrame:
     """Month-over-month trend for every month and its previous calendar month.
 
@@ -80,10 +114,8 @@ def genre_trend(mapped: DataFrame) -> DataFrame:
     Output ``month_yyyymm`` (the current month), ``user_id``, ``prev_genre``,
     ``curr_genre``, ``Trending_Type``, ``Previous_Genre``.
     """
-    months = mapped.select("month_yyyymm", "user_id", "Genre", month_index("month_yyyymm").alias("month"))
-    before = months.select("user_id", F.col("Genre").alias("prev_genre"), (F.col("month") + 1).alias("month"))
-    pairs = months.withColumnRenamed("Genre", "curr_genre").join(before, ["user_id", "month"])
-    return _with_trend(pairs).select(*TREND_COLUMNS)
+    month = month_index("month_yyyymm")
+    return _paired(mapped, F.array(_role(month, True), _role(month + 1, False)))
 
 
 def trend_between(previous: DataFrame, current: DataFrame, month_yyyymm: str) -> DataFrame:
@@ -96,7 +128,7 @@ def trend_between(previous: DataFrame, current: DataFrame, month_yyyymm: str) ->
 
 def fact_behavior(log_search: DataFrame, mapping: DataFrame) -> DataFrame:
     """Behaviour fact for every month that has a previous month in the logs."""
-    mapped = genre_mapped(most_searched(log_search), mapping)
+    mapped = _genre_mapped_counted(most_searched(log_search), mapping)
     return genre_trend(mapped).select(*FACT_COLUMNS)
 
 
@@ -104,11 +136,12 @@ def fact_behavior_between(log_search: DataFrame, mapping: DataFrame,
                           previous_month: str, current_month: str) -> DataFrame:
     """Behaviour fact of one explicit pair of periods (they need not be adjacent),
     tagged with the current period's month, as the reference's ETL run."""
-    rows = search_rows(log_search).filter(F.col("month_yyyymm").isin(previous_month, current_month))
-    mapped = genre_mapped(most_searched(rows), mapping)
-    prev = mapped.filter(F.col("month_yyyymm") == previous_month)
-    curr = mapped.filter(F.col("month_yyyymm") == current_month)
-    return trend_between(prev, curr, current_month).select(*FACT_COLUMNS)
+    month = F.col("month_yyyymm")
+    rows = search_rows(log_search).filter(month.isin(previous_month, current_month))
+    mapped = _genre_mapped_counted(most_searched(rows), mapping)
+    roles = F.array_compact(F.array(F.when(month == current_month, _role(F.lit(0), True)),
+                                    F.when(month == previous_month, _role(F.lit(0), False))))
+    return _paired(mapped, roles).select(*FACT_COLUMNS)
 
 
 def distinct_programs(top_keywords: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ from watchfold.plans.warehouse import Warehouse
 from watchfold.session import build_session
 from watchfold.sources.files import (
     as_date,
-    export_distinct_programs,
+    export_programs,
     read_genre_mapping,
     read_search_logs,
     read_watch_logs,
@@ -84,10 +84,9 @@ def load_labeller(name: str) -> Labeller:
 
 def run_export(spark: SparkSession, input_root: str, previous_month: str, current_month: str,
                output_path: str) -> DataFrame:
-    """Write the distinct most-searched keywords of both months as CSV."""
+    """Write the distinct most-searched keywords of both months as CSV, from one read of the logs."""
     top = most_searched(read_search_logs(spark, input_root, [previous_month, current_month]))
-    return export_distinct_programs(*(top.filter(top.month_yyyymm == m) for m in (previous_month, current_month)),
-                                    output_path)
+    return export_programs(distinct_programs(top), output_path)
 
 
 def run_model(warehouse: Warehouse, seed: int = 42) -> None:

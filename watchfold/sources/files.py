@@ -143,10 +143,12 @@ def write_genre_mapping(mapping: DataFrame, path: str) -> None:
      .write.mode("overwrite").options(**CSV_WRITE).csv(path))
 
 
-def export_distinct_programs(previous: DataFrame, current: DataFrame, path: str) -> DataFrame:
-    """Write the distinct most-searched keywords of two periods as CSV; returns them."""
-    programs = (previous.select("most_searched")
-                .unionByName(current.select("most_searched"))
-                .distinct())
+def export_programs(programs: DataFrame, path: str) -> DataFrame:
+    """Write keywords ``most_searched`` as CSV; returns them."""
     programs.write.mode("overwrite").options(**CSV_WRITE).csv(path)
     return programs
+
+
+def export_distinct_programs(previous: DataFrame, current: DataFrame, path: str) -> DataFrame:
+    """Write the distinct most-searched keywords of two periods as CSV; returns them."""
+    return export_programs(previous.select("most_searched").unionByName(current.select("most_searched")).distinct(), path)
