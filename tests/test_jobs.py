@@ -78,3 +78,30 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert warehouse.top10("tv", days[0][:6]).count() == 10
     bridge = warehouse.table("user_contract_details")
     assert bridge.filter("is_primary").count() == bridge.select("contract_id").distinct().count()
+
+
+def test_reload_of_an_emptied_month(spark, tmp_path):
+    """Both jobs replace the month they are run for, also when its logs hold nothing any more."""
+    warehouse = Warehouse(spark, schema=f"wf_e2e_{uuid.uuid4().hex[:8]}")
+    warehouse.setup()
+    watch, line = tmp_path / "watch", {"_source": {"Contract": "C1", "Mac": "M", "AppName": "VOD", "TotalDuration": 5}}
+    watch.mkdir()
+    (watch / "20220401.json").write_text(json.dumps(line) + "\n")
+    assert jobs.run_interaction_etl(spark, str(watch), "20220401", "20220401", warehouse).count() == 1
+    line["_source"]["Contract"] = "0"                                    # a corrected day without real contracts
+    (watch / "20220401.json").write_text(json.dumps(line) + "\n")
+    assert jobs.run_interaction_etl(spark, str(watch), "20220401", "20220401", warehouse).count() == 0
+
+    genres = str(tmp_path / "genres")
+    write_genre_mapping(spark.createDataFrame([("x", "Drama")], "most_searched string, Genre string"), genres)
+
+    def searches(name, users):
+        folder = str(tmp_path / name)
+        frame = spark.createDataFrame([(u, "x", m) for u in users for m in ("202206", "202207")],
+                                      "user_id string, keyword string, month string")
+        frame.write.partitionBy("month").parquet(folder)
+        return folder
+    full, none = searches("first", ["u1", "u2"]), searches("second", [None])
+    assert jobs.run_behavior_etl(spark, full, "202206", "202207", genres, warehouse).count() == 2
+    assert jobs.run_behavior_etl(spark, none, "202206", "202207", genres, warehouse).count() == 0
+    spark.sql("USE default")

@@ -1,5 +1,7 @@
 import uuid
 
+import pytest
+
 from tests.conftest import rows
 from watchfold.operators import analytics as an
 from watchfold.operators.interaction import FACT_COLUMNS
@@ -102,7 +104,6 @@ def test_new_columns_are_added_on_reload(spark):
 
 
 def test_checkpoint_folder_rules():
-    import pytest
     from watchfold.session import ensure_checkpoint_dir
     assert ensure_checkpoint_dir(_StubSession("yarn", "hdfs://shared/ckpt")) == "hdfs://shared/ckpt"
     with pytest.raises(RuntimeError):
@@ -110,3 +111,98 @@ def test_checkpoint_folder_rules():
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(_StubSession("local-cluster[2,1,1024]"))
     assert ensure_checkpoint_dir(_StubSession("local[2]"))          # local sessions get a scratch folder
+
+
+def new_warehouse(spark):
+    w = wh.Warehouse(spark, schema=f"wf_{uuid.uuid4().hex[:8]}")
+    w.setup()
+    return w
+
+
+def months_of(w, table=wh.INTERACTION_TABLE):
+    return rows(w.table(table), "month_yyyymm", "Contract", "Movies")
+
+
+def test_emptied_month_is_replaced(spark):
+    w = new_warehouse(spark)
+    w.save_interaction_fact(fact(spark, [frow("C1", movies=1, month="202204"), frow("C2", movies=2, month="202204"),
+                                         frow("C1", movies=3, month="202205")]), ["202204", "202205"])
+    empty = fact(spark, [])
+    load = w.save_interaction_fact(empty, ["202204"])
+    assert (load.rows, load.months, load.failed) == (0, [], [])
+    assert months_of(w) == [("202205", "C1", 3)]
+    w.save_interaction_fact(fact(spark, [frow("C9", movies=9, month="202204")]), ["202204"])      # and filled again
+    assert months_of(w) == [("202204", "C9", 9), ("202205", "C1", 3)]
+    w.save_interaction_fact(empty, ["202212"])                                  # a month that never was
+    assert months_of(w) == [("202204", "C9", 9), ("202205", "C1", 3)]
+    spark.sql("USE default")
+
+
+def test_rows_of_a_month_not_named_publish_nothing(spark):
+    w = new_warehouse(spark)
+    w.save_interaction_fact(fact(spark, [frow("C1", movies=1, month="202204")]))
+    both = fact(spark, [frow("C2", movies=2, month="202204"), frow("C2", movies=2, month="202205")])
+    with pytest.raises(wh.CheckFailed, match="rows_of_other_months = 1"):
+        w.save_interaction_fact(both, ["202204"])
+    assert months_of(w) == [("202204", "C1", 1)]
+    spark.sql("USE default")
+
+
+def test_failing_check_leaves_the_old_month(spark):
+    w = new_warehouse(spark)
+    w.save_interaction_fact(fact(spark, [frow("C1", movies=1, month="202204")]), ["202204"])
+    bad = fact(spark, [frow("C1", movies=5, month="202204"), frow(None, movies=5, month="202204"),
+                       frow("0", movies=5, month="202204"), frow("", movies=5, month="202204")])
+    with pytest.raises(wh.CheckFailed, match="null_keys = 1, placeholder_contracts = 2"):
+        w.save_interaction_fact(bad, ["202204"])
+    assert months_of(w) == [("202204", "C1", 1)]
+    log = w.table(wh.LOAD_LOG)
+    assert rows(log, "rows", "published") == [(1, True), (4, False)]
+    assert log.filter("NOT published").first().failed == ["null_keys", "placeholder_contracts"]
+    with pytest.raises(wh.CheckFailed, match="enough_rows = 0"):
+        w.save_fact(fact(spark, []), wh.INTERACTION_TABLE, ["202204"], [wh.publish.at_least(1)])
+    assert months_of(w) == [("202204", "C1", 1)]
+    # nothing of the failed runs is left in the table's folder
+    folder = wh.publish.table_folder(spark, w.name(wh.INTERACTION_TABLE))
+    assert len(wh.publish.list_folders(spark, f"{folder}/_runs")) == 1
+    spark.sql("USE default")
+
+
+def test_reader_sees_the_old_month_or_the_new_one(spark):
+    w = new_warehouse(spark)
+    w.save_interaction_fact(fact(spark, [frow("C1", movies=1, month="202204")]), ["202204"])
+    old = w.table(wh.INTERACTION_TABLE)                                         # planned before the swap
+    assert old.count() == 1
+    w.save_interaction_fact(fact(spark, [frow(f"C{i}", movies=2, month="202204") for i in range(5)]), ["202204"])
+    assert old.count() in (1, 5)
+    assert w.table(wh.INTERACTION_TABLE).count() == 5
+    assert len(w.vacuum(wh.INTERACTION_TABLE)) == 1                             # the first run's folder
+    assert w.table(wh.INTERACTION_TABLE).count() == 5 and w.vacuum(wh.INTERACTION_TABLE) == []
+    spark.sql("USE default")
+
+
+def test_checks_come_from_the_write_alone(spark):
+    """The rows are computed once: metrics and rows are those of one job."""
+    w, calls = new_warehouse(spark), spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            calls.add(batch.num_rows)
+            yield batch
+    source = fact(spark, [frow(f"C{i}", movies=2, month="202204") for i in range(7)])
+    load = w.save_interaction_fact(source.mapInArrow(seen, source.schema), ["202204"])
+    assert load.rows == 7 and load.metrics["null_keys"] == 0 and calls.value == 7
+    spark.sql("USE default")
+
+
+def test_path_sink_with_named_months(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    both = fact(spark, [frow("C1", movies=1, month="202204"), frow("C1", movies=2, month="202205")])
+    assert wh.save_fact_to_path(both, path, months=["202204", "202205"]).months == ["202204", "202205"]
+    wh.save_fact_to_path(fact(spark, []), path, months=["202204", "202301"])
+    back = wh.read_fact_from_path(spark, path, FACT_COLUMNS, schema=both.schema)
+    assert rows(back, "month_yyyymm", "Movies") == [("202205", 2)]
+    with pytest.raises(Exception, match="row of a month not named: 202204"):
+        wh.save_fact_to_path(both, path, months=["202205"])
+    back = wh.read_fact_from_path(spark, path, FACT_COLUMNS, schema=both.schema)
+    assert rows(back, "month_yyyymm", "Movies") == [("202205", 2)]

@@ -21,7 +21,7 @@ import importlib
 from pyspark.sql import DataFrame, SparkSession
 
 from watchfold.operators.behavior import distinct_programs, fact_behavior_between, most_searched
-from watchfold.operators.interaction import fact_interaction
+from watchfold.operators.interaction import fact_interaction, months_between
 from watchfold.operators.labelling import Labeller, label_genres
 from watchfold.plans.warehouse import Warehouse
 from watchfold.session import build_session
@@ -48,9 +48,11 @@ def run_interaction_etl(spark: SparkSession, input_root: str, start: str, end: s
     logs = read_watch_logs(spark, input_root, start, end, missing)
     if per_calendar_month:
         fact = fact_interaction(logs)
+        months = [f"{y:04d}{m:02d}" for y, m in months_between(as_date(start), as_date(end))]
     else:     # every row lies in start..end, so active days can use the day mask
         fact = fact_interaction(logs, month=start[:6], window=(as_date(start), as_date(end)))
-    warehouse.save_interaction_fact(fact)
+        months = [start[:6]]
+    warehouse.save_interaction_fact(fact, months)
     return warehouse.table("fact_monthly_customer_interaction")
 
 
@@ -60,7 +62,7 @@ def run_behavior_etl(spark: SparkSession, input_root: str, previous_month: str,
     searches = read_search_logs(spark, input_root, [previous_month, current_month])
     mapping = read_genre_mapping(spark, mapping_path)
     fact = fact_behavior_between(searches, mapping, previous_month, current_month)
-    warehouse.save_behavior_fact(fact)
+    warehouse.save_behavior_fact(fact, [current_month])
     return warehouse.table("fact_monthly_customer_behavior")
 
 

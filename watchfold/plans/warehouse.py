@@ -1,15 +1,17 @@
 """Storage side of the pipelines: monthly fact tables, dimensions, the bridge
 table, the SQL views and the parameterised top-10 table function.
 
-Facts are partitioned by ``month_yyyymm`` and written with *dynamic* partition
-overwrite: a run replaces exactly the months it carries, leaves the others
-alone, and running it again is idempotent. (The reference deletes the month
-and then overwrites the whole table, which kept only the last month.)
+Facts are partitioned by ``month_yyyymm``. A run names its months and replaces exactly
+those, also one that has become empty; it leaves the others alone, and running it again is
+idempotent. (The reference deletes the month and then overwrites the whole table, which
+kept only the last month.) Catalog tables are replaced by swapping staged partitions
+(:mod:`watchfold.plans.publish`), path tables by dynamic partition overwrite.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterable
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,11 +27,15 @@ from watchfold.functions.constants import (
 )
 from watchfold.operators import analytics
 from watchfold.operators.bridge import BRIDGE_SCHEMA, bridge_synth
+from watchfold.plans import publish
+from watchfold.plans.publish import LOAD_LOG_SCHEMA, MONTH, Check, CheckFailed, Load
 
-MONTH = "month_yyyymm"
 INTERACTION_TABLE = "fact_monthly_customer_interaction"
 BEHAVIOR_TABLE = "fact_monthly_customer_behavior"
 BRIDGE_TABLE = "user_contract_details"
+LOAD_LOG = "load_log"
+INTERACTION_CHECKS = [publish.null_keys("Contract"), Check("placeholder_contracts", "count_if(Contract IN ('', '0'))")]
+BEHAVIOR_CHECKS = [publish.null_keys("user_id", "Trending_Type")]
 TOP10_FUNCTION = "top10_contract_by_program"
 
 
@@ -48,13 +54,23 @@ def _session_conf(spark: SparkSession, key: str, value: str):
 
 # --- path-based facts (no catalog needed) --------------------------------------
 
-def save_fact_to_path(fact: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Write a monthly fact under ``path``, replacing only the months it holds."""
-    (fact.write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(MONTH)
-     .format(fmt)
-     .save(path))
+def save_fact_to_path(fact: DataFrame, path: str, fmt: str = "parquet", months: Iterable[str] | None = None) -> Load:
+    """Write a monthly fact under ``path``, replacing only its months: those named, or, without
+    ``months``, those that come. A named month without rows is deleted; rows of a month not
+    named are an error and nothing is replaced (a path has no catalog to swap: a reader of a month
+    may meet it while it is replaced)."""
+    path = path.rstrip("/")
+    months = sorted(set(months)) if months is not None else None
+    if months is not None:                     # other months must not be written at all
+        named = F.coalesce(F.col(MONTH).isin(*months), F.lit(False))
+        message = F.concat(F.lit("row of a month not named: "), F.coalesce(MONTH, F.lit("NULL")))
+        fact = fact.withColumn(MONTH, F.when(named, F.col(MONTH)).otherwise(F.raise_error(message).cast("string")))
+    load = publish.write_observed(
+        fact, lambda df: df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(MONTH).format(fmt).save(path))
+    for month in set(months or ()) - set(load.months):
+        publish.delete_folder(fact.sparkSession, publish.partition_folder(path, month))
+    return load
 
 
 def read_fact_from_path(spark: SparkSession, path: str, columns: list[str],
@@ -161,9 +177,13 @@ class Warehouse:
         self.spark.sql(f"USE {self.schema}")
 
     # facts
-    def save_fact(self, fact: DataFrame, table: str) -> None:
-        """Create the month-partitioned table, or replace just the months in ``fact``.
+    def save_fact(self, fact: DataFrame, table: str, months: Iterable[str] | None = None,
+                  checks: Iterable[Check] = ()) -> Load:
+        """Replace the months of a month-partitioned table (created if need be): those named, also
+        if they have no rows any more, or, without ``months``, those that come.
 
+        The rows are staged and checked as they are written; a check that fails leaves the table
+        as it is (:class:`CheckFailed`). Each run is noted in the table ``load_log``.
         A column that the table lacks is added to it (NULL in the months before), one
         that the fact lacks is NULL in its months."""
         name = self.name(table)
@@ -174,18 +194,30 @@ class Warehouse:
                 columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
                 self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
             own = {c.lower() for c in fact.columns}
-            row = [F.col(f.name) if f.name.lower() in own else F.lit(None).cast(f.dataType).alias(f.name)
+            row = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name.lower() in own
+                   else F.lit(None).cast(f.dataType).alias(f.name)
                    for f in self.spark.table(name).schema.fields]        # partition column last
-            with _session_conf(self.spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-                fact.select(*row).write.insertInto(name, overwrite=True)
+            fact = fact.select(*row)
         else:
-            fact.write.format(self.fmt).partitionBy(MONTH).saveAsTable(name)
+            self.spark.createDataFrame([], fact.schema).write.format(self.fmt).partitionBy(MONTH).saveAsTable(name)
+        return publish.publish(fact, name, months, checks, self.fmt,
+                               lambda load, published: self._note(name, load, published))
 
-    def save_interaction_fact(self, fact: DataFrame) -> None:
-        self.save_fact(fact, INTERACTION_TABLE)
+    def _note(self, name: str, load: Load, published: bool) -> None:
+        log = self.name(LOAD_LOG)
+        if not self.spark.catalog.tableExists(log):
+            self.spark.sql(f"CREATE TABLE {log} ({LOAD_LOG_SCHEMA}) USING {self.fmt}")
+        publish.load_row(self.spark, name, load, published).coalesce(1).write.insertInto(log)
 
-    def save_behavior_fact(self, fact: DataFrame) -> None:
-        self.save_fact(fact, BEHAVIOR_TABLE)
+    def save_interaction_fact(self, fact: DataFrame, months: Iterable[str] | None = None) -> Load:
+        return self.save_fact(fact, INTERACTION_TABLE, months, INTERACTION_CHECKS)
+
+    def save_behavior_fact(self, fact: DataFrame, months: Iterable[str] | None = None) -> Load:
+        return self.save_fact(fact, BEHAVIOR_TABLE, months, BEHAVIOR_CHECKS)
+
+    def vacuum(self, table: str) -> list[str]:
+        """Delete the staged folders of ``table`` that are not in use any more."""
+        return publish.vacuum(self.spark, self.name(table))
 
     def table(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
