@@ -42,24 +42,32 @@ def program_duration_stats(fact: DataFrame, month: str | None = None) -> DataFra
     """Per program: total seconds, hours, distinct watching contracts and their
     average active days. Watchers are contracts with a positive total.
 
-    One scan: the five program columns are unpivoted and aggregated with
-    conditional aggregates. Each month has five rows (a program nobody watched has
+    One scan. Rows are first reduced to one per (month, contract), where a contract that the fact repeats
+    becomes one watcher; a fact that arrives partitioned by month and contract needs no exchange
+    for that. The five programs stay columns up to the month's one row and are only then
+    turned into rows. Each month has five rows (a program nobody watched has
     NULL totals and a zero count); with ``month=`` these five are there even if the
     fact holds no row of that month.
     """
-    long = _month(fact, month).unpivot(
-        ["month_yyyymm", "Contract", "Active_Days"], PROGRAM_TYPES, "program_name", "duration")
-    if month:        # one row per program that counts for nothing, so that none is missing
-        empty = fact.sparkSession.createDataFrame([(month, p) for p in PROGRAM_TYPES],
-                                                  "month_yyyymm string, program_name string")
-        long = long.unionByName(empty, allowMissingColumns=True)
-    watched = F.col("duration") > 0
-    total = F.sum(F.when(watched, F.col("duration")))
-    return (long.groupBy("month_yyyymm", "program_name")
-            .agg(total.alias("total_duration"),
-                 (total / 3600).alias("total_duration_hours"),
-                 F.count_distinct(F.when(watched, F.col("Contract"))).alias("distinct_contract_count"),
-                 F.avg(F.when(watched, F.col("Active_Days"))).alias("avg_active_days")))
+    rows = _month(fact, month)
+    watched = {p: F.col(p) > 0 for p in PROGRAM_TYPES}
+    each = rows.groupBy("month_yyyymm", "Contract").agg(
+        *[F.sum(F.when(w, F.col(p))).alias(f"{p}_total") for p, w in watched.items()],
+        *[F.count_if(w).alias(f"{p}_rows") for p, w in watched.items()],
+        *[F.sum(F.when(w, F.col("Active_Days"))).alias(f"{p}_days") for p, w in watched.items()],
+        *[F.count(F.when(w, F.col("Active_Days"))).alias(f"{p}_known") for p, w in watched.items()])
+    if month:        # a row that counts for nothing, so that the month is there
+        each = each.unionByName(fact.sparkSession.createDataFrame([(month,)], "month_yyyymm string"),
+                                allowMissingColumns=True)
+    parts = each.groupBy("month_yyyymm").agg(*[
+        F.struct(F.lit(p).alias("program_name"), F.sum(f"{p}_total").alias("total"),
+                 F.count_if((F.col(f"{p}_rows") > 0) & F.col("Contract").isNotNull()).alias("contracts"),
+                 F.sum(f"{p}_days").alias("days"), F.sum(f"{p}_known").alias("known")).alias(p) for p in PROGRAM_TYPES])
+    long = parts.select("month_yyyymm", F.inline(F.array(*PROGRAM_TYPES)))
+    return long.select("month_yyyymm", "program_name", F.col("total").alias("total_duration"),
+                       (F.col("total") / 3600).alias("total_duration_hours"),
+                       F.col("contracts").alias("distinct_contract_count"),
+                       (F.col("days") / F.nullif("known", F.lit(0))).alias("avg_active_days"))
 
 
 def taste_distribution(fact: DataFrame, month: str | None = None) -> DataFrame:

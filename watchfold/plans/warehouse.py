@@ -113,7 +113,6 @@ def _program_case(param: str) -> str:
 
 def view_queries(fact: str) -> dict[str, str]:
     """The SELECT of each of the three BI views over the table ``fact``, month-aware."""
-    programs = ", ".join(PROGRAM_TYPES)
     label = _bin_case("Active_Days")
     return {
         "vw_contract_active_days_distribution": f"""
@@ -121,15 +120,22 @@ SELECT {MONTH}, {label} AS active_days_bin, COUNT(DISTINCT Contract) AS distinct
 FROM {fact}
 GROUP BY ALL
 ORDER BY {MONTH}, {_bin_order_case('active_days_bin')}""",
+        # one row per (month, contract), then one per month, then five
         "vw_program_duration_contract_stats": f"""
-SELECT {MONTH}, program_name,
-       SUM(CASE WHEN duration > 0 THEN duration END) AS total_duration,
-       SUM(CASE WHEN duration > 0 THEN duration END) / 3600 AS total_duration_hours,
-       COUNT(DISTINCT CASE WHEN duration > 0 THEN Contract END) AS distinct_contract_count,
-       AVG(CASE WHEN duration > 0 THEN Active_Days END) AS avg_active_days
-FROM (SELECT {MONTH}, Contract, Active_Days, {programs} FROM {fact})
-     UNPIVOT INCLUDE NULLS (duration FOR program_name IN ({programs}))
-GROUP BY {MONTH}, program_name""",
+WITH each AS (
+  SELECT {MONTH}, Contract, {', '.join(f"""SUM(CASE WHEN {p} > 0 THEN {p} END) AS {p}_total,
+         COUNT_IF({p} > 0) AS {p}_rows, SUM(CASE WHEN {p} > 0 THEN Active_Days END) AS {p}_days,
+         COUNT(CASE WHEN {p} > 0 THEN Active_Days END) AS {p}_known""" for p in PROGRAM_TYPES)}
+  FROM {fact} GROUP BY {MONTH}, Contract),
+months AS (
+  SELECT {MONTH}, {', '.join(f"""SUM({p}_total) AS {p}_total, COUNT_IF({p}_rows > 0 AND Contract IS NOT NULL) AS {p}_contracts,
+         SUM({p}_days) / NULLIF(SUM({p}_known), 0) AS {p}_average""" for p in PROGRAM_TYPES)}
+  FROM each GROUP BY {MONTH})
+SELECT {MONTH}, program_name, total_duration, total_duration / 3600 AS total_duration_hours,
+       distinct_contract_count, avg_active_days
+FROM months LATERAL VIEW stack({len(PROGRAM_TYPES)}, {', '.join(
+    f"'{p}', {p}_total, {p}_contracts, {p}_average" for p in PROGRAM_TYPES)})
+     AS program_name, total_duration, distinct_contract_count, avg_active_days""",
         "vw_customer_taste_contract_devices": f"""
 SELECT {MONTH}, customer_taste, COUNT(DISTINCT Contract) AS distinct_contract_count
 FROM {fact}
