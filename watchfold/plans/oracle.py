@@ -245,6 +245,57 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT Contract, 'TV' AS Program, TV_Channel AS Duration FROM fi "
         "ORDER BY TV_Channel DESC NULLS LAST, Contract, month_yyyymm LIMIT 10"),
 }
+_PROGRAM_COLUMNS = ", ".join(f"{p} bigint" for p in PROGRAM_TYPES)
+_STORED = [("fact_monthly_customer_interaction", "fi", f"Contract string, {_PROGRAM_COLUMNS}, TotalDevices bigint, "
+            "Most_Watch string, customer_taste string, Active_Days bigint, month_yyyymm string"),
+           ("fact_monthly_customer_behavior", "fb",
+            "user_id string, Previous_Genre string, Trending_Type string, month_yyyymm string"),
+           ("dim_user", "(SELECT DISTINCT user_id FROM fb WHERE user_id IS NOT NULL)", "user_id string"),
+           ("dim_contract", "(SELECT DISTINCT Contract FROM fi)", "contract string"),
+           ("user_contract_details", "b",
+            "user_id string, contract_id string, start_date date, end_date date, is_primary boolean")]
+_BIN_PLACE = """CASE active_days_bin WHEN '0-5' THEN 1 WHEN '5-10' THEN 2 WHEN '10-15' THEN 3 WHEN '15-20' THEN 4
+     WHEN '20-25' THEN 5 WHEN '25-30' THEN 6 WHEN '30' THEN 7 ELSE 8 END"""
+
+
+def _in_order(name: str, order: str) -> str:
+    return f"SELECT *, row_number() OVER (ORDER BY {order}) AS place FROM ({ORACLE_SQL[name]})"
+
+
+ORACLE_SQL |= {
+    "fact_month_reload": _interaction("SELECT * FROM fi WHERE month_yyyymm > '202402' "
+                                      "OR month_yyyymm = '202401' AND Active_Days >= 5"),
+    "publication_checks": _interaction(
+        "SELECT COUNT(*) AS rows, COUNT(DISTINCT month_yyyymm) AS months, 0 AS null_keys, 0 AS placeholder_contracts, "
+        "true AS published FROM fi UNION ALL SELECT COUNT(*), COUNT(DISTINCT month_yyyymm), "
+        "COUNT(*) FILTER (WHERE Contract IS NULL), COUNT(*) FILTER (WHERE Contract IN ('', '0')), false FROM dev"),
+    "programs_csv": ORACLE_SQL["distinct_programs"],
+    "stored_model": _with(INTERACTION_CTES + ",\n" + BEHAVIOR_CTES + ",\n" + _BRIDGE, " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, (SELECT COUNT(*) FROM {rows}) AS rows, '{columns}' AS columns"
+        for name, rows, columns in _STORED)),
+    "bitmap_active_days": ORACLE_SQL["active_days_distribution"],
+    "bitmap_taste": ORACLE_SQL["taste_distribution"],
+    "bitmap_genre_change": ORACLE_SQL["genre_change_percent"],
+    "bitmap_program_reach": _interaction(" UNION ALL ".join(
+        f"SELECT '{p}' AS program_name, COUNT(DISTINCT Contract) AS contracts FROM fi WHERE {p} > 0 HAVING COUNT(*) > 0"
+        for p in PROGRAM_TYPES)),
+    "bitmap_taste_reach": _interaction(
+        "SELECT customer_taste, COUNT(DISTINCT Contract) AS contracts FROM fi GROUP BY 1"),
+    "bitmap_retention": _with(BEHAVIOR_CTES + f""",
+k AS (SELECT DISTINCT user_id, month_yyyymm, {_MONTH_INDEX} AS mi FROM fb)""", """SELECT month_yyyymm, CAST(SUM(a * b) AS BIGINT) AS retained,
+       CAST(SUM(a * (1 - b)) AS BIGINT) AS gained, CAST(SUM((1 - a) * b) AS BIGINT) AS lost
+FROM (SELECT m.month_yyyymm, u.user_id,
+             CAST(EXISTS (SELECT 1 FROM k WHERE k.user_id = u.user_id AND k.mi = m.mi) AS INTEGER) AS a,
+             CAST(EXISTS (SELECT 1 FROM k WHERE k.user_id = u.user_id AND k.mi = m.mi - 1) AS INTEGER) AS b
+      FROM (SELECT DISTINCT month_yyyymm, mi FROM k) m, (SELECT DISTINCT user_id FROM k) u
+      WHERE m.mi - 1 IN (SELECT mi FROM k)) GROUP BY 1""")
+,
+    "active_days_in_order": _in_order("active_days_distribution", f"month_yyyymm, {_BIN_PLACE}"),
+    "taste_in_order": _in_order("taste_distribution", "month_yyyymm, distinct_contract_count DESC, customer_taste"),
+    "changed_in_order": _in_order("changed_by_previous_genre",
+                                  "month_yyyymm, changed_user_count DESC, Previous_Genre NULLS FIRST"),
+    "users_in_order": _in_order("dim_user", "user_id DESC"),
+}
 for _view, _same in (("sql_active_days_view", "active_days_distribution"),
                      ("sql_program_stats_view", "program_duration_stats"),
                      ("sql_taste_view", "taste_distribution")):

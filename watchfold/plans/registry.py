@@ -9,13 +9,22 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from contextlib import suppress
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from watchfold.operators import analytics, behavior, bridge, interaction, labelling
+from watchfold.operators import analytics, behavior, bridge, distinct, interaction, labelling
 from watchfold.functions.columns import month_of, rule_genre
 from watchfold.plans.warehouse import (
+    BEHAVIOR_TABLE,
+    BRIDGE_TABLE,
+    INTERACTION_CHECKS,
+    INTERACTION_TABLE,
+    LOAD_LOG,
+    CheckFailed,
+    Warehouse,
     read_fact_from_path,
     save_fact_to_path,
     top10_function_statement,
@@ -154,6 +163,96 @@ def bridge_synth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bridge.bridge_synth(users, contracts)
 
 
+SCRATCH_SCHEMA = "watchfold_scratch"
+
+
+def _scratch_warehouse(spark: SparkSession) -> Warehouse:
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {SCRATCH_SCHEMA}")
+    return Warehouse(spark, SCRATCH_SCHEMA)
+
+
+def fact_month_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All months published; then 202401 again with its active contracts only, and 202402 without rows."""
+    warehouse, table = _scratch_warehouse(spark), "fact_" + uuid.uuid4().hex
+    fact = fact_interaction(spark, sf_dir)
+    warehouse.save_fact(fact, table, checks=INTERACTION_CHECKS)
+    again = fact.filter("month_yyyymm = '202401' AND Active_Days >= 5")
+    warehouse.save_fact(again, table, ["202401", "202402"], INTERACTION_CHECKS)
+    warehouse.vacuum(table)
+    return warehouse.table(table)
+
+
+def publication_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the load log says of two loads: the fact, and one with its placeholder contracts left in,
+    which the checks keep from being published."""
+    warehouse, table = _scratch_warehouse(spark), "fact_" + uuid.uuid4().hex
+    logs = _logs(spark, sf_dir)
+    warehouse.save_fact(interaction.fact_interaction(logs), table, checks=INTERACTION_CHECKS)
+    with suppress(CheckFailed):
+        warehouse.save_fact(interaction.total_devices(logs), table, checks=INTERACTION_CHECKS)
+    log = warehouse.table(LOAD_LOG).filter(F.col("table_name") == warehouse.name(table))
+    values = F.from_json("metrics", "null_keys bigint, placeholder_contracts bigint")
+    return log.select("rows", F.size("months").cast("bigint").alias("months"), values["null_keys"].alias("null_keys"),
+                      values["placeholder_contracts"].alias("placeholder_contracts"), "published")
+
+
+def contract_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bitmaps of the interaction fact, loaded in two parts and merged."""
+    ensure_checkpoint_dir(spark)
+    fact = fact_interaction(spark, sf_dir).checkpoint()
+    known = distinct.numbered_dimension(fact.filter("month_yyyymm = '202401'"), "Contract")
+    dimension = distinct.numbered_dimension(fact, "Contract", known)
+    first, rest = fact.filter("month_yyyymm = '202401' OR Kids > 0"), fact.filter("month_yyyymm > '202401'")
+    return distinct.merge(*(distinct.key_bitmaps(part, dimension, "Contract", distinct.interaction_measures())
+                            for part in (first, rest)))
+
+
+def user_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_checkpoint_dir(spark)
+    fact = fact_behavior(spark, sf_dir).checkpoint()
+    return distinct.key_bitmaps(fact, distinct.numbered_dimension(fact, "user_id"), "user_id",
+                                distinct.behavior_measures())
+
+
+def in_order(frame: DataFrame) -> DataFrame:
+    """Add ``place``, each row's position in a sorted frame as it comes out, from 1.
+
+    ``monotonically_increasing_id`` follows the partitions of the sort; a partition's offset is the
+    number of rows before it (one row a partition)."""
+    ensure_checkpoint_dir(frame.sparkSession)
+    numbered = frame.withColumn("_id", F.monotonically_increasing_id()).checkpoint()
+    part = F.shiftright("_id", 33)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = numbered.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows")) \
+        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    return (numbered.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+            .withColumn("place", F.col("_offset") + F.col("_id") - F.shiftleft("_part", 33) + 1)
+            .drop("_part", "_id", "_offset"))
+
+
+def programs_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distinct programs written as CSV and read back as text."""
+    path = _folder(spark, "programs")
+    files.export_programs(_programs(spark, sf_dir), path)
+    return spark.read.schema("most_searched string").options(**files.CSV_READ).csv(path)
+
+
+def stored_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facts, dimensions and bridge as stored tables of one schema, with the rows and columns of each."""
+    warehouse = Warehouse(spark, "wf_" + uuid.uuid4().hex)
+    spark.sql(f"CREATE SCHEMA {warehouse.schema}")
+    warehouse.save_interaction_fact(fact_interaction(spark, sf_dir))
+    warehouse.save_behavior_fact(fact_behavior(spark, sf_dir))
+    warehouse.build_dimensions()
+    warehouse.create_bridge_table()
+    warehouse.fill_bridge()
+    tables = [INTERACTION_TABLE, BEHAVIOR_TABLE, "dim_user", "dim_contract", BRIDGE_TABLE]
+    counted = [warehouse.table(t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("rows"),
+                                      F.lit(", ".join(f"{c} {k}" for c, k in warehouse.table(t).dtypes)).alias("columns"))
+               for t in tables]
+    return reduce(DataFrame.unionByName, counted)
+
+
 QUERIES: dict[str, Query] = {
     # sources (fixtures standing in for the log files)
     "log_content": _logs,
@@ -214,4 +313,21 @@ QUERIES: dict[str, Query] = {
     "parse_label_replies": parse_label_replies,
     "rule_genre_label": rule_genre_label,
     "check_genre_domain": lambda s, d: labelling.check_genre_domain(_mapping(s, d)),
+    # months replaced, checks taken during the write, the stored model
+    "fact_month_reload": fact_month_reload,
+    "publication_checks": publication_checks,
+    "programs_csv": programs_csv,
+    "stored_model": stored_model,
+    # distinct counts from mergeable bitmaps
+    "bitmap_active_days": lambda s, d: distinct.active_days_distribution(contract_bitmaps(s, d)),
+    "bitmap_taste": lambda s, d: distinct.taste_distribution(contract_bitmaps(s, d)),
+    "bitmap_genre_change": lambda s, d: distinct.genre_change_percent(user_bitmaps(s, d)),
+    "bitmap_program_reach": lambda s, d: distinct.program_reach(contract_bitmaps(s, d)),
+    "bitmap_taste_reach": lambda s, d: distinct.taste_reach(contract_bitmaps(s, d)),
+    "bitmap_retention": lambda s, d: distinct.retention(user_bitmaps(s, d)),
+    # presentation orders, with the place of each row as it comes out
+    "active_days_in_order": lambda s, d: in_order(analytics.active_days_distribution(fact_interaction(s, d))),
+    "taste_in_order": lambda s, d: in_order(analytics.taste_distribution(fact_interaction(s, d))),
+    "changed_in_order": lambda s, d: in_order(analytics.changed_by_previous_genre(fact_behavior(s, d))),
+    "users_in_order": lambda s, d: in_order(behavior.order_users_desc(analytics.dim_user(fact_behavior(s, d)))),
 }
