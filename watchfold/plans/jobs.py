@@ -1,6 +1,7 @@
 """The reference's runnable jobs, end to end on files and the catalog.
 
 * ``interaction`` — daily JSON watch logs of a date range -> interaction fact;
+* ``days``        — the same logs day by day: per-day state stored, its months rebuilt from it;
 * ``behavior``    — search logs of two months + genre CSV -> behaviour fact;
 * ``label``       — distinct most-searched keywords of two months -> genre CSV;
 * ``model``       — dimensions, bridge table and rows, views, top-10 function;
@@ -20,6 +21,7 @@ import importlib
 
 from pyspark.sql import DataFrame, SparkSession
 
+from watchfold.operators import daily
 from watchfold.operators.behavior import distinct_programs, fact_behavior_between, most_searched
 from watchfold.operators.interaction import fact_interaction, months_between
 from watchfold.operators.labelling import Labeller, label_genres
@@ -27,6 +29,7 @@ from watchfold.plans.warehouse import Warehouse
 from watchfold.session import build_session
 from watchfold.sources.files import (
     as_date,
+    day_paths,
     export_programs,
     read_genre_mapping,
     read_search_logs,
@@ -56,6 +59,17 @@ def run_interaction_etl(spark: SparkSession, input_root: str, start: str, end: s
     return warehouse.table("fact_monthly_customer_interaction")
 
 
+def run_daily_etl(spark: SparkSession, input_root: str, start: str, end: str, warehouse: Warehouse,
+                  missing: str = "fail") -> DataFrame:
+    """Read the days ``start..end``, replace their stored state, and rebuild the calendar months they lie
+    in from the state of all their days. A late or corrected day costs its own logs only."""
+    state = daily.daily_state(read_watch_logs(spark, input_root, start, end, missing))
+    days = [as_date(d) for d in day_paths(start, end)]
+    warehouse.save_days(state, days)
+    warehouse.refresh_months(days)
+    return warehouse.table("fact_monthly_customer_interaction")
+
+
 def run_behavior_etl(spark: SparkSession, input_root: str, previous_month: str, current_month: str,
                      mapping_path: str, warehouse: Warehouse) -> DataFrame:
     """Most searched keyword per user in both months, genres, trend; write the current month."""
@@ -106,11 +120,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--schema", default="analytics")
     parser.add_argument("--format", default="parquet")
     sub = parser.add_subparsers(dest="job", required=True)
-    p = sub.add_parser("interaction")
-    p.add_argument("--input", required=True)
-    p.add_argument("--start", required=True)
-    p.add_argument("--end", required=True)
-    p.add_argument("--missing", choices=["fail", "skip"], default="fail")
+    for name in ("interaction", "days"):
+        p = sub.add_parser(name)
+        p.add_argument("--input", required=True)
+        p.add_argument("--start", required=True)
+        p.add_argument("--end", required=True)
+        p.add_argument("--missing", choices=["fail", "skip"], default="fail")
     for name in ("behavior", "label", "export"):
         p = sub.add_parser(name)
         p.add_argument("--input", required=True)
@@ -132,6 +147,8 @@ def main(argv: list[str] | None = None) -> None:
     warehouse.setup()
     if args.job == "interaction":
         run_interaction_etl(spark, args.input, args.start, args.end, warehouse, args.missing)
+    elif args.job == "days":
+        run_daily_etl(spark, args.input, args.start, args.end, warehouse, args.missing)
     elif args.job == "behavior":
         run_behavior_etl(spark, args.input, args.previous, args.current, args.mapping, warehouse)
     elif args.job == "label":

@@ -265,6 +265,14 @@ def _in_order(name: str, order: str) -> str:
 ORACLE_SQL |= {
     "fact_month_reload": _interaction("SELECT * FROM fi WHERE month_yyyymm > '202402' "
                                       "OR month_yyyymm = '202401' AND Active_Days >= 5"),
+    "daily_state": _interaction(
+        "SELECT log_date, Contract, " + ", ".join(
+            f"CAST(SUM(TotalDuration) FILTER (WHERE Type = '{t}') AS BIGINT) AS {t}" for t in ["Error", *PROGRAM_TYPES])
+        + ", COUNT(*) AS log_rows FROM t WHERE Contract NOT IN ('', '0') GROUP BY 1, 2"),
+    "fact_from_daily": ORACLE_SQL["fact_interaction"],
+    "fact_after_late_day": ORACLE_SQL["fact_interaction"].replace(
+        f"lc AS ({LC})",
+        f"lc AS (SELECT * FROM ({LC}) WHERE log_date <> DATE '2024-01-03' OR TotalDuration >= 5000)"),
     "publication_checks": _interaction(
         "SELECT COUNT(*) AS rows, COUNT(DISTINCT month_yyyymm) AS months, 0 AS null_keys, 0 AS placeholder_contracts, "
         "true AS published FROM fi UNION ALL SELECT COUNT(*), COUNT(DISTINCT month_yyyymm), "

@@ -1,4 +1,4 @@
-"""Monthly publication: stage, check while writing, then swap partition locations.
+"""Publication of months (or days): stage, check while writing, then swap partition locations.
 
 A run names the months it loads. Its rows are written once, into a folder of the
 run's own under the table (``_runs/<id>/month_yyyymm=...``), where no reader looks.
@@ -87,16 +87,17 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
 # --- staging ---------------------------------------------------------------------
 
 def write_observed(rows: DataFrame, save: Callable[[DataFrame], None], months: Iterable[str] | None = None,
-                   checks: Iterable[Check] = ()) -> Load:
-    """Write ``rows`` by ``save`` and take months, row count and checks from that job."""
+                   checks: Iterable[Check] = (), column: str = MONTH) -> Load:
+    """Write ``rows`` by ``save`` and take months (values of the partition column, as text), row
+    count and checks from that job."""
     checks = list(checks)
     if months is not None:
         named = ", ".join(repr(m) for m in months) or "NULL"
-        checks.append(Check("rows_of_other_months", f"count_if(coalesce({MONTH} NOT IN ({named}), true))"))
+        checks.append(Check("rows_of_other_months", f"count_if(coalesce(CAST({column} AS STRING) NOT IN ({named}), true))"))
     seen = Observation()
     # numbered, as a caller's check names may clash with each other or with columns
     values = [F.expr(c.value).alias(f"check_{k}") for k, c in enumerate(checks)]
-    save(rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col(MONTH)).alias("months"), *values))
+    save(rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col(column).cast("string")).alias("months"), *values))
     got = seen.get
     metrics = {c.name: got.get(f"check_{k}", 0) for k, c in enumerate(checks)}
     return Load(uuid.uuid4().hex, sorted(got.get("months") or []), got.get("rows") or 0, metrics,
@@ -108,8 +109,8 @@ def table_folder(spark: SparkSession, table: str) -> str:
     return detail.data_type.rstrip("/")
 
 
-def partition_folder(base: str, month: str) -> str:
-    return f"{base}/{MONTH}={month}"
+def partition_folder(base: str, month: str, column: str = MONTH) -> str:
+    return f"{base}/{column}={month}"
 
 
 def published_months(spark: SparkSession, table: str) -> list[str]:
@@ -117,8 +118,9 @@ def published_months(spark: SparkSession, table: str) -> list[str]:
 
 
 def publish(rows: DataFrame, table: str, months: Iterable[str] | None = None, checks: Iterable[Check] = (),
-            fmt: str = "parquet", note: Callable[[Load, bool], None] | None = None) -> Load:
-    """Replace months of ``table`` (partitioned by ``month_yyyymm``, columns as ``rows``).
+            fmt: str = "parquet", note: Callable[[Load, bool], None] | None = None, column: str = MONTH) -> Load:
+    """Replace months of ``table`` (partitioned by ``month_yyyymm``, or by another ``column`` of which the
+    "months" are values; columns as ``rows``).
 
     ``months`` are the months the run is about; without it, those that come. ``note`` is told of
     every run, also of one that is not published.
@@ -126,7 +128,8 @@ def publish(rows: DataFrame, table: str, months: Iterable[str] | None = None, ch
     spark = rows.sparkSession
     months = sorted(set(months)) if months is not None else None
     staged = f"{table_folder(spark, table)}/{RUNS}/{uuid.uuid4().hex}"
-    load = write_observed(rows, lambda df: df.write.partitionBy(MONTH).format(fmt).save(staged), months, checks)
+    load = write_observed(rows, lambda df: df.write.partitionBy(column).format(fmt).save(staged), months, checks,
+                          column)
     if load.failed:
         delete_folder(spark, staged)
         if note:
@@ -134,7 +137,7 @@ def publish(rows: DataFrame, table: str, months: Iterable[str] | None = None, ch
         raise CheckFailed(f"{table}: " + ", ".join(f"{name} = {load.metrics[name]}" for name in load.failed))
     there = set(published_months(spark, table))
     for month in months if months is not None else load.months:
-        folder, spec = partition_folder(staged, month), f"PARTITION ({MONTH} = '{month}')"
+        folder, spec = partition_folder(staged, month, column), f"PARTITION ({column} = '{month}')"
         if month not in load.months:
             if month not in there:
                 continue
@@ -154,8 +157,9 @@ def vacuum(spark: SparkSession, table: str) -> list[str]:
     reader started before the last publication is left."""
     base = f"{table_folder(spark, table)}/{RUNS}"
     used = set()
-    for month in published_months(spark, table):
-        rows = spark.sql(f"DESCRIBE FORMATTED {table} PARTITION ({MONTH} = '{month}')").filter("col_name = 'Location'")
+    for spec in (r.partition for r in spark.sql(f"SHOW PARTITIONS {table}").collect()):
+        name, value = spec.split("=", 1)
+        rows = spark.sql(f"DESCRIBE FORMATTED {table} PARTITION ({name} = '{value}')").filter("col_name = 'Location'")
         used.add(rows.first().data_type.rstrip("/").split("/")[-2])
     gone = [run for run in list_folders(spark, base) if run not in used]
     for run in gone:

@@ -10,12 +10,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from contextlib import suppress
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from watchfold.operators import analytics, behavior, bridge, distinct, interaction, labelling
+from watchfold.operators import analytics, behavior, bridge, daily, distinct, interaction, labelling
 from watchfold.functions.columns import month_of, rule_genre
 from watchfold.plans.warehouse import (
     BEHAVIOR_TABLE,
@@ -196,6 +197,22 @@ def publication_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
                       values["placeholder_contracts"].alias("placeholder_contracts"), "published")
 
 
+def fact_after_late_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days stored as state; then one day again, corrected (its short rows gone), and its month rebuilt
+    from the stored days."""
+    warehouse = Warehouse(spark, "wf_" + uuid.uuid4().hex)
+    spark.sql(f"CREATE SCHEMA {warehouse.schema}")
+    logs = _logs(spark, sf_dir)
+    days = [r.log_date for r in logs.select("log_date").distinct().collect()]      # two or three months of days
+    warehouse.save_days(daily.daily_state(logs), days)
+    warehouse.refresh_months(days)
+    late = date(2024, 1, 3)
+    corrected = logs.filter((F.col("log_date") == F.lit(late)) & (F.col("TotalDuration") >= 5000))
+    warehouse.save_days(daily.daily_state(corrected), [late])
+    warehouse.refresh_months([late])
+    return warehouse.table(INTERACTION_TABLE)
+
+
 def contract_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bitmaps of the interaction fact, loaded in two parts and merged."""
     ensure_checkpoint_dir(spark)
@@ -270,6 +287,9 @@ QUERIES: dict[str, Query] = {
     "fact_interaction": fact_interaction,
     "fact_interaction_stepwise": lambda s, d: interaction.fact_interaction_stepwise(_logs(s, d)),
     "fact_sink_roundtrip": fact_sink_roundtrip,
+    "daily_state": lambda s, d: daily.daily_state(_logs(s, d)),
+    "fact_from_daily": lambda s, d: daily.fact_from_daily(daily.daily_state(_logs(s, d))),
+    "fact_after_late_day": fact_after_late_day,
     # behaviour fact and its operators
     "keyword_frequency": lambda s, d: behavior.keyword_frequency(_searches(s, d)),
     "most_searched": _most_searched,

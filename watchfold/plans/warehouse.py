@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterable
 from contextlib import contextmanager
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from watchfold.functions.constants import (
     PROGRAM_SYNONYMS,
     PROGRAM_TYPES,
 )
-from watchfold.operators import analytics
+from watchfold.operators import analytics, daily
 from watchfold.operators.bridge import BRIDGE_SCHEMA, bridge_synth
 from watchfold.plans import publish
 from watchfold.plans.publish import LOAD_LOG_SCHEMA, MONTH, Check, CheckFailed, Load
@@ -34,6 +35,8 @@ INTERACTION_TABLE = "fact_monthly_customer_interaction"
 BEHAVIOR_TABLE = "fact_monthly_customer_behavior"
 BRIDGE_TABLE = "user_contract_details"
 LOAD_LOG = "load_log"
+DAILY_TABLE = "daily_contract_state"
+DAILY_CHECKS = [publish.null_keys("Contract", "log_date")]
 INTERACTION_CHECKS = [publish.null_keys("Contract"), Check("placeholder_contracts", "count_if(Contract IN ('', '0'))")]
 BEHAVIOR_CHECKS = [publish.null_keys("user_id", "Trending_Type")]
 TOP10_FUNCTION = "top10_contract_by_program"
@@ -184,14 +187,14 @@ class Warehouse:
 
     # facts
     def save_fact(self, fact: DataFrame, table: str, months: Iterable[str] | None = None,
-                  checks: Iterable[Check] = ()) -> Load:
+                  checks: Iterable[Check] = (), column: str = MONTH) -> Load:
         """Replace the months of a month-partitioned table (created if need be): those named, also
         if they have no rows any more, or, without ``months``, those that come.
 
         The rows are staged and checked as they are written; a check that fails leaves the table
         as it is (:class:`CheckFailed`). Each run is noted in the table ``load_log``.
         A column that the table lacks is added to it (NULL in the months before), one
-        that the fact lacks is NULL in its months."""
+        that the fact lacks is NULL in its months. ``column`` is the partition column."""
         name = self.name(table)
         if self.spark.catalog.tableExists(name):
             known = {c.lower() for c in self.spark.table(name).columns}
@@ -205,9 +208,9 @@ class Warehouse:
                    for f in self.spark.table(name).schema.fields]        # partition column last
             fact = fact.select(*row)
         else:
-            self.spark.createDataFrame([], fact.schema).write.format(self.fmt).partitionBy(MONTH).saveAsTable(name)
+            self.spark.createDataFrame([], fact.schema).write.format(self.fmt).partitionBy(column).saveAsTable(name)
         return publish.publish(fact, name, months, checks, self.fmt,
-                               lambda load, published: self._note(name, load, published))
+                               lambda load, published: self._note(name, load, published), column)
 
     def _note(self, name: str, load: Load, published: bool) -> None:
         log = self.name(LOAD_LOG)
@@ -221,6 +224,21 @@ class Warehouse:
     def save_behavior_fact(self, fact: DataFrame, months: Iterable[str] | None = None) -> Load:
         return self.save_fact(fact, BEHAVIOR_TABLE, months, BEHAVIOR_CHECKS)
 
+    # per-day state of the interaction fact
+    def save_days(self, state: DataFrame, days: Iterable[date]) -> Load:
+        """Replace the stored state of the named days (also of days without rows)."""
+        return self.save_fact(state, DAILY_TABLE, [d.isoformat() for d in days], DAILY_CHECKS, "log_date")
+
+    def refresh_months(self, days: Iterable[date]) -> list[str]:
+        """Rebuild the fact's months that the days lie in, from the stored state alone: only the
+        partitions of those months are read."""
+        months = sorted({(d.year, d.month) for d in days})
+        spans = [daily.month_span(y, m) for y, m in months]
+        state = daily.within(self.table(DAILY_TABLE), spans)
+        names = [f"{y:04d}{m:02d}" for y, m in months]
+        self.save_interaction_fact(daily.fact_from_daily(state), names)
+        return names
+
     def vacuum(self, table: str) -> list[str]:
         """Delete the staged folders of ``table`` that are not in use any more."""
         return publish.vacuum(self.spark, self.name(table))
