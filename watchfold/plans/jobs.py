@@ -1,6 +1,7 @@
 """The reference's runnable jobs, end to end on files and the catalog.
 
 * ``interaction`` — daily JSON watch logs of a date range -> interaction fact;
+* ``ingest``      — the daily logs stored with every field, malformed lines beside them;
 * ``days``        — the same logs day by day: per-day state stored, its months rebuilt from it;
 * ``behavior``    — search logs of two months + genre CSV -> behaviour fact;
 * ``label``       — distinct most-searched keywords of two months -> genre CSV;
@@ -25,7 +26,7 @@ from watchfold.operators import daily
 from watchfold.operators.behavior import distinct_programs, fact_behavior_between, most_searched
 from watchfold.operators.interaction import fact_interaction, months_between
 from watchfold.operators.labelling import Labeller, label_genres
-from watchfold.plans.warehouse import Warehouse
+from watchfold.plans.warehouse import RAW_TABLE, Warehouse
 from watchfold.session import build_session
 from watchfold.sources.files import (
     as_date,
@@ -34,6 +35,7 @@ from watchfold.sources.files import (
     read_genre_mapping,
     read_search_logs,
     read_watch_logs,
+    read_watch_payloads,
     write_genre_mapping,
 )
 
@@ -42,13 +44,15 @@ MAX_FAILED_SHARE = 0.1      # of labeller calls
 
 def run_interaction_etl(spark: SparkSession, input_root: str, start: str, end: str,
                         warehouse: Warehouse, missing: str = "fail",
-                        per_calendar_month: bool = False) -> DataFrame:
-    """Read the days ``start..end`` in one scan, build the fact, write its month.
+                        per_calendar_month: bool = False, from_raw: bool = False) -> DataFrame:
+    """Read the days ``start..end`` in one scan, build the fact, write its month. ``from_raw`` reads
+    the days that :func:`run_ingest` has stored instead of the files.
 
     The whole run is tagged with the month of ``start`` (the reference's rule);
     ``per_calendar_month=True`` tags each day with its own month instead.
     """
-    logs = read_watch_logs(spark, input_root, start, end, missing)
+    logs = warehouse.raw_logs(as_date(start), as_date(end)) if from_raw else \
+        read_watch_logs(spark, input_root, start, end, missing)
     if per_calendar_month:
         fact = fact_interaction(logs)
         months = [f"{y:04d}{m:02d}" for y, m in months_between(as_date(start), as_date(end))]
@@ -59,6 +63,15 @@ def run_interaction_etl(spark: SparkSession, input_root: str, start: str, end: s
     return warehouse.table("fact_monthly_customer_interaction")
 
 
+def run_ingest(spark: SparkSession, input_root: str, start: str, end: str, warehouse: Warehouse,
+               missing: str = "fail", max_malformed_share: float = 1.0) -> DataFrame:
+    """Store every line of the days ``start..end`` with all its fields, in one scan; lines that are no
+    JSON are kept beside them and counted in the load log."""
+    payloads = read_watch_payloads(spark, input_root, start, end, missing)
+    warehouse.save_raw_days(payloads, [as_date(d) for d in day_paths(start, end)], max_malformed_share)
+    return warehouse.table(RAW_TABLE)
+
+
 def run_daily_etl(spark: SparkSession, input_root: str, start: str, end: str, warehouse: Warehouse,
                   missing: str = "fail") -> DataFrame:
     """Read the days ``start..end``, replace their stored state, and rebuild the calendar months they lie
@@ -120,12 +133,16 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--schema", default="analytics")
     parser.add_argument("--format", default="parquet")
     sub = parser.add_subparsers(dest="job", required=True)
-    for name in ("interaction", "days"):
+    for name in ("interaction", "days", "ingest"):
         p = sub.add_parser(name)
         p.add_argument("--input", required=True)
         p.add_argument("--start", required=True)
         p.add_argument("--end", required=True)
         p.add_argument("--missing", choices=["fail", "skip"], default="fail")
+        if name == "interaction":
+            p.add_argument("--from-raw", action="store_true", help="read what ingest has stored")
+        if name == "ingest":
+            p.add_argument("--max-malformed-share", type=float, default=1.0)
     for name in ("behavior", "label", "export"):
         p = sub.add_parser(name)
         p.add_argument("--input", required=True)
@@ -146,7 +163,9 @@ def main(argv: list[str] | None = None) -> None:
     warehouse = Warehouse(spark, args.schema, args.format)
     warehouse.setup()
     if args.job == "interaction":
-        run_interaction_etl(spark, args.input, args.start, args.end, warehouse, args.missing)
+        run_interaction_etl(spark, args.input, args.start, args.end, warehouse, args.missing, from_raw=args.from_raw)
+    elif args.job == "ingest":
+        run_ingest(spark, args.input, args.start, args.end, warehouse, args.missing, args.max_malformed_share)
     elif args.job == "days":
         run_daily_etl(spark, args.input, args.start, args.end, warehouse, args.missing)
     elif args.job == "behavior":

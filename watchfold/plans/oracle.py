@@ -273,6 +273,17 @@ ORACLE_SQL |= {
     "fact_after_late_day": ORACLE_SQL["fact_interaction"].replace(
         f"lc AS ({LC})",
         f"lc AS (SELECT * FROM ({LC}) WHERE log_date <> DATE '2024-01-03' OR TotalDuration >= 5000)"),
+    "watch_log_payloads": _interaction("""SELECT Contract, Mac, AppName, CAST(TotalDuration AS DOUBLE) AS TotalDuration, log_date,
+       'history' AS index_name, CASE WHEN day(log_date) % 2 = 1 THEN Mac END AS device_id,
+       CASE WHEN day(log_date) % 2 = 1 THEN dayofyear(log_date) END AS device_os,
+       CASE WHEN day(log_date) % 2 = 0 THEN 'v' || day(log_date) END AS release, CAST(NULL AS VARCHAR) AS malformed
+FROM lc WHERE TotalDuration IS NULL OR TotalDuration <> 0
+UNION ALL SELECT NULL, NULL, NULL, NULL, log_date, NULL, NULL, NULL, NULL,
+       '{{"_index":"history","_source":{' || CASE WHEN Contract IS NULL THEN '' ELSE '"Contract":"' || Contract || '",' END
+       || '"Mac":"' || Mac || '","AppName":"' || AppName || '","TotalDuration":0,'
+       || CASE WHEN day(log_date) % 2 = 1 THEN '"device":{"id":"' || Mac || '","os":' || dayofyear(log_date) || '}'
+               ELSE '"release":"v' || day(log_date) || '"' END || '}}'
+FROM lc WHERE TotalDuration = 0"""),
     "publication_checks": _interaction(
         "SELECT COUNT(*) AS rows, COUNT(DISTINCT month_yyyymm) AS months, 0 AS null_keys, 0 AS placeholder_contracts, "
         "true AS published FROM fi UNION ALL SELECT COUNT(*), COUNT(DISTINCT month_yyyymm), "

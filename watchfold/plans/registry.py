@@ -118,6 +118,29 @@ def watch_log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_watch_logs(spark, path, first, last, missing="skip", name="day={day}.json")
 
 
+def watch_log_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The watch log as JSON files whose fields drift from day to day and hold lines that are no JSON,
+    stored with every field; read back typed, with the unknown fields, and the malformed lines."""
+    path, logs = _folder(spark, "payload"), _logs(spark, sf_dir)
+    odd = F.dayofmonth("log_date") % 2 == 1
+    inner = F.struct("Contract", "Mac", "AppName", "TotalDuration",
+                     F.when(odd, F.struct(F.col("Mac").alias("id"), F.dayofyear("log_date").alias("os"))).alias("device"),
+                     F.when(~odd, F.concat(F.lit("v"), F.dayofmonth("log_date"))).alias("release"))
+    line = F.to_json(F.struct(F.lit("history").alias("_index"), inner.alias("_source")))
+    broken = F.when(F.col("TotalDuration") == 0, F.concat(F.lit("{"), line)).otherwise(line)
+    day = F.concat(F.date_format("log_date", "yyyyMMdd"), F.lit(".json")).alias("day")
+    logs.select(broken.alias("value"), day).write.partitionBy("day").text(path)
+    first, last = logs.agg(F.min("log_date"), F.max("log_date")).first()
+    warehouse = Warehouse(spark, "wf_" + uuid.uuid4().hex)
+    spark.sql(f"CREATE SCHEMA {warehouse.schema}")
+    payloads = files.read_watch_payloads(spark, path, first, last, missing="skip", name="day={day}.json")
+    warehouse.save_raw_days(payloads, [files.as_date(d) for d in files.day_paths(first, last)])
+    extra = {"index_name": ("_index", "string"), "device_id": ("_source.device.id", "string"),
+             "device_os": ("_source.device.os", "bigint"), "release": ("_source.release", "string")}
+    good = warehouse.raw_logs(first, last, extra).withColumn("malformed", F.lit(None).cast("string"))
+    return good.unionByName(warehouse.malformed_raw(), allowMissingColumns=True)
+
+
 def search_log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The search log as a parquet tree by month, read back with the months of its paths."""
     path = _folder(spark, "search")
@@ -325,6 +348,7 @@ QUERIES: dict[str, Query] = {
     # files written and read back
     "csv_roundtrip": csv_roundtrip,
     "watch_log_files": watch_log_files,
+    "watch_log_payloads": watch_log_payloads,
     "search_log_files": search_log_files,
     # bridge
     "bridge_synth": bridge_synth,

@@ -30,11 +30,13 @@ from watchfold.operators import analytics, daily
 from watchfold.operators.bridge import BRIDGE_SCHEMA, bridge_synth
 from watchfold.plans import publish
 from watchfold.plans.publish import LOAD_LOG_SCHEMA, MONTH, Check, CheckFailed, Load
+from watchfold.sources import files
 
 INTERACTION_TABLE = "fact_monthly_customer_interaction"
 BEHAVIOR_TABLE = "fact_monthly_customer_behavior"
 BRIDGE_TABLE = "user_contract_details"
 LOAD_LOG = "load_log"
+RAW_TABLE = "watch_log_raw"
 DAILY_TABLE = "daily_contract_state"
 DAILY_CHECKS = [publish.null_keys("Contract", "log_date")]
 INTERACTION_CHECKS = [publish.null_keys("Contract"), Check("placeholder_contracts", "count_if(Contract IN ('', '0'))")]
@@ -224,6 +226,23 @@ class Warehouse:
     def save_behavior_fact(self, fact: DataFrame, months: Iterable[str] | None = None) -> Load:
         return self.save_fact(fact, BEHAVIOR_TABLE, months, BEHAVIOR_CHECKS)
 
+    # raw watch logs, every field and every line
+    def save_raw_days(self, payloads: DataFrame, days: Iterable[date], max_malformed_share: float = 1.0) -> Load:
+        """Replace the stored lines of the named days. Lines that are no JSON are stored too
+        (:meth:`malformed_raw`); more than ``max_malformed_share`` of them publishes nothing."""
+        share = "coalesce(count(malformed) / nullif(count(*), 0), 0.0)"
+        checks = [Check("malformed_share", share, lambda v: float(v) <= max_malformed_share),
+                  Check("malformed", "count(malformed)", lambda v: True)]
+        return self.save_fact(payloads, RAW_TABLE, [d.isoformat() for d in days], checks, "log_date")
+
+    def raw_logs(self, start: date, end: date, extra: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+        """Typed watch log rows of the stored days, with any ``extra`` fields of the payload."""
+        stored = self.table(RAW_TABLE).filter(F.col("log_date").between(F.lit(start), F.lit(end)))
+        return files.typed_watch_logs(stored, extra)
+
+    def malformed_raw(self) -> DataFrame:
+        return self.table(RAW_TABLE).filter(F.col("malformed").isNotNull()).select("log_date", "malformed")
+
     # per-day state of the interaction fact
     def save_days(self, state: DataFrame, days: Iterable[date]) -> Load:
         """Replace the stored state of the named days (also of days without rows)."""

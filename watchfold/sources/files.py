@@ -13,7 +13,7 @@ from __future__ import annotations
 from datetime import date, datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,19 +52,25 @@ def day_paths(start: str | date, end: str | date) -> list[str]:
     return [(first + timedelta(days=i)).strftime("%Y%m%d") for i in range((last - first).days + 1)]
 
 
+def _day_files(root: str, start: str | date, end: str | date, missing: str, name: str) -> list[str]:
+    """Paths of the days' files: each by name (an absent day fails), or one brace glob over them."""
+    days, base = day_paths(start, end), root.rstrip("/")
+    if missing == "fail":
+        return [f"{base}/{name.format(day=d)}" for d in days]
+    if missing == "skip":
+        return [f"{base}/{name.format(day='{' + ','.join(days) + '}')}"]
+    raise ValueError("missing must be 'fail' or 'skip'")
+
+
+def _day_of_path() -> Column:
+    """The day of the ``<yyyymmdd>.json`` path element: a file, or a folder of part files."""
+    return F.to_date(F.regexp_extract(F.col("_metadata.file_path"), r"([0-9]{8})\.json", 1), "yyyyMMdd")
+
+
 def _watch_lines(spark: SparkSession, root: str, start: str | date, end: str | date,
                  missing: str, name: str) -> DataFrame:
-    days, base = day_paths(start, end), root.rstrip("/")
     reader = spark.read.schema(WATCH_LOG_SCHEMA).option("columnNameOfCorruptRecord", "_malformed")
-    if missing == "fail":
-        raw = reader.json([f"{base}/{name.format(day=d)}" for d in days])
-    elif missing == "skip":
-        raw = reader.json(f"{base}/{name.format(day='{' + ','.join(days) + '}')}")
-    else:
-        raise ValueError("missing must be 'fail' or 'skip'")
-    # the day is the ``<yyyymmdd>.json`` path element: a file, or a folder of part files
-    day = F.regexp_extract(F.col("_metadata.file_path"), r"([0-9]{8})\.json", 1)
-    return raw.withColumn("log_date", F.to_date(day, "yyyyMMdd"))
+    return reader.json(_day_files(root, start, end, missing, name)).withColumn("log_date", _day_of_path())
 
 
 def read_watch_logs(spark: SparkSession, root: str, start: str | date, end: str | date,
@@ -76,7 +82,8 @@ def read_watch_logs(spark: SparkSession, root: str, start: str | date, end: str
     ``TotalDuration`` is a double, so that whole, fractional and quoted numbers all
     count. ``missing="fail"`` fails on an absent day like the reference does;
     ``missing="skip"`` reads the days that exist (a brace glob over the day names).
-    Lines that are no JSON are left out here and counted by :func:`malformed_lines`.
+    Lines that are no JSON are left out here and counted by :func:`malformed_lines`; with
+    :func:`read_watch_payloads` they are kept, and so are all other fields.
     """
     raw = _watch_lines(spark, root, start, end, missing, name).filter(F.col("_malformed").isNull())
     return raw.select(
@@ -99,6 +106,45 @@ def malformed_lines(spark: SparkSession, root: str, start: str | date, end: str
     return lines.groupBy("log_date").agg(F.count("*").alias("lines"), F.count(F.when(bad, 1)).alias("malformed"))
 
 
+# --- watch logs with every field --------------------------------------------------
+
+def read_watch_payloads(spark: SparkSession, root: str, start: str | date, end: str | date,
+                        missing: str = "fail", name: str = "{day}.json") -> DataFrame:
+    """Every line of the daily watch logs, with all its fields, in one scan.
+
+    Returns ``payload`` (the line's JSON object as VARIANT), ``malformed`` (the line itself, if it is no JSON
+    object; then ``payload`` is NULL) and ``log_date``. Blank lines are no lines. Nothing else is dropped:
+    fields may come, go or change type from day to day.
+    """
+    lines = spark.read.text(_day_files(root, start, end, missing, name))
+    parsed = F.try_parse_json("value")
+    kept = F.when(F.schema_of_variant(parsed).startswith("OBJECT"), parsed)
+    return (lines.filter(F.trim(F.regexp_replace("value", "[\\r\\t]", " ")) != "")
+            .select(kept.alias("payload"), F.col("value"), _day_of_path().alias("log_date"))
+            .select("payload", F.when(F.col("payload").isNull(), F.col("value")).alias("malformed"), "log_date"))
+
+
+def payload_field(path: str, kind: str = "string") -> Column:
+    """A field of the payload, e.g. ``_source.Mac``; NULL where it is missing or not of that kind."""
+    return F.try_variant_get("payload", "$." + path, kind)
+
+
+def typed_watch_logs(payloads: DataFrame, extra: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+    """``Contract, Mac, AppName, TotalDuration, log_date`` of the well-formed lines, as
+    :func:`read_watch_logs` gives them; ``extra`` adds columns, name -> (path, type)."""
+    more = [payload_field(path, kind).alias(column) for column, (path, kind) in (extra or {}).items()]
+    return payloads.filter(F.col("payload").isNotNull()).select(
+        *[payload_field(f"_source.{c}").alias(c) for c in ("Contract", "Mac", "AppName")],
+        payload_field("_source.TotalDuration", "double").alias("TotalDuration"), *more, "log_date")
+
+
+def payload_schemas(payloads: DataFrame) -> DataFrame:
+    """``log_date, lines, malformed, schema``: lines of each day, how many are no JSON object, and the
+    schema that all its objects have in common (types that differ within a day become VARIANT)."""
+    return payloads.groupBy("log_date").agg(F.count(F.lit(1)).alias("lines"), F.count("malformed").alias("malformed"),
+                                            F.schema_of_variant_agg("payload").alias("schema"))
+
+
 def read_search_logs(spark: SparkSession, root: str, months: list[str] | None = None) -> DataFrame:
     """Search logs under ``root`` (searched recursively) as ``user_id, keyword, month_yyyymm``.
 
