@@ -1,0 +1,99 @@
+"""Labelling with a ledger of calls."""
+
+import json
+import os
+
+import pytest
+
+from tests.conftest import rows
+from watchfold.operators import labelling, ledger
+from watchfold.plans import jobs
+
+
+def programs(spark, words):
+    return spark.createDataFrame([(w,) for w in words], "most_searched string")
+
+
+def counting(folder, good=lambda w: True):
+    """A labeller that notes the keywords of each call in a folder, and fails calls with a bad one."""
+    def call(keywords):
+        with open(os.path.join(folder, f"{os.urandom(8).hex()}.json"), "w") as fh:
+            json.dump(keywords, fh)
+        if not all(map(good, keywords)):
+            raise TimeoutError("too slow")
+        return json.dumps({k: "Drama" for k in keywords if k != "mute"})
+    return call
+
+
+def asked(folder):
+    """Keywords of the calls since the last look."""
+    out = []
+    for name in os.listdir(folder):
+        path = os.path.join(folder, name)
+        with open(path) as fh:
+            out += json.load(fh)
+        os.remove(path)
+    return sorted(out)
+
+
+def test_second_run_makes_no_call(spark, tmp_path):
+    path, seen = str(tmp_path / "ledger"), tmp_path / "calls"
+    seen.mkdir()
+    words = [f"w{i}" for i in range(30)] + ["mute", "w1", None]
+    p = programs(spark, words)
+    assert ledger.read_ledger(spark, path).count() == 0
+    ledger.ask(p, path, counting(str(seen)), batch_size=4, parallelism=3, waves=2)
+    assert asked(seen) == sorted({w for w in words if w})
+    ledger.ask(p, path, counting(str(seen)), batch_size=4)
+    assert asked(seen) == []
+    got = dict(rows(ledger.genres(p, ledger.read_ledger(spark, path))))
+    assert got.pop("mute") == "Other" and set(got.values()) == {"Drama"} and len(got) == 30
+
+
+def test_only_failed_keywords_are_asked_again(spark, tmp_path):
+    path, seen = str(tmp_path / "ledger"), tmp_path / "calls"
+    seen.mkdir()
+    p = programs(spark, [f"w{i}" for i in range(20)] + [f"bad{i}" for i in range(5)])
+    run = ledger.ask(p, path, counting(str(seen), lambda w: w[0] != "b"), batch_size=1, waves=3)
+    asked(seen)
+    calls = ledger.read_ledger(spark, path)
+    with pytest.raises(labelling.LabellingFailed, match="5 of 25 labeller calls failed, e.g. TimeoutError"):
+        ledger.check_run(calls, run, 0.1)
+    ledger.check_run(calls, run, 0.2)
+    assert {g for w, g in rows(ledger.genres(p, calls)) if w[0] == "b"} == {"Other"}
+    ledger.ask(p.union(programs(spark, ["new"])), path, counting(str(seen)), batch_size=2)
+    assert asked(seen) == [f"bad{i}" for i in range(5)] + ["new"]
+    calls = ledger.read_ledger(spark, path)
+    assert {g for _, g in rows(ledger.genres(p, calls))} == {"Drama"}
+    times = {w: (a, f) for w, a, f in rows(ledger.times_asked(calls))}
+    assert times["bad3"] == (2, 1) and times["w3"] == times["new"] == (1, 0)
+
+
+def test_stored_mapping_is_not_asked_for(spark, tmp_path):
+    path, seen = str(tmp_path / "ledger"), tmp_path / "calls"
+    seen.mkdir()
+    stored = spark.createDataFrame([("a", "News"), ("b", None)], "most_searched string, Genre string")
+    p = programs(spark, ["a", "b", "c"])
+    ledger.ask(p, path, counting(str(seen)), mapping=stored)
+    assert asked(seen) == ["c"]
+    assert rows(ledger.genres(p, ledger.read_ledger(spark, path), stored)) == [("a", "News"), ("b", None), ("c", "Drama")]
+
+
+def test_overlapping_runs_take_the_last_answer(spark):
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1)
+    calls = spark.createDataFrame(
+        [(["a", "b"], '{"a": "News", "b": "News"}', None, "1", t), (["a"], '{"a": "Drama"}', None, "2", t + dt.timedelta(1)),
+         (["b"], None, "down", "3", t + dt.timedelta(2))], ledger.LEDGER_SCHEMA)
+    assert rows(ledger.genres(programs(spark, ["a", "b"]), calls)) == [("a", "Drama"), ("b", "News")]
+
+
+def test_job_with_a_ledger(spark, tmp_path):
+    logs, path, seen = str(tmp_path / "log"), str(tmp_path / "ledger"), tmp_path / "calls"
+    seen.mkdir()
+    spark.createDataFrame([("u1", "x", "202206"), ("u2", "y", "202207")], "user_id string, keyword string, month string") \
+        .write.partitionBy("month").parquet(logs)
+    for expected in (["x", "y"], []):
+        out = jobs.run_labelling(spark, logs, "202206", "202207", str(tmp_path / "csv"), counting(str(seen)), ledger_path=path)
+        assert asked(seen) == expected
+        assert rows(out) == [("x", "Drama"), ("y", "Drama")]

@@ -22,12 +22,12 @@ import importlib
 
 from pyspark.sql import DataFrame, SparkSession
 
-from watchfold.operators import daily
+from watchfold.operators import daily, ledger
 from watchfold.operators.behavior import distinct_programs, fact_behavior_between, most_searched
 from watchfold.operators.interaction import fact_interaction, months_between
 from watchfold.operators.labelling import Labeller, label_genres
 from watchfold.plans.warehouse import RAW_TABLE, Warehouse
-from watchfold.session import build_session
+from watchfold.session import build_session, ensure_checkpoint_dir
 from watchfold.sources.files import (
     as_date,
     day_paths,
@@ -95,12 +95,21 @@ def run_behavior_etl(spark: SparkSession, input_root: str, previous_month: str,
 
 def run_labelling(spark: SparkSession, input_root: str, previous_month: str, current_month: str,
                   output_path: str, labeller: Labeller | None = None, parallelism: int | None = None,
-                  max_failed_share: float = MAX_FAILED_SHARE) -> DataFrame:
+                  max_failed_share: float = MAX_FAILED_SHARE, ledger_path: str | None = None) -> DataFrame:
     """Label the distinct most-searched keywords of both months; write the genre CSV. If more
-    than ``max_failed_share`` of the labeller's calls fail, nothing is written."""
+    than ``max_failed_share`` of the labeller's calls fail, no CSV is written. With ``ledger_path``
+    all calls are kept there, and only keywords without an answer in it are asked for."""
     searches = read_search_logs(spark, input_root, [previous_month, current_month])
-    labels = label_genres(distinct_programs(most_searched(searches)), labeller,
-                          parallelism=parallelism, max_failed_share=max_failed_share)
+    programs = distinct_programs(most_searched(searches))
+    if ledger_path is None:
+        labels = label_genres(programs, labeller, parallelism=parallelism, max_failed_share=max_failed_share)
+    else:
+        ensure_checkpoint_dir(spark)
+        programs = programs.checkpoint()                     # the waves would read the log again
+        run = ledger.ask(programs, ledger_path, labeller, parallelism=parallelism)
+        calls = ledger.read_ledger(spark, ledger_path)
+        ledger.check_run(calls, run, max_failed_share)
+        labels = ledger.genres(programs, calls)
     write_genre_mapping(labels, output_path)
     return read_genre_mapping(spark, output_path)
 
@@ -152,6 +161,7 @@ def main(argv: list[str] | None = None) -> None:
         if name == "label":
             p.add_argument("--labeller", help="module:function, called with a list of keywords")
             p.add_argument("--parallelism", type=int)
+            p.add_argument("--ledger", help="folder of the labeller's calls; answered keywords are not asked again")
             p.add_argument("--max-failed-share", type=float, default=MAX_FAILED_SHARE)
     for name in ("checks", "report"):
         sub.add_parser(name)
@@ -173,7 +183,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "label":
         labeller = load_labeller(args.labeller) if args.labeller else None
         run_labelling(spark, args.input, args.previous, args.current, args.output, labeller,
-                      args.parallelism, args.max_failed_share)
+                      args.parallelism, args.max_failed_share, args.ledger)
     elif args.job == "export":
         run_export(spark, args.input, args.previous, args.current, args.output)
     elif args.job in ("checks", "report"):

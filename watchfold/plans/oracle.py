@@ -284,6 +284,9 @@ UNION ALL SELECT NULL, NULL, NULL, NULL, log_date, NULL, NULL, NULL, NULL,
        || CASE WHEN day(log_date) % 2 = 1 THEN '"device":{"id":"' || Mac || '","os":' || dayofyear(log_date) || '}'
                ELSE '"release":"v' || day(log_date) || '"' END || '}}'
 FROM lc WHERE TotalDuration = 0"""),
+    "label_ledger": _behavior(
+        f"SELECT most_searched, {_rule_case('most_searched')} AS Genre, 1 + length(most_searched) % 2 AS asked, "
+        "length(most_searched) % 2 AS failed FROM (SELECT DISTINCT most_searched FROM ms)"),
     "publication_checks": _interaction(
         "SELECT COUNT(*) AS rows, COUNT(DISTINCT month_yyyymm) AS months, 0 AS null_keys, 0 AS placeholder_contracts, "
         "true AS published FROM fi UNION ALL SELECT COUNT(*), COUNT(DISTINCT month_yyyymm), "

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from watchfold.operators import analytics, behavior, bridge, daily, distinct, interaction, labelling
+from watchfold.operators import analytics, behavior, bridge, daily, distinct, interaction, labelling, ledger
 from watchfold.functions.columns import month_of, rule_genre
 from watchfold.plans.warehouse import (
     BEHAVIOR_TABLE,
@@ -178,6 +178,23 @@ def parse_label_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelling.parse_label_replies(replies)
 
 
+def _unavailable(keywords: list[str]) -> str:
+    raise ConnectionError("labeller is down")
+
+
+def label_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three labelling runs over one ledger: keywords of even length; those of odd length while the labeller
+    is down; then all of them, which asks for the failed ones only. Genre and calls of each keyword."""
+    ensure_checkpoint_dir(spark)
+    path, programs = _folder(spark, "ledger"), _programs(spark, sf_dir).checkpoint()
+    even = F.length("most_searched") % 2 == 0
+    ledger.ask(programs.filter(even), path)
+    ledger.ask(programs.filter(~even), path, _unavailable)
+    ledger.ask(programs, path)
+    calls = ledger.read_ledger(spark, path)
+    return ledger.genres(programs, calls).join(ledger.times_asked(calls), "most_searched")
+
+
 def bridge_synth(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The dimensions are materialised first (as the CTAS dimension tables are),
     # so the sampler's passes over them do not recompute the facts.
@@ -355,6 +372,7 @@ QUERIES: dict[str, Query] = {
     # labelling
     "label_genres": lambda s, d: labelling.label_genres(_programs(s, d)),
     "parse_label_replies": parse_label_replies,
+    "label_ledger": label_ledger,
     "rule_genre_label": rule_genre_label,
     "check_genre_domain": lambda s, d: labelling.check_genre_domain(_mapping(s, d)),
     # months replaced, checks taken during the write, the stored model
