@@ -184,16 +184,90 @@ def test_exact_copies_of_short_texts_meet(spark):
     assert len(groups) == len(docs) and all(groups[k] == groups[10_000 + k] for k in range(len(texts)))
 
 
-def test_pairs_beside_the_hub_are_compared(spark, monkeypatch):
+@pytest.mark.parametrize("group", [fp.GROUP, 7])
+def test_pairs_beside_the_hub_are_compared(spark, monkeypatch, group):
     monkeypatch.setattr(fp.Embedder, "bands", lambda self, fingerprint, n_chars: np.array([1]))
     dice = random.Random(8)
     base = [" ".join(dice.choice("abcdefgh") * 4 for _ in range(60)) for _ in range(30)]
     docs = [(2 * k + c, t + " end" * c) for k, t in enumerate(base) for c in (0, 1)]
     prints = fp.fingerprint(spark.createDataFrame(docs, "doc_id long, text string"))
-    groups = {r.doc_id: r.near_group for r in fp.near_groups(prints).collect()}
+    groups = {r.doc_id: r.near_group for r in fp.near_groups(prints, group=group).collect()}
     assert all(groups[2 * k] == groups[2 * k + 1] for k in range(30))
 
 
+def plain_walk(text):
+    """The fingerprint by walking one step at a time."""
+    grid = np.arange(fp.PERIOD * 256, dtype=np.uint64) + np.uint64(1 << 32)
+    moves = (fp.mix64(grid) >> np.uint64(63)).astype(bool).reshape(256, fp.PERIOD)
+    digits = fp.mix64(np.arange(1 << 16, dtype=np.uint64) + np.uint64(5)) >> np.uint64(60)
+    level = max(0, (2 * len(text) // fp.SAMPLES).bit_length() - 1) if text else 0
+    symbols = [(ord(c) * 0x9E3779B1 % (1 << 32)) >> 24 for c in text]
+    step, out = 0, []
+    for c in symbols:
+        while True:
+            if fp.in_level(np.array([step]), level)[0]:
+                out.append(fp.DIGITS[int(digits[c * 256 + (step & 255)])])
+            moved = moves[c][step % fp.PERIOD]
+            step += 1
+            if moved:
+                break
+    return f"{step:x}:{''.join(out)}"
+
+
+def test_walk_equals_one_step_at_a_time():
+    e, dice = fp.Embedder(), random.Random(17)
+    for n in (0, 1, 2, 60, 64, 129, 700, 9000):
+        t = "".join(dice.choice("abc déf日😀") for _ in range(n))
+        assert e.both(t, "", n)[0] == plain_walk(t)
+
+
+def test_near_groups_against_all_pairs(spark):
+    """Recall of the bands on a whole table: pairs of alike fingerprints that end up in one group."""
+    prints = fp.fingerprint(documents(spark, SF001))
+    rows = [(r.doc_id, r.n_chars, r.fingerprint) for r in prints.collect()]
+    e, own = fp.Embedder(), {}
+    table = fp.Prints(e, [n for _, n, _ in rows], [f for *_, f in rows])
+    groups = {r.doc_id: r.near_group for r in fp.near_groups(prints).collect()}
+    found = want = 0
+    for k in range(len(rows)):
+        others = np.arange(k + 1, len(rows))
+        for x in others[table.alike(k, others, fp.ALIKE)].tolist() if len(others) else ():
+            want += 1
+            found += groups[rows[k][0]] == groups[rows[x][0]]
+            own.setdefault(k, []).append(x)
+    assert want > 100 and found >= 0.9 * want
+    sample = random.Random(2).sample(sorted(own), 30)
+    for k in sample:                         # the array form says what the plain one says
+        assert all(e.likeness(rows[k][2], rows[k][1], rows[x][2], rows[x][1]) >= fp.ALIKE for x in own[k])
+    alone = {groups[rows[k][0]] for k in range(len(rows))}
+    assert len(alone) > len(rows) / 2        # strangers stay apart
+
+
+@pytest.mark.parametrize("group", [fp.GROUP, 20])
+def test_groups_of_large_bands(spark, group):
+    """A chain of near copies and strangers, with bands of more nodes than a task holds."""
+    dice = random.Random(5)
+    text = [dice.choice("abcdefghij") for _ in range(400)]
+    docs = []
+    for k in range(120):
+        docs.append((k, "".join(text)))
+        text[dice.randrange(400)] = dice.choice("klmnop")
+    docs += [(1_000 + k, "".join(dice.choice("abcdefghij") for _ in range(400))) for k in range(40)]
+    prints = fp.fingerprint(spark.createDataFrame(docs, "doc_id long, text string"))
+    groups = {r.doc_id: r.near_group for r in fp.near_groups(prints, group=group).collect()}
+    assert {groups[k] for k in range(120)} == {0}
+    assert {k: groups[k] for k in range(1_000, 1_040)} == {k: k for k in range(1_000, 1_040)}
+
+
+def test_very_long_text_needs_few_places():
+    e = fp.Embedder()
+    assert len(e.sampled(e.level(4_000_000), 4 * 4_000_000)) < 1_000
+    n = 300_000
+    t = "some words of a very long text. " * (n // 32)
+    own, other = e.both(t, t[:9], len(t) - 9)
+    assert own.count(":") == 1 and 64 <= len(own) <= 2_000 and e.likeness(own, len(t), other, len(t)) > 0.9
+
+
 def test_a_doc_id_with_several_texts_is_one_node(spark):
     rows = [(5, "abc " * 50), (3, "xyz, " * 40), (5, "xyz, " * 40), (9, "abc " * 50), (5, "other words"), (7, "other words")]
     prints = fp.fingerprint(spark.createDataFrame(rows, "doc_id long, text string"))

@@ -10,10 +10,12 @@ is the share of the longer text's places at which both digits agree.
 
 Near groups: texts of one length and fingerprint are one node (known by a 64-bit
 hash of both). Bands of neighbouring places, over the whole walk, are the keys under
-which nodes meet. Each is compared with the smallest node of its band, and the pairs
-whose likeness is verified are joined to groups; then the pairs of a band that are
-still in different groups are all compared. So the work of a group grows with its
-size, not its square, and no pair of a band is left out.
+which nodes meet: (band, node) rows are sorted and streamed, and what stands alone in its band ends there.
+The fingerprints then go to the bands that are left, where all nodes of a band are compared in
+one go and a spanning forest of the verified links is passed on, never the pairs.
+A band of more than ``GROUP`` nodes is not held by one task: its nodes are compared with the
+smallest one, and then only those outside of the largest group so far with all others, in chunks that a
+task can hold. No pair of a band in different groups is left out.
 
 The next document (ascending doc_id) is found without a global sort: ids are
 range partitioned, the smallest of each range is known, and the texts go to their
@@ -23,7 +25,8 @@ Defined cases: a null text counts as empty (0 characters, fingerprint ``0:``); t
 empty texts are alike (1), an empty and another are not (0); a null doc_id comes
 first; rows of one doc_id are ordered by text and come back each, as one node of
 the near groups; the only document is its own next; a table without rows gives no
-rows; other columns are ignored.
+rows; other columns are ignored. A text may be of any length: of its walk only the
+sampled places are kept, some hundreds whatever its length.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from watchfold.llm.cgk import walk_steps
-from watchfold.llm.common import materialise, mix64, read_table, release, shuffle_parts
+from watchfold.llm.common import materialise, mix64, read_table, release, run_starts, shuffle_parts
 from watchfold.llm.components import connected_components
 from watchfold.llm.repeats import NO_ID, keyed, unkeyed
 
@@ -45,6 +48,8 @@ BAND_PLACES = 12                 # neighbouring places of a band
 SHORT_BANDS = [1, 2, 2, 3, 4, 6, 8]   # the same for walks of 1, 2-3, 4-7, ... 64-127 steps
 ALIKE = 0.6                      # likeness of verified pairs
 BYTES_PER_TASK = 8_000_000
+GROUP = 4_096                    # nodes of a band that one task holds
+STRETCH = 1 << 20                # places of a walk looked at in one go
 DIGITS = "0123456789abcdef"
 RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
           "edited_fingerprint string, near_edited double, near_next double")
@@ -69,8 +74,11 @@ class Embedder:
         if steps > self.reach:
             self.reach, self.places = 2 * steps, {}
         if level not in self.places:
-            at = np.arange(self.reach + 1)
-            self.places[level] = [*np.flatnonzero(in_level(at, level)).tolist(), 1 << 62]
+            found: list[int] = []
+            for low in range(0, self.reach + 1, STRETCH):
+                at = np.arange(low, min(low + STRETCH, self.reach + 1))
+                found += at[in_level(at, level)].tolist()
+            self.places[level] = [*found, 1 << 62]
         return self.places[level]
 
     @staticmethod
@@ -107,7 +115,7 @@ class Embedder:
             other, _, tail = self.walk(edit, self._places(n), step, k)
             if max(end, other) <= self.reach:
                 return own, f"{other:x}:{''.join(head)}{''.join(tail)}"
-            self.sampled(0, max(end, other))   # a walk of very long steps: sample further
+            self.sampled(self.level(n), max(end, other))   # a walk of very long steps: sample further
 
     def likeness(self, a: str, n_a: int, b: str, n_b: int) -> float:
         """Share of the places of the longer walk at which both agree."""
@@ -239,19 +247,196 @@ def fingerprint(docs: DataFrame) -> DataFrame:
 
 
 def banded(nodes: DataFrame) -> DataFrame:
-    """(node, component, band) for every band of the nodes."""
+    """(band, node) for every band of the nodes."""
     def bands(batches):
         embedder = Embedder()
         for batch in batches:
-            keys = [embedder.bands(text, n) for n, text in
+            keys = [np.unique(embedder.bands(text, n)) for n, text in
                     zip(batch.column("n_chars").to_pylist(), batch.column("fingerprint").to_pylist())]
             take = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node").take(take), batch.column("component").take(take),
-                 pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))],
-                names=["node", "component", "band"])
+                [pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)), batch.column("node").take(take)],
+                names=["band", "node"])
 
-    return nodes.mapInArrow(bands, "node long, component long, band long")
+    return nodes.select("node", "n_chars", "fingerprint").mapInArrow(bands, "band long, node long")
+
+
+def meeting(rows: DataFrame, limit: int) -> DataFrame:
+    """(band, node, large) of the bands with several nodes; large: with more than ``limit``."""
+    def run(batches):
+        band, node, large = np.zeros(0, np.int64), np.zeros(0, np.int64), None
+        for batch in _and_last(batches):
+            last = batch is None
+            if not last:
+                band = np.concatenate([band, batch.column("band").to_numpy()])
+                node = np.concatenate([node, batch.column("node").to_numpy()])
+            if not len(band):
+                continue
+            starts = np.flatnonzero(run_starts(band))
+            sizes = np.diff(np.append(starts, len(band)))
+            whole = sizes > limit                       # or the rest of one that has been passed on
+            whole[0] |= large == band[0]
+            closed = np.ones(len(starts), bool)
+            closed[-1] = last
+            out = np.repeat((closed & (sizes > 1)) | whole, sizes)
+            yield pa.RecordBatch.from_arrays([pa.array(band[out]), pa.array(node[out]),
+                                              pa.array(np.repeat(whole, sizes)[out])], names=["band", "node", "large"])
+            large = int(band[-1]) if whole[-1] else None
+            keep = len(band) if closed[-1] or whole[-1] else starts[-1]
+            band, node = band[keep:], node[keep:]
+
+    return rows.repartition("band").sortWithinPartitions("band").mapInArrow(run, "band long, node long, large boolean")
+
+
+def _and_last(batches):
+    yield from batches
+    yield None
+
+
+class Prints:
+    """The fingerprints of some nodes as arrays, to be compared many at a time."""
+
+    def __init__(self, embedder: Embedder, n_chars: list[int], prints: list[str]):
+        self.embedder, self.n_chars, self.prints = embedder, n_chars, prints
+        self.level = np.array([embedder.level(n) for n in n_chars])
+        self.code = np.unique(np.array(prints, object).astype(str), return_inverse=True)[1].ravel()
+        self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def table(self, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """(digits padded with 0, their number) of the nodes of this level or a finer one."""
+        if level not in self.tables:
+            own = [self.embedder._digits(f, n, level) if at <= level else np.zeros(0, np.uint8)
+                   for f, n, at in zip(self.prints, self.n_chars, self.level.tolist())]
+            lengths = np.array([len(d) for d in own])
+            digits = np.zeros((len(own), max(1, lengths.max())), np.uint8)
+            digits[np.arange(digits.shape[1]) < lengths[:, None]] = np.concatenate(own)
+            self.tables[level] = digits, lengths
+        return self.tables[level]
+
+    def alike(self, one: int, others: np.ndarray, least: float) -> np.ndarray:
+        """Which of ``others`` are alike to ``one``, as :meth:`Embedder.likeness` says."""
+        out = self.code[others] == self.code[one]
+        levels = np.maximum(self.level[others], self.level[one])
+        for level in np.unique(levels).tolist():
+            at = np.flatnonzero(levels == level)
+            digits, lengths = self.table(level)
+            mine, theirs = digits[one], digits[others[at]]
+            longer = np.maximum(lengths[others[at]], lengths[one])
+            shared = ((theirs == mine) & (mine != 0)).sum(1)
+            out[at] |= shared / np.maximum(longer, 1) >= least
+        return out
+
+    def against(self, n_chars: int, fingerprint: str, least: float) -> list[int]:
+        """Which nodes are alike to a fingerprint from elsewhere."""
+        probe = Prints(self.embedder, [n_chars], [fingerprint])
+        out = np.array([f == fingerprint for f in self.prints], bool)
+        levels = np.maximum(self.level, probe.level[0])
+        for level in np.unique(levels).tolist():
+            at = np.flatnonzero(levels == level)
+            digits, lengths = self.table(level)
+            mine, length = probe.table(level)
+            width = min(digits.shape[1], mine.shape[1])
+            shared = ((digits[at, :width] == mine[0, :width]) & (mine[0, :width] != 0)).sum(1)
+            out[at] |= shared / np.maximum(np.maximum(lengths[at], length[0]), 1) >= least
+        return np.flatnonzero(out).tolist()
+
+    def forest(self, least: float) -> list[tuple[int, int]]:
+        """Links that connect all nodes connected by alike pairs among them."""
+        waiting, links = np.arange(len(self.n_chars)), []
+        while len(waiting):
+            border, waiting = [int(waiting[0])], waiting[1:]
+            while border and len(waiting):
+                one = border.pop()
+                hit = self.alike(one, waiting, least)
+                links += [(one, int(x)) for x in waiting[hit]]
+                border += waiting[hit].tolist()
+                waiting = waiting[~hit]
+        return links
+
+
+def _runs(batches, columns: list[str]):
+    """Lists of the columns for each run of equal values of the first, of sorted rows."""
+    held: list[list] = [[] for _ in columns]
+    for batch in _and_last(batches):
+        if batch is not None:
+            for have, name in zip(held, columns):
+                have += batch.column(name).to_pylist()
+        keys = held[0]
+        if not keys:
+            continue
+        starts = [0, *(k for k in range(1, len(keys)) if keys[k] != keys[k - 1]), len(keys)]
+        done = starts if batch is None else starts[:-1]
+        for lo, hi in zip(done, done[1:]):
+            yield [have[lo:hi] for have in held]
+        held = [have[done[-1]:] for have in held]
+
+
+def _edges(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*links)
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def small_band_links(live: DataFrame, nodes: DataFrame, alike: float) -> DataFrame:
+    """(a, b): links among the nodes of each band, which one task holds."""
+    def run(batches):
+        embedder = Embedder()
+        for _, node, n_chars, prints in _runs(batches, ["band", "node", "n_chars", "fingerprint"]):
+            links = Prints(embedder, n_chars, prints).forest(alike)
+            if links:
+                yield _edges([(node[x], node[y]) for x, y in links])
+
+    return (live.join(nodes.select("node", "n_chars", "fingerprint"), "node").repartition("band")
+            .sortWithinPartitions("band").select("band", "node", "n_chars", "fingerprint")
+            .mapInArrow(run, "a long, b long").distinct())
+
+
+def large_band_links(live: DataFrame, nodes: DataFrame, links: DataFrame, alike: float, group: int) -> DataFrame:
+    """(a, b): links of nodes that share a band of more than ``group``, beyond ``links``."""
+    hubs = live.groupBy("band").agg(F.min("node").alias("a"))
+    stars = live.join(hubs, "band").filter("a <> node").select("a", F.col("node").alias("b")).distinct()
+    found = alike_pairs(stars, nodes, alike)
+    parted = connected_components(links.union(found))
+    rows = materialise(live.join(parted, "node", "left").select(
+        "band", "node", F.coalesce("component", "node").alias("component")))
+    largest = (rows.groupBy("band", "component").agg(F.count("*").alias("n"))
+               .groupBy("band").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("total"))
+               .select("band", F.col("main.component").alias("main"),
+                       F.ceil((F.col("total") - F.col("main.n")) * 2 / group).cast("int").alias("chunks"))
+               .filter("chunks > 0"))
+    rows = rows.join(largest, "band")
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+    apart = rows.filter("component <> main").select("band", chunk.alias("chunk"), F.lit(0).alias("side"), "node")
+    every = rows.select("band", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
+                        F.lit(1).alias("side"), "node")
+
+    def run(batches):
+        embedder, key, node, n_chars, prints, table = Embedder(), None, [], [], [], None
+        for batch in batches:
+            links = []
+            for band, chunk_of, side, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if key != (band, chunk_of):
+                    key, node, n_chars, prints, table = (band, chunk_of), [], [], [], None
+                if side == 0:                    # the chunk's own nodes come first
+                    node.append(row[0])
+                    n_chars.append(row[1])
+                    prints.append(row[2])
+                    continue
+                if table is None:
+                    table, top = Prints(embedder, n_chars, prints), list(range(len(node)))
+                hits = table.against(row[1], row[2], alike)
+                for x in hits:                   # links to the first, and between what was not joined yet
+                    if x == hits[0] or top[x] != top[hits[0]]:
+                        if node[x] != row[0]:
+                            links.append((row[0], node[x]))
+                        old = top[x]
+                        top = [top[hits[0]] if t == old else t for t in top]
+            if links:
+                yield _edges(links)
+
+    pieces = apart.unionByName(every).join(nodes.select("node", "n_chars", "fingerprint"), "node")
+    more = (pieces.repartition("band", "chunk").sortWithinPartitions("band", "chunk", "side")
+            .select("band", "chunk", "side", "node", "n_chars", "fingerprint").mapInArrow(run, "a long, b long"))
+    return found.union(more).distinct()
 
 
 def alike_pairs(pairs: DataFrame, nodes: DataFrame, alike: float) -> DataFrame:
@@ -271,9 +456,8 @@ def alike_pairs(pairs: DataFrame, nodes: DataFrame, alike: float) -> DataFrame:
                        .select("a", "b", "fa", "fb").mapInArrow(verified, "a long, b long"))
 
 
-def near_groups(prints: DataFrame, alike: float = ALIKE) -> DataFrame:
+def near_groups(prints: DataFrame, alike: float = ALIKE, group: int = GROUP) -> DataFrame:
     """doc_id and near_group, the smallest doc_id reachable over verified pairs."""
-    spark = prints.sparkSession
     rows = prints.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "n_chars", "fingerprint",
                          F.xxhash64("n_chars", "fingerprint").alias("node"))
     nodes = materialise(rows.groupBy("node").agg(
@@ -281,35 +465,18 @@ def near_groups(prints: DataFrame, alike: float = ALIKE) -> DataFrame:
         .select("node", "first_doc", "f.*"))
     members = materialise(rows.select("doc_id", "node").distinct())
     several = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1")
-    release(spark)
-    links = members.join(several, "doc_id").filter("a <> node").select("a", F.col("node").alias("b"))
-
-    met = banded(nodes.withColumn("component", F.col("node")))
-    hubs = met.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    stars = met.join(hubs, "band").filter("a <> node").select("a", F.col("node").alias("b")).distinct()
-    links = materialise(links.union(alike_pairs(stars, nodes, alike)))
-    release(spark)
-
-    # What is left: pairs of a band in different components, neither of them its hub.
-    parted = connected_components(links)
-    met = banded(nodes.join(parted, "node", "left").withColumn("component", F.coalesce("component", "node")))
-    mixed = (met.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n"),
-                                     F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .filter("n > 2 AND lo <> hi").select("band", "hub"))
-    left = materialise(met.join(mixed, "band").filter("node <> hub").drop("hub"))
-    release(spark)
-    one, two = (left.select("band", F.col("node").alias(f"node_{side}"), F.col("component").alias(f"component_{side}"))
-                for side in "ab")
-    crossing = (one.join(two, "band")
-                .filter("node_a < node_b AND component_a <> component_b")
-                .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
-    groups = connected_components(links.union(alike_pairs(crossing, nodes, alike)))
-    release(spark)
-
-    placed = nodes.join(groups, "node", "left").select(
-        "node", "first_doc", F.coalesce("component", "node").alias("component"))
-    smallest = placed.groupBy("component").agg(F.min("first_doc").alias("near_group"))
-    by_node = placed.join(smallest, "component").select("node", "near_group")
+    same_id = members.join(several, "doc_id").filter("a <> node").select("a", F.col("node").alias("b"))
+
+    live = materialise(meeting(banded(nodes), group))
+    links = materialise(same_id.union(small_band_links(live.filter("NOT large"), nodes, alike)))
+    large = live.filter("large").select("band", "node")
+    if not large.isEmpty():
+        links = materialise(links.union(large_band_links(large, nodes, links, alike, group)))
+    linked = materialise(nodes.select("node", "first_doc").join(connected_components(links), "node"))
+    smallest = materialise(linked.groupBy("component").agg(F.min("first_doc").alias("near_group")))
+    grouped = linked.join(smallest, "component").select("node", "near_group")
+    by_node = materialise(nodes.select("node", "first_doc").join(grouped, "node", "left").select(
+        "node", F.coalesce("near_group", "first_doc").alias("near_group")))
     return unkeyed(members.join(by_node, "node").select("doc_id", "near_group").distinct())
 
 
