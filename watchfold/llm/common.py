@@ -8,6 +8,7 @@ of its partition. Only one document at a time has to fit.
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from watchfold.session import ensure_checkpoint_dir
 
 GROUP_BYTES = 500_000            # text handled by one numpy pass (some 30 times that in arrays)
+RELEASE_PAUSE = 0.25             # seconds
 MASK64 = (1 << 64) - 1
 ROLL_BASE = 0x9E3779B97F4A7C15   # odd, so it has an inverse modulo 2**64
 
@@ -33,9 +35,12 @@ def materialise(df: DataFrame) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Let go of shuffle files that nothing refers to any more: Spark removes them when the
-    driver's garbage is collected, which can take long on a driver that does little."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    driver's garbage is collected, which can take long on a driver that does little. Python's
+    references reach the JVM a moment after they are gone, so it collects only then."""
+    for _ in range(2):
+        gc.collect()
+        time.sleep(RELEASE_PAUSE)
+        spark.sparkContext._jvm.System.gc()
 
 
 def shuffle_parts(spark: SparkSession) -> int:

@@ -458,6 +458,7 @@ def alike_pairs(pairs: DataFrame, nodes: DataFrame, alike: float) -> DataFrame:
 
 def near_groups(prints: DataFrame, alike: float = ALIKE, group: int = GROUP) -> DataFrame:
     """doc_id and near_group, the smallest doc_id reachable over verified pairs."""
+    spark = prints.sparkSession
     rows = prints.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "n_chars", "fingerprint",
                          F.xxhash64("n_chars", "fingerprint").alias("node"))
     nodes = materialise(rows.groupBy("node").agg(
@@ -468,12 +469,16 @@ def near_groups(prints: DataFrame, alike: float = ALIKE, group: int = GROUP) ->
     same_id = members.join(several, "doc_id").filter("a <> node").select("a", F.col("node").alias("b"))
 
     live = materialise(meeting(banded(nodes), group))
+    release(spark)                             # here and below: shuffles that are over
     links = materialise(same_id.union(small_band_links(live.filter("NOT large"), nodes, alike)))
+    release(spark)
     large = live.filter("large").select("band", "node")
     if not large.isEmpty():
         links = materialise(links.union(large_band_links(large, nodes, links, alike, group)))
+        release(spark)
     linked = materialise(nodes.select("node", "first_doc").join(connected_components(links), "node"))
     smallest = materialise(linked.groupBy("component").agg(F.min("first_doc").alias("near_group")))
+    release(spark)
     grouped = linked.join(smallest, "component").select("node", "near_group")
     by_node = materialise(nodes.select("node", "first_doc").join(grouped, "node", "left").select(
         "node", F.coalesce("near_group", "first_doc").alias("near_group")))
