@@ -12,7 +12,7 @@ Near groups: texts of one length and fingerprint are one node (known by a 64-bit
 hash of both). Bands of neighbouring places, over the whole walk, are the keys under
 which nodes meet: (band, node) rows are sorted and streamed, and what stands alone in its band ends there.
 The fingerprints then go to the bands that are left, where all nodes of a band are compared in
-one go and a spanning forest of the verified links is passed on, never the pairs.
+one go, and each is passed on with the first node that verified links connect it to, never the pairs.
 A band of more than ``GROUP`` nodes is not held by one task: its nodes are compared with the
 smallest one, and then only those outside of the largest group so far with all others, in chunks that a
 task can hold. No pair of a band in different groups is left out.
@@ -341,14 +341,15 @@ class Prints:
         return np.flatnonzero(out).tolist()
 
     def forest(self, least: float) -> list[tuple[int, int]]:
-        """Links that connect all nodes connected by alike pairs among them."""
+        """(first, other): each node with the first one of those it is connected to by alike pairs.
+        First ones are the same in most bands, so stars of different bands are few links."""
         waiting, links = np.arange(len(self.n_chars)), []
         while len(waiting):
-            border, waiting = [int(waiting[0])], waiting[1:]
+            first, border, waiting = int(waiting[0]), [int(waiting[0])], waiting[1:]
             while border and len(waiting):
                 one = border.pop()
                 hit = self.alike(one, waiting, least)
-                links += [(one, int(x)) for x in waiting[hit]]
+                links += [(first, int(x)) for x in waiting[hit]]
                 border += waiting[hit].tolist()
                 waiting = waiting[~hit]
         return links
@@ -386,7 +387,7 @@ def small_band_links(live: DataFrame, nodes: DataFrame, alike: float) -> DataFra
                 yield _edges([(node[x], node[y]) for x, y in links])
 
     return (live.join(nodes.select("node", "n_chars", "fingerprint"), "node").repartition("band")
-            .sortWithinPartitions("band").select("band", "node", "n_chars", "fingerprint")
+            .sortWithinPartitions("band", "node").select("band", "node", "n_chars", "fingerprint")
             .mapInArrow(run, "a long, b long").distinct())
 
 
