@@ -7,7 +7,8 @@ depends on the cost its shingles would cause: from a sample of the documents the
 frequent shingles are estimated, and a document whose prefix holds many of them
 gets a longer one (a larger ``m``). After the shuffle, shingles that really occur
 in over ``HOT`` sets are left out, and a pair must share ``m`` minus the left-out
-ones of the document with the smaller ``m``. Only documents for which that is
+ones of the document with the smaller ``m``: each set leaves out its longest lists of so
+many shingles less one, and a pair that shares enough still meets in its rarest shared list. Only documents for which that is
 nothing (those made of frequent shingles alone) meet through frequent shingles,
 and only with each other. The sample decides about cost, never about the result.
 
@@ -26,6 +27,8 @@ and sets are identified by 64-bit hashes.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -57,6 +60,7 @@ LEVELS = (0.05, 0.15, 0.4)       # m as a share of n; the last resort is the who
 SMALL = 400                      # sets under this size start at the second level
 WHOLE = 64                       # sets up to this size are sent whole
 SHINGLES_PER_TASK = 600_000
+PAIRS_AT_ONCE = 1_000_000        # in one numpy operation
 
 
 def shingle_hashes(hasher: WordHasher, data: np.ndarray, offsets: np.ndarray, size: int):
@@ -297,6 +301,58 @@ def _with_sets(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -
             .join(sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("y")), "b"))
 
 
+def crossing_pairs(lists: DataFrame, similar) -> DataFrame:
+    """(a, b): sets of one list (of at most ``HOT`` sets) in different components that can be similar
+    by what is known of them. Lists with the same smallest set lie together, so a pair that shares
+    many lists is passed on about once."""
+    columns = ["list_id", *FACTS]
+
+    def run(batches):
+        held: dict[str, np.ndarray] = {}
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None:
+                new = {c: batch.column(c).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns}
+                new["known"] = batch.column("hub").is_valid().to_numpy(zero_copy_only=False)
+                held = {c: np.concatenate([held[c], v]) for c, v in new.items()} if held else new
+            if not held or not len(held["list_id"]):
+                continue
+            starts = np.flatnonzero(run_starts(held["list_id"]))
+            done = len(held["list_id"]) if batch is None else int(starts[-1])
+            ends = np.append(starts[1:], len(held["list_id"]))
+            partners = (np.repeat(ends, np.diff(np.append(starts, len(held["list_id"])))) - 1
+                        - np.arange(len(held["list_id"])))[:done]
+            step = max(1, PAIRS_AT_ONCE // HOT)
+            for lo in range(0, done, step):
+                count = partners[lo:lo + step]
+                a = np.repeat(np.arange(lo, lo + len(count)), count)
+                b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(count) - count, count)
+                pairs = _can_be_similar(held, a, b, similar)
+                if len(pairs):
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            held = {c: v[done:] for c, v in held.items()}
+
+    return (lists.repartition("home").sortWithinPartitions("home", "list_id")
+            .select(*[F.col(c).cast("long").alias(c) for c in columns]).mapInArrow(run, "a long, b long"))
+
+
+def _can_be_similar(f: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, similar) -> np.ndarray:
+    """The distinct pairs of rows ``a``, ``b`` that the facts do not rule out, smaller set first."""
+    keep = f["component"][a] != f["component"][b]
+    keep &= np.minimum(f["n"][a], f["n"][b]) * similar[1] >= np.maximum(f["n"][a], f["n"][b]) * similar[0]
+    a, b = a[keep], b[keep]
+    level, top = np.minimum(f["level"][a], f["level"][b]), np.minimum(f["top"][a], f["top"][b])
+    keep = (f["short"][a] | f["short"][b]).astype(bool) | (
+        (level <= top) & ~(f["guest"][a] | f["guest"][b]).astype(bool))
+    a, b = a[keep], b[keep]
+    one_hub = f["known"][a] & f["known"][b] & (f["hub"][a] == f["hub"][b])
+    lost = sum(np.bitwise_count((f[g][a] | f[g][b]).view(np.uint64)).astype(np.int64) for g in ("gone0", "gone1"))
+    own = sum(np.bitwise_count((f[g][a] & ~f[g][b]).view(np.uint64)).astype(np.int64) for g in ("more0", "more1"))
+    most = f["hub_n"][a] - lost + np.minimum(f["extra"][a] - own, f["extra"][b])
+    keep = ~one_hub | (sum(similar) * most >= similar[0] * (f["n"][a] + f["n"][b]))
+    x, y = f["set_id"][a[keep]], f["set_id"][b[keep]]
+    return np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0)
+
+
 def components(docs: DataFrame, size: int = SHINGLE, similar=SIMILAR) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every row."""
     spark = docs.sparkSession
@@ -360,12 +416,13 @@ def components(docs: DataFrame, size: int = SHINGLE, similar=SIMILAR) -> DataFra
     label = F.coalesce("component", "set_id").alias("component")
     by_hub = compared.select(F.col("b").alias("set_id"), F.col("a").alias("hub"), "hub_n", "extra", *SIGNATURE)
     labelled = (usable.join(parted.withColumnRenamed("node", "set_id"), "set_id", "left")
-                .select("list_id", "set_id", "level", "n", "short", "guest", "top", label))
-    mixed = labelled.groupBy("list_id").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
-        .filter("lo <> hi").select("list_id")
+                .select("list_id", "hot", "set_id", "level", "n", "short", "guest", "top", label))
+    mixed = labelled.groupBy("list_id").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                            F.min("set_id").alias("home")).filter("lo <> hi").select("list_id", "home")
     open_lists = materialise(labelled.join(mixed, "list_id").join(by_hub, "set_id", "left"))
-    left = open_lists.select("list_id", *[F.col(c).alias(f"{c}_a") for c in FACTS])
-    right = open_lists.select("list_id", *[F.col(c).alias(f"{c}_b") for c in FACTS])
+    long_lists = open_lists.filter("hot")
+    left = long_lists.select("list_id", *[F.col(c).alias(f"{c}_a") for c in FACTS])
+    right = long_lists.select("list_id", *[F.col(c).alias(f"{c}_b") for c in FACTS])
     meets = F.col("short_a") | F.col("short_b") | (
         (F.least("level_a", "level_b") <= F.least("top_a", "top_b")) & ~F.col("guest_a") & ~F.col("guest_b"))
     # Of one hub: what both have of it, and of what it lacks, at most.
@@ -377,7 +434,8 @@ def components(docs: DataFrame, size: int = SHINGLE, similar=SIMILAR) -> DataFra
     meets = meets & F.coalesce((F.col("hub_a") != F.col("hub_b")) | possible, F.lit(True))
     crossing = (left.join(right, "list_id").filter("set_id_a < set_id_b AND component_a <> component_b")
                 .filter(F.least("n_a", "n_b") * similar[1] >= F.greatest("n_a", "n_b") * similar[0])
-                .filter(meets).select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")).distinct())
+                .filter(meets).select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")))
+    crossing = crossing.union(crossing_pairs(open_lists.filter("NOT hot"), similar)).distinct()
     rest = materialise(verify(_with_sets(materialise(crossing), nodes, docs, size), similar))
     release(spark)
     final = connected_components(links.union(rest))
