@@ -60,6 +60,7 @@ LEVELS = (0.05, 0.15, 0.4)       # m as a share of n; the last resort is the who
 SMALL = 400                      # sets under this size start at the second level
 WHOLE = 64                       # sets up to this size are sent whole
 SHINGLES_PER_TASK = 600_000
+TASK_LIST = 1_024                # sets of a list whose pairs one task looks at; longer lists are joined
 PAIRS_AT_ONCE = 1_000_000        # in one numpy operation
 
 
@@ -302,7 +303,7 @@ def _with_sets(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -
 
 
 def crossing_pairs(lists: DataFrame, similar) -> DataFrame:
-    """(a, b): sets of one list (of at most ``HOT`` sets) in different components that can be similar
+    """(a, b): sets of one list (of at most ``TASK_LIST`` sets) in different components that can be similar
     by what is known of them. Lists with the same smallest set lie together, so a pair that shares
     many lists is passed on about once."""
     columns = ["list_id", *FACTS]
@@ -321,7 +322,7 @@ def crossing_pairs(lists: DataFrame, similar) -> DataFrame:
             ends = np.append(starts[1:], len(held["list_id"]))
             partners = (np.repeat(ends, np.diff(np.append(starts, len(held["list_id"])))) - 1
                         - np.arange(len(held["list_id"])))[:done]
-            step = max(1, PAIRS_AT_ONCE // HOT)
+            step = max(1, PAIRS_AT_ONCE // TASK_LIST)
             for lo in range(0, done, step):
                 count = partners[lo:lo + step]
                 a = np.repeat(np.arange(lo, lo + len(count)), count)
@@ -416,11 +417,12 @@ def components(docs: DataFrame, size: int = SHINGLE, similar=SIMILAR) -> DataFra
     label = F.coalesce("component", "set_id").alias("component")
     by_hub = compared.select(F.col("b").alias("set_id"), F.col("a").alias("hub"), "hub_n", "extra", *SIGNATURE)
     labelled = (usable.join(parted.withColumnRenamed("node", "set_id"), "set_id", "left")
-                .select("list_id", "hot", "set_id", "level", "n", "short", "guest", "top", label))
+                .select("list_id", "set_id", "level", "n", "short", "guest", "top", label))
     mixed = labelled.groupBy("list_id").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                            F.min("set_id").alias("home")).filter("lo <> hi").select("list_id", "home")
+                                            F.min("set_id").alias("home"), F.count("*").alias("sets")) \
+        .filter("lo <> hi").select("list_id", "home", (F.col("sets") > TASK_LIST).alias("long"))
     open_lists = materialise(labelled.join(mixed, "list_id").join(by_hub, "set_id", "left"))
-    long_lists = open_lists.filter("hot")
+    long_lists = open_lists.filter("long")
     left = long_lists.select("list_id", *[F.col(c).alias(f"{c}_a") for c in FACTS])
     right = long_lists.select("list_id", *[F.col(c).alias(f"{c}_b") for c in FACTS])
     meets = F.col("short_a") | F.col("short_b") | (
@@ -435,7 +437,7 @@ def components(docs: DataFrame, size: int = SHINGLE, similar=SIMILAR) -> DataFra
     crossing = (left.join(right, "list_id").filter("set_id_a < set_id_b AND component_a <> component_b")
                 .filter(F.least("n_a", "n_b") * similar[1] >= F.greatest("n_a", "n_b") * similar[0])
                 .filter(meets).select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")))
-    crossing = crossing.union(crossing_pairs(open_lists.filter("NOT hot"), similar)).distinct()
+    crossing = crossing.union(crossing_pairs(open_lists.filter("NOT long"), similar)).distinct()
     rest = materialise(verify(_with_sets(materialise(crossing), nodes, docs, size), similar))
     release(spark)
     final = connected_components(links.union(rest))
