@@ -331,6 +331,56 @@ def test_quality_defined_cases(spark):
     assert q.score(docs.limit(0), None).collect() == []
 
 
+def test_logistic_is_the_dense_solution():
+    dice = np.random.default_rng(4)
+    x = dice.normal(size=(300, 6)) * (dice.random((300, 6)) < 0.6)
+    y = (x @ [1, -2, 0.5, 0, 1, 0] + dice.normal(size=300) > 0).astype(float)
+    full = np.column_stack([x, np.ones(300)])
+    ridge = np.array([1.0] * 6 + [1e-3])
+    w = np.zeros(7)
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-full @ w))
+        w -= np.linalg.solve((full * (p * (1 - p))[:, None]).T @ full + np.diag(ridge), full.T @ (p - y) + ridge * w)
+    assert np.allclose(q.logistic(x, y), w, atol=1e-4)
+
+
+def test_text_view_by_hand():
+    texts = ["One two ONE two three", "", "é é", "a"]
+    data, offsets = "".join(texts).encode(), np.cumsum([0] + [len(t.encode()) for t in texts])
+    rows = q.TextView()(np.frombuffer(data, np.uint8), offsets)
+    assert len(rows) == 4 and rows.bounds[1] == rows.bounds[2]
+    values = [rows.values[a:b][rows.slots[a:b] >= q.SHAPE] for a, b in zip(rows.bounds, rows.bounds[1:])]
+    # one x 2, two x 2, three; one two x 2, two one, two three
+    counts = np.log1p(np.array([2, 2, 1, 2, 1, 1]))
+    assert np.allclose(sorted(values[0]), sorted(counts / np.linalg.norm(counts)))
+    assert len(values[1]) == 0 and len(values[2]) == 2 and values[3].tolist() == [1.0]
+
+
+def test_quality_is_read_from_the_words(spark):
+    """Both kinds of text have the same letters, word lengths and metadata."""
+    dice = np.random.default_rng(2)
+    good = ["stone", "reads", "night", "least", "angel", "below", "study"]
+    bad = ["notes", "dares", "thing", "slate", "glean", "elbow", "dusty"]
+    rows = [(i, " ".join(dice.choice(good if i % 2 else bad, 30)), "s", "en", 179) for i in range(400)]
+    schema = "doc_id long, text string, source string, lang string, n_chars long"
+    docs = spark.createDataFrame(rows + [(400, " ".join(good * 40_000), "s", "en", 179)], schema)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in q.score(docs, q.fit(docs, labels)).collect()}
+    assert sum((got[i].p_text >= 0.5) == bool(i % 2) for i in range(200, 400)) >= 196
+    assert got[400].keep and 0.4 < got[0].p_metadata < 0.6      # a very long text; nothing in the metadata
+
+
+def test_quality_does_not_depend_on_the_order_of_repeated_rows(spark):
+    rows = [(i, f"{'good' if i % 2 else 'bad'} word {i} {k}", "s", "en", 20) for i in range(40) for k in range(3)]
+    schema = "doc_id long, text string, source string, lang string, n_chars long"
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    runs = []
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, schema).repartition(3)
+        runs.append(sorted(map(tuple, q.score(docs, q.fit(docs, labels)).collect())))
+    assert runs[0] == runs[1]
+
+
 # --- licenses ----------------------------------------------------------------------
 
 MODEL = lc.fit(["the house is old and the garden is large", "no news from the north"])

@@ -1,21 +1,25 @@
 """Quality classifier by co-training two views of a document.
 
-The text view is a few shares and ratios of the whole text (letters, capitals,
-symbols, repeated words, ...); the metadata view is source, language and length.
-Each view has a logistic regression. Starting from the labelled rows, in every
-round each view labels the unlabelled rows it is surest of, and these join the
-other view's training rows. At the end each view is calibrated on labelled rows
-kept apart, and the two log odds are added (less the prior's, which both hold).
+The text view is what the whole text says and how it looks: its word 1- and 2-grams,
+hashed into ``GRAMS`` slots (log counts, scaled to length one), and a few shares and
+ratios (letters, capitals, symbols, repeated words, ...). The metadata view is source,
+language and length. Each view has a sparse logistic regression. Starting from the
+labelled rows, in every round each view labels the unlabelled rows it is surest of, and
+these join the other view's training rows. At the end each view is calibrated on labelled
+rows kept apart, and the two log odds are added (less the prior's, which both hold).
 
 Fitting uses bounded samples, picked by a hash of doc_id: at most ``LABELLED``
-labelled and ``POOL`` unlabelled rows, a few numbers each. Every row is then
-scored by a map over whole texts without a shuffle; what is broadcast is the two
-weight vectors.
-
-Defined cases: null or empty texts have a text view of zeros; null metadata is a
-value of its own; labels that are null are ignored, several labels of one doc_id
-count as their mean; without labels every score is 0.5; repeated rows are scored
-each; a table without rows gives no rows; other columns are ignored.
+labelled and ``POOL`` unlabelled rows, some 6 bytes for each slot in use (a row has at
+most ``GRAMS`` of them, however long its text). Every row is then scored by a map over
+whole texts without a shuffle; what is broadcast is the two weight vectors.
+
+Defined cases: null or empty texts have a text view of zeros; a text of any length is
+read whole, by its counts; null metadata is a value of its own; labels that are null are
+ignored, several labels of one doc_id count as their mean; without labels every score is
+0.5; repeated rows are scored each, and of several rows of one doc_id the smallest (by
+text, then metadata) is the one to fit on; rows that a view is equally sure of are taken
+by ascending doc_id, and a score of exactly 0.5 is kept; a table without rows gives no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from watchfold.llm.common import WordHasher, doc_groups, read_table, row_bounds, text_buffer
+from watchfold.llm.common import WordHasher, doc_groups, mix64, read_table, row_bounds, run_starts, text_buffer
 
 LABELLED, POOL = 12_000, 12_000
 ROUNDS = 5
@@ -35,7 +39,13 @@ PER_ROUND = 0.1                  # of the pool, that one view may label in a rou
 PRIOR_WEIGHT = 1.0               # ridge penalty
 SOURCES, LANGUAGES, LENGTHS = 64, 16, 12
 KINDS = 8                        # kinds of bytes counted for the text view
-TEXT_WIDTH = KINDS + 5
+SHAPE = KINDS + 5                # slots of the shares and ratios, before those of the grams
+GRAM_BITS = 12
+GRAMS = 1 << GRAM_BITS
+TEXT_WIDTH = SHAPE + GRAMS
+META_WIDTH = SOURCES + LANGUAGES + LENGTHS
+SOLVER_STEPS = 40                # of conjugate gradients for one Newton step
+META = ["text", "source", "lang", "n_chars"]
 RESULT = "doc_id long, p_text double, p_metadata double, score double, keep boolean"
 
 
@@ -50,18 +60,69 @@ def byte_kinds() -> np.ndarray:
     return kinds
 
 
+class Rows:
+    """Sparse rows: row k has ``values`` in ``slots`` from ``bounds[k]`` to ``bounds[k + 1]``."""
+
+    def __init__(self, slots, values, bounds, width: int):
+        self.slots, self.values = np.asarray(slots, np.int32), np.asarray(values, np.float64)
+        self.bounds, self.width = np.asarray(bounds, np.int64), width
+        self.owner = np.repeat(np.arange(len(self), dtype=np.int32), np.diff(self.bounds))
+
+    def __len__(self) -> int:
+        return len(self.bounds) - 1
+
+    def dot(self, w: np.ndarray) -> np.ndarray:
+        """One number a row."""
+        return np.bincount(self.owner, weights=self.values * w[self.slots], minlength=len(self))
+
+    def sums(self, r: np.ndarray, power: int = 1) -> np.ndarray:
+        """One number a slot, rows weighted by ``r``."""
+        return np.bincount(self.slots, weights=self.values ** power * r[self.owner], minlength=self.width)
+
+    def take(self, at: np.ndarray) -> Rows:
+        at = np.flatnonzero(at) if at.dtype == bool else at
+        n = self.bounds[at + 1] - self.bounds[at]
+        bounds = np.concatenate([[0], np.cumsum(n)])
+        places = np.repeat(self.bounds[at] - bounds[:-1], n) + np.arange(bounds[-1])
+        return Rows(self.slots[places], self.values[places], bounds, self.width)
+
+    @staticmethod
+    def joined(parts: list[Rows]) -> Rows:
+        lengths = np.concatenate([np.diff(p.bounds) for p in parts])
+        return Rows(np.concatenate([p.slots for p in parts]), np.concatenate([p.values for p in parts]),
+                    np.concatenate([[0], np.cumsum(lengths)]), parts[0].width)
+
+
+def as_rows(x) -> Rows:
+    """``x`` itself, or the rows of a dense matrix."""
+    if isinstance(x, Rows):
+        return x
+    row, slots = np.nonzero(x)
+    return Rows(slots, x[row, slots], row_bounds(row, len(x)), x.shape[1])
+
+
 class TextView:
-    """Numbers of the text view for a group of rows."""
+    """The text view of a group of rows."""
 
     def __init__(self):
         self.kinds, self.hasher = byte_kinds(), WordHasher(lower=True)
 
-    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> Rows:
+        n = len(offsets) - 1
+        words, rows, starts, ends = self.hasher(data, offsets)
+        shape = self.shape(data, offsets, words, rows, starts, ends)
+        row, slot, value = self.grams(words, rows, n)
+        shape_row, shape_slot = np.nonzero(shape)
+        row, slot = np.concatenate([shape_row, row]), np.concatenate([shape_slot, slot + SHAPE])
+        value = np.concatenate([shape[shape_row, shape_slot], value])
+        order = np.argsort(row, kind="stable")
+        return Rows(slot[order], value[order], row_bounds(row[order], n), TEXT_WIDTH)
+
+    def shape(self, data, offsets, words, rows, starts, ends) -> np.ndarray:
         n = len(offsets) - 1
         size = np.diff(offsets)
         owner = np.repeat(np.arange(n), size)
         counts = np.bincount(owner * KINDS + self.kinds[data], minlength=n * KINDS).reshape(n, KINDS)
-        words, rows, starts, ends = self.hasher(data, offsets)
         bounds = row_bounds(rows, n)
         per_row = np.maximum(np.diff(bounds), 1)
         repeated = np.zeros(n)
@@ -69,8 +130,7 @@ class TextView:
             same = (words[1:] == words[:-1]) & (rows[1:] == rows[:-1])
             repeated = np.bincount(rows[1:][same], minlength=n) / per_row
         order = np.lexsort((words, rows))
-        new = np.ones(len(words), bool)
-        new[1:] = (words[order][1:] != words[order][:-1]) | (rows[order][1:] != rows[order][:-1])
+        new = run_starts(words[order], rows[order])
         distinct = np.bincount(rows[order][new], minlength=n) / per_row
         length = np.bincount(rows, weights=ends - starts, minlength=n) / per_row
         shares = counts / np.maximum(size, 1)[:, None]
@@ -79,6 +139,18 @@ class TextView:
         out[size == 0] = 0
         return out
 
+    @staticmethod
+    def grams(words, rows, n: int):
+        """(row, slot, value) of the hashed word 1- and 2-grams; a row's values have length one."""
+        pair = np.flatnonzero(rows[1:] == rows[:-1])
+        hashes = np.concatenate([mix64(words), mix64(words[pair] * np.uint64(0xD6E8FEB86659FD93) + words[pair + 1])])
+        row = np.concatenate([rows, rows[pair]])
+        slot = (hashes >> np.uint64(64 - GRAM_BITS)).astype(np.int64)
+        key, count = np.unique(row * GRAMS + slot, return_counts=True)
+        row, slot, value = key // GRAMS, key % GRAMS, np.log1p(count)
+        norm = np.sqrt(np.bincount(row, weights=value * value, minlength=n))
+        return row, slot, value / norm[row]
+
 
 def metadata_slots(source, lang, n_chars) -> list[int]:
     """The three slots of a row's metadata that are set."""
@@ -88,59 +160,101 @@ def metadata_slots(source, lang, n_chars) -> list[int]:
 
 
 def views(docs: DataFrame) -> DataFrame:
-    """doc_id, text numbers and metadata slots of each row."""
+    """doc_id, the text view (slots as 16-bit, values as 32-bit numbers) and metadata slots of each row."""
     def run(batches):
         view = TextView()
         for batch in batches:
+            text = _text_view(view, batch)
+            cut = list(zip(text.bounds[:-1].tolist(), text.bounds[1:].tolist()))
+            slots, values = text.slots.astype(np.uint16), text.values.astype(np.float32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()),
-                 pa.array(list(_text_view(view, batch)), pa.list_(pa.float64())),
-                 pa.array(_metadata(batch), pa.list_(pa.int32()))], names=["doc_id", "numbers", "slots"])
+                 pa.array([slots[a:b].tobytes() for a, b in cut], pa.binary()),
+                 pa.array([values[a:b].tobytes() for a, b in cut], pa.binary()),
+                 pa.array(_metadata(batch), pa.list_(pa.int32()))], names=["doc_id", "slots", "values", "metadata"])
 
-    return docs.select("doc_id", "text", "source", "lang", "n_chars").mapInArrow(
-        run, "doc_id long, numbers array<double>, slots array<int>")
+    return docs.select("doc_id", *META).mapInArrow(
+        run, "doc_id long, slots binary, values binary, metadata array<int>")
 
 
-def _text_view(view: TextView, batch) -> np.ndarray:
+def _text_view(view: TextView, batch) -> Rows:
     data, offsets = text_buffer(batch.column(1))
     parts = [view(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]) for a, b in doc_groups(offsets)]
-    return np.concatenate(parts) if parts else np.zeros((0, TEXT_WIDTH))
+    return Rows.joined(parts) if parts else Rows([], [], [0], TEXT_WIDTH)
 
 
 def _metadata(batch) -> list[list[int]]:
     return [metadata_slots(*row) for row in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)))]
 
 
-def logistic(x: np.ndarray, y: np.ndarray, penalty: float = PRIOR_WEIGHT, steps: int = 25) -> np.ndarray:
-    """Weights (the last is the intercept) by Newton's method with a ridge penalty."""
-    x = np.column_stack([x, np.ones(len(x))])
-    ridge = np.full(x.shape[1], penalty)
+def logistic(x, y: np.ndarray, penalty: float = PRIOR_WEIGHT, steps: int = 25, start=None) -> np.ndarray:
+    """Weights (the last is the intercept) by Newton's method with a ridge penalty. The steps are
+    solved by conjugate gradients, which need only products with the sparse rows."""
+    x = as_rows(x)
+    ridge = np.full(x.width + 1, penalty)
     ridge[-1] = 1e-3
-    w = np.zeros(x.shape[1])
+    w = np.zeros(x.width + 1) if start is None else start.copy()
+
+    def loss(w, z):
+        return float((np.logaddexp(0, z) - y * z).sum() + (ridge * w * w).sum() / 2)
+
+    z = x.dot(w[:-1]) + w[-1]
     for _ in range(steps):
-        p = sigmoid(x @ w)
-        gradient = x.T @ (p - y) + ridge * w
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(ridge), gradient)
-        w -= step
-        if np.abs(step).max() < 1e-8:
+        p = sigmoid(z)
+        curve = p * (1 - p) + 1e-9
+        gradient = np.append(x.sums(p - y), (p - y).sum()) + ridge * w
+        diagonal = np.append(x.sums(curve, power=2), curve.sum()) + ridge
+
+        def times(v):
+            u = curve * (x.dot(v[:-1]) + v[-1])
+            return np.append(x.sums(u), u.sum()) + ridge * v
+
+        step = solve(times, gradient, diagonal)
+        before, size = loss(w, z), 1.0
+        while True:                                  # a whole step nearly always
+            z = x.dot((w - size * step)[:-1]) + (w - size * step)[-1]
+            if size < 1e-3 or loss(w - size * step, z) <= before:
+                break
+            size /= 2
+        w = w - size * step
+        if np.abs(step).max() < 1e-4:
             break
     return w
 
 
+def solve(times, target: np.ndarray, diagonal: np.ndarray) -> np.ndarray:
+    """Conjugate gradients, scaled by the diagonal."""
+    out, rest = np.zeros(len(target)), target.copy()
+    scaled = rest / diagonal
+    way, size = scaled.copy(), float(rest @ scaled)
+    small = 1e-8 * size
+    for _ in range(SOLVER_STEPS):
+        if size <= small:
+            break
+        ahead = times(way)
+        by = size / float(way @ ahead)
+        out += by * way
+        rest -= by * ahead
+        scaled = rest / diagonal
+        size, last = float(rest @ scaled), size
+        way = scaled + size / last * way
+    return out
+
+
 def sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def odds(x: np.ndarray, model) -> np.ndarray:
+def odds(x, model) -> np.ndarray:
     """Calibrated log odds of a view."""
     w, (slope, shift) = model
-    return slope * (x @ w[:-1] + w[-1]) + shift
+    return slope * (as_rows(x).dot(w[:-1]) + w[-1]) + shift
 
 
-def calibrated(x, y, x_apart, y_apart):
+def calibrated(x, y, x_apart, y_apart, start=None):
     """A view's weights with the line that maps its log odds to those seen on rows kept apart."""
-    w = logistic(x, y)
-    raw = x_apart @ w[:-1] + w[-1]
+    w = logistic(x, y, start=start)
+    raw = x_apart.dot(w[:-1]) + w[-1]
     if len(set(y_apart)) < 2:
         return w, (1.0, 0.0)
     slope, shift = logistic(raw[:, None], y_apart, penalty=1e-2)
@@ -149,20 +263,21 @@ def calibrated(x, y, x_apart, y_apart):
 
 def co_train(text, slots, y, apart, pool_text, pool_slots, rounds: int = ROUNDS):
     """Both views' models after the exchange of pseudo-labels."""
-    start = ~apart
-    own = [(text, pool_text), (slots, pool_slots)]
-    taken = [np.zeros(len(pool_text), bool), np.zeros(len(pool_text), bool)]
+    own = [(as_rows(text), as_rows(pool_text)), (as_rows(slots), as_rows(pool_slots))]
+    known = [x.take(~apart) for x, _ in own]
+    kept_apart = [x.take(apart) for x, _ in own]
+    in_pool = len(own[0][1])
+    taken = [np.zeros(in_pool, bool), np.zeros(in_pool, bool)]
     added: list[list] = [[], []]               # (pool rows, labels) that the other view gave
-    limit = max(1, int(PER_ROUND * len(pool_text)))
+    limit = max(1, int(PER_ROUND * in_pool))
 
-    def train(v):
-        x, pool = own[v]
-        rows = [x[start], *(pool[at] for at, _ in added[v])]
-        labels = [y[start], *(label for _, label in added[v])]
-        return calibrated(np.concatenate(rows), np.concatenate(labels), x[apart], y[apart])
+    def train(v, start=None):
+        rows = [known[v], *(own[v][1].take(at) for at, _ in added[v])]
+        labels = [y[~apart], *(label for _, label in added[v])]
+        return calibrated(Rows.joined(rows), np.concatenate(labels), kept_apart[v], y[apart], start)
 
     models = [train(0), train(1)]
-    for _ in range(rounds if len(pool_text) else 0):
+    for _ in range(rounds if in_pool else 0):
         for v in (0, 1):
             p = sigmoid(odds(own[v][1], models[v]))
             free = ~taken[1 - v]
@@ -170,15 +285,18 @@ def co_train(text, slots, y, apart, pool_text, pool_slots, rounds: int = ROUNDS)
             sure = sure[np.argsort(-np.maximum(p, 1 - p)[sure], kind="stable")][:limit]
             taken[1 - v][sure] = True
             added[1 - v].append((sure, (p[sure] > 0.5).astype(float)))
-        models = [train(0), train(1)]
+        models = [train(v, models[v][0]) for v in (0, 1)]
     return models
 
 
-def dense(slots) -> np.ndarray:
-    out = np.zeros((len(slots), SOURCES + LANGUAGES + LENGTHS))
-    for k, row in enumerate(slots):
-        out[k, list(row)] = 1
-    return out
+def _collected(rows) -> tuple[Rows, Rows]:
+    """Both views of collected rows of ``views``."""
+    slots = [np.frombuffer(r["slots"], np.uint16) for r in rows]
+    values = [np.frombuffer(r["values"], np.float32) for r in rows]
+    bounds = np.concatenate([[0], np.cumsum([len(s) for s in slots], dtype=np.int64)])
+    text = Rows(np.concatenate(slots) if slots else [], np.concatenate(values) if values else [], bounds, TEXT_WIDTH)
+    meta = [s for r in rows for s in r["metadata"]]
+    return text, Rows(meta, np.ones(len(meta)), 3 * np.arange(len(rows) + 1), META_WIDTH)
 
 
 def _sampled(docs: DataFrame, rows: int, bound: int) -> DataFrame:
@@ -186,28 +304,32 @@ def _sampled(docs: DataFrame, rows: int, bound: int) -> DataFrame:
     return docs.filter(F.pmod(F.xxhash64(F.lit("quality"), "doc_id"), F.lit(1_000_000)) < share * 1e6)
 
 
+def _one_each(docs: DataFrame) -> DataFrame:
+    """Of several rows of one doc_id the smallest; for samples only."""
+    return (docs.groupBy("doc_id").agg(F.min(F.struct(*META)).alias("row")).select("doc_id", "row.*"))
+
+
 def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL):
     """((text model, metadata model), prior log odds), or None without labels."""
+    docs = docs.select("doc_id", *META).filter("doc_id IS NOT NULL")
     labels = (labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id")
               .agg(F.avg("quality").alias("y")))
     n_labels, total = labels.count(), docs.select("doc_id").count()
     chosen = _sampled(labels, n_labels, labelled)
     known = _sampled(docs, n_labels, labelled).join(chosen.select("doc_id"), "doc_id", "left_semi")
-    rows = sorted(views(known).join(chosen, "doc_id").dropDuplicates(["doc_id"]).collect(),
-                  key=lambda r: r.doc_id)
+    rows = sorted(views(_one_each(known)).join(chosen, "doc_id").collect(), key=lambda r: r.doc_id)
     if not rows:
         return None
-    loose = views(_sampled(docs, total, pool)).join(labels.select("doc_id"), "doc_id", "left_anti")
-    free = sorted(loose.filter("doc_id IS NOT NULL").collect(), key=lambda r: r.doc_id)
+    loose = _sampled(docs, total, pool).join(labels.select("doc_id"), "doc_id", "left_anti")
+    free = sorted(views(_one_each(loose)).collect(), key=lambda r: r.doc_id)
     y = np.array([float(r.y >= 0.5) for r in rows])
     apart = np.array([zlib.crc32(str(r.doc_id).encode()) % 5 == 0 for r in rows])
     if not apart.any() or apart.all():
         apart = np.arange(len(rows)) % 5 == 4
-    text = np.array([r.numbers for r in rows])
-    pool_text = np.array([r.numbers for r in free]).reshape(len(free), TEXT_WIDTH)
     if not (~apart).any():
         return None
-    models = co_train(text, dense([r.slots for r in rows]), y, apart, pool_text, dense([r.slots for r in free]))
+    (text, meta), (pool_text, pool_meta) = _collected(rows), _collected(free)
+    models = co_train(text, meta, y, apart, pool_text, pool_meta)
     share = (y.sum() + 1) / (len(y) + 2)
     return models, float(np.log(share / (1 - share)))
 
@@ -233,7 +355,7 @@ def score(docs: DataFrame, model) -> DataFrame:
                 [batch.column(0).cast(pa.int64()), pa.array(p_text), pa.array(p_meta), pa.array(both),
                  pa.array(both >= 0.5)], names=["doc_id", "p_text", "p_metadata", "score", "keep"])
 
-    return docs.select("doc_id", "text", "source", "lang", "n_chars").mapInArrow(run, RESULT)
+    return docs.select("doc_id", *META).mapInArrow(run, RESULT)
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
