@@ -16,7 +16,9 @@ Equal sets are one node from the start, however many copies there are. Pairs are
 not expanded within a group: first each list of sets that share a shingle is
 verified against one hub; then only pairs from different components so far are
 enumerated, counted and verified. The work of a large group of near copies is
-linear in its size.
+linear in its size. What rules a pair out before its sets are compared: their sizes, a hub
+of both, and the parity of their shingles in ``1 << CELL_BITS`` cells (sets that differ in
+more cells than similar sets can differ in shingles).
 
 Defined cases: a null text, an empty one or one without words has 0 shingles and
 is linked with nothing; fewer words than a shingle make one shingle of the whole
@@ -61,7 +63,10 @@ SMALL = 400                      # sets under this size start at the second leve
 WHOLE = 64                       # sets up to this size are sent whole
 SHINGLES_PER_TASK = 600_000
 TASK_LIST = 1_024                # sets of a list whose pairs one task looks at; longer lists are joined
+LIST_WORK = 20_000_000           # pairs to look at in lists that lie together, beyond which they are dealt out
 PAIRS_AT_ONCE = 1_000_000        # in one numpy operation
+CELL_BITS = 10                   # of the cells in which the parity of a set's shingles is kept
+PARITY = [f"odd{k}" for k in range((1 << CELL_BITS) // 64)]
 
 
 def shingle_hashes(hasher: WordHasher, data: np.ndarray, offsets: np.ndarray, size: int):
@@ -99,6 +104,16 @@ def set_ids(row: np.ndarray, h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return mix64(total + np.diff(bounds).astype(np.uint64)).view(np.int64)
 
 
+def parities(row: np.ndarray, h: np.ndarray, rows: int) -> np.ndarray:
+    """For each row the cells that hold an odd number of its shingles, as 64-bit words. Where the
+    cells of two sets differ, a shingle is in one of them only, so they differ in at least as many."""
+    cell, count = np.unique((row << CELL_BITS) + (h >> np.uint64(64 - CELL_BITS)).astype(np.int64),
+                            return_counts=True)
+    odd = np.zeros(rows << CELL_BITS, bool)
+    odd[cell[count % 2 == 1]] = True
+    return np.packbits(odd).view(np.int64).reshape(rows, len(PARITY))
+
+
 def least_overlap(n: np.ndarray, similar=SIMILAR) -> np.ndarray:
     return -(-n * similar[0] // similar[1])
 
@@ -151,18 +166,20 @@ def frequent_shingles(docs: DataFrame, size: int = SHINGLE) -> np.ndarray:
 
 
 def describe(docs: DataFrame, frequent, size: int = SHINGLE, similar=SIMILAR) -> DataFrame:
-    """doc_id, n_shingles, set_id, m and its level of each row."""
+    """doc_id, n_shingles, set_id, m, its level and the parities of each row."""
     def run(batches):
         for batch, lo, hi, row, h, bounds in each_group(batches, size):
             m, level = prefix_matches(h, bounds, frequent.value, similar)
+            odd = parities(row, h, hi - lo)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id")[lo:hi].cast(pa.int64()),
                 "n_shingles": pa.array(np.diff(bounds)),
                 "set_id": pa.array(set_ids(row, h, bounds)),
-                "m": pa.array(m), "level": pa.array(level.astype(np.int64))})
+                "m": pa.array(m), "level": pa.array(level.astype(np.int64)),
+                **{c: pa.array(odd[:, k].copy()) for k, c in enumerate(PARITY)}})
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, set_id long, m long, level long")
+        run, ", ".join(f"{c} long" for c in ["doc_id", "n_shingles", "set_id", "m", "level", *PARITY]))
 
 
 def shared_lists(docs: DataFrame, frequent, parts: int, size: int = SHINGLE, similar=SIMILAR) -> DataFrame:
@@ -302,56 +319,85 @@ def _with_sets(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -
             .join(sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("y")), "b"))
 
 
-def crossing_pairs(lists: DataFrame, similar) -> DataFrame:
+def crossing_pairs(lists: DataFrame, facts: DataFrame, similar) -> DataFrame:
     """(a, b): sets of one list (of at most ``TASK_LIST`` sets) in different components that can be similar
-    by what is known of them. Lists with the same smallest set lie together, so a pair that shares
-    many lists is passed on about once."""
-    columns = ["list_id", *FACTS]
+    by what is known of them. Lists of one ``home`` and ``part`` lie together, with what is known of each
+    of their sets once, so a pair that shares many lists is passed on about once."""
+    own = lists.select("home", "part", "list_id", "set_id", "top", "guest")
+    known = own.select("home", "part", "set_id").distinct().join(facts, "set_id")
+    rows = own.unionByName(known, allowMissingColumns=True)
+    columns = ["home", "part", "list_id", "set_id", "top", "guest", *FACTS]
 
     def run(batches):
         held: dict[str, np.ndarray] = {}
         for batch in itertools.chain(batches, [None]):
             if batch is not None:
-                new = {c: batch.column(c).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns}
-                new["known"] = batch.column("hub").is_valid().to_numpy(zero_copy_only=False)
+                new = {c: batch.column(c).fill_null(0).to_numpy(zero_copy_only=False) for c in columns}
+                new |= {f"{c}_known": batch.column(c).is_valid().to_numpy(zero_copy_only=False)
+                        for c in ("list_id", "hub")}
                 held = {c: np.concatenate([held[c], v]) for c, v in new.items()} if held else new
-            if not held or not len(held["list_id"]):
+            if not held or not len(held["home"]):
                 continue
-            starts = np.flatnonzero(run_starts(held["list_id"]))
-            done = len(held["list_id"]) if batch is None else int(starts[-1])
-            ends = np.append(starts[1:], len(held["list_id"]))
-            partners = (np.repeat(ends, np.diff(np.append(starts, len(held["list_id"])))) - 1
-                        - np.arange(len(held["list_id"])))[:done]
-            step = max(1, PAIRS_AT_ONCE // TASK_LIST)
-            for lo in range(0, done, step):
-                count = partners[lo:lo + step]
-                a = np.repeat(np.arange(lo, lo + len(count)), count)
-                b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(count) - count, count)
-                pairs = _can_be_similar(held, a, b, similar)
-                if len(pairs):
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            groups = run_starts(held["home"], held["part"])
+            done = len(groups) if batch is None else int(np.flatnonzero(groups)[-1])
+            if done:
+                pairs = _pairs_of({c: v[:done] for c, v in held.items()}, np.cumsum(groups[:done]), similar)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
             held = {c: v[done:] for c, v in held.items()}
 
-    return (lists.repartition("home").sortWithinPartitions("home", "list_id")
+    return (rows.repartition("home", "part").sortWithinPartitions("home", "part", F.asc_nulls_first("list_id"))
             .select(*[F.col(c).cast("long").alias(c) for c in columns]).mapInArrow(run, "a long, b long"))
 
 
+def _pairs_of(held: dict[str, np.ndarray], group: np.ndarray, similar) -> np.ndarray:
+    """The distinct pairs of some groups of lists, smaller set first."""
+    member = held["list_id_known"]
+    sets, code = np.unique(held["set_id"], return_inverse=True)
+    code = group * len(sets) + code
+    facts = {c: held[c][~member] for c in ["set_id", *FACTS, "hub_known"]}
+    order = np.argsort(code[~member])
+    at = order[np.searchsorted(code[~member][order], code[member])]
+    lists, top, guest = held["list_id"][member], held["top"][member], held["guest"][member].astype(bool)
+    starts = np.flatnonzero(run_starts(group[member], lists))
+    ends = np.append(starts[1:], len(lists))
+    partners = np.repeat(ends, ends - starts) - 1 - np.arange(len(lists))
+    found, waiting, width = [np.zeros(0, np.int64)], 0, len(order)
+    step = max(1, PAIRS_AT_ONCE // TASK_LIST)
+    for lo in range(0, len(lists), step):
+        count = partners[lo:lo + step]
+        a = np.repeat(np.arange(lo, lo + len(count)), count)
+        b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(count) - count, count)
+        x, y = at[a], at[b]
+        level = np.minimum(facts["level"][x], facts["level"][y])
+        meets = (level <= np.minimum(top[a], top[b])) & ~(guest[a] | guest[b])
+        meets |= (facts["short"][x] | facts["short"][y]).astype(bool)
+        meets &= facts["component"][x] != facts["component"][y]
+        x, y = x[meets], y[meets]
+        pair = np.unique(np.minimum(x, y) * width + np.maximum(x, y))
+        found.append(pair[_can_be_similar(facts, pair // width, pair % width, similar)])
+        waiting += len(found[-1])
+        if waiting > PAIRS_AT_ONCE:
+            found, waiting = [np.unique(np.concatenate(found))], 0
+    pair = np.unique(np.concatenate(found))
+    x, y = facts["set_id"][pair // max(width, 1)], facts["set_id"][pair % max(width, 1)]
+    return np.stack([np.minimum(x, y), np.maximum(x, y)], 1)
+
+
 def _can_be_similar(f: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, similar) -> np.ndarray:
-    """The distinct pairs of rows ``a``, ``b`` that the facts do not rule out, smaller set first."""
-    keep = f["component"][a] != f["component"][b]
-    keep &= np.minimum(f["n"][a], f["n"][b]) * similar[1] >= np.maximum(f["n"][a], f["n"][b]) * similar[0]
-    a, b = a[keep], b[keep]
-    level, top = np.minimum(f["level"][a], f["level"][b]), np.minimum(f["top"][a], f["top"][b])
-    keep = (f["short"][a] | f["short"][b]).astype(bool) | (
-        (level <= top) & ~(f["guest"][a] | f["guest"][b]).astype(bool))
-    a, b = a[keep], b[keep]
-    one_hub = f["known"][a] & f["known"][b] & (f["hub"][a] == f["hub"][b])
-    lost = sum(np.bitwise_count((f[g][a] | f[g][b]).view(np.uint64)).astype(np.int64) for g in ("gone0", "gone1"))
-    own = sum(np.bitwise_count((f[g][a] & ~f[g][b]).view(np.uint64)).astype(np.int64) for g in ("more0", "more1"))
+    """Whether the facts do not rule out the pairs of rows ``a``, ``b``."""
+    n = f["n"][a] + f["n"][b]
+    good = np.minimum(f["n"][a], f["n"][b]) * similar[1] >= np.maximum(f["n"][a], f["n"][b]) * similar[0]
+    differ = sum(_bits(f[c][a] ^ f[c][b]) for c in PARITY)
+    good &= sum(similar) * differ <= (similar[1] - similar[0]) * n
+    one_hub = f["hub_known"][a] & f["hub_known"][b] & (f["hub"][a] == f["hub"][b])
+    lost = sum(_bits(f[g][a] | f[g][b]) for g in ("gone0", "gone1"))
+    own = sum(_bits(f[g][a] & ~f[g][b]) for g in ("more0", "more1"))
     most = f["hub_n"][a] - lost + np.minimum(f["extra"][a] - own, f["extra"][b])
-    keep = ~one_hub | (sum(similar) * most >= similar[0] * (f["n"][a] + f["n"][b]))
-    x, y = f["set_id"][a[keep]], f["set_id"][b[keep]]
-    return np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0)
+    return good & (~one_hub | (sum(similar) * most >= similar[0] * n))
+
+
+def _bits(x: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x.view(np.uint64)).astype(np.int64)
 
 
 def components(docs: DataFrame, size: int = SHINGLE, similar=SIMILAR) -> DataFrame:
@@ -362,7 +408,7 @@ def components(docs: DataFrame, size: int = SHINGLE, similar=SIMILAR) -> DataFra
     info = materialise(describe(docs, frequent, size, similar))
     sets = materialise(info.filter("n_shingles > 0").groupBy("set_id").agg(
         F.min("doc_id").alias("first_doc"), F.max("n_shingles").alias("n"), F.max("m").alias("m"),
-        F.max("level").alias("level")))
+        F.max("level").alias("level"), *[F.max(c).alias(c) for c in PARITY]))
     total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     parts = max(shuffle_parts(spark), -(-total // SHINGLES_PER_TASK))
     lists = materialise(shared_lists(docs, frequent, parts, size, similar)
@@ -416,15 +462,23 @@ def components(docs: DataFrame, size: int = SHINGLE, similar=SIMILAR) -> DataFra
     # What is left: pairs from different components that share enough of their prefixes.
     label = F.coalesce("component", "set_id").alias("component")
     by_hub = compared.select(F.col("b").alias("set_id"), F.col("a").alias("hub"), "hub_n", "extra", *SIGNATURE)
-    labelled = (usable.join(parted.withColumnRenamed("node", "set_id"), "set_id", "left")
+    of_sets = parted.withColumnRenamed("node", "set_id")
+    labelled = (usable.join(of_sets, "set_id", "left")
                 .select("list_id", "set_id", "level", "n", "short", "guest", "top", label))
-    mixed = labelled.groupBy("list_id").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                            F.min("set_id").alias("home"), F.count("*").alias("sets")) \
-        .filter("lo <> hi").select("list_id", "home", (F.col("sets") > TASK_LIST).alias("long"))
-    open_lists = materialise(labelled.join(mixed, "list_id").join(by_hub, "set_id", "left"))
-    long_lists = open_lists.filter("long")
-    left = long_lists.select("list_id", *[F.col(c).alias(f"{c}_a") for c in FACTS])
-    right = long_lists.select("list_id", *[F.col(c).alias(f"{c}_b") for c in FACTS])
+    mixed = materialise(labelled.groupBy("list_id").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"),
+        F.min("set_id").alias("home"), F.count("*").alias("sets")).filter("lo <> hi").drop("lo", "hi"))
+    work = mixed.groupBy("home").agg(F.sum(F.col("sets") * (F.col("sets") + 50)).alias("work"))
+    mixed = mixed.join(work, "home").select(
+        "list_id", "home", (F.col("sets") > TASK_LIST).alias("long"),
+        F.pmod(F.xxhash64("list_id"), F.ceil(F.col("work") / LIST_WORK)).alias("part"))
+    open_lists = materialise(labelled.join(mixed, "list_id"))
+    set_facts = (nodes.select("set_id", "n", "level", "short", *PARITY).join(of_sets, "set_id", "left")
+                 .withColumn("component", F.coalesce("component", "set_id")).join(by_hub, "set_id", "left"))
+    long_lists = open_lists.filter("long").join(by_hub, "set_id", "left")
+    joined = ["set_id", "n", "level", "short", "guest", "top", "component", "hub", "hub_n", "extra", *SIGNATURE]
+    left = long_lists.select("list_id", *[F.col(c).alias(f"{c}_a") for c in joined])
+    right = long_lists.select("list_id", *[F.col(c).alias(f"{c}_b") for c in joined])
     meets = F.col("short_a") | F.col("short_b") | (
         (F.least("level_a", "level_b") <= F.least("top_a", "top_b")) & ~F.col("guest_a") & ~F.col("guest_b"))
     # Of one hub: what both have of it, and of what it lacks, at most.
@@ -437,7 +491,7 @@ def components(docs: DataFrame, size: int = SHINGLE, similar=SIMILAR) -> DataFra
     crossing = (left.join(right, "list_id").filter("set_id_a < set_id_b AND component_a <> component_b")
                 .filter(F.least("n_a", "n_b") * similar[1] >= F.greatest("n_a", "n_b") * similar[0])
                 .filter(meets).select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")))
-    crossing = crossing.union(crossing_pairs(open_lists.filter("NOT long"), similar)).distinct()
+    crossing = crossing.union(crossing_pairs(open_lists.filter("NOT long"), set_facts, similar)).distinct()
     rest = materialise(verify(_with_sets(materialise(crossing), nodes, docs, size), similar))
     release(spark)
     final = connected_components(links.union(rest))
@@ -464,7 +518,7 @@ def first_of_each(docs: DataFrame, size: int = SHINGLE, similar=SIMILAR) -> Data
             .dropDuplicates([key, text_key]).select(*docs.columns))
 
 
-FACTS = ["set_id", "n", "level", "short", "guest", "top", "component", "hub", "hub_n", "extra", *SIGNATURE]
+FACTS = ["n", "level", "short", "component", "hub", "hub_n", "extra", *SIGNATURE, *PARITY]
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
