@@ -63,7 +63,7 @@ SMALL = 400                      # sets under this size start at the second leve
 WHOLE = 64                       # sets up to this size are sent whole
 SHINGLES_PER_TASK = 600_000
 TASK_LIST = 1_024                # sets of a list whose pairs one task looks at; longer lists are joined
-LIST_WORK = 20_000_000           # pairs to look at in lists that lie together, beyond which they are dealt out
+LIST_WORK = 4_000_000            # pairs to look at in lists that lie together, beyond which they are dealt out
 PAIRS_AT_ONCE = 1_000_000        # in one numpy operation
 CELL_BITS = 10                   # of the cells in which the parity of a set's shingles is kept
 PARITY = [f"odd{k}" for k in range((1 << CELL_BITS) // 64)]
@@ -319,10 +319,11 @@ def _with_sets(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -
             .join(sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("y")), "b"))
 
 
-def crossing_pairs(lists: DataFrame, facts: DataFrame, similar) -> DataFrame:
+def crossing_pairs(lists: DataFrame, facts: DataFrame, parts: int, similar) -> DataFrame:
     """(a, b): sets of one list (of at most ``TASK_LIST`` sets) in different components that can be similar
     by what is known of them. Lists of one ``home`` and ``part`` lie together, with what is known of each
-    of their sets once, so a pair that shares many lists is passed on about once."""
+    of their sets once, so a pair that shares many lists is passed on about once. The number of
+    tasks is given, for their bytes say little about the pairs in them."""
     own = lists.select("home", "part", "list_id", "set_id", "top", "guest")
     known = own.select("home", "part", "set_id").distinct().join(facts, "set_id")
     rows = own.unionByName(known, allowMissingColumns=True)
@@ -345,7 +346,7 @@ def crossing_pairs(lists: DataFrame, facts: DataFrame, similar) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
             held = {c: v[done:] for c, v in held.items()}
 
-    return (rows.repartition("home", "part").sortWithinPartitions("home", "part", F.asc_nulls_first("list_id"))
+    return (rows.repartition(parts, "home", "part").sortWithinPartitions("home", "part", F.asc_nulls_first("list_id"))
             .select(*[F.col(c).cast("long").alias(c) for c in columns]).mapInArrow(run, "a long, b long"))
 
 
@@ -472,6 +473,8 @@ def components(docs: DataFrame, size: int = SHINGLE, similar=SIMILAR) -> DataFra
     mixed = mixed.join(work, "home").select(
         "list_id", "home", (F.col("sets") > TASK_LIST).alias("long"),
         F.pmod(F.xxhash64("list_id"), F.ceil(F.col("work") / LIST_WORK)).alias("part"))
+    to_do = work.agg(F.coalesce(F.sum("work"), F.lit(0))).first()[0]
+    tasks = max(shuffle_parts(spark), -(-to_do // LIST_WORK))
     open_lists = materialise(labelled.join(mixed, "list_id"))
     set_facts = (nodes.select("set_id", "n", "level", "short", *PARITY).join(of_sets, "set_id", "left")
                  .withColumn("component", F.coalesce("component", "set_id")).join(by_hub, "set_id", "left"))
@@ -491,7 +494,7 @@ def components(docs: DataFrame, size: int = SHINGLE, similar=SIMILAR) -> DataFra
     crossing = (left.join(right, "list_id").filter("set_id_a < set_id_b AND component_a <> component_b")
                 .filter(F.least("n_a", "n_b") * similar[1] >= F.greatest("n_a", "n_b") * similar[0])
                 .filter(meets).select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")))
-    crossing = crossing.union(crossing_pairs(open_lists.filter("NOT long"), set_facts, similar)).distinct()
+    crossing = crossing.union(crossing_pairs(open_lists.filter("NOT long"), set_facts, tasks, similar)).distinct()
     rest = materialise(verify(_with_sets(materialise(crossing), nodes, docs, size), similar))
     release(spark)
     final = connected_components(links.union(rest))
