@@ -122,3 +122,24 @@ def test_items_in_several_blocks(spark, monkeypatch):
 def test_a_very_long_text(spark):
     docs = [(1, text(150_000) + " " + ITEMS[5][1] + " " + text(1000))]
     assert [(r.doc_id, r.item_id) for r in run(spark, docs)] == [(1, 5)]
+
+
+def test_blocks_hold_every_item_once(spark, monkeypatch):
+    rows = [(i, f"item {i} " * (i % 7)) for i in range(200)] + [(3, None), (None, "x"), (5, "item 5 " * 5)]
+    benchmark = spark.createDataFrame(rows, "item_id long, text string")
+    monkeypatch.setattr(dc, "BLOCK_BYTES", 1_000)
+    blocks = [dc.items_of(b) for b in dc.item_blocks(benchmark)]
+    assert len(blocks) > 5 and max(map(len, blocks)) < 60
+    assert sorted(map(str, (item for block in blocks for item in block))) == sorted(map(str, set(rows)))
+    assert [dc.items_of(b) for b in dc.item_blocks(benchmark.limit(0))] == [[]]
+
+
+def test_several_blocks_find_what_one_finds(spark, monkeypatch):
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(12))) for i in range(30)]
+    docs = spark.createDataFrame([(i, f"before {text} after") for i, text in items if i % 3], "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    one = sorted(map(tuple, dc.find(docs, benchmark).collect()))
+    monkeypatch.setattr(dc, "BLOCK_BYTES", 500)
+    assert sorted(map(tuple, dc.find(docs, benchmark).collect())) == one
+    assert {(i, i) for i, _ in items if i % 3} <= {(r[0], r[1]) for r in one}
+    assert {r.doc_id for r in dc.clean(docs, benchmark).collect()} == set()

@@ -18,11 +18,12 @@ shared q-gram. Texts are compared lower-cased (A-Z), with runs of ASCII punctuat
 and white space as one space.
 
 It is a map over whole texts: no shuffle. The benchmark is the query set: it is
-broadcast in blocks of at most ``BLOCK_BYTES``, one pass over the documents each.
+broadcast in blocks of about ``BLOCK_BYTES``, one pass over the documents each.
 
 Defined cases: null or empty texts and items (or such of separators only) match
 nothing; an item so short that its distance allows no edit is found where it stands,
-inside of words too; repeated rows are reported each; tables
+inside of words too; a text of any length is searched whole; of places at the same
+distance the first is reported; repeated rows are reported each; tables
 without rows give no rows; other columns are ignored.
 """
 
@@ -33,7 +34,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from watchfold.llm.cgk import walk_steps
 from watchfold.llm.common import PUNCTUATION, Rolling, doc_groups, mix64, read_table, text_buffer
@@ -220,6 +221,7 @@ class Searcher:
 
     def search(self, data: np.ndarray, offsets: np.ndarray):
         """(row, item_id, start, length, distance, similarity), the best place of each pair."""
+        self.embedded.clear()                    # walks of items are kept for one group of texts
         data, places, bounds = normal_group(data, offsets)
         best: dict[tuple[int, int], tuple] = {}
         for row, k, place, at in self.windows(data, bounds):
@@ -242,25 +244,24 @@ class Searcher:
                    1 - distance / len(text))
 
 
-def item_blocks(benchmark: DataFrame) -> list[list[tuple[int, str]]]:
-    """The items in blocks of bounded size."""
-    rows = [(r.item_id, r.text) for r in benchmark.select("item_id", "text").distinct()
-            .orderBy("item_id", "text").toLocalIterator()]
-    blocks, size = [[]], 0
-    for item in rows:
-        size += len(item[1] or "")
-        if size > BLOCK_BYTES and blocks[-1]:
-            blocks.append([])
-            size = len(item[1] or "")
-        blocks[-1].append(item)
-    return blocks
+def item_blocks(benchmark: DataFrame) -> list[DataFrame]:
+    """The distinct items, dealt by hash into blocks of about ``BLOCK_BYTES``."""
+    items = benchmark.select("item_id", "text").distinct()
+    size = items.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 8)).first()[0] or 0
+    blocks = max(1, math.ceil(size / BLOCK_BYTES))
+    number = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
+    return [items.filter(number == k) for k in range(blocks)]
+
+
+def items_of(block: DataFrame) -> list[tuple[int, str]]:
+    return [(r.item_id, r.text) for r in block.orderBy("item_id", "text").collect()]
 
 
 def find(docs: DataFrame, benchmark: DataFrame, max_distance: float = MAX_DISTANCE) -> DataFrame:
     """One row per document and item found in it: its best place, distance and similarity."""
     out = None
     for block in item_blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
+        shared = docs.sparkSession.sparkContext.broadcast(items_of(block))
 
         def run(batches, shared=shared):
             searcher = None
@@ -286,7 +287,7 @@ def find(docs: DataFrame, benchmark: DataFrame, max_distance: float = MAX_DISTAN
 def clean(docs: DataFrame, benchmark: DataFrame, max_distance: float = MAX_DISTANCE) -> DataFrame:
     """The rows of ``docs`` in whose texts no item is found; a map, without a shuffle."""
     for block in item_blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
+        shared = docs.sparkSession.sparkContext.broadcast(items_of(block))
 
         def run(batches, shared=shared):
             searcher = None
