@@ -75,6 +75,12 @@ def test_equals_brute_force(spark, monkeypatch, seed, hot, whole):
     assert found(spark, docs) == brute_force(docs)
 
 
+def test_sets_whose_first_hashes_clash_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(nj, "ID_BITS", 6)          # 64 values for far more sets
+    docs = corpus(5)
+    assert found(spark, docs) == brute_force(docs)
+
+
 def test_query_on_the_small_tables(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF0001}/documents.parquet").collect()]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in nj.op4_ngram_join(spark, SF0001).collect()}

@@ -23,8 +23,8 @@ more cells than similar sets can differ in shingles).
 Defined cases: a null text, an empty one or one without words has 0 shingles and
 is linked with nothing; fewer words than a shingle make one shingle of the whole
 sequence; a null ``doc_id`` counts as the smallest; repeated rows of one ``doc_id`` are the
-same node and come back once each; a table without rows gives no rows; other columns are ignored. Shingles
-and sets are identified by 64-bit hashes.
+same node and come back once each; a table without rows gives no rows; a text of any length is one
+set; other columns are ignored. Shingles of two sets are compared by 64-bit hashes, sets are told apart by 128 bits.
 """
 
 from __future__ import annotations
@@ -67,6 +67,9 @@ LIST_WORK = 4_000_000            # pairs to look at in lists that lie together,
 PAIRS_AT_ONCE = 1_000_000        # in one numpy operation
 CELL_BITS = 10                   # of the cells in which the parity of a set's shingles is kept
 PARITY = [f"odd{k}" for k in range((1 << CELL_BITS) // 64)]
+ID_BITS = 64                     # of a set's first hash; fewer in tests, to make sets clash
+SECOND = 0x9E3779B97F4A7C15      # salt of the second
+NO_CLASH = np.zeros(0, np.int64)
 
 
 def shingle_hashes(hasher: WordHasher, data: np.ndarray, offsets: np.ndarray, size: int):
@@ -96,14 +99,25 @@ def shingle_hashes(hasher: WordHasher, data: np.ndarray, offsets: np.ndarray, si
     return row[kept], h[kept]
 
 
-def set_ids(row: np.ndarray, h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """One 64-bit id per row's set of shingles."""
+def set_hashes(h: np.ndarray, bounds: np.ndarray, salt: int) -> np.ndarray:
+    """A 64-bit hash of each row's set of shingles."""
     sums = np.zeros(len(h) + 1, np.uint64)
-    np.cumsum(mix64(h + np.uint64(1)), out=sums[1:])
+    np.cumsum(mix64(h + np.uint64(salt)), out=sums[1:])
     total = sums[bounds[1:]] - sums[bounds[:-1]]
     return mix64(total + np.diff(bounds).astype(np.uint64)).view(np.int64)
 
 
+def set_ids(h: np.ndarray, bounds: np.ndarray, clashing: np.ndarray) -> np.ndarray:
+    """One id per row's set of shingles: its first hash or, where different sets are known to have
+    that in common (``clashing``, sorted), its second. Two sets have one id only if 128 bits agree."""
+    ids = set_hashes(h, bounds, 1) >> (64 - ID_BITS)
+    if len(clashing):
+        clash = np.isin(ids, clashing)
+        if clash.any():
+            ids = np.where(clash, set_hashes(h, bounds, SECOND), ids)
+    return ids
+
+
 def parities(row: np.ndarray, h: np.ndarray, rows: int) -> np.ndarray:
     """For each row the cells that hold an odd number of its shingles, as 64-bit words. Where the
     cells of two sets differ, a shingle is in one of them only, so they differ in at least as many."""
@@ -166,7 +180,7 @@ def frequent_shingles(docs: DataFrame, size: int = SHINGLE) -> np.ndarray:
 
 
 def describe(docs: DataFrame, frequent, size: int = SHINGLE, similar=SIMILAR) -> DataFrame:
-    """doc_id, n_shingles, set_id, m, its level and the parities of each row."""
+    """doc_id, n_shingles, set_id and the set's second hash, m, its level and the parities of each row."""
     def run(batches):
         for batch, lo, hi, row, h, bounds in each_group(batches, size):
             m, level = prefix_matches(h, bounds, frequent.value, similar)
@@ -174,15 +188,37 @@ def describe(docs: DataFrame, frequent, size: int = SHINGLE, similar=SIMILAR) ->
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id")[lo:hi].cast(pa.int64()),
                 "n_shingles": pa.array(np.diff(bounds)),
-                "set_id": pa.array(set_ids(row, h, bounds)),
+                "set_id": pa.array(set_ids(h, bounds, NO_CLASH)),
+                "second": pa.array(set_hashes(h, bounds, SECOND)),
                 "m": pa.array(m), "level": pa.array(level.astype(np.int64)),
                 **{c: pa.array(odd[:, k].copy()) for k, c in enumerate(PARITY)}})
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, ", ".join(f"{c} long" for c in ["doc_id", "n_shingles", "set_id", "m", "level", *PARITY]))
-
-
-def shared_lists(docs: DataFrame, frequent, parts: int, size: int = SHINGLE, similar=SIMILAR) -> DataFrame:
+        run, ", ".join(f"{c} long" for c in ["doc_id", "n_shingles", "set_id", "second", "m", "level", *PARITY]))
+
+
+def distinct_sets(info: DataFrame) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """``info`` and its distinct sets by their final ids, and the first hashes that different sets
+    share, as their second hashes tell: about n * n / 2 ** 65 of n sets (3 of 1e10, 271 of 1e11)."""
+    def grouped(rows):
+        return materialise(rows.filter("n_shingles > 0").groupBy("set_id").agg(
+            F.min("doc_id").alias("first_doc"), F.max("n_shingles").alias("n"), F.max("m").alias("m"),
+            F.max("level").alias("level"), (F.min("second") != F.max("second")).alias("clash"),
+            *[F.max(c).alias(c) for c in PARITY]))
+
+    sets = grouped(info)
+    clashing = np.sort(sets.filter("clash").select("set_id").toPandas()["set_id"].to_numpy(np.int64))
+    if len(clashing):
+        shared = info.sparkSession.createDataFrame([(int(x),) for x in clashing], "set_id long").withColumn(
+            "again", F.lit(True))
+        info = materialise(info.join(F.broadcast(shared), "set_id", "left").withColumn(
+            "set_id", F.when(F.col("again"), F.col("second")).otherwise(F.col("set_id"))).drop("again"))
+        sets = grouped(info)
+    return info.drop("second"), sets.drop("clash"), clashing
+
+
+def shared_lists(docs: DataFrame, frequent, parts: int, clashing=NO_CLASH, size: int = SHINGLE,
+                 similar=SIMILAR) -> DataFrame:
     """(list_id, set_id, n_shared, size): the sets that share prefix shingles; shingles with
     the same list of sets are one row per set. Shingles travel in blocks, one per bucket."""
     buckets = parts
@@ -191,7 +227,7 @@ def shared_lists(docs: DataFrame, frequent, parts: int, size: int = SHINGLE, sim
         for batch in batches:
             tokens, sets = [], []
             for _, lo, hi, row, h, bounds in each_group([batch], size):
-                ids, n = set_ids(row, h, bounds), np.diff(bounds)
+                ids, n = set_ids(h, bounds, clashing), np.diff(bounds)
                 length = n - least_overlap(n, similar) + prefix_matches(h, bounds, frequent.value, similar)[0]
                 first = np.zeros(len(n), bool)       # equal sets of this group travel once
                 first[np.unique(ids, return_index=True)[1]] = True
@@ -244,11 +280,11 @@ def shared_lists(docs: DataFrame, frequent, parts: int, size: int = SHINGLE, sim
                                                   F.max("size").alias("size"))
 
 
-def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int = SHINGLE) -> DataFrame:
+def shingle_sets(docs: DataFrame, wanted: DataFrame, clashing=NO_CLASH, size: int = SHINGLE) -> DataFrame:
     """(set_id, shingles) of the documents ``wanted`` (doc_id, set_id); sorted 64-bit hashes."""
     def run(batches):
         for batch, lo, hi, row, h, bounds in each_group(batches, size):
-            ids = set_ids(row, h, bounds)
+            ids = set_ids(h, bounds, clashing)
             own = ids == batch.column("set_id")[lo:hi].to_numpy()     # not a namesake's text
             yield pa.RecordBatch.from_pydict({
                 "set_id": pa.array(ids[own]),
@@ -287,7 +323,7 @@ def cells(tokens: np.ndarray) -> list[int]:
     return masks.view(np.int64).tolist()
 
 
-def compare_with_hubs(stars: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, similar) -> DataFrame:
+def compare_with_hubs(stars: DataFrame, nodes: DataFrame, docs: DataFrame, clashing, size: int, similar) -> DataFrame:
     """For pairs of a hub ``a`` and a set ``b``: whether they are linked, the hub's size, how many
     shingles the hub lacks, and in which cells the hub's shingles are ``gone`` from the set or
     the set has ``more``. Two sets of one hub cannot share what either lacks of it."""
@@ -306,14 +342,14 @@ def compare_with_hubs(stars: DataFrame, nodes: DataFrame, docs: DataFrame, size:
                  *(pa.array(c, pa.int64()) for c in columns[1:])],
                 names=["a", "b", "linked", "hub_n", "extra", *SIGNATURE])
 
-    return materialise(_with_sets(materialise(stars), nodes, docs, size).mapInArrow(
+    return materialise(_with_sets(materialise(stars), nodes, docs, clashing, size).mapInArrow(
         run, "a long, b long, linked boolean, hub_n long, extra long, " + ", ".join(f"{c} long" for c in SIGNATURE)))
 
 
-def _with_sets(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+def _with_sets(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, clashing, size: int) -> DataFrame:
     wanted = (pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
               .join(nodes.select("set_id", F.col("first_doc").alias("doc_id")), "set_id"))
-    sets = shingle_sets(docs, wanted, size)
+    sets = shingle_sets(docs, wanted, clashing, size)
     return (pairs.select("a", "b")
             .join(sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("x")), "a")
             .join(sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("y")), "b"))
@@ -406,13 +442,10 @@ def components(docs: DataFrame, size: int = SHINGLE, similar=SIMILAR) -> DataFra
     spark = docs.sparkSession
     docs = keyed(docs)
     frequent = spark.sparkContext.broadcast(frequent_shingles(docs, size))
-    info = materialise(describe(docs, frequent, size, similar))
-    sets = materialise(info.filter("n_shingles > 0").groupBy("set_id").agg(
-        F.min("doc_id").alias("first_doc"), F.max("n_shingles").alias("n"), F.max("m").alias("m"),
-        F.max("level").alias("level"), *[F.max(c).alias(c) for c in PARITY]))
+    info, sets, clashing = distinct_sets(materialise(describe(docs, frequent, size, similar)))
     total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     parts = max(shuffle_parts(spark), -(-total // SHINGLES_PER_TASK))
-    lists = materialise(shared_lists(docs, frequent, parts, size, similar)
+    lists = materialise(shared_lists(docs, frequent, parts, clashing, size, similar)
                         .withColumn("hot", F.col("size") > HOT))
     release(spark)                              # here and below: shuffles that are over
     hot_shared = lists.filter("hot").groupBy("set_id").agg(F.sum("n_shared").alias("left_out"))
@@ -455,7 +488,7 @@ def components(docs: DataFrame, size: int = SHINGLE, similar=SIMILAR) -> DataFra
              .agg(F.sum("n_shared").alias("shared"), F.max("m").alias("m"), F.max("dense").alias("dense"))
              .filter(F.col("dense") | (2 * F.col("shared") >= F.col("m")))
              .groupBy("b").agg(F.max(F.struct("shared", "a")).alias("best")).select(F.col("best.a").alias("a"), "b"))
-    compared = compare_with_hubs(stars, nodes, docs, size, similar)
+    compared = compare_with_hubs(stars, nodes, docs, clashing, size, similar)
     release(spark)
     links = compared.filter("linked").select("a", "b")
     parted = connected_components(links)
@@ -495,7 +528,7 @@ def components(docs: DataFrame, size: int = SHINGLE, similar=SIMILAR) -> DataFra
                 .filter(F.least("n_a", "n_b") * similar[1] >= F.greatest("n_a", "n_b") * similar[0])
                 .filter(meets).select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")))
     crossing = crossing.union(crossing_pairs(open_lists.filter("NOT long"), set_facts, tasks, similar)).distinct()
-    rest = materialise(verify(_with_sets(materialise(crossing), nodes, docs, size), similar))
+    rest = materialise(verify(_with_sets(materialise(crossing), nodes, docs, clashing, size), similar))
     release(spark)
     final = connected_components(links.union(rest))
 
