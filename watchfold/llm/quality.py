@@ -28,6 +28,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from watchfold.llm.common import WordHasher, doc_groups, mix64, read_table, row_bounds, run_starts, text_buffer
@@ -44,6 +45,7 @@ GRAM_BITS = 12
 GRAMS = 1 << GRAM_BITS
 TEXT_WIDTH = SHAPE + GRAMS
 META_WIDTH = SOURCES + LANGUAGES + LENGTHS
+ROWS_AT_ONCE = 512               # of a sample, in one numpy operation
 SOLVER_STEPS = 40                # of conjugate gradients for one Newton step
 META = ["text", "source", "lang", "n_chars"]
 RESULT = "doc_id long, p_text double, p_metadata double, score double, keep boolean"
@@ -61,36 +63,61 @@ def byte_kinds() -> np.ndarray:
 
 
 class Rows:
-    """Sparse rows: row k has ``values`` in ``slots`` from ``bounds[k]`` to ``bounds[k + 1]``."""
+    """Sparse rows: row k has ``values`` in ``slots`` from ``bounds[k]`` to ``bounds[k + 1]``. Slots
+    and values keep the narrow types they come in, and a few hundred rows are worked on at a time."""
 
     def __init__(self, slots, values, bounds, width: int):
-        self.slots, self.values = np.asarray(slots, np.int32), np.asarray(values, np.float64)
+        self.slots, self.values = np.asarray(slots), np.asarray(values)
         self.bounds, self.width = np.asarray(bounds, np.int64), width
-        self.owner = np.repeat(np.arange(len(self), dtype=np.int32), np.diff(self.bounds))
 
     def __len__(self) -> int:
         return len(self.bounds) - 1
 
+    def groups(self):
+        """(first row, row after the last, their slots, values and numbers of values)."""
+        for a in range(0, len(self), ROWS_AT_ONCE):
+            own = self.bounds[a:a + ROWS_AT_ONCE + 1]
+            yield a, a + len(own) - 1, self.slots[own[0]:own[-1]], self.values[own[0]:own[-1]], np.diff(own)
+
     def dot(self, w: np.ndarray) -> np.ndarray:
         """One number a row."""
-        return np.bincount(self.owner, weights=self.values * w[self.slots], minlength=len(self))
+        out = np.zeros(len(self))
+        for a, b, slots, values, n in self.groups():
+            if len(values):                          # reduceat has no empty stretches
+                out[a:b][n > 0] = np.add.reduceat(values * w[slots], (np.cumsum(n) - n)[n > 0])
+        return out
 
     def sums(self, r: np.ndarray, power: int = 1) -> np.ndarray:
         """One number a slot, rows weighted by ``r``."""
-        return np.bincount(self.slots, weights=self.values ** power * r[self.owner], minlength=self.width)
+        out = np.zeros(self.width)
+        for a, b, slots, values, n in self.groups():
+            weights = values.astype(np.float64) ** power * np.repeat(r[a:b], n)
+            out += np.bincount(slots, weights=weights, minlength=self.width)
+        return out
 
     def take(self, at: np.ndarray) -> Rows:
-        at = np.flatnonzero(at) if at.dtype == bool else at
-        n = self.bounds[at + 1] - self.bounds[at]
-        bounds = np.concatenate([[0], np.cumsum(n)])
-        places = np.repeat(self.bounds[at] - bounds[:-1], n) + np.arange(bounds[-1])
-        return Rows(self.slots[places], self.values[places], bounds, self.width)
+        return Rows.picked([(self, np.flatnonzero(at) if at.dtype == bool else at)])
 
     @staticmethod
     def joined(parts: list[Rows]) -> Rows:
-        lengths = np.concatenate([np.diff(p.bounds) for p in parts])
-        return Rows(np.concatenate([p.slots for p in parts]), np.concatenate([p.values for p in parts]),
-                    np.concatenate([[0], np.cumsum(lengths)]), parts[0].width)
+        return Rows.picked([(p, np.arange(len(p))) for p in parts])
+
+    @staticmethod
+    def picked(parts: list[tuple[Rows, np.ndarray]]) -> Rows:
+        """The named rows of some tables, copied once."""
+        lengths = np.concatenate([np.diff(p.bounds)[at] for p, at in parts])
+        bounds = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+        slots, values = (np.empty(bounds[-1], np.result_type(*(getattr(p, c) for p, _ in parts)))
+                         for c in ("slots", "values"))
+        row = 0
+        for p, at in parts:
+            for lo in range(0, len(at), ROWS_AT_ONCE):
+                some = at[lo:lo + ROWS_AT_ONCE]
+                own = bounds[row:row + len(some) + 1]
+                places = np.repeat(p.bounds[some] - own[:-1], np.diff(own)) + np.arange(own[0], own[-1])
+                slots[own[0]:own[-1]], values[own[0]:own[-1]] = p.slots[places], p.values[places]
+                row += len(some)
+        return Rows(slots, values, bounds, parts[0][0].width)
 
 
 def as_rows(x) -> Rows:
@@ -180,7 +207,7 @@ def views(docs: DataFrame) -> DataFrame:
 def _text_view(view: TextView, batch) -> Rows:
     data, offsets = text_buffer(batch.column(1))
     parts = [view(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]) for a, b in doc_groups(offsets)]
-    return Rows.joined(parts) if parts else Rows([], [], [0], TEXT_WIDTH)
+    return Rows.joined(parts) if parts else Rows(np.zeros(0, np.int64), np.zeros(0), [0], TEXT_WIDTH)
 
 
 def _metadata(batch) -> list[list[int]]:
@@ -264,7 +291,7 @@ def calibrated(x, y, x_apart, y_apart, start=None):
 def co_train(text, slots, y, apart, pool_text, pool_slots, rounds: int = ROUNDS):
     """Both views' models after the exchange of pseudo-labels."""
     own = [(as_rows(text), as_rows(pool_text)), (as_rows(slots), as_rows(pool_slots))]
-    known = [x.take(~apart) for x, _ in own]
+    known = np.flatnonzero(~apart)
     kept_apart = [x.take(apart) for x, _ in own]
     in_pool = len(own[0][1])
     taken = [np.zeros(in_pool, bool), np.zeros(in_pool, bool)]
@@ -272,9 +299,9 @@ def co_train(text, slots, y, apart, pool_text, pool_slots, rounds: int = ROUNDS)
     limit = max(1, int(PER_ROUND * in_pool))
 
     def train(v, start=None):
-        rows = [known[v], *(own[v][1].take(at) for at, _ in added[v])]
+        rows = [(own[v][0], known), *((own[v][1], at) for at, _ in added[v])]
         labels = [y[~apart], *(label for _, label in added[v])]
-        return calibrated(Rows.joined(rows), np.concatenate(labels), kept_apart[v], y[apart], start)
+        return calibrated(Rows.picked(rows), np.concatenate(labels), kept_apart[v], y[apart], start)
 
     models = [train(0), train(1)]
     for _ in range(rounds if in_pool else 0):
@@ -289,14 +316,24 @@ def co_train(text, slots, y, apart, pool_text, pool_slots, rounds: int = ROUNDS)
     return models
 
 
-def _collected(rows) -> tuple[Rows, Rows]:
-    """Both views of collected rows of ``views``."""
-    slots = [np.frombuffer(r["slots"], np.uint16) for r in rows]
-    values = [np.frombuffer(r["values"], np.float32) for r in rows]
-    bounds = np.concatenate([[0], np.cumsum([len(s) for s in slots], dtype=np.int64)])
-    text = Rows(np.concatenate(slots) if slots else [], np.concatenate(values) if values else [], bounds, TEXT_WIDTH)
-    meta = [s for r in rows for s in r["metadata"]]
-    return text, Rows(meta, np.ones(len(meta)), 3 * np.arange(len(rows) + 1), META_WIDTH)
+def _collected(rows: DataFrame) -> tuple[pa.Table, Rows, Rows]:
+    """The rows of a sample by doc_id (without their views) and both their views. They arrive as
+    Arrow buffers, some 6 bytes a value, and are copied once to be put in order."""
+    table = rows.toArrow()
+    table = table.take(pa.compute.sort_indices(table, [("doc_id", "ascending")])).combine_chunks()
+    views = []
+    for name, kind in (("slots", np.uint16), ("values", np.float32)):
+        column = table.column(name).combine_chunks()
+        if not len(column):
+            views.append(np.zeros(0, kind))
+            continue
+        ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+        views.append(np.frombuffer(column.buffers()[2], np.uint8)[ends[0]:ends[-1]].view(kind))
+        bounds = (ends.astype(np.int64) - ends[0]) // np.dtype(kind).itemsize
+    bounds = bounds if len(table) else np.zeros(1, np.int64)
+    meta = table.column("metadata").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.uint16)
+    return (table.drop_columns(["slots", "values", "metadata"]), Rows(*views, bounds, TEXT_WIDTH),
+            Rows(meta, np.ones(len(meta), np.float32), 3 * np.arange(len(table) + 1), META_WIDTH))
 
 
 def _sampled(docs: DataFrame, rows: int, bound: int) -> DataFrame:
@@ -317,18 +354,17 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int
     n_labels, total = labels.count(), docs.select("doc_id").count()
     chosen = _sampled(labels, n_labels, labelled)
     known = _sampled(docs, n_labels, labelled).join(chosen.select("doc_id"), "doc_id", "left_semi")
-    rows = sorted(views(_one_each(known)).join(chosen, "doc_id").collect(), key=lambda r: r.doc_id)
-    if not rows:
+    rows, text, meta = _collected(views(_one_each(known)).join(chosen, "doc_id"))
+    if not len(rows):
         return None
-    loose = _sampled(docs, total, pool).join(labels.select("doc_id"), "doc_id", "left_anti")
-    free = sorted(views(_one_each(loose)).collect(), key=lambda r: r.doc_id)
-    y = np.array([float(r.y >= 0.5) for r in rows])
-    apart = np.array([zlib.crc32(str(r.doc_id).encode()) % 5 == 0 for r in rows])
+    y = (rows.column("y").to_numpy() >= 0.5).astype(float)
+    apart = np.array([zlib.crc32(str(k).encode()) % 5 == 0 for k in rows.column("doc_id").to_pylist()])
     if not apart.any() or apart.all():
         apart = np.arange(len(rows)) % 5 == 4
     if not (~apart).any():
         return None
-    (text, meta), (pool_text, pool_meta) = _collected(rows), _collected(free)
+    loose = _sampled(docs, total, pool).join(labels.select("doc_id"), "doc_id", "left_anti")
+    _, pool_text, pool_meta = _collected(views(_one_each(loose)))
     models = co_train(text, meta, y, apart, pool_text, pool_meta)
     share = (y.sum() + 1) / (len(y) + 2)
     return models, float(np.log(share / (1 - share)))
