@@ -12,6 +12,12 @@ returns doc_id, n_tokens and the digests of the ids and of the decoded text.
   documents of which nothing is left.
 * decontamination drops documents that hold a benchmark item.
 * bpe encodes and decodes what is left.
+
+Defined cases: null, empty and letterless texts go in the first stage; texts of any length are
+read whole; null metadata and a null doc_id are kept; of repeated rows, and of near duplicates
+whatever their order, one row of the smallest doc_id stays; ties of languages go to the first by
+name; tables without rows give no rows; other columns of ``documents`` are carried to the last
+stage under their names and are not read.
 """
 
 from __future__ import annotations
