@@ -1,3 +1,4 @@
+import os
 import uuid
 
 import pytest
@@ -5,6 +6,7 @@ import pytest
 from tests.conftest import rows
 from watchfold.operators import analytics as an
 from watchfold.operators.interaction import FACT_COLUMNS
+from watchfold.plans import registry
 from watchfold.plans import warehouse as wh
 from tests.test_analytics import FACT, frow
 
@@ -206,3 +208,18 @@ def test_path_sink_with_named_months(spark, tmp_path):
         wh.save_fact_to_path(both, path, months=["202205"])
     back = wh.read_fact_from_path(spark, path, FACT_COLUMNS, schema=both.schema)
     assert rows(back, "month_yyyymm", "Movies") == [("202205", 2)]
+
+
+def test_scratch_warehouse_beside_folders_of_an_earlier_session(spark):
+    """The folders of a session outlive its catalog: two scratch warehouses have nothing in common."""
+    from urllib.parse import urlparse
+    base = urlparse(spark.conf.get("spark.sql.warehouse.dir")).path
+    spark.sql("DROP SCHEMA IF EXISTS watchfold_scratch CASCADE")
+    left = os.path.join(base, "watchfold_scratch.db", wh.LOAD_LOG)
+    os.makedirs(left, exist_ok=True)
+    open(os.path.join(left, "part-0.parquet"), "w").close()
+    one, two = (registry._scratch_warehouse(spark) for _ in range(2))
+    for w, n in ((one, 1), (two, 2)):
+        w.save_interaction_fact(fact(spark, [frow(f"C{i}", movies=1, month="202204") for i in range(n)]))
+        assert rows(w.table(wh.LOAD_LOG), "rows") == [(n,)]
+    assert one.schema != two.schema and one.table(wh.INTERACTION_TABLE).count() == 1

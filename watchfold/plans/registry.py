@@ -131,8 +131,7 @@ def watch_log_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.concat(F.date_format("log_date", "yyyyMMdd"), F.lit(".json")).alias("day")
     logs.select(broken.alias("value"), day).write.partitionBy("day").text(path)
     first, last = logs.agg(F.min("log_date"), F.max("log_date")).first()
-    warehouse = Warehouse(spark, "wf_" + uuid.uuid4().hex)
-    spark.sql(f"CREATE SCHEMA {warehouse.schema}")
+    warehouse = _scratch_warehouse(spark)
     payloads = files.read_watch_payloads(spark, path, first, last, missing="skip", name="day={day}.json")
     warehouse.save_raw_days(payloads, [files.as_date(d) for d in files.day_paths(first, last)])
     extra = {"index_name": ("_index", "string"), "device_id": ("_source.device.id", "string"),
@@ -204,12 +203,11 @@ def bridge_synth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bridge.bridge_synth(users, contracts)
 
 
-SCRATCH_SCHEMA = "watchfold_scratch"
-
-
 def _scratch_warehouse(spark: SparkSession) -> Warehouse:
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {SCRATCH_SCHEMA}")
-    return Warehouse(spark, SCRATCH_SCHEMA)
+    """A warehouse in a schema of its own: a session's catalog may be gone while its folders are not."""
+    warehouse = Warehouse(spark, "wf_" + uuid.uuid4().hex)
+    spark.sql(f"CREATE SCHEMA {warehouse.schema}")
+    return warehouse
 
 
 def fact_month_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,8 +238,7 @@ def publication_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_after_late_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days stored as state; then one day again, corrected (its short rows gone), and its month rebuilt
     from the stored days."""
-    warehouse = Warehouse(spark, "wf_" + uuid.uuid4().hex)
-    spark.sql(f"CREATE SCHEMA {warehouse.schema}")
+    warehouse = _scratch_warehouse(spark)
     logs = _logs(spark, sf_dir)
     days = [r.log_date for r in logs.select("log_date").distinct().collect()]      # two or three months of days
     warehouse.save_days(daily.daily_state(logs), days)
@@ -296,8 +293,7 @@ def programs_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The facts, dimensions and bridge as stored tables of one schema, with the rows and columns of each."""
-    warehouse = Warehouse(spark, "wf_" + uuid.uuid4().hex)
-    spark.sql(f"CREATE SCHEMA {warehouse.schema}")
+    warehouse = _scratch_warehouse(spark)
     warehouse.save_interaction_fact(fact_interaction(spark, sf_dir))
     warehouse.save_behavior_fact(fact_behavior(spark, sf_dir))
     warehouse.build_dimensions()
