@@ -28,3 +28,22 @@ def test_equals_union_find(spark, seed, nodes, links):
 
 def test_no_edges(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_a_checkpoint_leaves_no_shuffle_files(spark):
+    import time
+
+    from watchfold.llm import common
+
+    def shuffles():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(k).getName() for k in range(files.size()) if files.apply(k).getName().endswith(".data")}
+    before, setting = shuffles(), spark.conf.get(common.SHUFFLE_CLEANUP, None)
+    rows = spark.range(5_000).repartition(7, "id").groupBy("id").count()
+    kept = common.materialise(rows)
+    for _ in range(50):
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before and kept.count() == 5_000 and rows.count() == 5_000
+    assert spark.conf.get(common.SHUFFLE_CLEANUP, None) == setting

@@ -7,9 +7,11 @@ of its partition. Only one document at a time has to fit.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import time
 from collections.abc import Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,7 @@ from watchfold.session import ensure_checkpoint_dir
 
 GROUP_BYTES = 500_000            # text handled by one numpy pass (some 30 times that in arrays)
 RELEASE_PAUSE = 0.25             # seconds
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 MASK64 = (1 << 64) - 1
 ROLL_BASE = 0x9E3779B97F4A7C15   # odd, so it has an inverse modulo 2**64
 
@@ -28,9 +31,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write ``df`` to the shared checkpoint folder and read it from there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage: write ``df`` to the shared checkpoint folder and read it from there. The
+    shuffle files of that job are removed at its end, not when the driver collects its garbage."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:                                       # a query of its own, made under this setting
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
 def release(spark: SparkSession) -> None:
@@ -43,6 +56,15 @@ def release(spark: SparkSession) -> None:
         spark.sparkContext._jvm.System.gc()
 
 
+def give_back() -> None:
+    """Return a Python worker's free memory to the system, at the start or end of a task: workers are kept
+    between stages, and Arrow's pool and the C heap keep what a task has used."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):    # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
