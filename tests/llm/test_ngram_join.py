@@ -108,3 +108,28 @@ def test_a_very_long_text(spark):
     long = " ".join(f"t{i}" for i in range(300_000))
     docs = [(1, long), (2, long + " end"), (3, "t1 t2 t3 t4 t5")]
     assert found(spark, docs) == {1: (299_996, 1), 2: (299_997, 1), 3: (1, 3)}
+
+
+def test_long_lists_are_dealt_without_pairs_of_passive_sets(spark, monkeypatch):
+    """Each pair that may meet lies in one group at least; rows grow with the list, not with its square."""
+    monkeypatch.setattr(nj, "TASK_LIST", 8)
+    monkeypatch.setattr(nj, "GUESTS", 16)
+    rows = [(1, k, 0, 10, False, False, 3, k) for k in range(3)]                       # kept for their own level
+    rows += [(1, 10 + k, 2, 10, False, False, 1, 10 + k) for k in range(100)]          # kept for lower levels only
+    rows += [(2, k, 2, 10, k == 0, k > 0, 3, k) for k in range(60)]                    # guests and a short set
+    rows += [(3, k, 2, 10, False, False, 1, k) for k in range(50)]                     # nothing can meet
+    rows += [(4, k, 0, 10, False, False, 3, k) for k in range(9)]                      # too many: joined
+    rows += [(5, k, 0, 10, False, False, 3, 7) for k in range(5)]                      # one component
+    labelled = spark.createDataFrame(rows, "list_id long, set_id long, level long, n long, short boolean, "
+                                           "guest boolean, top long, component long")
+    dealt, _ = nj.deal_lists(labelled, 1)
+    got = dealt.collect()
+    assert {r.list_id for r in got if r.long} == {4} and {r.list_id for r in got} == {1, 2, 4}
+    groups = {}
+    for r in got:
+        groups.setdefault((r.list_id, r.home, r.part), []).append(r)
+    met = {(lid, min(a.set_id, b.set_id), max(a.set_id, b.set_id)) for (lid, *_), members in groups.items()
+           for a in members for b in members if not a.passive and a.set_id != b.set_id}
+    want = {(1, a, b) for a in range(3) for b in [*range(a + 1, 3), *range(10, 110)]} | {(2, 0, k) for k in range(1, 60)}
+    assert want <= met
+    assert sum(r.list_id == 1 for r in got) <= 100 + 3 * 8 and max(len(m) for m in groups.values()) < 60

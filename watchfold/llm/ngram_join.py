@@ -39,6 +39,7 @@ from watchfold.llm.common import (
     WordHasher,
     bucket_slices,
     doc_groups,
+    give_back,
     materialise,
     mix64,
     read_table,
@@ -62,7 +63,8 @@ LEVELS = (0.05, 0.15, 0.4)       # m as a share of n; the last resort is the who
 SMALL = 400                      # sets under this size start at the second level
 WHOLE = 64                       # sets up to this size are sent whole
 SHINGLES_PER_TASK = 600_000
-TASK_LIST = 1_024                # sets of a list whose pairs one task looks at; longer lists are joined
+TASK_LIST = 4_096                # active sets of a list whose pairs one task looks at; lists of more are joined
+GUESTS = 1_024                   # passive sets that lie with a list's active ones, about
 LIST_WORK = 4_000_000            # pairs to look at in lists that lie together, beyond which they are dealt out
 PAIRS_AT_ONCE = 1_000_000        # in one numpy operation
 CELL_BITS = 10                   # of the cells in which the parity of a set's shingles is kept
@@ -159,6 +161,7 @@ def each_group(batches, size: int):
             own = offsets[lo:hi + 1] - offsets[lo]
             row, h = shingle_hashes(hasher, data[offsets[lo]:offsets[hi]], own, size)
             yield batch, lo, hi, row, h, row_bounds(row, hi - lo)
+    give_back()
 
 
 def frequent_shingles(docs: DataFrame, size: int = SHINGLE) -> np.ndarray:
@@ -355,15 +358,44 @@ def _with_sets(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, clashing, si
             .join(sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("y")), "b"))
 
 
+def deal_lists(labelled: DataFrame, least_tasks: int) -> tuple[DataFrame, int]:
+    """The lists with sets of different components, dealt to groups (``home``, ``part``) that a task looks at,
+    and the number of tasks. Two sets that are kept here for lower levels than their own (or guests) never
+    meet, as ``meets`` says: a list's ``passive`` sets meet its active ones only. Where passive sets are many,
+    they are dealt to parts by their hash, the same in all lists of a home, and the active sets go to each. A list
+    is ``long``, and joined instead, if it has more than ``TASK_LIST`` active sets."""
+    passive, active, idle = ~F.col("short") & (F.col("guest") | (F.col("level") > F.col("top"))), F.col("active"), F.col("idle")
+    labelled = labelled.withColumn("passive", passive)
+    mixed = labelled.groupBy("list_id").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("set_id").alias("home"),
+        F.count_if(~F.col("passive")).alias("active"), F.count_if("passive").alias("idle")).filter("lo <> hi AND active > 0")
+    halvings = F.greatest(F.ceil(F.log2(F.greatest(idle, F.lit(1)) / GUESTS)), F.lit(0))
+    mixed = materialise(mixed.withColumns({
+        "long": active > TASK_LIST, "chunks": F.pow(F.lit(2), halvings).cast("int"),
+        "looks": (active + 50) * (active + F.least(idle, F.lit(GUESTS))),
+        "every": (active + 50) * (active + idle)}).drop("lo", "hi"))
+    work = mixed.groupBy("home").agg(F.sum("looks").alias("work"), F.sum("every").alias("every"))
+    to_do = work.agg(F.coalesce(F.sum("every"), F.lit(0))).first()[0]
+    mixed = mixed.join(work.drop("every"), "home").select(
+        "list_id", "home", "long", "chunks",
+        F.pmod(F.xxhash64("list_id"), F.ceil(F.col("work") / LIST_WORK)).alias("part"))
+    chunks = (F.when(F.col("long"), F.array(F.lit(0)))
+              .when(F.col("passive"), F.array(F.pmod(F.xxhash64("set_id"), F.col("chunks")).cast("int")))
+              .otherwise(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    dealt = labelled.join(mixed, "list_id").withColumn("chunk", F.explode(chunks)).withColumn(
+        "part", F.when(F.col("chunk") == 0, F.col("part")).otherwise(F.xxhash64("part", "chunk")))
+    return materialise(dealt.drop("chunk", "chunks")), max(least_tasks, -(-to_do // LIST_WORK))
+
+
 def crossing_pairs(lists: DataFrame, facts: DataFrame, parts: int, similar) -> DataFrame:
-    """(a, b): sets of one list (of at most ``TASK_LIST`` sets) in different components that can be similar
-    by what is known of them. Lists of one ``home`` and ``part`` lie together, with what is known of each
+    """(a, b): sets of one list (of at most ``TASK_LIST`` active sets and about ``GUESTS`` passive ones) in different
+    components that can be similar by what is known of them. Lists of one ``home`` and ``part`` lie together, with what is known of each
     of their sets once, so a pair that shares many lists is passed on about once. The number of
     tasks is given, for their bytes say little about the pairs in them."""
-    own = lists.select("home", "part", "list_id", "set_id", "top", "guest")
+    own = lists.select("home", "part", "list_id", "set_id", "top", "guest", "passive")
     known = own.select("home", "part", "set_id").distinct().join(facts, "set_id")
     rows = own.unionByName(known, allowMissingColumns=True)
-    columns = ["home", "part", "list_id", "set_id", "top", "guest", *FACTS]
+    columns = ["home", "part", "list_id", "set_id", "top", "guest", "passive", *FACTS]
 
     def run(batches):
         held: dict[str, np.ndarray] = {}
@@ -382,7 +414,7 @@ def crossing_pairs(lists: DataFrame, facts: DataFrame, parts: int, similar) -> D
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
             held = {c: v[done:] for c, v in held.items()}
 
-    return (rows.repartition(parts, "home", "part").sortWithinPartitions("home", "part", F.asc_nulls_first("list_id"))
+    return (rows.repartition(parts, "home", "part").sortWithinPartitions("home", "part", F.asc_nulls_first("list_id"), "passive")
             .select(*[F.col(c).cast("long").alias(c) for c in columns]).mapInArrow(run, "a long, b long"))
 
 
@@ -398,8 +430,9 @@ def _pairs_of(held: dict[str, np.ndarray], group: np.ndarray, similar) -> np.nda
     starts = np.flatnonzero(run_starts(group[member], lists))
     ends = np.append(starts[1:], len(lists))
     partners = np.repeat(ends, ends - starts) - 1 - np.arange(len(lists))
+    partners[held["passive"][member].astype(bool)] = 0       # they come last in a list and do not meet each other
     found, waiting, width = [np.zeros(0, np.int64)], 0, len(order)
-    step = max(1, PAIRS_AT_ONCE // TASK_LIST)
+    step = max(1, PAIRS_AT_ONCE // (TASK_LIST + 2 * GUESTS))
     for lo in range(0, len(lists), step):
         count = partners[lo:lo + step]
         a = np.repeat(np.arange(lo, lo + len(count)), count)
@@ -499,21 +532,13 @@ def components(docs: DataFrame, size: int = SHINGLE, similar=SIMILAR) -> DataFra
     of_sets = parted.withColumnRenamed("node", "set_id")
     labelled = (usable.join(of_sets, "set_id", "left")
                 .select("list_id", "set_id", "level", "n", "short", "guest", "top", label))
-    mixed = materialise(labelled.groupBy("list_id").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi"),
-        F.min("set_id").alias("home"), F.count("*").alias("sets")).filter("lo <> hi").drop("lo", "hi"))
-    work = mixed.groupBy("home").agg(F.sum(F.col("sets") * (F.col("sets") + 50)).alias("work"))
-    mixed = mixed.join(work, "home").select(
-        "list_id", "home", (F.col("sets") > TASK_LIST).alias("long"),
-        F.pmod(F.xxhash64("list_id"), F.ceil(F.col("work") / LIST_WORK)).alias("part"))
-    to_do = work.agg(F.coalesce(F.sum("work"), F.lit(0))).first()[0]
-    tasks = max(shuffle_parts(spark), -(-to_do // LIST_WORK))
-    open_lists = materialise(labelled.join(mixed, "list_id"))
+    open_lists, tasks = deal_lists(labelled, shuffle_parts(spark))
     set_facts = (nodes.select("set_id", "n", "level", "short", *PARITY).join(of_sets, "set_id", "left")
                  .withColumn("component", F.coalesce("component", "set_id")).join(by_hub, "set_id", "left"))
-    long_lists = open_lists.filter("long").join(by_hub, "set_id", "left")
-    joined = ["set_id", "n", "level", "short", "guest", "top", "component", "hub", "hub_n", "extra", *SIGNATURE]
-    left = long_lists.select("list_id", *[F.col(c).alias(f"{c}_a") for c in joined])
+    long_lists = (open_lists.filter("long").join(by_hub, "set_id", "left")
+                  .join(nodes.select("set_id", *PARITY), "set_id"))
+    joined = ["set_id", "n", "level", "short", "guest", "passive", "top", "component", "hub", "hub_n", "extra", *SIGNATURE, *PARITY]
+    left = long_lists.filter("NOT passive").select("list_id", *[F.col(c).alias(f"{c}_a") for c in joined])
     right = long_lists.select("list_id", *[F.col(c).alias(f"{c}_b") for c in joined])
     meets = F.col("short_a") | F.col("short_b") | (
         (F.least("level_a", "level_b") <= F.least("top_a", "top_b")) & ~F.col("guest_a") & ~F.col("guest_b"))
@@ -523,10 +548,12 @@ def components(docs: DataFrame, size: int = SHINGLE, similar=SIMILAR) -> DataFra
                      for k in (0, 1)), F.lit(0))
     most = F.col("hub_n_a") - lost + F.least(F.col("extra_a") - own_extra, F.col("extra_b"))
     possible = (sum(similar) * most >= similar[0] * (F.col("n_a") + F.col("n_b")))
-    meets = meets & F.coalesce((F.col("hub_a") != F.col("hub_b")) | possible, F.lit(True))
-    crossing = (left.join(right, "list_id").filter("set_id_a < set_id_b AND component_a <> component_b")
+    differ = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in PARITY), F.lit(0))
+    meets = (meets & F.coalesce((F.col("hub_a") != F.col("hub_b")) | possible, F.lit(True))
+             & (sum(similar) * differ <= (similar[1] - similar[0]) * (F.col("n_a") + F.col("n_b"))))
+    crossing = (left.join(right, "list_id").filter("(passive_b OR set_id_a < set_id_b) AND component_a <> component_b")
                 .filter(F.least("n_a", "n_b") * similar[1] >= F.greatest("n_a", "n_b") * similar[0])
-                .filter(meets).select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")))
+                .filter(meets).select(F.least("set_id_a", "set_id_b").alias("a"), F.greatest("set_id_a", "set_id_b").alias("b")))
     crossing = crossing.union(crossing_pairs(open_lists.filter("NOT long"), set_facts, tasks, similar)).distinct()
     rest = materialise(verify(_with_sets(materialise(crossing), nodes, docs, clashing, size), similar))
     release(spark)
