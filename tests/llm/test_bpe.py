@@ -78,3 +78,11 @@ def test_query_and_defined_cases(spark):
     assert sorted((r.doc_id or 0, r.n_tokens, r.decoded) for r in got) == [
         (0, 1, "x"), (1, 0, ""), (1, 0, ""), (2, 1, "x"), (2, 1, "x")]
     assert bpe.round_trip(rows.limit(0), FILE).collect() == []
+
+
+def test_short_pre_tokens_build_one_trie_only():
+    codec = bpe.Codec(bpe.load_vocabulary(bpe.vocabulary_file()))
+    codec.encode("a few short words, 12 of them")
+    assert "backward" not in vars(codec.machine)
+    long = "ab" * codec.machine.lookahead
+    assert codec.decode(codec.encode(long)) == long and "backward" in vars(codec.machine)

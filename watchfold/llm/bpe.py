@@ -34,12 +34,13 @@ import hashlib
 import json
 import struct
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from watchfold.llm.common import read_table
+from watchfold.llm.common import give_back, read_table
 
 # Fixed value: the byte-level pre-tokenizer's pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -77,19 +78,23 @@ class Transducer:
         self.text = {i: t for t, i in ids.items()}
         self.rank = {pair: r for r, pair in enumerate(merges)}
         self.lookahead = max(map(len, ids))
-        self.backward: dict = {}               # trie over reversed tokens; key None: the id
-        for token, i in ids.items():
-            node = self.backward
-            for byte in reversed(token):
-                node = node.setdefault(byte, {})
-            node[None] = i
-        self.forward: dict = {}                # the same over tokens as they are
-        for token, i in ids.items():
-            node = self.forward
-            for byte in token:
+        self.forward = self._trie(False)
+        self.right: dict[tuple[int, int], bool] = {}
+
+    def _trie(self, reverse: bool) -> dict:
+        """Trie over the tokens, from their ends if ``reverse``; key None: the id."""
+        trie: dict = {}
+        for token, i in self.ids.items():
+            node = trie
+            for byte in reversed(token) if reverse else token:
                 node = node.setdefault(byte, {})
             node[None] = i
-        self.right: dict[tuple[int, int], bool] = {}
+        return trie
+
+    @cached_property
+    def backward(self) -> dict:
+        """Only pre-tokens longer than the lookahead need it."""
+        return self._trie(True)
 
     def merged(self, data: bytes) -> list[bytes]:
         """The merge list's own rule, used on two neighbours at most."""
@@ -114,7 +119,7 @@ class Transducer:
         """Whether ``token`` may follow ``before`` (-1: the start) in an encoding."""
         left, own = self.text.get(before, b""), self.text[token]
         known = self.merged(left + own) == ([left, own] if left else [own])
-        if len(self.right) > 4 * CACHE_ENTRIES:
+        if len(self.right) > CACHE_ENTRIES:
             self.right.clear()
         self.right[before, token] = known
         return known
@@ -262,6 +267,7 @@ def round_trip(docs: DataFrame, vocabulary_path: str, digests: bool = False) ->
     schema = RESULT.replace("ids binary", "ids string") if digests else RESULT
 
     def run(batches):
+        give_back()
         codec = None
         for batch in batches:
             codec = codec or Codec(shared.value)
@@ -278,6 +284,9 @@ def round_trip(docs: DataFrame, vocabulary_path: str, digests: bool = False) ->
                     [keys[lo:lo + 256].cast(pa.int64()), pa.array(sizes, pa.int64()),
                      pa.array(ids, kinds[0]), pa.array(decoded, kinds[1])],
                     names=["doc_id", "n_tokens", "ids", "decoded"])
+            give_back()
+        codec = None
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
