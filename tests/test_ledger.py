@@ -88,6 +88,22 @@ def test_overlapping_runs_take_the_last_answer(spark):
     assert rows(ledger.genres(programs(spark, ["a", "b"]), calls)) == [("a", "Drama"), ("b", "News")]
 
 
+def test_a_reply_is_parsed_once_however_many_keywords_it_answers(spark, tmp_path, monkeypatch):
+    path, seen, parse = str(tmp_path / "ledger"), str(tmp_path / "parsed"), labelling.reply_object
+    os.mkdir(seen)
+    p = programs(spark, [f"w{i}" for i in range(60)])
+    ledger.ask(p, path, batch_size=20, parallelism=1, waves=1)
+    calls = ledger.read_ledger(spark, path)
+    assert calls.count() == 3
+
+    def noted(reply):
+        with open(os.path.join(seen, os.urandom(8).hex()), "w"):
+            return parse(reply)
+    monkeypatch.setattr(labelling, "reply_object", noted)
+    assert rows(ledger.genres(p, calls)) == sorted((f"w{i}", "Other") for i in range(60))
+    assert len(os.listdir(seen)) == 3
+
+
 def test_job_with_a_ledger(spark, tmp_path):
     logs, path, seen = str(tmp_path / "log"), str(tmp_path / "ledger"), tmp_path / "calls"
     seen.mkdir()

@@ -21,8 +21,10 @@ from collections.abc import Callable, Iterable, Iterator
 from itertools import batched
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from watchfold.functions.constants import (
     DEFAULT_GENRE,
@@ -94,20 +96,23 @@ def label_requests(programs: DataFrame, labeller: Labeller | None = None,
     return programs.select(column).mapInPandas(ask, REPLY_SCHEMA)
 
 
-def parse_label_replies(replies: DataFrame) -> DataFrame:
-    """``most_searched, Genre`` for every keyword of every reply row: each reply becomes one
-    map (or NULL), the lookup is Spark's."""
+def parse_label_replies(replies: DataFrame, *keep: str) -> DataFrame:
+    """``most_searched, Genre`` for every keyword of every reply row, and the columns to ``keep`` of
+    that row: each reply becomes one map (or NULL), the lookup is Spark's."""
+    rows = replies.select("keywords", "reply", *keep)
 
-    def objects(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield pd.DataFrame({"keywords": frame["keywords"], "genres": frame["reply"].map(reply_object)})
+    def objects(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [reply_object(reply) for reply in batch.column("reply").to_pylist()]
+            genres = pa.array([None if f is None else list(f.items()) for f in found], pa.map_(pa.string(), pa.string()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("keywords", *keep)), genres],
+                                             ["keywords", *keep, "genres"])
 
-    rows = replies.select("keywords", "reply").mapInPandas(
-        objects, "keywords array<string>, genres map<string,string>")
-    one = rows.select(F.explode("keywords").alias("most_searched"), "genres")
+    schema = T.StructType([*rows.drop("reply").schema, T.StructField("genres", T.MapType(T.StringType(), T.StringType()))])
+    one = rows.mapInArrow(objects, schema).select(F.explode("keywords").alias("most_searched"), "genres", *keep)
     answered = F.coalesce(F.map_contains_key("genres", F.col("most_searched")), F.lit(False))
     return one.select("most_searched", F.when(answered, F.col("genres")[F.col("most_searched")])
-                      .otherwise(DEFAULT_GENRE).alias("Genre"))
+                      .otherwise(DEFAULT_GENRE).alias("Genre"), *keep)
 
 
 class LabellingFailed(RuntimeError):

@@ -61,10 +61,10 @@ def genres(programs: DataFrame, ledger: DataFrame, mapping: DataFrame | None = N
     """``most_searched, Genre`` of the distinct keywords: the stored mapping's genre, else that of
     the last call that was answered, else ``Other``."""
     replies = ledger.filter(F.col("error").isNull())
-    # a keyword stands in one answered call, or in several if two runs overlapped
-    single = replies.select(F.explode("keywords").alias("keyword"), "reply", "called_at", "run_id") \
-        .groupBy("keyword").agg(F.max_by(F.struct("reply"), F.struct("called_at", "run_id"))["reply"].alias("reply"))
-    found = parse_label_replies(single.select(F.array("keyword").alias("keywords"), "reply"))
+    # a reply is parsed once and stays where its call is: a keyword travels with its own genre alone. It
+    # stands in one answered call, or in several if two runs overlapped
+    found = parse_label_replies(replies, "called_at", "run_id").groupBy("most_searched").agg(
+        F.max_by(F.struct("Genre"), F.struct("called_at", "run_id"))["Genre"].alias("Genre"))
     wanted = programs.select("most_searched").dropna().distinct()
     if mapping is None:
         return wanted.join(found, "most_searched", "left").select(
